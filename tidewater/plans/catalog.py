@@ -207,3 +207,243 @@ def q_sync_daily_upsert(spark, sf_dir):
         day=fx.EVENTS_SYNC_DAY,
         column="ts",
     )
+
+
+# --------------------------------------------------------------- key scans
+
+KEY_PATTERN = "cust:1?[57]*"
+KEY_PATTERN_NEGATED = "cust:[^1]*0"
+
+
+def _customer_keys(spark, sf_dir):
+    from ..sources.keys import keyed_view
+
+    return keyed_view(read_table(spark, sf_dir, "customer"), "cust:", ["c_custkey"], sep=":")
+
+
+@register(
+    "key_scan",
+    "SELECT 'cust:' || CAST(c_custkey AS VARCHAR) AS key, * FROM customer "
+    f"WHERE ('cust:' || CAST(c_custkey AS VARCHAR)) GLOB '{KEY_PATTERN}'",
+)
+def q_key_scan(spark, sf_dir):
+    from ..sources.keys import key_scan
+
+    return key_scan(_customer_keys(spark, sf_dir), KEY_PATTERN)
+
+
+@register(
+    "key_scan_negated",
+    "SELECT 'cust:' || CAST(c_custkey AS VARCHAR) AS key FROM customer "
+    "WHERE ('cust:' || CAST(c_custkey AS VARCHAR)) GLOB 'cust:[!1]*0'",
+)
+def q_key_scan_negated(spark, sf_dir):
+    from ..sources.keys import key_scan
+
+    return key_scan(_customer_keys(spark, sf_dir), KEY_PATTERN_NEGATED, keys_only=True)
+
+
+# --------------------------------------------------------------- JSON records
+
+_PROPS_K = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
+
+
+@register("read_json", _PROPS_K)
+def q_read_json(spark, sf_dir):
+    from ..functions.records import read_json
+
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", read_json("props", "k bigint")["k"].alias("k"))
+
+
+@register("read_json_strict", _PROPS_K)
+def q_read_json_strict(spark, sf_dir):
+    from ..functions.records import read_json
+
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", read_json("props", "k bigint", strict=True)["k"].alias("k"))
+
+
+@register("read_encoded_json", _PROPS_K)
+def q_read_encoded_json(spark, sf_dir):
+    from ..functions.records import read_encoded_json
+
+    ev = read_table(spark, sf_dir, "events").withColumn("props_enc", F.url_encode("props"))
+    return ev.select("event_id", read_encoded_json("props_enc", "k bigint")["k"].alias("k"))
+
+
+@register(
+    "record_convert",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, "
+    "CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, o_orderstatus FROM orders",
+)
+def q_record_convert(spark, sf_dir):
+    from ..functions.records import convert_record
+
+    o = read_table(spark, sf_dir, "orders")
+    rec = F.struct("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    schema = "o_orderkey string, o_custkey int, o_totalprice decimal(12,2), o_orderstatus string"
+    return o.select(convert_record(rec, schema).alias("r")).select("r.*")
+
+
+# --------------------------------------------------------------- ids
+
+_ID_COUNTS = "SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_ok FROM orders"
+
+
+def _id_counts(df, entity):
+    from ..functions.ids import id_pattern
+
+    return df.agg(
+        F.count("*").alias("n"),
+        F.countDistinct("id").alias("n_distinct"),
+        F.count(F.when(F.col("id").rlike(id_pattern(entity)), 1)).alias("n_ok"),
+    )
+
+
+def _entity_query(entity):
+    def q(spark, sf_dir):
+        from ..functions.ids import with_entity_id
+
+        return _id_counts(with_entity_id(read_table(spark, sf_dir, "orders"), entity), entity)
+
+    q.__name__ = f"q_entity_ids_{entity}"
+    return q
+
+
+for _entity in ("shop", "coupon", "goods", "comment", "brand", "area"):
+    register(f"entity_ids_{_entity}", _ID_COUNTS)(_entity_query(_entity))
+
+
+@register("entity_ids_deterministic", _ID_COUNTS)
+def q_entity_ids_deterministic(spark, sf_dir):
+    from ..functions.ids import with_entity_id
+
+    o = read_table(spark, sf_dir, "orders")
+    return _id_counts(with_entity_id(o, "shop", deterministic_from=["o_orderkey"]), "shop")
+
+
+# --------------------------------------------------------------- layout
+
+
+@register("hash_layout", "SELECT * FROM orders")
+def q_hash_layout(spark, sf_dir):
+    from ..session import scratch_path
+    from .layout import SHARD_COL, write_hash_layout
+
+    path = write_hash_layout(read_table(spark, sf_dir, "orders"), scratch_path(spark, "orders_hash"), "o_orderkey", 8)
+    return spark.read.parquet(path).drop(SHARD_COL)
+
+
+@register("cap_partitions", "SELECT * FROM lineitem")
+def q_cap_partitions(spark, sf_dir):
+    from .layout import cap_partitions
+
+    return cap_partitions(read_table(spark, sf_dir, "lineitem"), 3, shuffle=False)
+
+
+# --------------------------------------------------------------- snapshot tables
+
+
+def _snapshot(spark, name, df):
+    from ..session import scratch_path
+
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return path
+
+
+@register("save_overwrite", _ORDERS_I)
+def q_save_overwrite(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sinks.snapshot import save_snapshot
+
+    t = _snapshot(spark, "orders_t", fx.orders_target(spark, sf_dir))
+    out = save_snapshot(fx.orders_changed(spark, sf_dir), t, scratch_path(spark, "orders_o"), SaveMode.OVERWRITE)
+    return spark.read.parquet(out)
+
+
+@register("save_error_if_exists", _ORDERS_I)
+def q_save_error_if_exists(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sinks.snapshot import save_snapshot
+
+    missing = scratch_path(spark, "orders_missing")
+    out = save_snapshot(
+        fx.orders_changed(spark, sf_dir), missing, scratch_path(spark, "orders_e"), SaveMode.ERROR_IF_EXISTS
+    )
+    return spark.read.parquet(out)
+
+
+@register("save_ignore_table", _ORDERS_T)
+def q_save_ignore_table(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sinks.snapshot import save_snapshot
+
+    t = _snapshot(spark, "orders_t", fx.orders_target(spark, sf_dir))
+    out = save_snapshot(fx.orders_changed(spark, sf_dir), t, scratch_path(spark, "orders_i"), SaveMode.IGNORE_TABLE)
+    return spark.read.parquet(out)
+
+
+@register("save_upsert_snapshot", ORACLE_SQL["save_upsert"])
+def q_save_upsert_snapshot(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sinks.snapshot import save_snapshot
+
+    t = _snapshot(spark, "orders_t", fx.orders_target(spark, sf_dir))
+    out = save_snapshot(
+        fx.orders_changed(spark, sf_dir), t, scratch_path(spark, "orders_u"), SaveMode.UPSERT, keys=["o_orderkey"]
+    )
+    return spark.read.parquet(out)
+
+
+@register(
+    "save_upsert_labels",
+    "WITH i AS (SELECT doc_id, CAST(CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS INTEGER) AS quality "
+    "FROM documents WHERE lang = 'en') "
+    "SELECT * FROM labels l WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.doc_id = l.doc_id) "
+    "UNION ALL SELECT i.doc_id, i.quality, l.toxic FROM i LEFT JOIN labels l ON i.doc_id = l.doc_id",
+)
+def q_save_upsert_labels(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    inc = docs.select("doc_id", F.when(F.col("n_chars") > 1000, 1).otherwise(0).cast("int").alias("quality"))
+    return merge_state(read_table(spark, sf_dir, "labels"), inc, SaveMode.UPSERT, keys=["doc_id"])
+
+
+# --------------------------------------------------------------- documents
+
+_DOC_SCHEMA = "_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def _documents_store(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.documents import DocumentStore, save_collection
+
+    store = DocumentStore(root=scratch_path(spark, "docstore"))
+    docs = read_table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "_id")
+    save_collection(docs, store, "documents")
+    return store
+
+
+@register("document_scan", "SELECT doc_id AS _id, text, lang, source, n_chars FROM documents")
+def q_document_scan(spark, sf_dir):
+    from ..sources.documents import read_collection
+
+    store = _documents_store(spark, sf_dir)
+    return read_collection(spark, store, "documents", schema=_DOC_SCHEMA)
+
+
+@register(
+    "document_replace",
+    "SELECT doc_id AS _id, text, lang, source, n_chars FROM documents WHERE lang IS DISTINCT FROM 'en' "
+    "UNION ALL SELECT doc_id AS _id, text, lang, source || '-v2' AS source, CAST(NULL AS BIGINT) AS n_chars "
+    "FROM documents WHERE lang = 'en'",
+)
+def q_document_replace(spark, sf_dir):
+    from ..sources.documents import read_collection, save_collection
+
+    store = _documents_store(spark, sf_dir)
+    docs = read_table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    new = docs.select(F.col("doc_id").alias("_id"), "text", "lang", F.concat("source", F.lit("-v2")).alias("source"))
+    out = save_collection(new, store, "documents", out_collection="documents_v2")
+    return read_collection(spark, store, out, schema=_DOC_SCHEMA)
