@@ -13,6 +13,10 @@ Two behaviours on bad input:
 * ``strict=True``: the query fails on malformed text and on fields the schema
   does not declare - the behaviour of a default JSON object mapper.
 
+Conversions follow Spark's JSON reader: numbers become strings or decimals,
+strings become dates/timestamps, but a quoted number (``"7"``) is not coerced
+into a numeric field (NULL when lenient, an error when strict).
+
 Everything stays in JVM-side expressions (one parse per row); no Python UDF.
 """
 

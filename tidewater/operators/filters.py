@@ -14,8 +14,8 @@ Column types:
 * ``timestamp`` (with local time zone) - wall clock in the session zone. A
   range on the raw instant is pushed, widened by a margin larger than any
   zone-offset jump, and the exact test runs as a residual on
-  ``cast(col as timestamp_ntz)``. Repeated DST hours therefore behave like the
-  string form (both instants kept).
+  ``from_utc_timestamp(col, session_zone)``. Repeated DST hours therefore
+  behave like the string form (both instants kept).
 * ``date`` - compared as a day.
 * ``string`` - parsed with ``try_to_timestamp`` (bad text gives NULL, which a
   bounded filter drops), then as ``timestamp``.
@@ -79,6 +79,11 @@ def _ntz(value: _dt.datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast(T.TimestampNTZType())
 
 
+def _utc(value: _dt.datetime) -> Column:
+    """A ``timestamp`` literal for the instant ``value`` read as UTC."""
+    return F.lit(value.replace(tzinfo=_dt.timezone.utc))
+
+
 def _wall_clock_range(df: DataFrame, column: str, lo: _dt.datetime, hi: _dt.datetime) -> DataFrame:
     """Keep rows whose wall-clock value of ``column`` lies in ``[lo, hi)``."""
     field = df.schema[column] if column in df.columns else _field_ci(df, column)
@@ -89,15 +94,19 @@ def _wall_clock_range(df: DataFrame, column: str, lo: _dt.datetime, hi: _dt.date
     if isinstance(dtype, T.DateType):
         # A date's wall clock is its midnight.
         return df.filter((c.cast(T.TimestampNTZType()) >= _ntz(lo)) & (c.cast(T.TimestampNTZType()) < _ntz(hi)))
-    if isinstance(dtype, T.TimestampType):
-        wall = c.cast(T.TimestampNTZType())
-        pushed = (c >= _ntz(lo - _LTZ_MARGIN).cast(T.TimestampType())) & (
-            c < _ntz(hi + _LTZ_MARGIN).cast(T.TimestampType())
-        )
-        return df.filter(pushed & (wall >= _ntz(lo)) & (wall < _ntz(hi)))
-    if isinstance(dtype, T.StringType):
-        wall = F.try_to_timestamp(c).cast(T.TimestampNTZType())
-        return df.filter((wall >= _ntz(lo)) & (wall < _ntz(hi)))
+    if isinstance(dtype, (T.TimestampType, T.StringType)):
+        inst = c if isinstance(dtype, T.TimestampType) else F.try_to_timestamp(c)
+        # Wall clock as "the instant whose UTC rendering is the local time".
+        # A cast to timestamp_ntz would read the same, but Catalyst unwraps
+        # cast(ts as timestamp_ntz) < literal into ts < literal', which is
+        # wrong inside a repeated DST hour; from_utc_timestamp is kept as is.
+        tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
+        wall = F.from_utc_timestamp(inst, tz)
+        cond = (wall >= _utc(lo)) & (wall < _utc(hi))
+        if isinstance(dtype, T.TimestampType):
+            # Pushable range on the stored instant, widened past any offset jump.
+            cond = (c >= _utc(lo - _LTZ_MARGIN)) & (c < _utc(hi + _LTZ_MARGIN)) & cond
+        return df.filter(cond)
     raise TypeError(f"column {column!r} has type {dtype.simpleString()}; expected a timestamp, date or string")
 
 
