@@ -149,7 +149,7 @@ def test_mode_names():
 def test_dedup_is_an_aggregate_not_a_window(spark):
     inc = spark.createDataFrame([(1, "a", 1.0)], KV)
     plan = plan_text(dedup_incoming(inc, ["k"], order_by=["extra"]))
-    assert "Window" not in plan and "max_by" in plan
+    assert "Window" not in plan and "max(" in plan
 
 
 def test_upsert_shuffles_only_incoming_keys(spark):
@@ -204,3 +204,11 @@ def test_ignore_record_keeps_existing_and_key_union(spark, t, i):
     assert {r.k for r in up.collect() if r.k is not None} == tk | ik
     nulls = sum(1 for r in _unique_target(t) if r[0] is None) + sum(1 for r in i if r[0] is None)
     assert up.filter("k is null").count() == nulls
+
+
+def test_dedup_with_map_payload(spark):
+    inc = spark.createDataFrame(
+        [(1, {"a": 1}, 1), (1, {"b": 2}, 2), (None, {"c": 3}, 0)], "k int, m map<string,int>, seq int"
+    )
+    out = {r.k: r.m for r in dedup_incoming(inc, ["k"], order_by=["seq"]).collect()}
+    assert out == {1: {"b": 2}, None: {"c": 3}}

@@ -146,13 +146,23 @@ def dedup_incoming(
     if not payload:
         deduped = keyed.select(*keys).distinct()
     else:
+        # One struct (order_by..., payload...) carries both the ordering and the
+        # row: max/min of it is the winner, with every payload column as a
+        # tie-breaker. Columns that have no ordering (maps) ride along in a
+        # max_by/min_by over the same ordering.
         order_cols = _as_columns(order_by)
-        ties = [F.col(c) for c in payload if _orderable(df.schema[c].dataType)]
-        ordering = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order_cols + ties)])
-        value = F.struct(*[F.col(c) for c in payload])
-        pick = F.max_by if keep == "last" else F.min_by
-        deduped = keyed.groupBy(*keys).agg(pick(value, ordering).alias("_w")).select(
-            *keys, *[F.col(f"_w.{c}").alias(c) for c in payload]
+        ordered = [c for c in payload if _orderable(df.schema[c].dataType)]
+        unordered = [c for c in payload if c not in ordered]
+        names = [f"_o{i}" for i in range(len(order_cols))]
+        ordering = F.struct(*[o.alias(n) for o, n in zip(order_cols, names)], *[F.col(c) for c in ordered])
+        aggs = [(F.max if keep == "last" else F.min)(ordering).alias("_w")]
+        if unordered:
+            pick = F.max_by if keep == "last" else F.min_by
+            aggs.append(pick(F.struct(*[F.col(c) for c in unordered]), ordering).alias("_u"))
+        deduped = keyed.groupBy(*keys).agg(*aggs).select(
+            *keys,
+            *[F.col(f"_w.{c}").alias(c) for c in ordered],
+            *[F.col(f"_u.{c}").alias(c) for c in unordered],
         )
     return deduped.select(*cols).unionByName(null_keyed.select(*cols))
 
