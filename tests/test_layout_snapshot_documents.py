@@ -76,3 +76,14 @@ def test_store_validation():
         DocumentStore()
     with pytest.raises(ValueError):
         DocumentStore(uri="mongodb://h")
+
+
+def test_document_timestamps_keep_microseconds(spark, tmp_path):
+    import datetime as dt
+
+    store = DocumentStore(root=str(tmp_path / "d"))
+    ts = dt.datetime(2024, 1, 1, 12, 0, 0, 123456)
+    df = spark.createDataFrame([(1, ts, ts)], "_id long, a timestamp_ntz, b timestamp")
+    save_collection(df, store, "t")
+    back = read_collection(spark, store, "t", schema="_id long, a timestamp_ntz, b timestamp").collect()[0]
+    assert back.a == ts and back.b == ts

@@ -447,3 +447,76 @@ def q_document_replace(spark, sf_dir):
     new = docs.select(F.col("doc_id").alias("_id"), "text", "lang", F.concat("source", F.lit("-v2")).alias("source"))
     out = save_collection(new, store, "documents", out_collection="documents_v2")
     return read_collection(spark, store, out, schema=_DOC_SCHEMA)
+
+
+# --------------------------------------------------------------- composed jobs
+
+_SYNC_SQL = ORACLE_SQL["sync_daily_upsert"]
+
+
+@register("sync_daily_snapshot", _SYNC_SQL)
+def q_sync_daily_snapshot(spark, sf_dir):
+    """JOB-1 on files: yesterday's snapshot + today's changes -> new snapshot."""
+    from ..session import scratch_path
+    from .jobs import sync_to_path
+
+    target = _snapshot(spark, "events_t", fx.events_target(spark, sf_dir))
+    out = sync_to_path(
+        read_table(spark, sf_dir, "events"),
+        target,
+        scratch_path(spark, "events_sync"),
+        SaveMode.UPSERT,
+        keys=["event_id"],
+        day=fx.EVENTS_SYNC_DAY,
+        column="ts",
+    )
+    return spark.read.parquet(out)
+
+
+SYNC_RANGE_START = "2024-01-1412:00:00"
+SYNC_RANGE_END = "2024-01-1511:59:59"
+
+
+@register(
+    "sync_range_ignore_record",
+    f"WITH t AS (SELECT event_id, ts, user_id, event_type, CAST(0.0 AS DOUBLE) AS value, props FROM events "
+    f"WHERE ts < TIMESTAMP '{fx.EVENTS_TARGET_BEFORE}'), "
+    "i AS (SELECT * FROM events WHERE strftime(ts, '%Y-%m-%d%H:%M:%S') "
+    f"BETWEEN '{SYNC_RANGE_START}' AND '{SYNC_RANGE_END}') "
+    "SELECT * FROM t UNION ALL SELECT * FROM i WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.event_id = i.event_id)",
+)
+def q_sync_range_ignore_record(spark, sf_dir):
+    return sync(
+        read_table(spark, sf_dir, "events"),
+        fx.events_target(spark, sf_dir),
+        SaveMode.IGNORE_RECORD,
+        keys=["event_id"],
+        start=SYNC_RANGE_START,
+        end=SYNC_RANGE_END,
+        column="ts",
+    )
+
+
+@register(
+    "job_document_daily",
+    "WITH d AS (SELECT event_id AS _id, ts AS updateAt, user_id, "
+    "CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events), "
+    "t AS (SELECT * FROM d WHERE updateAt < TIMESTAMP '2024-01-15'), "
+    f"i AS (SELECT * FROM d WHERE strftime(updateAt, '%Y-%m-%d') = '{fx.EVENTS_SYNC_DAY}') "
+    "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i._id = t._id) UNION ALL SELECT * FROM i",
+)
+def q_job_document_daily(spark, sf_dir):
+    """JOB-4: documents -> daily filter on updateAt -> typed records -> upsert."""
+    from ..functions.records import read_json
+    from ..session import scratch_path
+    from ..sources.documents import DocumentStore, read_collection, save_collection
+
+    store = DocumentStore(root=scratch_path(spark, "eventdocs"))
+    ev = read_table(spark, sf_dir, "events")
+    docs = ev.select(F.col("event_id").alias("_id"), F.col("ts").alias("updateAt"), "user_id", "props")
+    save_collection(docs, store, "events")
+    coll = read_collection(spark, store, "events", schema="_id bigint, updateAt timestamp_ntz, user_id bigint, props string")
+    typed = coll.select("_id", "updateAt", "user_id", read_json("props", "k bigint")["k"].alias("k"))
+    target = typed.filter(F.col("updateAt") < fx.ntz("2024-01-15"))
+    today = filter_document_daily(typed, fx.EVENTS_SYNC_DAY)
+    return merge_state(target, today, SaveMode.UPSERT, keys=["_id"])

@@ -30,6 +30,12 @@ NAMED_COLLECTIONS: dict[str, str] = {
 }
 DEFAULT_SPLIT_MB = 1024
 ID_FIELD = "_id"
+# JSON files keep full microsecond timestamps (Spark's default format keeps
+# milliseconds only, which would silently truncate on a round trip).
+JSON_FILE_OPTIONS: dict[str, str] = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 @dataclass(frozen=True)
@@ -66,7 +72,7 @@ def read_collection(
     extra pass.
     """
     if store.root is not None:
-        reader = spark.read
+        reader = spark.read.options(**JSON_FILE_OPTIONS)
         if schema is not None:
             reader = reader.schema(schema)
         return reader.json(store.path(collection))
@@ -116,15 +122,19 @@ def save_collection(
         writer.save()
         return collection
     if ID_FIELD not in df.columns:
-        df.write.mode("append").json(store.path(collection))
+        df.write.options(**JSON_FILE_OPTIONS).mode("append").json(store.path(collection))
         return collection
     current = _read_existing(df.sparkSession, store.path(collection), df.schema)
     if current is None:
-        dedup_incoming(df, [ID_FIELD], keep="last").write.mode("errorifexists").json(store.path(collection))
+        dedup_incoming(df, [ID_FIELD], keep="last").write.options(**JSON_FILE_OPTIONS).mode("errorifexists").json(
+            store.path(collection)
+        )
         return collection
     if not out_collection or out_collection == collection:
         raise ValueError("replacing by _id needs a new out_collection folder")
-    replace_documents(current, df).write.mode("errorifexists").json(store.path(out_collection))
+    replace_documents(current, df).write.options(**JSON_FILE_OPTIONS).mode("errorifexists").json(
+        store.path(out_collection)
+    )
     return out_collection
 
 
@@ -140,7 +150,7 @@ def _read_existing(spark: SparkSession, path: str, schema: T.StructType) -> Data
     from pyspark.errors import AnalysisException
 
     try:
-        df = spark.read.json(path)
+        df = spark.read.options(**JSON_FILE_OPTIONS).json(path)
         df.schema  # noqa: B018
         return df
     except AnalysisException as exc:
