@@ -18,11 +18,14 @@ Rules kept from the original writer (each has a test):
   inserted and never collapsed.
 * Incoming columns absent from the target are an error.
 
-Scale notes: duplicate removal is an aggregate (``max_by``/``min_by``), so a
-hot key is combined map-side before the shuffle instead of landing whole in
-one window task. Rows with NULL keys bypass every join (they would all hash to
-one reducer). Upsert moves only the incoming *keys* through the anti-join that
-decides which target rows survive.
+Scale notes: duplicate removal is an aggregate (``max``/``min`` of one
+ordering struct), so a hot key is combined map-side before the shuffle instead
+of landing whole in one window task. Rows with NULL keys bypass every join
+(they would all hash to one reducer). Upsert moves only the incoming *keys*
+through the anti-join that decides which target rows survive, and a partial
+upsert joins the target to the (small, broadcastable) change set rather than
+the other way round. No broadcast is forced: Spark broadcasts a side only when
+its estimated or, under AQE, measured size is below the configured threshold.
 """
 
 from __future__ import annotations
@@ -245,24 +248,45 @@ def merge_state(
 
 
 def _upsert(target: DataFrame, inc: DataFrame, keys: list[str], covered: list[str]) -> DataFrame:
-    cols = target.columns
+    if len(covered) < len(target.columns):
+        return _upsert_partial(target, inc, keys, covered)
+    # Surviving target rows: those whose key is not among the incoming keys.
+    # Only the incoming keys take part in this join (broadcast when small).
     tnull = any_key_null(keys)
+    inc_t = align_to(target.schema, inc)
     target_kept = target.filter(tnull).unionByName(
-        target.filter(~tnull).join(align_to(target.schema, inc).filter(~tnull).select(*keys), keys, "left_anti")
+        target.filter(~tnull).join(inc_t.filter(~tnull).select(*keys), keys, "left_anti")
     )
-    partial = len(covered) < len(cols)
-    if not partial:
-        return target_kept.unionByName(align_to(target.schema, inc))
-    # Matched rows take the untouched columns from the target row(s) they replace.
-    other = [c for c in cols if c not in covered]
-    inc_t = align_to(target.schema, inc).drop(*other)
-    matched_fill = inc_t.filter(~tnull).join(
-        target.filter(~tnull).select(*keys, *other), keys, "left"
+    return target_kept.unionByName(inc_t)
+
+
+def _upsert_partial(target: DataFrame, inc: DataFrame, keys: list[str], covered: list[str]) -> DataFrame:
+    """Upsert of a frame holding only some target columns.
+
+    Target rows meet the incoming rows in one left join (incoming is the build
+    side, so a small change set is broadcast and the target is not shuffled);
+    a matched row takes the incoming values for the covered columns and keeps
+    its own for the rest. Incoming rows with no target row are found with an
+    anti-join against the target's *keys only*.
+    """
+    cols = target.columns
+    knull = any_key_null(keys)
+    upd = [c for c in covered if c not in keys]
+    inc_t = align_to(target.schema, inc).select(*keys, *upd)
+    inc_nn = inc_t.filter(~knull)
+    renamed = inc_nn.select(*keys, *[F.col(c).alias(f"_inc_{c}") for c in upd], F.lit(True).alias("_inc_hit"))
+    updated = target.filter(~knull).join(renamed, keys, "left").select(
+        *[
+            F.when(F.col("_inc_hit"), F.col(f"_inc_{c}")).otherwise(F.col(c)).alias(c) if c in upd else F.col(c)
+            for c in cols
+        ]
     )
-    new_null = inc_t.filter(tnull)
+    fresh = inc_nn.join(target.filter(~knull).select(*keys), keys, "left_anti")
     return (
-        target_kept.unionByName(matched_fill.select(*cols))
-        .unionByName(align_to(target.schema, new_null))
+        target.filter(knull)
+        .unionByName(updated)
+        .unionByName(align_to(target.schema, fresh))
+        .unionByName(align_to(target.schema, inc_t.filter(knull)))
     )
 
 
