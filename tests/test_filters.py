@@ -127,3 +127,26 @@ def test_date_column(spark):
     df = spark.createDataFrame([(1, dt.date(2018, 6, 21)), (2, dt.date(2018, 6, 22))], "id int, rec_upd_ts date")
     assert ids(filter_daily(df, "2018-06-21")) == [1]
     assert ids(filter_range(df, "2018-06-2100:00:00", "2018-06-2100:00:00")) == [1]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_instants = st.datetimes(min_value=D(2018, 6, 20), max_value=D(2018, 6, 23))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ts=st.lists(st.one_of(st.none(), _instants), min_size=1, max_size=20),
+       a=_instants, b=_instants, tz=st.sampled_from(["UTC", "America/New_York", "Asia/Kolkata"]))
+def test_range_equals_string_form_property(spark, ts, a, b, tz):
+    lo, hi = sorted([a.replace(microsecond=0), b.replace(microsecond=0)])
+    start, end = lo.strftime("%Y-%m-%d%H:%M:%S"), hi.strftime("%Y-%m-%d%H:%M:%S")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        for dtype in ("timestamp_ntz", "timestamp"):
+            df = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], f"id int, rec_upd_ts {dtype}")
+            assert ids(filter_range(df, start, end)) == ids(filter_range_by_format(df, start, end))
+            assert ids(filter_daily(df, lo.strftime("%Y-%m-%d"))) == ids(filter_daily_by_format(df, lo.strftime("%Y-%m-%d")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
