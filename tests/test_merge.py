@@ -212,3 +212,26 @@ def test_dedup_with_map_payload(spark):
     )
     out = {r.k: r.m for r in dedup_incoming(inc, ["k"], order_by=["seq"]).collect()}
     assert out == {1: {"b": 2}, None: {"c": 3}}
+
+
+def test_dedup_keeps_identical_null_key_rows(spark):
+    inc = spark.createDataFrame(
+        [(None, "a", 1.0), (None, "a", 1.0), (None, "a", 1.0), (1, "x", 1.0), (1, "y", 2.0)], KV
+    )
+    out = dedup_incoming(inc, ["k"], order_by=["extra"])
+    assert sorted(rows(out), key=repr) == sorted([(None, "a", 1.0)] * 3 + [(1, "y", 2.0)], key=repr)
+
+
+def test_dedup_composite_partly_null(spark):
+    df = spark.createDataFrame(
+        [(1, None, 1.0), (2, None, 1.0), (1, None, 1.0), (1, "a", 1.0), (1, "a", 5.0)], "k1 int, k2 string, v double"
+    )
+    out = dedup_incoming(df, ["k1", "k2"], order_by=["v"])
+    assert out.count() == 4
+    assert [r.v for r in out.filter("k2 = 'a'").collect()] == [5.0]
+    assert out.filter("k2 is null").count() == 3
+
+
+def test_dedup_keys_only_frame(spark):
+    df = spark.createDataFrame([(1,), (1,), (None,), (None,)], "k int")
+    assert sorted(rows(dedup_incoming(df, ["k"])), key=repr) == sorted([(1,), (None,), (None,)], key=repr)

@@ -144,6 +144,8 @@ def dedup_incoming(
     keys = resolve_keys(df, keys)
     cols = df.columns
     payload = [c for c in cols if c not in keys]
+    if all(_orderable(df.schema[c].dataType) for c in cols):
+        return _dedup_one_pass(df, keys, payload, _as_columns(order_by), keep)
     null_keyed = df.filter(any_key_null(keys))
     keyed = df.filter(~any_key_null(keys))
     if not payload:
@@ -170,6 +172,27 @@ def dedup_incoming(
     return deduped.select(*cols).unionByName(null_keyed.select(*cols))
 
 
+def _dedup_one_pass(
+    df: DataFrame, keys: list[str], payload: list[str], order_cols: list[Column], keep: str
+) -> DataFrame:
+    """Single read of ``df``: rows with a NULL key part are grouped by their
+    whole row (so they never merge with other rows) and re-expanded by count,
+    which keeps identical NULL-key rows as separate inserts."""
+    cols = df.columns
+    nk = any_key_null(keys)
+    null_group = F.when(nk, F.struct(*[F.col(c) for c in payload]) if payload else F.lit(True)).alias("_nullrow")
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if payload:
+        names = [f"_o{i}" for i in range(len(order_cols))]
+        ordering = F.struct(*[o.alias(n) for o, n in zip(order_cols, names)], *[F.col(c) for c in payload])
+        aggs.append((F.max if keep == "last" else F.min)(ordering).alias("_w"))
+    grouped = df.groupBy(*keys, null_group).agg(*aggs)
+    copies = F.when(F.col("_nullrow").isNull(), F.lit(1)).otherwise(F.col("_n")).cast("int")
+    fields = [F.col(f"_w.{c}").alias(c) for c in payload]
+    out = grouped.select(*keys, *fields, F.explode(F.sequence(F.lit(1), copies)).alias("_rep"))
+    return out.select(*cols)
+
+
 # ---------------------------------------------------------------- alignment
 
 
