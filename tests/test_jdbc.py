@@ -170,3 +170,15 @@ def test_unknown_column_refused(monkeypatch, spark, my_user):
     with pytest.raises(SchemaMismatchError):
         J.save_jdbc(my_user, PG, "my_user", SaveMode.UPSERT, run_sql=run)
     assert rec.writes == []
+
+
+def test_read_options_split_only_with_bounds():
+    from tidewater.sources.jdbc import jdbc_read_options
+
+    plain = jdbc_read_options(PG, "my_user")
+    assert plain["dbtable"] == "my_user" and "partitionColumn" not in plain
+    split = jdbc_read_options(PG, "orders", 4, "o_orderdate", dt.datetime(1995, 1, 1), dt.datetime(2001, 8, 1))
+    assert split["partitionColumn"] == "o_orderdate" and split["numPartitions"] == "4"
+    assert split["lowerBound"] == "1995-01-01 00:00:00" and split["upperBound"] == "2001-08-01 00:00:00"
+    assert jdbc_read_options(PG, "t", 6, "id", 1, None).get("partitionColumn") is None
+    assert jdbc_read_options(PG, "t", fetchsize=5000)["fetchsize"] == "5000"

@@ -87,3 +87,18 @@ def test_document_timestamps_keep_microseconds(spark, tmp_path):
     save_collection(df, store, "t")
     back = read_collection(spark, store, "t", schema="_id long, a timestamp_ntz, b timestamp").collect()[0]
     assert back.a == ts and back.b == ts
+
+
+def test_sync_materialize(spark):
+    from tidewater.plans.jobs import changed_rows, sync
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    a = changed_rows(ev, day="2024-01-15", column="ts", materialize="checkpoint")
+    b = changed_rows(ev, day="2024-01-15", column="ts", materialize="persist")
+    assert rows(a) == rows(b) == rows(changed_rows(ev, day="2024-01-15", column="ts"))
+    with pytest.raises(ValueError):
+        changed_rows(ev, day="2024-01-15", start="2024-01-1500:00:00", end="2024-01-1500:00:01", column="ts")
+    with pytest.raises(ValueError):
+        changed_rows(ev, day="2024-01-15", column="ts", materialize="cache")
+    out = sync(ev, ev.limit(0), "upsert", keys=["event_id"], day="2024-01-15", column="ts", materialize="persist")
+    assert out.count() == a.count()

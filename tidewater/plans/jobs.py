@@ -24,15 +24,41 @@ def changed_rows(
     start: str | None = None,
     end: str | None = None,
     column: str = "rec_upd_ts",
+    materialize: str | None = None,
 ) -> DataFrame:
-    """The source window to sync: one day, one range, or everything."""
+    """The source window to sync: one day, one range, or everything.
+
+    The merge plan reads its incoming side more than once (keys for the join,
+    rows for the insert). For a cheap Parquet source that is a pruned re-scan;
+    for a JDBC source or an expensive upstream plan pass
+    ``materialize="checkpoint"`` (written once to the shared checkpoint folder,
+    survives executor loss) or ``"persist"`` (memory and disk, recomputed from
+    lineage if an executor is lost).
+    """
     if day is not None and (start is not None or end is not None):
         raise ValueError("give either day or start/end, not both")
     if start is not None or end is not None:
         if start is None or end is None:
             raise ValueError("a range needs both start and end")
-        return filter_range(source, start, end, column=column)
-    return filter_daily(source, day, column=column)
+        window = filter_range(source, start, end, column=column)
+    else:
+        window = filter_daily(source, day, column=column)
+    return _materialize(window, materialize)
+
+
+def _materialize(df: DataFrame, how: str | None) -> DataFrame:
+    if how is None:
+        return df
+    if how == "checkpoint":
+        from ..session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "persist":
+        from pyspark import StorageLevel
+
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    raise ValueError("materialize must be None, 'checkpoint' or 'persist'")
 
 
 def sync(
@@ -45,9 +71,10 @@ def sync(
     start: str | None = None,
     end: str | None = None,
     column: str = "rec_upd_ts",
+    materialize: str | None = None,
 ) -> DataFrame:
     """New target state after syncing the changed window of ``source``."""
-    incoming = changed_rows(source, day=day, start=start, end=end, column=column)
+    incoming = changed_rows(source, day=day, start=start, end=end, column=column, materialize=materialize)
     return merge_state(target, incoming, mode, keys=keys, order_by=order_by)
 
 

@@ -38,6 +38,30 @@ def column_bounds(spark: SparkSession, endpoint: Endpoint, table: str, column: s
     return (row[0], row[1]) if row is not None else (None, None)
 
 
+def jdbc_read_options(
+    endpoint: Endpoint,
+    table: str,
+    num_partitions: int = DEFAULT_READ_PARTITIONS,
+    partition_column: str | None = None,
+    lower_bound=None,
+    upper_bound=None,
+    fetchsize: int | None = None,
+) -> dict[str, str]:
+    """Reader options; a split only when a column and both bounds are known."""
+    opts = dict(endpoint.options())
+    opts["dbtable"] = table
+    if fetchsize:
+        opts["fetchsize"] = str(fetchsize)
+    if partition_column and lower_bound is not None and upper_bound is not None:
+        opts.update(
+            partitionColumn=partition_column,
+            lowerBound=_bound(lower_bound),
+            upperBound=_bound(upper_bound),
+            numPartitions=str(num_partitions),
+        )
+    return opts
+
+
 def read_jdbc(
     spark: SparkSession,
     endpoint: Endpoint,
@@ -49,27 +73,24 @@ def read_jdbc(
     predicates: Sequence[str] | None = None,
     fetchsize: int | None = None,
 ) -> DataFrame:
-    """Read ``table`` (a name, ``schema.name``, or a parenthesised subquery)."""
-    opts = dict(endpoint.options())
-    if fetchsize:
-        opts["fetchsize"] = str(fetchsize)
+    """Read ``table`` (a name, ``schema.name``, or a parenthesised subquery).
+
+    ``predicates`` (one WHERE clause per partition) is the alternative split
+    for keys that are not numeric or temporal.
+    """
     if predicates:
-        props = {k: v for k, v in opts.items() if k != "url"}
-        return spark.read.jdbc(opts["url"], table, predicates=list(predicates), properties=props)
-    reader = spark.read.format("jdbc").options(**opts).option("dbtable", table)
-    if partition_column:
-        if lower_bound is None or upper_bound is None:
-            lo, hi = column_bounds(spark, endpoint, table, partition_column)
-            lower_bound = lo if lower_bound is None else lower_bound
-            upper_bound = hi if upper_bound is None else upper_bound
-        if lower_bound is not None and upper_bound is not None:
-            reader = (
-                reader.option("partitionColumn", partition_column)
-                .option("lowerBound", _bound(lower_bound))
-                .option("upperBound", _bound(upper_bound))
-                .option("numPartitions", str(num_partitions))
-            )
-    return reader.load()
+        props = endpoint.connection_properties()
+        if fetchsize:
+            props["fetchsize"] = str(fetchsize)
+        return spark.read.jdbc(endpoint.resolved_url, table, predicates=list(predicates), properties=props)
+    if partition_column and (lower_bound is None or upper_bound is None):
+        lo, hi = column_bounds(spark, endpoint, table, partition_column)
+        lower_bound = lo if lower_bound is None else lower_bound
+        upper_bound = hi if upper_bound is None else upper_bound
+    opts = jdbc_read_options(
+        endpoint, table, num_partitions, partition_column, lower_bound, upper_bound, fetchsize
+    )
+    return spark.read.format("jdbc").options(**opts).load()
 
 
 def read_postgres(spark: SparkSession, endpoint: Endpoint, table: str, **kw) -> DataFrame:
