@@ -28,22 +28,59 @@ SCALE_DEFAULTS: dict[str, str] = {
 }
 
 
+MB = 1024 * 1024
+GB = 1024 * MB
+
+
+def sizing_conf(
+    input_bytes: int,
+    total_cores: int,
+    partition_bytes: int = 256 * MB,
+    max_partitions: int = 200_000,
+) -> dict[str, str]:
+    """Shuffle and scan sizes for a job reading ``input_bytes``.
+
+    AQE can merge small shuffle partitions but never split an oversized one
+    (except for skewed join sides), so the starting count must be high enough
+    that each partition fits comfortably in an executor's memory: one partition
+    per ``partition_bytes`` of input, at least two waves of the cluster's cores.
+    For 100 TB on 8,000 cores that is ~400k, capped at ``max_partitions``
+    (~500 MB each); AQE then coalesces stages that shrink after filtering.
+    """
+    if input_bytes < 0 or total_cores < 1:
+        raise ValueError("input_bytes >= 0 and total_cores >= 1 required")
+    wanted = -(-input_bytes // partition_bytes)
+    n = int(min(max(wanted, 2 * total_cores), max_partitions))
+    split = max(16 * MB, min(partition_bytes, input_bytes // max(1, 3 * total_cores)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tidewater",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the defaults above.
 
-    ``shuffle_partitions`` is the pre-AQE upper bound; on a large cluster use a
-    high value (AQE coalesces down), locally use the core count.
+    Give ``input_bytes`` and ``total_cores`` to size shuffles and scan splits
+    with ``sizing_conf``; ``shuffle_partitions`` overrides the shuffle count
+    (locally, use about twice the core count).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_DEFAULTS)
     conf["spark.sql.session.timeZone"] = "UTC"
+    if input_bytes is not None and total_cores is not None:
+        conf.update(sizing_conf(input_bytes, total_cores))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
