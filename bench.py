@@ -56,6 +56,37 @@ def lineitem_changes(spark, lo, hi=None):
     return li.filter(cond).withColumn("l_quantity", F.col("l_quantity") + 1)
 
 
+def skewed_changes(spark):
+    """Half of lineitem as changes, with every 'R' row (a third of them) moved
+    onto one hot key - the shape of a bulk re-send of one entity."""
+    hot = F.col("l_returnflag") == "R"
+    return (
+        lineitem_changes(spark, HALF)
+        .withColumn("l_orderkey", F.when(hot, F.lit(0)).otherwise(F.col("l_orderkey")))
+        .withColumn("l_linenumber", F.when(hot, F.lit(0)).otherwise(F.col("l_linenumber")))
+    )
+
+
+def window_dedup(df, keys, order):
+    others = [c for c in df.columns if c not in keys]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order + others])
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def snapshot_upsert(spark):
+    from tidewater.session import scratch_path
+    from tidewater.sinks.snapshot import save_snapshot
+
+    out = save_snapshot(
+        lineitem_changes(spark, HALF),
+        f"{SF_DIR}/lineitem.parquet",
+        scratch_path(spark, "bench_lineitem"),
+        SaveMode.UPSERT,
+        keys=LI_KEYS,
+    )
+    return spark.read.parquet(out)
+
+
 def build(spark):
     li = lambda: read_table(spark, SF_DIR, "lineitem")
     ev = lambda: read_table(spark, SF_DIR, "events")
@@ -75,6 +106,9 @@ def build(spark):
             li(), lineitem_changes(spark, HALF).select(*LI_KEYS, "l_quantity"), SaveMode.UPSERT, keys=LI_KEYS
         ),
         "dedup_lineitem": lambda: dedup_incoming(li(), LI_KEYS, order_by=["l_shipdate"]),
+        "dedup_skewed_50pct": lambda: dedup_incoming(skewed_changes(spark), LI_KEYS, order_by=["l_shipdate"]),
+        "upsert_skewed_50pct": lambda: merge_state(li(), skewed_changes(spark), SaveMode.UPSERT, keys=LI_KEYS),
+        "upsert_snapshot_write_50pct": lambda: snapshot_upsert(spark),
         "sync_daily_upsert": lambda: QUERIES["sync_daily_upsert"](spark, SF_DIR),
         "key_scan": lambda: key_scan(
             keyed_view(read_table(spark, SF_DIR, "customer"), "cust:", ["c_custkey"]), "cust:1?[57]*"
@@ -82,18 +116,13 @@ def build(spark):
         "read_json": lambda: ev().select("event_id", read_json("props", "k bigint")["k"].alias("k")),
     }
 
-    def window_dedup():
-        df = li()
-        others = [c for c in df.columns if c not in LI_KEYS]
-        w = Window.partitionBy(*LI_KEYS).orderBy(*[F.col(c).desc() for c in ["l_shipdate"] + others])
-        return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
     reference = {
         "ref_filter_daily_lineitem_format": lambda: filter_daily_by_format(li(), "1998-06-15", column="l_shipdate"),
         "ref_filter_range_events_format": lambda: filter_range_by_format(
             ev(), "2024-01-1006:30:00", "2024-01-1218:45:59", column="ts"
         ),
-        "ref_dedup_lineitem_window": window_dedup,
+        "ref_dedup_lineitem_window": lambda: window_dedup(li(), LI_KEYS, ["l_shipdate"]),
+        "ref_dedup_skewed_window": lambda: window_dedup(skewed_changes(spark), LI_KEYS, ["l_shipdate"]),
     }
     return headline, reference
 
