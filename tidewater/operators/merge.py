@@ -132,20 +132,44 @@ def dedup_incoming(
     keys: str | Sequence[str] | None = None,
     order_by: str | Column | Sequence[str | Column] | None = None,
     keep: str = "last",
+    single_scan: bool = False,
 ) -> DataFrame:
     """One row per non-NULL key; rows with a NULL key part pass through.
 
     ``keep="last"`` keeps the row with the greatest ``(order_by..., other
     columns...)``, ``keep="first"`` the least. Struct ordering puts NULLs
     first, so a NULL ordering value loses under ``last``.
+
+    By default NULL-key rows are split off with a filter (on Parquet a second,
+    statistics-pruned scan) and the rest is grouped by the keys alone, so the
+    result stays hash-partitioned on the keys and a following join on them
+    needs no new shuffle. ``single_scan=True`` reads ``df`` once instead
+    (for inputs that are expensive to read twice and are not joined on the
+    keys afterwards); its output is partitioned by keys plus a NULL-row marker.
     """
     if keep not in ("last", "first"):
         raise ValueError("keep must be 'last' or 'first'")
     keys = resolve_keys(df, keys)
     cols = df.columns
     payload = [c for c in cols if c not in keys]
-    if all(_orderable(df.schema[c].dataType) for c in cols):
+    if single_scan and all(_orderable(df.schema[c].dataType) for c in cols):
         return _dedup_one_pass(df, keys, payload, _as_columns(order_by), keep)
+    deduped, null_keyed = _dedup_parts(df, keys, order_by, keep)
+    return deduped.unionByName(null_keyed)
+
+
+def _dedup_parts(
+    df: DataFrame,
+    keys: list[str],
+    order_by: str | Column | Sequence[str | Column] | None,
+    keep: str,
+) -> tuple[DataFrame, DataFrame]:
+    """``(one row per complete key, rows with a NULL key part)``, both in
+    ``df``'s column order. Kept apart so callers never re-filter a union
+    (Catalyst would push the filter into both branches and keep the
+    contradictory one)."""
+    cols = df.columns
+    payload = [c for c in cols if c not in keys]
     null_keyed = df.filter(any_key_null(keys))
     keyed = df.filter(~any_key_null(keys))
     if not payload:
@@ -169,7 +193,7 @@ def dedup_incoming(
             *[F.col(f"_w.{c}").alias(c) for c in ordered],
             *[F.col(f"_u.{c}").alias(c) for c in unordered],
         )
-    return deduped.select(*cols).unionByName(null_keyed.select(*cols))
+    return deduped.select(*cols), null_keyed.select(*cols)
 
 
 def _dedup_one_pass(
@@ -260,30 +284,32 @@ def merge_state(
     if missing_keys:
         raise SchemaMismatchError(f"incoming frame lacks key columns {missing_keys}")
     inc_keys_named = [_resolve(incoming, k) for k in keys]
-    inc = incoming
     if dedup:
         keep = "last" if mode is SaveMode.UPSERT else "first"
-        inc = dedup_incoming(incoming, inc_keys_named, order_by, keep)
-
+        inc_k, inc_n = _dedup_parts(incoming, inc_keys_named, order_by, keep)
+    else:
+        nk = any_key_null(inc_keys_named)
+        inc_k, inc_n = incoming.filter(~nk), incoming.filter(nk)
+    if mode is SaveMode.UPSERT and len(covered) < len(target.columns):
+        return _upsert_partial(target, inc_k, inc_n, keys, covered)
+    inc_k, inc_n = align_to(target.schema, inc_k), align_to(target.schema, inc_n)
     if mode is SaveMode.UPSERT:
-        return _upsert(target, inc, keys, covered)
-    return _ignore_record(target, inc, keys)
+        return _upsert(target, inc_k, inc_n, keys)
+    return _ignore_record(target, inc_k, inc_n, keys)
 
 
-def _upsert(target: DataFrame, inc: DataFrame, keys: list[str], covered: list[str]) -> DataFrame:
-    if len(covered) < len(target.columns):
-        return _upsert_partial(target, inc, keys, covered)
-    # Surviving target rows: those whose key is not among the incoming keys.
-    # Only the incoming keys take part in this join (broadcast when small).
+def _upsert(target: DataFrame, inc_k: DataFrame, inc_n: DataFrame, keys: list[str]) -> DataFrame:
+    """Surviving target rows are those whose key is not among the incoming
+    keys; only the incoming keys take part in that join (a distinct-keys
+    aggregate, broadcast when small, else hash-partitioned like the target)."""
     tnull = any_key_null(keys)
-    inc_t = align_to(target.schema, inc)
-    target_kept = target.filter(tnull).unionByName(
-        target.filter(~tnull).join(inc_t.filter(~tnull).select(*keys), keys, "left_anti")
-    )
-    return target_kept.unionByName(inc_t)
+    kept = target.filter(~tnull).join(inc_k.select(*keys), keys, "left_anti")
+    return target.filter(tnull).unionByName(kept).unionByName(inc_k).unionByName(inc_n)
 
 
-def _upsert_partial(target: DataFrame, inc: DataFrame, keys: list[str], covered: list[str]) -> DataFrame:
+def _upsert_partial(
+    target: DataFrame, inc_k: DataFrame, inc_n: DataFrame, keys: list[str], covered: list[str]
+) -> DataFrame:
     """Upsert of a frame holding only some target columns.
 
     Target rows meet the incoming rows in one left join (incoming is the build
@@ -295,8 +321,7 @@ def _upsert_partial(target: DataFrame, inc: DataFrame, keys: list[str], covered:
     cols = target.columns
     knull = any_key_null(keys)
     upd = [c for c in covered if c not in keys]
-    inc_t = align_to(target.schema, inc).select(*keys, *upd)
-    inc_nn = inc_t.filter(~knull)
+    inc_nn = align_to(target.schema, inc_k).select(*keys, *upd)
     renamed = inc_nn.select(*keys, *[F.col(c).alias(f"_inc_{c}") for c in upd], F.lit(True).alias("_inc_hit"))
     updated = target.filter(~knull).join(renamed, keys, "left").select(
         *[
@@ -309,12 +334,11 @@ def _upsert_partial(target: DataFrame, inc: DataFrame, keys: list[str], covered:
         target.filter(knull)
         .unionByName(updated)
         .unionByName(align_to(target.schema, fresh))
-        .unionByName(align_to(target.schema, inc_t.filter(knull)))
+        .unionByName(align_to(target.schema, inc_n))
     )
 
 
-def _ignore_record(target: DataFrame, inc: DataFrame, keys: list[str]) -> DataFrame:
-    inc_t = align_to(target.schema, inc)
+def _ignore_record(target: DataFrame, inc_k: DataFrame, inc_n: DataFrame, keys: list[str]) -> DataFrame:
     knull = any_key_null(keys)
-    fresh = inc_t.filter(~knull).join(target.filter(~knull).select(*keys), keys, "left_anti")
-    return target.unionByName(fresh.select(*target.columns)).unionByName(inc_t.filter(knull))
+    fresh = inc_k.join(target.filter(~knull).select(*keys), keys, "left_anti")
+    return target.unionByName(fresh.select(*target.columns)).unionByName(inc_n)
