@@ -182,3 +182,14 @@ def test_read_options_split_only_with_bounds():
     assert split["lowerBound"] == "1995-01-01 00:00:00" and split["upperBound"] == "2001-08-01 00:00:00"
     assert jdbc_read_options(PG, "t", 6, "id", 1, None).get("partitionColumn") is None
     assert jdbc_read_options(PG, "t", fetchsize=5000)["fetchsize"] == "5000"
+
+
+def test_save_request_and_append_variants(monkeypatch, my_user):
+    rec = Recorder(my_user.schema)
+    run = rec.install(monkeypatch)
+    req = J.JdbcSave(PG, "my_user", "upsert", keys=("id",))
+    assert req.save(my_user, run_sql=run) == "merged"
+    J.append_to_postgres(my_user, PG, "my_user")
+    assert rec.writes[-1] == ("my_user", "append", 3)
+    with pytest.raises(EndpointError):
+        J.append_to_mysql(my_user, PG, "my_user")

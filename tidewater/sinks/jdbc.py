@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -188,10 +189,17 @@ def write_table(
     num_partitions: int | None = None,
     batchsize: int = DEFAULT_BATCH_SIZE,
     create_column_types: str | None = None,
+    isolation_level: str | None = None,
 ) -> None:
-    """Spark's JDBC writer; ``num_partitions`` caps concurrent connections."""
+    """Spark's JDBC writer; ``num_partitions`` caps concurrent connections.
+
+    Each task writes its partition in one transaction (``isolation_level``,
+    Spark's default ``READ_UNCOMMITTED``; ``NONE`` for autocommit batches).
+    """
     writer = df.write.format("jdbc").options(**endpoint.options()).option("dbtable", table)
     writer = writer.option("batchsize", str(batchsize))
+    if isolation_level:
+        writer = writer.option("isolationLevel", isolation_level)
     if num_partitions:
         writer = writer.option("numPartitions", str(num_partitions))
     if create_column_types:
@@ -205,10 +213,11 @@ def append_jdbc(
     table: str,
     num_partitions: int | None = None,
     batchsize: int = DEFAULT_BATCH_SIZE,
+    isolation_level: str | None = None,
 ) -> None:
     """Plain append; creates the table when missing."""
     check_writable(df.schema, endpoint.kind)
-    write_table(df, endpoint, table, "append", num_partitions, batchsize)
+    write_table(df, endpoint, table, "append", num_partitions, batchsize, isolation_level=isolation_level)
 
 
 def save_jdbc(
@@ -278,6 +287,45 @@ def save_jdbc(
 # ---------------------------------------------------------------- named targets
 
 
+def append_to_postgres(df: DataFrame, endpoint: Endpoint, table: str, **kw) -> None:
+    append_jdbc(df, endpoint.require("postgresql"), table, **kw)
+
+
+def append_to_mysql(df: DataFrame, endpoint: Endpoint, table: str, **kw) -> None:
+    append_jdbc(df, endpoint.require("mysql"), table, **kw)
+
+
+def append_to_db2(df: DataFrame, endpoint: Endpoint, table: str, **kw) -> None:
+    append_jdbc(df, endpoint.require("db2"), table, **kw)
+
+
+@dataclass(frozen=True)
+class JdbcSave:
+    """A save request (endpoint, table, mode, keys) applied to any frame:
+    ``JdbcSave(ep, "my_user", "upsert", keys=("id",)).save(df)``."""
+
+    endpoint: Endpoint
+    table: str
+    mode: SaveMode | str
+    keys: tuple[str, ...] | None = None
+    order_by: tuple[str, ...] | None = None
+    num_partitions: int | None = None
+    batchsize: int = DEFAULT_BATCH_SIZE
+
+    def save(self, df: DataFrame, run_sql: RunSql | None = None) -> str:
+        return save_jdbc(
+            df,
+            self.endpoint,
+            self.table,
+            self.mode,
+            keys=list(self.keys) if self.keys else None,
+            order_by=list(self.order_by) if self.order_by else None,
+            run_sql=run_sql,
+            num_partitions=self.num_partitions,
+            batchsize=self.batchsize,
+        )
+
+
 def save_to_postgres(df: DataFrame, endpoint: Endpoint, table: str, mode: SaveMode | str, **kw) -> str:
     return save_jdbc(df, endpoint.require("postgresql"), table, mode, **kw)
 
