@@ -12,7 +12,7 @@ def test_cap_partitions(spark):
     df = spark.range(0, 100, numPartitions=8)
     assert cap_partitions(df, 3, shuffle=False).rdd.getNumPartitions() == 3
     assert cap_partitions(df, 3).rdd.getNumPartitions() == 3
-    assert cap_partitions(df, 100).rdd.getNumPartitions() == 8
+    assert cap_partitions(df, 100, shuffle=False).rdd.getNumPartitions() == 8
     assert cap_partitions(df, None) is df
 
 

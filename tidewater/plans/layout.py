@@ -18,20 +18,20 @@ SHARD_COL = "shard"
 
 
 def cap_partitions(df: DataFrame, n: int | None, shuffle: bool = True) -> DataFrame:
-    """At most ``n`` partitions; never grows the count.
+    """Write with ``n`` tasks (e.g. to cap open database connections).
 
-    ``coalesce`` (``shuffle=False``) merges partitions without a shuffle but
-    also shrinks the parallelism of everything upstream in the same stage; the
-    default ``repartition`` keeps the upstream work at full width and pays one
-    shuffle of the (usually already reduced) output.
+    ``shuffle=False`` is ``coalesce(n)``: no shuffle and never more partitions
+    than before, but it also narrows everything upstream in the same stage to
+    ``n`` tasks. The default ``repartition(n)`` keeps the upstream work at full
+    width and pays one shuffle of the (usually already reduced) output.
+
+    The current partition count is deliberately not inspected: under AQE that
+    would run the upstream shuffle stages once just to count.
     """
     if n is None:
         return df
     if n < 1:
         raise ValueError("partition cap must be >= 1")
-    current = df.rdd.getNumPartitions()
-    if current <= n:
-        return df
     return df.repartition(n) if shuffle else df.coalesce(n)
 
 

@@ -193,15 +193,18 @@ def write_table(
 ) -> None:
     """Spark's JDBC writer; ``num_partitions`` caps concurrent connections.
 
+    The cap is a ``repartition`` rather than the writer's own ``coalesce``, so
+    the work feeding the write (a dedup, a merge) keeps its full parallelism.
     Each task writes its partition in one transaction (``isolation_level``,
     Spark's default ``READ_UNCOMMITTED``; ``NONE`` for autocommit batches).
     """
+    from ..plans.layout import cap_partitions
+
+    df = cap_partitions(df, num_partitions)
     writer = df.write.format("jdbc").options(**endpoint.options()).option("dbtable", table)
     writer = writer.option("batchsize", str(batchsize))
     if isolation_level:
         writer = writer.option("isolationLevel", isolation_level)
-    if num_partitions:
-        writer = writer.option("numPartitions", str(num_partitions))
     if create_column_types:
         writer = writer.option("createTableColumnTypes", create_column_types)
     writer.mode(spark_mode).save()
