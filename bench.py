@@ -87,6 +87,41 @@ def snapshot_upsert(spark):
     return spark.read.parquet(out)
 
 
+_BUCKETED = {}
+
+
+def bucketed_lineitem(spark):
+    """lineitem as a table bucketed by its merge keys (written once, untimed)."""
+    if "name" not in _BUCKETED:
+        import uuid
+
+        from tidewater.session import scratch_path
+        from tidewater.sinks.table import save_table
+
+        name = f"tw_bench_lineitem_{uuid.uuid4().hex[:8]}"
+        save_table(
+            read_table(spark, SF_DIR, "lineitem"), None, name, SaveMode.OVERWRITE, keys=LI_KEYS,
+            path=scratch_path(spark, "bench_lineitem_bucketed"),
+        )
+        _BUCKETED["name"] = name
+    return spark.table(_BUCKETED["name"])
+
+
+class no_broadcast:
+    """Plan as for a target far above any broadcast threshold (the 100 TB case)."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        self.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        self.spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+
+    def __exit__(self, *exc):
+        self.spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        self.spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def build(spark):
     li = lambda: read_table(spark, SF_DIR, "lineitem")
     ev = lambda: read_table(spark, SF_DIR, "events")
@@ -109,6 +144,10 @@ def build(spark):
         "dedup_skewed_50pct": lambda: dedup_incoming(skewed_changes(spark), LI_KEYS, order_by=["l_shipdate"]),
         "upsert_skewed_50pct": lambda: merge_state(li(), skewed_changes(spark), SaveMode.UPSERT, keys=LI_KEYS),
         "upsert_snapshot_write_50pct": lambda: snapshot_upsert(spark),
+        "upsert_50pct_no_broadcast": ("nobc", lambda: merge_state(
+            li(), lineitem_changes(spark, HALF), SaveMode.UPSERT, keys=LI_KEYS)),
+        "upsert_50pct_bucketed_no_broadcast": ("nobc", lambda: merge_state(
+            bucketed_lineitem(spark), lineitem_changes(spark, HALF), SaveMode.UPSERT, keys=LI_KEYS)),
         "sync_daily_upsert": lambda: QUERIES["sync_daily_upsert"](spark, SF_DIR),
         "key_scan": lambda: key_scan(
             keyed_view(read_table(spark, SF_DIR, "customer"), "cust:", ["c_custkey"]), "cust:1?[57]*"
@@ -127,7 +166,11 @@ def build(spark):
     return headline, reference
 
 
-def run(make):
+def run(spark, make):
+    if isinstance(make, tuple):
+        _, make = make
+        with no_broadcast(spark):
+            return run(spark, make)
     best = None
     for _ in range(REPS):
         t0 = time.perf_counter()
@@ -146,10 +189,12 @@ def main():
     )
     spark.sparkContext.setLogLevel("ERROR")
     headline, reference = build(spark)
-    # Warm the JVM (class loading, codegen caches) once, untimed.
+    # Warm the JVM (class loading, codegen caches) once, untimed; build the
+    # bucketed copy of lineitem outside the timed region.
     headline["filter_daily_events"]().write.format("noop").mode("overwrite").save()
-    times = {name: run(make) for name, make in headline.items()}
-    ref_times = {name: run(make) for name, make in reference.items()}
+    bucketed_lineitem(spark)
+    times = {name: run(spark, make) for name, make in headline.items()}
+    ref_times = {name: run(spark, make) for name, make in reference.items()}
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     out = {
         "metric": "total_headline_seconds",

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,6 +20,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidewater-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -102,3 +102,28 @@ def test_sync_materialize(spark):
         changed_rows(ev, day="2024-01-15", column="ts", materialize="cache")
     out = sync(ev, ev.limit(0), "upsert", keys=["event_id"], day="2024-01-15", column="ts", materialize="persist")
     assert out.count() == a.count()
+
+
+def test_bucketed_table_merge_reads_target_without_shuffle(spark, tmp_path):
+    from conftest import plan_text
+    from tidewater.sinks.table import save_table, table_or_none
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = spark.createDataFrame([(i, f"t{i}") for i in range(200)], "k long, v string")
+        i = spark.createDataFrame([(i, f"i{i}") for i in range(150, 260)], "k long, v string")
+        v1 = save_table(t, None, "tw_test_v1", "overwrite", keys=["k"], path=str(tmp_path / "v1"))
+        v2 = save_table(i, v1, "tw_test_v2", "upsert", keys=["k"], path=str(tmp_path / "v2"))
+        got = spark.table(v2)
+        assert got.count() == 260 and got.filter("v like 'i%'").count() == 110
+        from tidewater.operators.merge import merge_state
+
+        plan = plan_text(merge_state(spark.table(v1), i, "upsert", keys=["k"]))
+        assert "Bucketed: true" in plan
+        assert save_table(i, v2, "tw_test_v3", "ignore_table", keys=["k"]) == v2
+        assert table_or_none(spark, "tw_missing") is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

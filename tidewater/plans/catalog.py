@@ -520,3 +520,27 @@ def q_job_document_daily(spark, sf_dir):
     target = typed.filter(F.col("updateAt") < fx.ntz("2024-01-15"))
     today = filter_document_daily(typed, fx.EVENTS_SYNC_DAY)
     return merge_state(target, today, SaveMode.UPSERT, keys=["_id"])
+
+
+# --------------------------------------------------------------- bucketed tables
+
+
+@register("save_upsert_bucketed", ORACLE_SQL["save_upsert"])
+def q_save_upsert_bucketed(spark, sf_dir):
+    """Upsert into a table bucketed by the key: the next merge reads the target
+    without shuffling it (only the change set moves)."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sinks.table import save_table
+
+    tag = uuid.uuid4().hex[:12]
+    t = save_table(
+        fx.orders_target(spark, sf_dir), None, f"tw_orders_{tag}_v1", SaveMode.OVERWRITE,
+        keys=["o_orderkey"], path=scratch_path(spark, "orders_b1"),
+    )
+    out = save_table(
+        fx.orders_changed(spark, sf_dir), t, f"tw_orders_{tag}_v2", SaveMode.UPSERT,
+        keys=["o_orderkey"], path=scratch_path(spark, "orders_b2"),
+    )
+    return spark.table(out)
