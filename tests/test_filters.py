@@ -150,3 +150,11 @@ def test_range_equals_string_form_property(spark, ts, a, b, tz):
             assert ids(filter_daily(df, lo.strftime("%Y-%m-%d"))) == ids(filter_daily_by_format(df, lo.strftime("%Y-%m-%d")))
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_case_switch(change_log):
+    up = change_log.withColumnRenamed("rec_upd_ts", "REC_UPD_TS")
+    assert ids(filter_daily(up, "2018-06-21", case="upper")) == [1, 2, 3, 4]
+    assert ids(filter_range(change_log, "2018-06-2100:00:00", "2018-06-2110:00:00", case="lower")) == [1, 2]
+    with pytest.raises(ValueError):
+        filter_daily(change_log, "2018-06-21", case="title")

@@ -193,3 +193,26 @@ def test_save_request_and_append_variants(monkeypatch, my_user):
     assert rec.writes[-1] == ("my_user", "append", 3)
     with pytest.raises(EndpointError):
         J.append_to_mysql(my_user, PG, "my_user")
+
+
+def test_endpoint_from_config():
+    conf = {"user": "root", "password": "pw", "db": "hive", "driver": "com.mysql.jdbc.Driver",
+            "host": "localhost:3306", "url": "jdbc:mysql://$host/$db?user=$user&password=$password",
+            "fetchsize": 1000}
+    e = Endpoint.from_config(conf)
+    assert e.resolved_url == "jdbc:mysql://localhost:3306/hive?user=root&password=pw"
+    assert e.kind == "mysql" and e.options()["fetchsize"] == "1000"
+    with pytest.raises(EndpointError):
+        Endpoint.from_config({"url": "jdbc:mysql://h/d"})
+
+
+def test_streaming_jdbc_writer(monkeypatch, my_user):
+    from tidewater.streaming.sync_stream import jdbc_batch_writer
+
+    rec = Recorder(my_user.schema)
+    run = rec.install(monkeypatch)
+    write = jdbc_batch_writer(PG, "my_user", "upsert", keys=["id"], run_sql=run)
+    write(my_user, 0)
+    write(my_user, 0)  # a replayed batch re-applies the same rows
+    assert [w[2] for w in rec.writes] == [2, 2]
+    assert sum(1 for q in rec.sql if q.startswith("INSERT INTO my_user")) == 2

@@ -59,3 +59,21 @@ def test_convert_record_quoted_number_is_not_coerced(spark):
     df = spark.createDataFrame([("7",)], "qty string")
     out = df.select(convert_record(F.struct("qty"), "qty int").alias("r"))
     assert out.collect()[0].r is None
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_text = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=12)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(recs=st.lists(st.tuples(st.one_of(st.none(), st.integers(-2**31, 2**31 - 1)), st.one_of(st.none(), _text)),
+                     min_size=1, max_size=8))
+def test_json_round_trip_property(spark, recs):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(recs)], "id int, a int, b string")
+    js = df.select("id", F.to_json(F.struct("a", "b")).alias("js"))
+    enc = js.select("id", F.url_encode("js").alias("js"))
+    for frame, fn in ((js, read_json), (enc, read_encoded_json)):
+        got = {r.id: (r.p.a, r.p.b) for r in frame.select("id", fn("js", SCHEMA).alias("p")).collect()}
+        assert got == {i: rec for i, rec in enumerate(recs)}

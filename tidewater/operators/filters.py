@@ -41,6 +41,19 @@ _ONE_DAY = _dt.timedelta(days=1)
 _ONE_SECOND = _dt.timedelta(seconds=1)
 
 
+# The change-timestamp column in lower- and upper-case schemas.
+CHANGE_COLUMN = {"lower": "rec_upd_ts", "upper": "REC_UPD_TS"}
+
+
+def _column(column: str | None, case: str) -> str:
+    if column is not None:
+        return column
+    try:
+        return CHANGE_COLUMN[case]
+    except KeyError as exc:
+        raise ValueError("case must be 'lower' or 'upper'") from exc
+
+
 class BoundError(ValueError):
     """A day or time bound that does not parse strictly."""
 
@@ -117,25 +130,29 @@ def _field_ci(df: DataFrame, column: str) -> T.StructField:
     raise KeyError(f"no column {column!r} in {df.columns}")
 
 
-def filter_daily(df: DataFrame, day: str | _dt.date | None = None, column: str = "rec_upd_ts") -> DataFrame:
+def filter_daily(
+    df: DataFrame, day: str | _dt.date | None = None, column: str | None = None, case: str = "lower"
+) -> DataFrame:
     """Rows whose ``column`` falls on ``day`` (session-zone wall clock).
 
     ``day=None`` returns ``df`` unchanged, NULL timestamps included. With a day,
-    NULL timestamps drop out. Pass ``column="REC_UPD_TS"`` for upper-case
-    schemas (name resolution is case-insensitive by default anyway).
+    NULL timestamps drop out. The column defaults to ``rec_upd_ts``
+    (``case="upper"``: ``REC_UPD_TS``; name resolution is case-insensitive by
+    default anyway).
     """
     if day is None:
         return df
     d = parse_day(day)
     lo = _dt.datetime(d.year, d.month, d.day)
-    return _wall_clock_range(df, column, lo, lo + _ONE_DAY)
+    return _wall_clock_range(df, _column(column, case), lo, lo + _ONE_DAY)
 
 
 def filter_range(
     df: DataFrame,
     start: str | _dt.datetime,
     end: str | _dt.datetime,
-    column: str = "rec_upd_ts",
+    column: str | None = None,
+    case: str = "lower",
 ) -> DataFrame:
     """Rows with ``start <= column <= end`` at whole-second precision.
 
@@ -146,7 +163,7 @@ def filter_range(
     hi = parse_instant(end)
     if lo.microsecond or hi.microsecond:
         raise BoundError("range bounds are whole seconds")
-    return _wall_clock_range(df, column, lo, hi + _ONE_SECOND)
+    return _wall_clock_range(df, _column(column, case), lo, hi + _ONE_SECOND)
 
 
 def filter_document_daily(df: DataFrame, day: str | _dt.date | None = None, column: str = "updateAt") -> DataFrame:

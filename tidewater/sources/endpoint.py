@@ -61,6 +61,18 @@ class Endpoint:
     def db2(cls, host: str, db: str, user: str | None = None, password: str | None = None, **kw) -> "Endpoint":
         return cls(DB2_URL, DB2_DRIVER, user, password, db=db, host=host, **kw)
 
+    @classmethod
+    def from_config(cls, conf: dict) -> "Endpoint":
+        """From a mapping with ``url, driver, user, password, db, host, schema``
+        (the fields of the original endpoint configurations)."""
+        known = ("url", "driver", "user", "password", "db", "host", "schema")
+        missing = [k for k in ("url", "driver") if k not in conf]
+        if missing:
+            raise EndpointError(f"endpoint config lacks {missing}")
+        extra = {k: str(v) for k, v in conf.items() if k not in known}
+        return cls(**{k: (None if conf.get(k) is None else str(conf[k])) for k in known if k in conf},
+                   properties=extra)
+
     @property
     def resolved_url(self) -> str:
         url = self.url
