@@ -158,3 +158,18 @@ def test_case_switch(change_log):
     assert ids(filter_range(change_log, "2018-06-2100:00:00", "2018-06-2110:00:00", case="lower")) == [1, 2]
     with pytest.raises(ValueError):
         filter_daily(change_log, "2018-06-21", case="title")
+
+
+def test_partition_pruning(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    path = str(tmp_path / "by_day")
+    ev.withColumn("dt", F.date_format("ts", "yyyy-MM-dd")).write.partitionBy("dt").parquet(path)
+    parted = spark.read.parquet(path)
+    a = filter_daily(parted, "2024-01-15", column="ts", partition_column="dt")
+    plan = plan_text(a)
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-15" in plan
+    assert rows(a.drop("dt")) == rows(filter_daily(ev, "2024-01-15", column="ts"))
+    r = filter_range(parted, "2024-01-1423:00:00", "2024-01-1601:00:00", column="ts", partition_column="dt")
+    assert rows(r.drop("dt")) == rows(filter_range(ev, "2024-01-1423:00:00", "2024-01-1601:00:00", column="ts"))
+    dated = spark.read.parquet(path).withColumn("d", F.col("dt").cast("date"))
+    assert filter_daily(dated, "2024-01-15", column="ts", partition_column="d").count() == a.count()

@@ -130,19 +130,42 @@ def _field_ci(df: DataFrame, column: str) -> T.StructField:
     raise KeyError(f"no column {column!r} in {df.columns}")
 
 
+def _day_partitions(df: DataFrame, partition_column: str, lo: _dt.date, hi: _dt.date) -> DataFrame:
+    """Prune a day-partitioned table to the partitions ``lo..hi`` (inclusive).
+
+    The partition column holds the day of the change column (a ``date`` or a
+    ``yyyy-MM-dd`` string); the predicate lands in ``PartitionFilters`` and
+    whole directories are skipped before any file is opened.
+    """
+    field = df.schema[partition_column] if partition_column in df.columns else _field_ci(df, partition_column)
+    c = F.col(partition_column)
+    if isinstance(field.dataType, T.DateType):
+        return df.filter((c >= F.lit(lo)) & (c <= F.lit(hi)))
+    if isinstance(field.dataType, T.StringType):
+        return df.filter((c >= F.lit(lo.isoformat())) & (c <= F.lit(hi.isoformat())))
+    raise TypeError(f"partition column {partition_column!r} must be a date or a yyyy-MM-dd string")
+
+
 def filter_daily(
-    df: DataFrame, day: str | _dt.date | None = None, column: str | None = None, case: str = "lower"
+    df: DataFrame,
+    day: str | _dt.date | None = None,
+    column: str | None = None,
+    case: str = "lower",
+    partition_column: str | None = None,
 ) -> DataFrame:
     """Rows whose ``column`` falls on ``day`` (session-zone wall clock).
 
     ``day=None`` returns ``df`` unchanged, NULL timestamps included. With a day,
     NULL timestamps drop out. The column defaults to ``rec_upd_ts``
     (``case="upper"``: ``REC_UPD_TS``; name resolution is case-insensitive by
-    default anyway).
+    default anyway). ``partition_column`` names a day partition column of the
+    table, so only that day's directory is read.
     """
     if day is None:
         return df
     d = parse_day(day)
+    if partition_column:
+        df = _day_partitions(df, partition_column, d, d)
     lo = _dt.datetime(d.year, d.month, d.day)
     return _wall_clock_range(df, _column(column, case), lo, lo + _ONE_DAY)
 
@@ -153,16 +176,20 @@ def filter_range(
     end: str | _dt.datetime,
     column: str | None = None,
     case: str = "lower",
+    partition_column: str | None = None,
 ) -> DataFrame:
     """Rows with ``start <= column <= end`` at whole-second precision.
 
     Both ends are inclusive on the second: an end of ``10:00:00`` keeps
-    ``10:00:00.999`` and drops ``10:00:01``.
+    ``10:00:00.999`` and drops ``10:00:01``. ``partition_column`` prunes a
+    day-partitioned table to the days the range touches.
     """
     lo = parse_instant(start)
     hi = parse_instant(end)
     if lo.microsecond or hi.microsecond:
         raise BoundError("range bounds are whole seconds")
+    if partition_column:
+        df = _day_partitions(df, partition_column, lo.date(), hi.date())
     return _wall_clock_range(df, _column(column, case), lo, hi + _ONE_SECOND)
 
 

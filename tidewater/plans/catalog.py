@@ -544,3 +544,20 @@ def q_save_upsert_bucketed(spark, sf_dir):
         keys=["o_orderkey"], path=scratch_path(spark, "orders_b2"),
     )
     return spark.table(out)
+
+
+# --------------------------------------------------------------- partition pruning
+
+
+@register("filter_daily_partitioned", ORACLE_SQL["filter_daily"])
+def q_filter_daily_partitioned(spark, sf_dir):
+    """The daily filter on a copy of ``events`` partitioned by day: Spark lists
+    and reads only that day's directory (``PartitionFilters``)."""
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "events_by_day")
+    read_table(spark, sf_dir, "events").withColumn("dt", F.date_format("ts", "yyyy-MM-dd")).write.partitionBy(
+        "dt"
+    ).parquet(path)
+    parted = spark.read.parquet(path)
+    return filter_daily(parted, fx.EVENTS_SYNC_DAY, column="ts", partition_column="dt").drop("dt")

@@ -25,9 +25,13 @@ def changed_rows(
     end: str | None = None,
     column: str = "rec_upd_ts",
     materialize: str | None = None,
+    partition_column: str | None = None,
 ) -> DataFrame:
     """The source window to sync: one day, one range, or everything.
 
+    ``partition_column`` names a day partition column of the source so only
+    the touched day directories are listed and read.
+
     The merge plan reads its incoming side more than once (keys for the join,
     rows for the insert). For a cheap Parquet source that is a pruned re-scan;
     for a JDBC source or an expensive upstream plan pass
@@ -40,9 +44,9 @@ def changed_rows(
     if start is not None or end is not None:
         if start is None or end is None:
             raise ValueError("a range needs both start and end")
-        window = filter_range(source, start, end, column=column)
+        window = filter_range(source, start, end, column=column, partition_column=partition_column)
     else:
-        window = filter_daily(source, day, column=column)
+        window = filter_daily(source, day, column=column, partition_column=partition_column)
     return _materialize(window, materialize)
 
 
@@ -72,9 +76,13 @@ def sync(
     end: str | None = None,
     column: str = "rec_upd_ts",
     materialize: str | None = None,
+    partition_column: str | None = None,
 ) -> DataFrame:
     """New target state after syncing the changed window of ``source``."""
-    incoming = changed_rows(source, day=day, start=start, end=end, column=column, materialize=materialize)
+    incoming = changed_rows(
+        source, day=day, start=start, end=end, column=column, materialize=materialize,
+        partition_column=partition_column,
+    )
     return merge_state(target, incoming, mode, keys=keys, order_by=order_by)
 
 
