@@ -561,3 +561,38 @@ def q_filter_daily_partitioned(spark, sf_dir):
     ).parquet(path)
     parted = spark.read.parquet(path)
     return filter_daily(parted, fx.EVENTS_SYNC_DAY, column="ts", partition_column="dt").drop("dt")
+
+
+# --------------------------------------------------------------- composite keys on text rows
+
+_CONV_T = "SELECT * FROM conversations WHERE turn < 4"
+_CONV_I = "SELECT conv_id, turn, role || '-edited' AS role, text FROM conversations WHERE turn >= 2"
+
+
+def _conversations(spark, sf_dir):
+    c = read_table(spark, sf_dir, "conversations")
+    target = c.filter(F.col("turn") < 4)
+    incoming = c.filter(F.col("turn") >= 2).withColumn("role", F.concat("role", F.lit("-edited")))
+    return target, incoming
+
+
+@register(
+    "save_upsert_conversations",
+    f"WITH t AS ({_CONV_T}), i AS ({_CONV_I}) "
+    "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.conv_id = t.conv_id AND i.turn = t.turn) "
+    "UNION ALL SELECT * FROM i",
+)
+def q_save_upsert_conversations(spark, sf_dir):
+    t, i = _conversations(spark, sf_dir)
+    return merge_state(t, i, SaveMode.UPSERT, keys=["conv_id", "turn"])
+
+
+@register(
+    "save_ignore_record_conversations",
+    f"WITH t AS ({_CONV_T}), i AS ({_CONV_I}) "
+    "SELECT * FROM t UNION ALL SELECT * FROM i "
+    "WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.conv_id = i.conv_id AND t.turn = i.turn)",
+)
+def q_save_ignore_record_conversations(spark, sf_dir):
+    t, i = _conversations(spark, sf_dir)
+    return merge_state(t, i, SaveMode.IGNORE_RECORD, keys=["conv_id", "turn"])
