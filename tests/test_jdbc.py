@@ -216,3 +216,17 @@ def test_streaming_jdbc_writer(monkeypatch, my_user):
     write(my_user, 0)  # a replayed batch re-applies the same rows
     assert [w[2] for w in rec.writes] == [2, 2]
     assert sum(1 for q in rec.sql if q.startswith("INSERT INTO my_user")) == 2
+
+
+def test_sync_to_jdbc_sends_only_the_window(monkeypatch, spark):
+    from conftest import SF_SMALL
+    from tidewater.plans.jobs import sync_to_jdbc
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    rec = Recorder(ev.schema)
+    run = rec.install(monkeypatch)
+    monkeypatch.setattr(J, "jvm_run_sql", lambda spark, ep: run)
+    assert sync_to_jdbc(ev, PG, "events", "upsert", keys=["event_id"], day="2024-01-15", column="ts") == "merged"
+    day_rows = ev.filter("ts >= timestamp_ntz'2024-01-15 00:00:00' and ts < timestamp_ntz'2024-01-16 00:00:00'")
+    assert rec.writes[0][2] == day_rows.count()
+    assert 'ON CONFLICT ("event_id") DO UPDATE' in rec.sql[0]
