@@ -257,3 +257,16 @@ def test_dedup_matches_brute_force(spark, data, single):
             best[r[0]] = (key, r)
     want = sorted([v[1] for v in best.values()] + nulls, key=repr)
     assert sorted(got, key=repr) == want
+
+
+def test_map_key_refused(spark):
+    df = spark.createDataFrame([({"a": 1}, 1)], "m map<string,int>, v int")
+    with pytest.raises(SchemaMismatchError):
+        dedup_incoming(df, ["m"])
+
+
+def test_duplicate_target_keys_replaced_by_one_row(spark):
+    t = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "c", 3.0)], KV)
+    i = spark.createDataFrame([(1, "new", 0.0)], KV)
+    out = merge_state(t, i, SaveMode.UPSERT, keys=["k"])
+    assert rows(out) == sorted([(1, "new", 0.0), (2, "c", 3.0)], key=repr)

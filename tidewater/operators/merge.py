@@ -17,6 +17,8 @@ Rules kept from the original writer (each has a test):
 * NULL keys never conflict (plain unique-index semantics): such rows are all
   inserted and never collapsed.
 * Incoming columns absent from the target are an error.
+* A target that already holds several rows with one key (written without a
+  unique index) has all of them replaced by the one incoming row on upsert.
 
 Scale notes: duplicate removal is an aggregate (``max``/``min`` of one
 ordering struct), so a hot key is combined map-side before the shuffle instead
@@ -91,12 +93,16 @@ def _resolve(df: DataFrame, name: str) -> str:
 
 def resolve_keys(df: DataFrame, keys: str | Sequence[str] | None) -> list[str]:
     if keys is None:
-        return [df.columns[0]]
+        keys = [df.columns[0]]
     if isinstance(keys, str):
         keys = [keys]
     if not keys:
         raise ValueError("at least one key column is required")
-    return [_resolve(df, k) for k in keys]
+    out = [_resolve(df, k) for k in keys]
+    bad = [k for k in out if not _orderable(df.schema[k].dataType)]
+    if bad:
+        raise SchemaMismatchError(f"key columns {bad} have types that cannot be compared (map/variant)")
+    return out
 
 
 def _orderable(dtype: T.DataType) -> bool:
