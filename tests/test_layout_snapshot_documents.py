@@ -127,3 +127,27 @@ def test_bucketed_table_merge_reads_target_without_shuffle(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_partition_local_merge_equals_full_merge(spark, tmp_path):
+    from conftest import plan_text
+    from tidewater.operators.merge import merge_state
+    from tidewater.sinks.snapshot import merge_partition_local
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").withColumn("day", F.trunc(F.to_date("l_shipdate"), "month"))
+    base = str(tmp_path / "li_v1")
+    li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")).write.partitionBy("day").parquet(base)
+    target = spark.read.parquet(base)
+    inc = li.filter(F.col("l_shipdate") >= F.lit("1997-12-01").cast("timestamp_ntz")).withColumn(
+        "l_quantity", F.col("l_quantity") + 1
+    )
+    keys = ["l_orderkey", "l_linenumber", "day"]
+    for mode in ("upsert", "ignore_record"):
+        full = merge_state(target, inc, mode, keys=keys, order_by=["l_shipdate"])
+        local = merge_partition_local(target, inc, mode, keys, ["day"], order_by=["l_shipdate"])
+        assert rows(local) == rows(full)
+    out = save_snapshot(inc, base, str(tmp_path / "li_v2"), "upsert", keys=keys, partition_by=["day"])
+    assert spark.read.parquet(out).count() == merge_state(target, inc, "upsert", keys=keys).count()
+    with pytest.raises(ValueError):
+        merge_partition_local(target, inc, "upsert", ["l_orderkey"], ["day"])
+    assert "dynamicpruning" in plan_text(merge_partition_local(target, inc, "upsert", keys, ["day"])).lower()

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..operators.merge import SaveMode, TableExistsError, merge_state
+from ..operators.merge import SaveMode, TableExistsError, _resolve, merge_state, resolve_keys
 
 
 def read_snapshot(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -33,6 +33,36 @@ def read_snapshot(spark: SparkSession, path: str | None) -> DataFrame | None:
         raise
 
 
+def merge_partition_local(
+    target: DataFrame,
+    incoming: DataFrame,
+    mode: SaveMode | str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    order_by: str | Column | Sequence[str | Column] | None = None,
+) -> DataFrame:
+    """``merge_state`` restricted to the partitions the change set touches.
+
+    Valid when the partition columns are part of the key, so a key lives in
+    exactly one partition and can never move. Untouched partitions pass
+    through an anti-join on the (small) set of touched partition values - no
+    shuffle of their rows - and only the touched ones enter the merge joins;
+    on a partitioned Parquet table Spark's dynamic partition pruning skips the
+    untouched directories on that side. No broadcast is forced: the touched
+    set is at most the table's partition count and AQE broadcasts it by its
+    measured size.
+    """
+    keys = resolve_keys(target, keys)
+    pcols = [_resolve(target, p) for p in partition_by]
+    if not set(pcols) <= set(keys):
+        raise ValueError(f"partition columns {pcols} must be part of the key {keys}")
+    touched = incoming.select(*[_resolve(incoming, p) for p in pcols]).toDF(*pcols).distinct()
+    inside = target.join(touched, pcols, "left_semi").select(*target.columns)
+    outside = target.join(touched, pcols, "left_anti").select(*target.columns)
+    merged = merge_state(inside, incoming, mode, keys=keys, order_by=order_by)
+    return outside.unionByName(merged)
+
+
 def _norm(p: str) -> str:
     return p.rstrip("/").replace("file://", "").replace("file:", "")
 
@@ -50,6 +80,8 @@ def save_snapshot(
 
     Returns the path now holding the table: ``out_path``, or ``target_path``
     when the mode leaves an existing table untouched (``ignore_table``).
+    With ``partition_by`` columns that are part of the key, keyed modes merge
+    only the touched partitions (``merge_partition_local``).
     """
     mode = SaveMode.coerce(mode)
     if target_path and _norm(target_path) == _norm(out_path):
@@ -60,7 +92,16 @@ def save_snapshot(
         return target_path  # type: ignore[return-value]
     if target is not None and mode is SaveMode.ERROR_IF_EXISTS:
         raise TableExistsError(f"table at {target_path} already exists")
-    state = merge_state(target, incoming, mode, keys=keys, order_by=order_by)
+    local = (
+        target is not None
+        and mode.keyed
+        and partition_by
+        and {p.lower() for p in partition_by} <= {k.lower() for k in resolve_keys(target, keys)}
+    )
+    if local:
+        state = merge_partition_local(target, incoming, mode, resolve_keys(target, keys), partition_by, order_by)
+    else:
+        state = merge_state(target, incoming, mode, keys=keys, order_by=order_by)
     writer = state.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
