@@ -596,3 +596,41 @@ def q_save_upsert_conversations(spark, sf_dir):
 def q_save_ignore_record_conversations(spark, sf_dir):
     t, i = _conversations(spark, sf_dir)
     return merge_state(t, i, SaveMode.IGNORE_RECORD, keys=["conv_id", "turn"])
+
+
+# --------------------------------------------------------------- partition-local merge
+
+
+@register(
+    "save_upsert_partitioned",
+    "WITH l AS (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS l_month FROM lineitem), "
+    f"t AS (SELECT * FROM l WHERE l_shipdate < TIMESTAMP '{fx.LINEITEM_TARGET_BEFORE}'), "
+    "i0 AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity + 1 AS l_quantity, "
+    "l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, l_month FROM l "
+    f"WHERE l_shipdate >= TIMESTAMP '{fx.LINEITEM_CHANGED_SINCE}'), "
+    "i AS (SELECT * FROM i0 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_month "
+    f"ORDER BY {_LI_TIES}) = 1) "
+    "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.l_orderkey = t.l_orderkey "
+    "AND i.l_linenumber = t.l_linenumber AND i.l_month = t.l_month) UNION ALL SELECT * FROM i",
+)
+def q_save_upsert_partitioned(spark, sf_dir):
+    """Upsert into a snapshot partitioned by month, with the month in the key:
+    only the months the change set touches go through the merge joins."""
+    from ..session import scratch_path
+    from ..sinks.snapshot import save_snapshot
+
+    month = F.trunc(F.to_date("l_shipdate"), "month")
+    target = fx.lineitem_target(spark, sf_dir).withColumn("l_month", month)
+    base = scratch_path(spark, "lineitem_by_month")
+    target.write.partitionBy("l_month").parquet(base)
+    keys = ["l_orderkey", "l_linenumber", "l_month"]
+    out = save_snapshot(
+        fx.lineitem_changed(spark, sf_dir).withColumn("l_month", month),
+        base,
+        scratch_path(spark, "lineitem_by_month_v2"),
+        SaveMode.UPSERT,
+        keys=keys,
+        order_by=["l_shipdate"],
+        partition_by=["l_month"],
+    )
+    return spark.read.parquet(out)

@@ -60,7 +60,11 @@ def merge_partition_local(
     inside = target.join(touched, pcols, "left_semi").select(*target.columns)
     outside = target.join(touched, pcols, "left_anti").select(*target.columns)
     merged = merge_state(inside, incoming, mode, keys=keys, order_by=order_by)
-    return outside.unionByName(merged)
+    # The merged rows leave the key-hash shuffle with every touched partition
+    # in every task; regroup them by partition (AQE sizes the result, splitting
+    # a large partition and packing small ones) so the partitioned write makes
+    # a few files per touched partition instead of one per task and partition.
+    return outside.unionByName(merged.hint("rebalance", *pcols))
 
 
 def _norm(p: str) -> str:
