@@ -64,10 +64,13 @@ def snapshot_batch_writer(
     keys: str | Sequence[str] | None = None,
     order_by: str | Column | Sequence[str | Column] | None = None,
     initial: str | None = None,
+    partition_by: Sequence[str] | None = None,
 ) -> BatchFn:
     """``foreachBatch`` function merging each batch into the latest snapshot.
 
     ``initial`` is the table to start from when ``base`` has no snapshot yet.
+    With ``partition_by`` columns that are part of the key, each batch merges
+    only the partitions it touches (see ``save_snapshot``).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -83,7 +86,7 @@ def snapshot_batch_writer(
             fs.delete(p, True)  # an unfinished attempt of this same batch
         # ignore_table on an existing table writes nothing; the next batch
         # then starts from the same committed version.
-        save_snapshot(batch, current, out, mode, keys=keys, order_by=order_by)
+        save_snapshot(batch, current, out, mode, keys=keys, order_by=order_by, partition_by=partition_by)
 
     return write
 
