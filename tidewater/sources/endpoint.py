@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-# URL templates and connection parameters of the original
-# endpoint configurations (batched statements, UTF-8).
+# URL templates, drivers and connection parameters of the
+# original endpoint configurations (batched statements, UTF-8). Credentials are
+# passed as the user/password options rather than in the URL.
 POSTGRES_URL = "jdbc:postgresql://$host/$db"
 MYSQL_URL = (
     "jdbc:mysql://$host/$db?useUnicode=true&rewriteBatchedStatements=true"
