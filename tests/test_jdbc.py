@@ -230,3 +230,13 @@ def test_sync_to_jdbc_sends_only_the_window(monkeypatch, spark):
     day_rows = ev.filter("ts >= timestamp_ntz'2024-01-15 00:00:00' and ts < timestamp_ntz'2024-01-16 00:00:00'")
     assert rec.writes[0][2] == day_rows.count()
     assert 'ON CONFLICT ("event_id") DO UPDATE' in rec.sql[0]
+
+
+def test_embeddings_array_column_preflight(spark):
+    from conftest import SF_SMALL
+
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    J.check_writable(emb.schema, "postgresql")
+    for kind in ("mysql", "derby", "db2", "generic"):
+        with pytest.raises(J.UnwritableTypeError, match="embedding"):
+            J.check_writable(emb.schema, kind)

@@ -634,3 +634,33 @@ def q_save_upsert_partitioned(spark, sf_dir):
         partition_by=["l_month"],
     )
     return spark.read.parquet(out)
+
+
+# --------------------------------------------------------------- spare tables
+
+
+@register(
+    "save_upsert_part",
+    "WITH t AS (SELECT * FROM part WHERE p_size < 30), "
+    "i AS (SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice * 1.1 AS p_retailprice "
+    "FROM part WHERE p_size >= 20) "
+    "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.p_partkey = t.p_partkey) UNION ALL SELECT * FROM i",
+)
+def q_save_upsert_part(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    target = p.filter(F.col("p_size") < 30)
+    incoming = p.filter(F.col("p_size") >= 20).withColumn("p_retailprice", F.col("p_retailprice") * 1.1)
+    return merge_state(target, incoming, SaveMode.UPSERT, keys=["p_partkey"])
+
+
+@register(
+    "save_ignore_record_supplier",
+    "WITH t AS (SELECT * FROM supplier WHERE s_acctbal >= 0), "
+    "i AS (SELECT s_suppkey, s_name, s_nationkey, CAST(0.0 AS DOUBLE) AS s_acctbal FROM supplier) "
+    "SELECT * FROM t UNION ALL SELECT * FROM i WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.s_suppkey = i.s_suppkey)",
+)
+def q_save_ignore_record_supplier(spark, sf_dir):
+    s = read_table(spark, sf_dir, "supplier")
+    target = s.filter(F.col("s_acctbal") >= 0)
+    incoming = s.withColumn("s_acctbal", F.lit(0.0))
+    return merge_state(target, incoming, SaveMode.IGNORE_RECORD, keys=["s_suppkey"])
