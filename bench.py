@@ -36,7 +36,7 @@ from tidewater.sources.keys import key_scan, keyed_view  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPS = int(os.environ.get("BENCH_REPS", "2"))
+REPS = int(os.environ.get("BENCH_REPS", "3"))
 
 LI_KEYS = ["l_orderkey", "l_linenumber"]
 # Incoming windows of lineitem by ship date (about 1 % and 50 % of rows).
