@@ -151,3 +151,10 @@ def test_partition_local_merge_equals_full_merge(spark, tmp_path):
     with pytest.raises(ValueError):
         merge_partition_local(target, inc, "upsert", ["l_orderkey"], ["day"])
     assert "dynamicpruning" in plan_text(merge_partition_local(target, inc, "upsert", keys, ["day"])).lower()
+
+
+def test_document_sampled_inference(spark, tmp_path):
+    store = DocumentStore(root=str(tmp_path / "s"))
+    save_collection(spark.createDataFrame([(i, f"n{i}") for i in range(50)], "_id long, name string"), store, "c")
+    df = read_collection(spark, store, "c", sampling_ratio=0.5)
+    assert set(df.columns) == {"_id", "name"} and df.count() == 50

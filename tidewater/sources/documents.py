@@ -65,16 +65,20 @@ def read_collection(
     collection: str,
     schema: T.StructType | str | None = None,
     split_mb: int = DEFAULT_SPLIT_MB,
+    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """A collection as a DataFrame; the schema is inferred unless given.
 
-    Give the schema for large collections: inference samples the data in an
-    extra pass.
+    Give the schema for large collections: inference is an extra pass over
+    the data. ``sampling_ratio`` (e.g. ``0.01``) infers from a sample instead,
+    as the connector does; fields seen only outside the sample are then absent.
     """
     if store.root is not None:
         reader = spark.read.options(**JSON_FILE_OPTIONS)
         if schema is not None:
             reader = reader.schema(schema)
+        elif sampling_ratio is not None:
+            reader = reader.option("samplingRatio", str(sampling_ratio))
         return reader.json(store.path(collection))
     reader = (
         spark.read.format("mongodb")
