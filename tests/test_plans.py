@@ -43,3 +43,20 @@ def test_merge_shuffle_budget_without_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_known_unique_keys_skip_the_dedup_shuffle(spark):
+    from conftest import rows
+    from tidewater.operators.merge import SaveMode, merge_state
+    from tidewater.plans import fixtures as fx
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        t, i = fx.orders_target(spark, SF_SMALL), fx.orders_changed(spark, SF_SMALL)
+        fast = merge_state(t, i, SaveMode.UPSERT, keys=["o_orderkey"], dedup=False)
+        assert audit.summarise(audit.executed_plan(fast))["shuffles"] <= 2
+        assert rows(fast) == rows(merge_state(t, i, SaveMode.UPSERT, keys=["o_orderkey"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -77,13 +77,19 @@ def sync(
     column: str = "rec_upd_ts",
     materialize: str | None = None,
     partition_column: str | None = None,
+    dedup: bool = True,
 ) -> DataFrame:
-    """New target state after syncing the changed window of ``source``."""
+    """New target state after syncing the changed window of ``source``.
+
+    ``dedup=False`` skips duplicate-key removal (one shuffle and sort of the
+    change set) when its keys are known to be unique, e.g. a window of a
+    table keyed the same way.
+    """
     incoming = changed_rows(
         source, day=day, start=start, end=end, column=column, materialize=materialize,
         partition_column=partition_column,
     )
-    return merge_state(target, incoming, mode, keys=keys, order_by=order_by)
+    return merge_state(target, incoming, mode, keys=keys, order_by=order_by, dedup=dedup)
 
 
 def sync_to_path(
@@ -94,6 +100,7 @@ def sync_to_path(
     keys: str | Sequence[str] | None = None,
     order_by: str | Column | Sequence[str | Column] | None = None,
     partition_by: Sequence[str] | None = None,
+    dedup: bool = True,
     **window,
 ) -> str:
     """Sync into a Parquet table snapshot; returns the path written."""
@@ -101,7 +108,7 @@ def sync_to_path(
 
     incoming = changed_rows(source, **window)
     return save_snapshot(
-        incoming, target_path, out_path, mode, keys=keys, order_by=order_by, partition_by=partition_by
+        incoming, target_path, out_path, mode, keys=keys, order_by=order_by, partition_by=partition_by, dedup=dedup
     )
 
 
@@ -112,10 +119,11 @@ def sync_to_jdbc(
     mode: SaveMode | str = SaveMode.UPSERT,
     keys: str | Sequence[str] | None = None,
     order_by: str | Column | Sequence[str | Column] | None = None,
+    dedup: bool = True,
     **window,
 ):
     """Sync into a relational table through the staged six-mode writer."""
     from ..sinks.jdbc import save_jdbc
 
     incoming = changed_rows(source, **window)
-    return save_jdbc(incoming, endpoint, table, mode, keys=keys, order_by=order_by)
+    return save_jdbc(incoming, endpoint, table, mode, keys=keys, order_by=order_by, dedup=dedup)

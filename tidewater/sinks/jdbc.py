@@ -234,8 +234,13 @@ def save_jdbc(
     num_partitions: int | None = None,
     batchsize: int = DEFAULT_BATCH_SIZE,
     staging_table: str | None = None,
+    dedup: bool = True,
 ) -> str:
-    """Save ``df`` into ``table`` under one of the six modes; returns what was done."""
+    """Save ``df`` into ``table`` under one of the six modes; returns what was done.
+
+    ``dedup=False`` is for frames whose keys are already unique; duplicate
+    keys in one merge statement are an error in most databases.
+    """
     mode = SaveMode.coerce(mode)
     spark = df.sparkSession
     kind = endpoint.kind
@@ -274,7 +279,7 @@ def save_jdbc(
 
     key_cols = resolve_keys(df, keys)
     keep = "last" if mode is SaveMode.UPSERT else "first"
-    incoming = dedup_incoming(df, key_cols, order_by, keep)
+    incoming = dedup_incoming(df, key_cols, order_by, keep) if dedup else df
     if existing is None:
         write_table(df.limit(0), endpoint, table, "errorifexists")
         run(unique_index_statement(kind, table, key_cols))

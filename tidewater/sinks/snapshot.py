@@ -40,6 +40,7 @@ def merge_partition_local(
     keys: Sequence[str],
     partition_by: Sequence[str],
     order_by: str | Column | Sequence[str | Column] | None = None,
+    dedup: bool = True,
 ) -> DataFrame:
     """``merge_state`` restricted to the partitions the change set touches.
 
@@ -59,7 +60,7 @@ def merge_partition_local(
     touched = incoming.select(*[_resolve(incoming, p) for p in pcols]).toDF(*pcols).distinct()
     inside = target.join(touched, pcols, "left_semi").select(*target.columns)
     outside = target.join(touched, pcols, "left_anti").select(*target.columns)
-    merged = merge_state(inside, incoming, mode, keys=keys, order_by=order_by)
+    merged = merge_state(inside, incoming, mode, keys=keys, order_by=order_by, dedup=dedup)
     # The merged rows leave the key-hash shuffle with every touched partition
     # in every task; regroup them by partition (AQE sizes the result, splitting
     # a large partition and packing small ones) so the partitioned write makes
@@ -79,6 +80,7 @@ def save_snapshot(
     keys: str | Sequence[str] | None = None,
     order_by: str | Column | Sequence[str | Column] | None = None,
     partition_by: Sequence[str] | None = None,
+    dedup: bool = True,
 ) -> str:
     """Write the state after saving ``incoming`` into the table at ``target_path``.
 
@@ -103,9 +105,11 @@ def save_snapshot(
         and {p.lower() for p in partition_by} <= {k.lower() for k in resolve_keys(target, keys)}
     )
     if local:
-        state = merge_partition_local(target, incoming, mode, resolve_keys(target, keys), partition_by, order_by)
+        state = merge_partition_local(
+            target, incoming, mode, resolve_keys(target, keys), partition_by, order_by, dedup=dedup
+        )
     else:
-        state = merge_state(target, incoming, mode, keys=keys, order_by=order_by)
+        state = merge_state(target, incoming, mode, keys=keys, order_by=order_by, dedup=dedup)
     writer = state.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

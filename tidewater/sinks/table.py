@@ -36,6 +36,7 @@ def save_table(
     order_by: str | Column | Sequence[str | Column] | None = None,
     buckets: int | None = None,
     path: str | None = None,
+    dedup: bool = True,
 ) -> str:
     """Write the merged state as ``out_table`` bucketed by ``keys``; returns its name.
 
@@ -51,7 +52,7 @@ def save_table(
         return target_table  # type: ignore[return-value]
     if target is not None and mode is SaveMode.ERROR_IF_EXISTS:
         raise TableExistsError(f"table {target_table} already exists")
-    state = merge_state(target, incoming, mode, keys=keys, order_by=order_by)
+    state = merge_state(target, incoming, mode, keys=keys, order_by=order_by, dedup=dedup)
     key_cols = resolve_keys(state, keys)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = state.write.mode("errorifexists").format("parquet").bucketBy(n, *key_cols).sortBy(*key_cols)
