@@ -664,3 +664,16 @@ def q_save_ignore_record_supplier(spark, sf_dir):
     target = s.filter(F.col("s_acctbal") >= 0)
     incoming = s.withColumn("s_acctbal", F.lit(0.0))
     return merge_state(target, incoming, SaveMode.IGNORE_RECORD, keys=["s_suppkey"])
+
+
+@register("hash_layout_spread", "SELECT * FROM lineitem")
+def q_hash_layout_spread(spark, sf_dir):
+    """Hash layout of ``lineitem`` on ``l_orderkey`` with each shard written by
+    up to four tasks (deterministic row-hash salt), read back whole."""
+    from ..session import scratch_path
+    from .layout import SHARD_COL, write_hash_layout
+
+    path = write_hash_layout(
+        read_table(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem_hash"), "l_orderkey", 8, spread=4
+    )
+    return spark.read.parquet(path).drop(SHARD_COL)

@@ -7,6 +7,13 @@ read in place, with no exchange. Spark keeps the bucketed layout only when
 ``n`` is at least ``spark.sql.shuffle.partitions``; ``save_table`` therefore
 defaults ``buckets`` to that value, and a merge session should keep it.
 
+Each bucket is read by one task, and AQE can split skewed *shuffle*
+partitions but not a bucketed scan, so this layout assumes keys that are
+unique or nearly so - what the keyed save modes produce. For a table where one
+key holds a large share of the rows, set
+``spark.sql.sources.bucketing.enabled=false`` for the merge; the join then
+shuffles the target and AQE splits the hot partition.
+
 Like Parquet snapshots, each save writes a *new* table (at an explicit
 location, e.g. under the shared checkpoint folder) and leaves the one it read
 untouched; the caller switches readers to the returned name.
