@@ -17,7 +17,10 @@ Conversions follow Spark's JSON reader: numbers become strings or decimals,
 strings become dates/timestamps, but a quoted number (``"7"``) is not coerced
 into a numeric field (NULL when lenient, an error when strict).
 
-Everything stays in JVM-side expressions (one parse per row); no Python UDF.
+Everything stays in JVM-side expressions; no Python UDF. The lenient form
+parses each value once (the repeated ``from_json`` is one common
+subexpression); the strict form also lists the object's keys, a second pass
+over the text.
 """
 
 from __future__ import annotations
