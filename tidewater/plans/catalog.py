@@ -535,13 +535,16 @@ def q_save_upsert_bucketed(spark, sf_dir):
     from ..sinks.table import save_table
 
     tag = uuid.uuid4().hex[:12]
+    # Fixed bucket count for the check tables; a session whose shuffle
+    # partition count exceeds it plans a normal shuffle join (same result).
+    buckets = 16
     t = save_table(
         fx.orders_target(spark, sf_dir), None, f"tw_orders_{tag}_v1", SaveMode.OVERWRITE,
-        keys=["o_orderkey"], path=scratch_path(spark, "orders_b1"),
+        keys=["o_orderkey"], path=scratch_path(spark, "orders_b1"), buckets=buckets,
     )
     out = save_table(
         fx.orders_changed(spark, sf_dir), t, f"tw_orders_{tag}_v2", SaveMode.UPSERT,
-        keys=["o_orderkey"], path=scratch_path(spark, "orders_b2"),
+        keys=["o_orderkey"], path=scratch_path(spark, "orders_b2"), buckets=buckets,
     )
     return spark.table(out)
 
