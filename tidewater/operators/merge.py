@@ -176,8 +176,9 @@ def _dedup_parts(
     contradictory one)."""
     cols = df.columns
     payload = [c for c in cols if c not in keys]
-    null_keyed = df.filter(any_key_null(keys))
-    keyed = df.filter(~any_key_null(keys))
+    nk = any_key_null(keys)
+    null_keyed = df.filter(nk)
+    keyed = df.filter(~nk)
     if not payload:
         deduped = keyed.select(*keys).distinct()
     else:
@@ -194,11 +195,11 @@ def _dedup_parts(
         if unordered:
             pick = F.max_by if keep == "last" else F.min_by
             aggs.append(pick(F.struct(*[F.col(c) for c in unordered]), ordering).alias("_u"))
-        deduped = keyed.groupBy(*keys).agg(*aggs).select(
-            *keys,
-            *[F.col(f"_w.{c}").alias(c) for c in ordered],
-            *[F.col(f"_u.{c}").alias(c) for c in unordered],
-        )
+        grouped = keyed.groupBy(*keys).agg(*aggs)
+        if unordered:
+            deduped = grouped.select(*keys, "_w.*", "_u.*")
+        else:
+            deduped = grouped.select(*keys, "_w.*")
     return deduped.select(*cols), null_keyed.select(*cols)
 
 
@@ -226,6 +227,10 @@ def _dedup_one_pass(
 # ---------------------------------------------------------------- alignment
 
 
+def _same_shape(a: T.StructType, b: T.StructType) -> bool:
+    return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
+
+
 def check_incoming_columns(target: DataFrame, incoming: DataFrame) -> list[str]:
     """Target column names covered by ``incoming``; raise on unknown columns."""
     tl = {c.lower(): c for c in target.columns}
@@ -237,6 +242,8 @@ def check_incoming_columns(target: DataFrame, incoming: DataFrame) -> list[str]:
 
 def align_to(target_schema: T.StructType, incoming: DataFrame) -> DataFrame:
     """Incoming rows in the target's column order and types; absent columns NULL."""
+    if _same_shape(incoming.schema, target_schema):
+        return incoming
     inc = {c.lower(): c for c in incoming.columns}
     out = []
     for f in target_schema.fields:
