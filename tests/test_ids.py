@@ -1,7 +1,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidewater.functions.ids import ENTITY_PREFIXES, id_pattern, with_entity_id
 
