@@ -16,3 +16,4 @@ def test_merge_survives_task_retries(tmp_path):
     assert out.returncode == 0, out.stderr[-2000:]
     res = json.loads(out.stdout.strip().splitlines()[-1])
     assert res["rows"] > 0 and res["equal"] and res["ids_stable"] and res["ids"] > 0
+    assert res["snapshot_equal"]
