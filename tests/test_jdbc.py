@@ -240,3 +240,8 @@ def test_embeddings_array_column_preflight(spark):
     for kind in ("mysql", "derby", "db2", "generic"):
         with pytest.raises(J.UnwritableTypeError, match="embedding"):
             J.check_writable(emb.schema, kind)
+
+
+def test_derby_merge_uses_the_staging_table():
+    sql = J.merge_statement("derby", "T", "S", ["K1", "v"], ["K1"], SaveMode.UPSERT)
+    assert sql.startswith('MERGE INTO T t USING S s ON (t."K1" = s."K1")')

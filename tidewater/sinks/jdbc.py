@@ -124,7 +124,9 @@ def merge_statement(
         return f"{head} ON DUPLICATE KEY UPDATE {sets}"
     on = " AND ".join(f"t.{k} = s.{k}" for k in qk)
     insert = f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({', '.join('s.' + c for c in q)})"
-    stmt = f"MERGE INTO {table} t USING ({source}) s ON ({on}) "
+    # Derby's MERGE takes only a table or view as its source.
+    using = staging if kind == "derby" else f"({source})"
+    stmt = f"MERGE INTO {table} t USING {using} s ON ({on}) "
     if mode is SaveMode.UPSERT and non_key:
         sets = ", ".join(f"{c} = s.{c}" for c in non_key)
         stmt += f"WHEN MATCHED THEN UPDATE SET {sets} "
