@@ -173,3 +173,17 @@ def test_partition_pruning(spark, tmp_path):
     assert rows(r.drop("dt")) == rows(filter_range(ev, "2024-01-1423:00:00", "2024-01-1601:00:00", column="ts"))
     dated = spark.read.parquet(path).withColumn("d", F.col("dt").cast("date"))
     assert filter_daily(dated, "2024-01-15", column="ts", partition_column="d").count() == a.count()
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ts=st.lists(st.one_of(st.none(), _instants), min_size=1, max_size=15), a=_instants, b=_instants)
+def test_string_and_date_columns_equal_string_form(spark, ts, a, b):
+    lo, hi = sorted([a.replace(microsecond=0), b.replace(microsecond=0)])
+    start, end = lo.strftime("%Y-%m-%d%H:%M:%S"), hi.strftime("%Y-%m-%d%H:%M:%S")
+    text = [(i, None if t is None else t.strftime("%Y-%m-%d %H:%M:%S")) for i, t in enumerate(ts)]
+    sdf = spark.createDataFrame(text, "id int, rec_upd_ts string")
+    assert ids(filter_range(sdf, start, end)) == ids(filter_range_by_format(sdf, start, end))
+    day = lo.strftime("%Y-%m-%d")
+    assert ids(filter_daily(sdf, day)) == ids(filter_daily_by_format(sdf, day))
+    ddf = spark.createDataFrame([(i, None if t is None else t.date()) for i, t in enumerate(ts)], "id int, rec_upd_ts date")
+    assert ids(filter_daily(ddf, day)) == ids(filter_daily_by_format(ddf, day))
