@@ -680,3 +680,37 @@ def q_hash_layout_spread(spark, sf_dir):
         read_table(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem_hash"), "l_orderkey", 8, spread=4
     )
     return spark.read.parquet(path).drop(SHARD_COL)
+
+
+# --------------------------------------------------------------- streaming
+
+STREAM_ARRIVALS = (("2024-01-10", "2024-01-15"), ("2024-01-15", "2024-01-20"), ("2024-01-20", "2024-02-01"))
+
+
+@register(
+    "stream_sync_upsert",
+    f"SELECT event_id, ts, user_id, event_type, CAST(0.0 AS DOUBLE) AS value, props FROM events "
+    f"WHERE ts < TIMESTAMP '{STREAM_ARRIVALS[0][0]}' "
+    f"UNION ALL SELECT * FROM events WHERE ts >= TIMESTAMP '{STREAM_ARRIVALS[0][0]}'",
+)
+def q_stream_sync_upsert(spark, sf_dir):
+    """Structured Streaming sync: ``events`` arrives in three folders; each is
+    consumed by one ``availableNow`` run of the same streaming query, whose
+    micro-batch upserts into the latest Parquet snapshot (one version per
+    batch). Keys are unique, so the result does not depend on arrival order."""
+    from ..session import scratch_path
+    from ..streaming.sync_stream import latest_snapshot, run_available, snapshot_batch_writer
+
+    ev = read_table(spark, sf_dir, "events")
+    initial = scratch_path(spark, "events_stream_initial")
+    ev.filter(F.col("ts") < fx.ntz(fx.EVENTS_TARGET_BEFORE)).withColumn("value", F.lit(0.0)).write.parquet(initial)
+    arrivals = scratch_path(spark, "events_arrivals")
+    base = scratch_path(spark, "events_stream_table")
+    ckpt = scratch_path(spark, "events_stream_ckpt")
+    writer = snapshot_batch_writer(base, SaveMode.UPSERT, keys=["event_id"], initial=initial)
+    for i, (lo, hi) in enumerate(STREAM_ARRIVALS):
+        part = ev.filter((F.col("ts") >= fx.ntz(lo)) & (F.col("ts") < fx.ntz(hi)))
+        part.write.parquet(f"{arrivals}/arrival={i}")
+        stream = spark.readStream.schema(ev.schema).parquet(f"{arrivals}/arrival=*")
+        run_available(stream, writer, ckpt, timeout_s=600)
+    return spark.read.parquet(latest_snapshot(spark, base))

@@ -121,3 +121,20 @@ def start_sync(
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def run_available(
+    stream: DataFrame,
+    writer: BatchFn,
+    checkpoint_location: str,
+    timeout_s: float | None = None,
+) -> None:
+    """Process everything available now (``availableNow`` trigger) and stop;
+    rerun with the same checkpoint to pick up later arrivals."""
+    q = start_sync(stream, writer, checkpoint_location, trigger={"availableNow": True})
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("streaming sync did not finish in time")
+    if q.exception() is not None:
+        raise q.exception()
