@@ -158,3 +158,35 @@ def test_document_sampled_inference(spark, tmp_path):
     save_collection(spark.createDataFrame([(i, f"n{i}") for i in range(50)], "_id long, name string"), store, "c")
     df = read_collection(spark, store, "c", sampling_ratio=0.5)
     assert set(df.columns) == {"_id", "name"} and df.count() == 50
+
+
+def test_partitions_in_place_equals_full_merge(spark, tmp_path):
+    from tidewater.operators.merge import merge_state
+    from tidewater.sinks.snapshot import save_partitions_in_place
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").withColumn(
+        "day", F.trunc(F.to_date("l_shipdate"), "month")
+    )
+    target = li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    # One target row in the NULL partition (a NULL key part): it must survive.
+    extra_null = (
+        target.orderBy("l_orderkey", "l_linenumber", "l_partkey").limit(1)
+        .withColumn("l_orderkey", F.lit(-1).cast("bigint"))
+        .withColumn("day", F.lit(None).cast("date"))
+    )
+    base = str(tmp_path / "in_place")
+    target.unionByName(extra_null).write.partitionBy("day").parquet(base)
+    before = spark.read.parquet(base).cache()
+    inc = li.filter(F.col("l_shipdate") >= F.lit("1997-12-01").cast("timestamp_ntz")).withColumn(
+        "l_quantity", F.col("l_quantity") + 1
+    )
+    # The change set also touches the NULL partition; the row already there stays.
+    inc = inc.unionByName(extra_null.withColumn("l_orderkey", F.lit(-2).cast("bigint")))
+    keys = ["l_orderkey", "l_linenumber", "day"]
+    want = rows(merge_state(before, inc, "upsert", keys=keys, order_by=["l_shipdate"]).select(*before.columns))
+    save_partitions_in_place(inc, base, "upsert", keys, ["day"], order_by=["l_shipdate"])
+    after = spark.read.parquet(base)
+    assert rows(after.select(*before.columns)) == want
+    assert sorted(r.l_orderkey for r in after.filter("day is null").collect()) == [-2, -1]
+    with pytest.raises(ValueError):
+        save_partitions_in_place(inc, base, "upsert", ["l_orderkey"], ["day"])

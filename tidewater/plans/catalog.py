@@ -714,3 +714,24 @@ def q_stream_sync_upsert(spark, sf_dir):
         stream = spark.readStream.schema(ev.schema).parquet(f"{arrivals}/arrival=*")
         run_available(stream, writer, ckpt, timeout_s=600)
     return spark.read.parquet(latest_snapshot(spark, base))
+
+
+@register("save_upsert_in_place", ORACLE_SQL["save_upsert_partitioned"])
+def q_save_upsert_in_place(spark, sf_dir):
+    """The month-partitioned upsert written back into the table itself: only
+    the touched month directories are rewritten (dynamic partition overwrite)."""
+    from ..session import scratch_path
+    from ..sinks.snapshot import save_partitions_in_place
+
+    month = F.trunc(F.to_date("l_shipdate"), "month")
+    table = scratch_path(spark, "lineitem_in_place")
+    fx.lineitem_target(spark, sf_dir).withColumn("l_month", month).write.partitionBy("l_month").parquet(table)
+    save_partitions_in_place(
+        fx.lineitem_changed(spark, sf_dir).withColumn("l_month", month),
+        table,
+        SaveMode.UPSERT,
+        keys=["l_orderkey", "l_linenumber", "l_month"],
+        partition_by=["l_month"],
+        order_by=["l_shipdate"],
+    )
+    return spark.read.parquet(table)
