@@ -82,7 +82,7 @@ class SchemaMismatchError(ValueError):
 # ---------------------------------------------------------------- helpers
 
 
-def _resolve(df: DataFrame, name: str) -> str:
+def resolve_column(df: DataFrame, name: str) -> str:
     if name in df.columns:
         return name
     lowered = {c.lower(): c for c in df.columns}
@@ -98,7 +98,7 @@ def resolve_keys(df: DataFrame, keys: str | Sequence[str] | None) -> list[str]:
         keys = [keys]
     if not keys:
         raise ValueError("at least one key column is required")
-    out = [_resolve(df, k) for k in keys]
+    out = [resolve_column(df, k) for k in keys]
     bad = [k for k in out if not _orderable(df.schema[k].dataType)]
     if bad:
         raise SchemaMismatchError(f"key columns {bad} have types that cannot be compared (map/variant)")
@@ -296,7 +296,7 @@ def merge_state(
     missing_keys = [k for k in keys if k not in covered]
     if missing_keys:
         raise SchemaMismatchError(f"incoming frame lacks key columns {missing_keys}")
-    inc_keys_named = [_resolve(incoming, k) for k in keys]
+    inc_keys_named = [resolve_column(incoming, k) for k in keys]
     if dedup:
         keep = "last" if mode is SaveMode.UPSERT else "first"
         inc_k, inc_n = _dedup_parts(incoming, inc_keys_named, order_by, keep)

@@ -7,6 +7,11 @@ writes it as a *new* snapshot directory, returning its path. The caller (or a
 catalog) switches readers to the new path; the old one stays readable until
 it is removed. The write goes through Spark's commit protocol, so a lost
 executor only retries tasks and a failed job leaves no snapshot behind.
+
+``save_partitions_in_place`` is the opt-in exception for tables partitioned
+by key columns: it rewrites just the touched partitions of the table itself
+(dynamic partition overwrite), trading cross-partition atomicity for writing
+only as much as changed.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..operators.merge import SaveMode, TableExistsError, _resolve, merge_state, resolve_keys
+from ..operators.merge import SaveMode, TableExistsError, resolve_column, merge_state, resolve_keys
 
 
 def read_snapshot(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -54,10 +59,10 @@ def merge_partition_local(
     measured size.
     """
     keys = resolve_keys(target, keys)
-    pcols = [_resolve(target, p) for p in partition_by]
+    pcols = [resolve_column(target, p) for p in partition_by]
     if not set(pcols) <= set(keys):
         raise ValueError(f"partition columns {pcols} must be part of the key {keys}")
-    touched = incoming.select(*[_resolve(incoming, p) for p in pcols]).toDF(*pcols).distinct()
+    touched = incoming.select(*[resolve_column(incoming, p) for p in pcols]).toDF(*pcols).distinct()
     inside = target.join(touched, pcols, "left_semi").select(*target.columns)
     outside = target.join(touched, pcols, "left_anti").select(*target.columns)
     merged = merge_state(inside, incoming, mode, keys=keys, order_by=order_by, dedup=dedup)
@@ -155,10 +160,10 @@ def save_partitions_in_place(
         ).partitionBy(*pcols).parquet(table_path)
         return pcols
     keys = resolve_keys(target, keys)
-    pcols = [_resolve(target, p) for p in pcols]
+    pcols = [resolve_column(target, p) for p in pcols]
     if not set(pcols) <= set(keys):
         raise ValueError(f"partition columns {pcols} must be part of the key {keys}")
-    touched = incoming.select(*[_resolve(incoming, p) for p in pcols]).toDF(*[f"_p_{p}" for p in pcols]).distinct()
+    touched = incoming.select(*[resolve_column(incoming, p) for p in pcols]).toDF(*[f"_p_{p}" for p in pcols]).distinct()
     # Null-safe: a touched NULL partition must bring its existing rows along,
     # or the overwrite would drop them.
     cond = [target[p].eqNullSafe(touched[f"_p_{p}"]) for p in pcols]
