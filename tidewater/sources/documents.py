@@ -66,12 +66,14 @@ def read_collection(
     schema: T.StructType | str | None = None,
     split_mb: int = DEFAULT_SPLIT_MB,
     sampling_ratio: float | None = None,
+    database: str | None = None,
 ) -> DataFrame:
     """A collection as a DataFrame; the schema is inferred unless given.
 
     Give the schema for large collections: inference is an extra pass over
     the data. ``sampling_ratio`` (e.g. ``0.01``) infers from a sample instead,
     as the connector does; fields seen only outside the sample are then absent.
+    ``database`` overrides the store's database for this read (connector only).
     """
     if store.root is not None:
         reader = spark.read.options(**JSON_FILE_OPTIONS)
@@ -83,7 +85,7 @@ def read_collection(
     reader = (
         spark.read.format("mongodb")
         .option("connection.uri", store.uri)
-        .option("database", store.database)
+        .option("database", database or store.database)
         .option("collection", collection)
         .option("readPreference.name", "primary")
         .option("partitioner", "com.mongodb.spark.sql.connector.read.partitioner.SamplePartitioner")
