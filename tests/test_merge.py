@@ -270,3 +270,10 @@ def test_duplicate_target_keys_replaced_by_one_row(spark):
     i = spark.createDataFrame([(1, "new", 0.0)], KV)
     out = merge_state(t, i, SaveMode.UPSERT, keys=["k"])
     assert rows(out) == sorted([(1, "new", 0.0), (2, "c", 3.0)], key=repr)
+
+
+def test_partial_upsert_updates_each_duplicate_target_row(spark):
+    t = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0)], KV)
+    i = spark.createDataFrame([(1, "new")], "k int, v string")
+    out = merge_state(t, i, SaveMode.UPSERT, keys=["k"])
+    assert rows(out) == sorted([(1, "new", 1.0), (1, "new", 2.0)], key=repr)

@@ -18,7 +18,8 @@ Rules kept from the original writer (each has a test):
   inserted and never collapsed.
 * Incoming columns absent from the target are an error.
 * A target that already holds several rows with one key (written without a
-  unique index) has all of them replaced by the one incoming row on upsert.
+  unique index): a full-row upsert replaces all of them with the one incoming
+  row; a partial-column upsert updates each of them, as an SQL UPDATE would.
 
 Scale notes: duplicate removal is an aggregate (``max``/``min`` of one
 ordering struct), so a hot key is combined map-side before the shuffle instead
