@@ -60,3 +60,7 @@ def test_known_unique_keys_skip_the_dedup_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_stored_key_scan_pushes_prefix(summaries):
+    assert "StringStartsWith(url,http)" in summaries["key_scan_pages"]["pushed"]

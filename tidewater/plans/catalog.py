@@ -735,3 +735,20 @@ def q_save_upsert_in_place(spark, sf_dir):
         order_by=["l_shipdate"],
     )
     return spark.read.parquet(table)
+
+
+# --------------------------------------------------------------- key scans over stored keys
+
+PAGE_PATTERN = "http?://*/[de]?/*"
+
+
+@register(
+    "key_scan_pages",
+    f"SELECT page_id, url, html FROM pages WHERE url GLOB '{PAGE_PATTERN}'",
+)
+def q_key_scan_pages(spark, sf_dir):
+    """A glob over a stored key column (``url``): the literal prefix reaches
+    the Parquet scan as ``StringStartsWith``; whole rows (long HTML) come back."""
+    from ..sources.keys import key_scan
+
+    return key_scan(read_table(spark, sf_dir, "pages"), PAGE_PATTERN, key="url")
