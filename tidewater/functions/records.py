@@ -10,8 +10,10 @@ Two behaviours on bad input:
 
 * lenient (default): malformed text, a value of the wrong type or a bad URL
   escape gives a NULL struct (not a struct of NULLs); unknown fields are ignored.
-* ``strict=True``: the query fails on malformed text and on fields the schema
-  does not declare - the behaviour of a default JSON object mapper.
+* ``strict=True``: the query fails on malformed text and on top-level fields
+  the schema does not declare - the behaviour of a default JSON object mapper
+  (nested objects are checked for malformed text and types, not for extra
+  fields).
 
 Conversions follow Spark's JSON reader: numbers become strings or decimals,
 strings become dates/timestamps, but a quoted number (``"7"``) is not coerced
