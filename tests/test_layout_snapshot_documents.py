@@ -190,3 +190,16 @@ def test_partitions_in_place_equals_full_merge(spark, tmp_path):
     assert sorted(r.l_orderkey for r in after.filter("day is null").collect()) == [-2, -1]
     with pytest.raises(ValueError):
         save_partitions_in_place(inc, base, "upsert", ["l_orderkey"], ["day"])
+
+
+def test_append_in_place_writes_only_new_rows(spark, tmp_path):
+    t = spark.createDataFrame([(1, "a", 1.0)], "k int, v string, x double")
+    base = str(tmp_path / "t")
+    t.write.parquet(base)
+    i = spark.createDataFrame([(2, "b")], "k long, v string")
+    assert save_snapshot(i, base, base, "append") == base
+    got = spark.read.parquet(base)
+    assert got.schema == t.schema
+    assert rows(got) == [(1, "a", 1.0), (2, "b", None)]
+    with pytest.raises(ValueError):
+        save_snapshot(i, base, base, "upsert", keys=["k"])

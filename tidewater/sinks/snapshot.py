@@ -21,7 +21,15 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..operators.merge import SaveMode, TableExistsError, resolve_column, merge_state, resolve_keys
+from ..operators.merge import (
+    SaveMode,
+    TableExistsError,
+    align_to,
+    check_incoming_columns,
+    merge_state,
+    resolve_column,
+    resolve_keys,
+)
 
 
 def read_snapshot(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -91,13 +99,28 @@ def save_snapshot(
 
     Returns the path now holding the table: ``out_path``, or ``target_path``
     when the mode leaves an existing table untouched (``ignore_table``).
+    ``append`` with ``out_path == target_path`` adds the new rows to the table
+    itself instead of copying it.
     With ``partition_by`` columns that are part of the key, keyed modes merge
     only the touched partitions (``merge_partition_local``).
     """
     mode = SaveMode.coerce(mode)
-    if target_path and _norm(target_path) == _norm(out_path):
-        raise ValueError("out_path must differ from target_path: Spark cannot overwrite the table it reads")
     spark = incoming.sparkSession
+    if target_path and _norm(target_path) == _norm(out_path):
+        if mode is not SaveMode.APPEND:
+            raise ValueError("out_path must differ from target_path: Spark cannot overwrite the table it reads")
+        # Appending deletes nothing, so it may go into the table itself: only
+        # the new rows are written (no copy of the existing table).
+        current = read_snapshot(spark, target_path)
+        rows_out = incoming
+        if current is not None:
+            check_incoming_columns(current, incoming)
+            rows_out = align_to(current.schema, incoming)
+        writer = rows_out.write.mode("append")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(target_path)
+        return target_path
     target = read_snapshot(spark, target_path)
     if target is not None and mode is SaveMode.IGNORE_TABLE:
         return target_path  # type: ignore[return-value]
