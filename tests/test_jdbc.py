@@ -245,3 +245,15 @@ def test_embeddings_array_column_preflight(spark):
 def test_derby_merge_uses_the_staging_table():
     sql = J.merge_statement("derby", "T", "S", ["K1", "v"], ["K1"], SaveMode.UPSERT)
     assert sql.startswith('MERGE INTO T t USING S s ON (t."K1" = s."K1")')
+
+
+def test_merge_uses_target_spelling(monkeypatch, spark):
+    df = spark.createDataFrame([(1, "x")], "ID int, Account string")
+    rec = Recorder(T.StructType.fromDDL("id int, account string"))
+    run = rec.install(monkeypatch)
+    J.save_jdbc(df, PG, "my_user", "upsert", keys=["ID"], run_sql=run)
+    sql = rec.sql[0]
+    assert sql.startswith('INSERT INTO my_user ("id", "account") SELECT "ID", "Account" FROM')
+    assert 'ON CONFLICT ("id") DO UPDATE SET "account" = EXCLUDED."account"' in sql
+    m = J.merge_statement("db2", "T", "S", ["ID", "V"], ["ID"], "upsert", target_columns=["id", "v"])
+    assert 'ON (t."id" = s."ID")' in m and 'UPDATE SET "v" = s."V"' in m and 'INSERT ("id", "v") VALUES (s."ID", s."V")' in m

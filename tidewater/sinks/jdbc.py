@@ -90,9 +90,14 @@ def merge_statement(
     columns: Sequence[str],
     keys: Sequence[str],
     mode: SaveMode | str,
+    target_columns: Sequence[str] | None = None,
 ) -> str:
     """The one statement that applies ``staging`` to ``table`` under ``mode``.
 
+    ``columns`` are the staging (frame) column names; ``target_columns`` the
+    same columns as the target table spells them (quoted identifiers are
+    case-sensitive in most databases), default the same names.
+
     Staging rows with a complete key are made distinct (a task retried after
     its commit can only duplicate whole rows); rows with a NULL key part are
     inserted as they are - they never conflict.
@@ -100,10 +105,17 @@ def merge_statement(
     mode = SaveMode.coerce(mode)
     if not mode.keyed:
         raise ValueError(f"{mode.value} needs no merge statement")
+    tcols_raw = list(target_columns) if target_columns is not None else list(columns)
+    if len(tcols_raw) != len(columns):
+        raise ValueError("target_columns must match columns one to one")
+    to_target = dict(zip(columns, tcols_raw))
     q = [quote(c, kind) for c in columns]
+    t = [quote(to_target[c], kind) for c in columns]
     qk = [quote(k, kind) for k in keys]
+    tk = [quote(to_target[k], kind) for k in keys]
     cols = ", ".join(q)
-    non_key = [c for c in q if c not in qk]
+    tcols = ", ".join(t)
+    pairs = [(tc, sc) for tc, sc, c in zip(t, q, columns) if c not in keys]
     keyed = " AND ".join(f"{k} IS NOT NULL" for k in qk)
     unkeyed = " OR ".join(f"{k} IS NULL" for k in qk)
     source = (
@@ -111,24 +123,24 @@ def merge_statement(
         f"UNION ALL SELECT {cols} FROM {staging} WHERE {unkeyed}"
     )
     if kind == "postgresql":
-        head = f"INSERT INTO {table} ({cols}) SELECT {cols} FROM ({source}) s"
-        if mode is SaveMode.UPSERT and non_key:
-            sets = ", ".join(f"{c} = EXCLUDED.{c}" for c in non_key)
-            return f"{head} ON CONFLICT ({', '.join(qk)}) DO UPDATE SET {sets}"
-        return f"{head} ON CONFLICT ({', '.join(qk)}) DO NOTHING"
+        head = f"INSERT INTO {table} ({tcols}) SELECT {cols} FROM ({source}) s"
+        if mode is SaveMode.UPSERT and pairs:
+            sets = ", ".join(f"{tc} = EXCLUDED.{tc}" for tc, _ in pairs)
+            return f"{head} ON CONFLICT ({', '.join(tk)}) DO UPDATE SET {sets}"
+        return f"{head} ON CONFLICT ({', '.join(tk)}) DO NOTHING"
     if kind == "mysql":
         if mode is SaveMode.IGNORE_RECORD:
-            return f"INSERT IGNORE INTO {table} ({cols}) SELECT {cols} FROM ({source}) s"
-        head = f"INSERT INTO {table} ({cols}) SELECT {cols} FROM ({source}) s"
-        sets = ", ".join(f"{c} = s.{c}" for c in (non_key or qk[:1]))
+            return f"INSERT IGNORE INTO {table} ({tcols}) SELECT {cols} FROM ({source}) s"
+        head = f"INSERT INTO {table} ({tcols}) SELECT {cols} FROM ({source}) s"
+        sets = ", ".join(f"{tc} = s.{sc}" for tc, sc in (pairs or [(tk[0], qk[0])]))
         return f"{head} ON DUPLICATE KEY UPDATE {sets}"
-    on = " AND ".join(f"t.{k} = s.{k}" for k in qk)
-    insert = f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({', '.join('s.' + c for c in q)})"
+    on = " AND ".join(f"t.{a} = s.{b}" for a, b in zip(tk, qk))
+    insert = f"WHEN NOT MATCHED THEN INSERT ({tcols}) VALUES ({', '.join('s.' + c for c in q)})"
     # Derby's MERGE takes only a table or view as its source.
     using = staging if kind == "derby" else f"({source})"
     stmt = f"MERGE INTO {table} t USING {using} s ON ({on}) "
-    if mode is SaveMode.UPSERT and non_key:
-        sets = ", ".join(f"{c} = s.{c}" for c in non_key)
+    if mode is SaveMode.UPSERT and pairs:
+        sets = ", ".join(f"{tc} = s.{sc}" for tc, sc in pairs)
         stmt += f"WHEN MATCHED THEN UPDATE SET {sets} "
     return stmt + insert
 
@@ -287,8 +299,13 @@ def save_jdbc(
         run(unique_index_statement(kind, table, key_cols))
     staging = staging_table or f"{table}__stg_{uuid.uuid4().hex[:12]}"
     write_table(incoming, endpoint, staging, "errorifexists", num_partitions, batchsize)
+    if existing is not None:
+        spelled = {f.name.lower(): f.name for f in existing.fields}
+        target_cols = [spelled[c.lower()] for c in df.columns]
+    else:
+        target_cols = list(df.columns)
     try:
-        run(merge_statement(kind, table, staging, df.columns, key_cols, mode))
+        run(merge_statement(kind, table, staging, df.columns, key_cols, mode, target_columns=target_cols))
     finally:
         run(f"DROP TABLE {staging}")
     return "merged"
