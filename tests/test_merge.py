@@ -277,3 +277,20 @@ def test_partial_upsert_updates_each_duplicate_target_row(spark):
     i = spark.createDataFrame([(1, "new")], "k int, v string")
     out = merge_state(t, i, SaveMode.UPSERT, keys=["k"])
     assert rows(out) == sorted([(1, "new", 1.0), (1, "new", 2.0)], key=repr)
+
+
+def test_align_with_odd_names_and_nested_types(spark):
+    t = spark.createDataFrame([(1, "a", (1, "x"))], "`my key` int, `v-1` string, s struct<`a b`:int, c:string>")
+    i = spark.createDataFrame([(1, "b")], "`my key` long, `v-1` string")
+    out = merge_state(t, i, SaveMode.UPSERT, keys=["my key"])
+    assert out.schema == t.schema
+    assert [tuple(r) for r in out.collect()] == [(1, "b", (1, "x"))]
+    t2 = spark.createDataFrame([(1, "a", 2.5)], "`my key` int, `v-1` string, `x.y` double")
+    out2 = merge_state(t2, i, SaveMode.APPEND)
+    assert out2.count() == 2 and out2.columns == t2.columns
+
+
+def test_order_by_nested_field(spark):
+    inc = spark.createDataFrame([(1, (5, "a"), "x"), (1, (9, "b"), "y")], "k int, s struct<ts:int, t:string>, v string")
+    out = dedup_incoming(inc, ["k"], order_by=["s.ts"], keep="first")
+    assert [r.v for r in out.collect()] == ["x"]

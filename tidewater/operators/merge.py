@@ -33,8 +33,9 @@ its estimated or, under AQE, measured size is below the configured threshold.
 
 from __future__ import annotations
 
-from enum import Enum
+import re
 from collections.abc import Sequence
+from enum import Enum
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,11 +117,14 @@ def _orderable(dtype: T.DataType) -> bool:
     return True
 
 
+def q(name: str) -> str:
+    """A column name as an SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def any_key_null(keys: Sequence[str]) -> Column:
-    cond = F.col(keys[0]).isNull()
-    for k in keys[1:]:
-        cond = cond | F.col(k).isNull()
-    return cond
+    # One SQL expression: one gateway call however many key columns.
+    return F.expr(" OR ".join(f"{q(k)} IS NULL" for k in keys))
 
 
 def _as_columns(order_by: str | Column | Sequence[str | Column] | None) -> list[Column]:
@@ -187,11 +191,18 @@ def _dedup_parts(
         # row: max/min of it is the winner, with every payload column as a
         # tie-breaker. Columns that have no ordering (maps) ride along in a
         # max_by/min_by over the same ordering.
-        order_cols = _as_columns(order_by)
-        ordered = [c for c in payload if _orderable(df.schema[c].dataType)]
+        schema = df.schema
+        ordered = [c for c in payload if _orderable(schema[c].dataType)]
         unordered = [c for c in payload if c not in ordered]
-        names = [f"_o{i}" for i in range(len(order_cols))]
-        ordering = F.struct(*[o.alias(n) for o, n in zip(order_cols, names)], *[F.col(c) for c in ordered])
+        by = [order_by] if isinstance(order_by, (str, Column)) else list(order_by or [])
+        if all(isinstance(o, str) and _PLAIN_NAME.fullmatch(o) for o in by):
+            # Built as SQL text: one gateway call for the whole struct.
+            parts = [f"{q(o)} AS {q(f'_o{i}')}" for i, o in enumerate(by)] + [q(c) for c in ordered]
+            ordering = F.expr(f"struct({', '.join(parts)})")
+        else:
+            order_cols = _as_columns(by)
+            names = [f"_o{i}" for i in range(len(order_cols))]
+            ordering = F.struct(*[o.alias(n) for o, n in zip(order_cols, names)], *[F.col(c) for c in ordered])
         aggs = [(F.max if keep == "last" else F.min)(ordering).alias("_w")]
         if unordered:
             pick = F.max_by if keep == "last" else F.min_by
@@ -228,6 +239,13 @@ def _dedup_one_pass(
 # ---------------------------------------------------------------- alignment
 
 
+_PLAIN_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+
+# Type strings that read back unchanged inside CAST(... AS <type>): nested
+# field names with other characters fall back to Column casts.
+_SAFE_TYPE = re.compile(r"[A-Za-z0-9_<>:,()]+")
+
+
 def _same_shape(a: T.StructType, b: T.StructType) -> bool:
     return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
 
@@ -246,16 +264,25 @@ def align_to(target_schema: T.StructType, incoming: DataFrame) -> DataFrame:
     if _same_shape(incoming.schema, target_schema):
         return incoming
     inc = {c.lower(): c for c in incoming.columns}
+    schema = incoming.schema
+    if not all(_SAFE_TYPE.fullmatch(f.dataType.simpleString()) for f in target_schema.fields):
+        cols = []
+        for f in target_schema.fields:
+            src = inc.get(f.name.lower())
+            c = F.lit(None) if src is None else F.col(src)
+            cols.append((c if src is not None and schema[src].dataType == f.dataType else c.cast(f.dataType)).alias(f.name))
+        return incoming.select(*cols)
     out = []
     for f in target_schema.fields:
         src = inc.get(f.name.lower())
         if src is None:
-            out.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif incoming.schema[src].dataType == f.dataType:
-            out.append(F.col(src).alias(f.name))
+            out.append(f"CAST(NULL AS {f.dataType.simpleString()}) AS {q(f.name)}")
+        elif schema[src].dataType == f.dataType:
+            out.append(f"{q(src)} AS {q(f.name)}")
         else:
-            out.append(F.col(src).cast(f.dataType).alias(f.name))
-    return incoming.select(*out)
+            out.append(f"CAST({q(src)} AS {f.dataType.simpleString()}) AS {q(f.name)}")
+    # One selectExpr: one gateway call for the whole projection.
+    return incoming.selectExpr(*out)
 
 
 # ---------------------------------------------------------------- merge
