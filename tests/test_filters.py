@@ -173,6 +173,10 @@ def test_partition_pruning(spark, tmp_path):
     assert rows(r.drop("dt")) == rows(filter_range(ev, "2024-01-1423:00:00", "2024-01-1601:00:00", column="ts"))
     dated = spark.read.parquet(path).withColumn("d", F.col("dt").cast("date"))
     assert filter_daily(dated, "2024-01-15", column="ts", partition_column="d").count() == a.count()
+    ints = str(tmp_path / "by_int_day")
+    ev.withColumn("di", F.date_format("ts", "yyyyMMdd").cast("int")).write.partitionBy("di").parquet(ints)
+    by_int = filter_daily(spark.read.parquet(ints), "2024-01-15", column="ts", partition_column="di")
+    assert "PartitionFilters: [isnotnull(di" in plan_text(by_int) and by_int.count() == a.count()
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -133,9 +133,10 @@ def _field_ci(df: DataFrame, column: str) -> T.StructField:
 def _day_partitions(df: DataFrame, partition_column: str, lo: _dt.date, hi: _dt.date) -> DataFrame:
     """Prune a day-partitioned table to the partitions ``lo..hi`` (inclusive).
 
-    The partition column holds the day of the change column (a ``date`` or a
-    ``yyyy-MM-dd`` string); the predicate lands in ``PartitionFilters`` and
-    whole directories are skipped before any file is opened.
+    The partition column holds the day of the change column (a ``date``, a
+    ``yyyy-MM-dd`` string or a ``yyyyMMdd`` integer); the predicate lands in
+    ``PartitionFilters`` and whole directories are skipped before any file is
+    opened.
     """
     field = df.schema[partition_column] if partition_column in df.columns else _field_ci(df, partition_column)
     c = F.col(partition_column)
@@ -143,7 +144,11 @@ def _day_partitions(df: DataFrame, partition_column: str, lo: _dt.date, hi: _dt.
         return df.filter((c >= F.lit(lo)) & (c <= F.lit(hi)))
     if isinstance(field.dataType, T.StringType):
         return df.filter((c >= F.lit(lo.isoformat())) & (c <= F.lit(hi.isoformat())))
-    raise TypeError(f"partition column {partition_column!r} must be a date or a yyyy-MM-dd string")
+    if isinstance(field.dataType, (T.IntegerType, T.LongType)):
+        return df.filter((c >= F.lit(int(lo.strftime("%Y%m%d")))) & (c <= F.lit(int(hi.strftime("%Y%m%d")))))
+    raise TypeError(
+        f"partition column {partition_column!r} must be a date, a yyyy-MM-dd string or a yyyyMMdd integer"
+    )
 
 
 def filter_daily(
