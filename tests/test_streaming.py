@@ -27,3 +27,21 @@ def test_stream_upsert_matches_batch(spark, tmp_path):
     # A replayed batch id is a no-op.
     writer(spark.createDataFrame([], ev.schema), 2)
     assert committed_versions(spark, base) == [0, 1, 2]
+
+
+def test_replay_replaces_an_unfinished_version(spark, tmp_path):
+    from tidewater.streaming.sync_stream import version_path
+
+    base = str(tmp_path / "table")
+    writer = snapshot_batch_writer(base, "upsert", keys=["k"])
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    writer(first, 0)
+    # A crashed attempt of batch 1 left files but no _SUCCESS marker.
+    broken = tmp_path / "table" / version_path("", 1).lstrip("/")
+    broken.mkdir(parents=True)
+    (broken / "part-junk.parquet").write_bytes(b"not parquet")
+    assert committed_versions(spark, base) == [0]
+    writer(spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string"), 1)
+    assert committed_versions(spark, base) == [0, 1]
+    got = sorted(tuple(r) for r in spark.read.parquet(latest_snapshot(spark, base)).collect())
+    assert got == [(1, "a"), (2, "B"), (3, "c")]
