@@ -203,3 +203,14 @@ def test_append_in_place_writes_only_new_rows(spark, tmp_path):
     assert rows(got) == [(1, "a", 1.0), (2, "b", None)]
     with pytest.raises(ValueError):
         save_snapshot(i, base, base, "upsert", keys=["k"])
+
+
+def test_failed_save_leaves_target_intact(spark, tmp_path):
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    base = str(tmp_path / "v1")
+    t.write.parquet(base)
+    bad = spark.createDataFrame([("2", "B"), ("oops", "C")], "k string, v string")  # 'oops' fails the int cast
+    with pytest.raises(Exception):
+        save_snapshot(bad, base, str(tmp_path / "v2"), "upsert", keys=["k"])
+    assert read_snapshot(spark, str(tmp_path / "v2")) is None
+    assert rows(spark.read.parquet(base)) == [(1, "a"), (2, "b")]
