@@ -257,3 +257,15 @@ def test_merge_uses_target_spelling(monkeypatch, spark):
     assert 'ON CONFLICT ("id") DO UPDATE SET "account" = EXCLUDED."account"' in sql
     m = J.merge_statement("db2", "T", "S", ["ID", "V"], ["ID"], "upsert", target_columns=["id", "v"])
     assert 'ON (t."id" = s."ID")' in m and 'UPDATE SET "v" = s."V"' in m and 'INSERT ("id", "v") VALUES (s."ID", s."V")' in m
+
+
+def test_read_helpers_check_the_endpoint_kind_first(spark):
+    from tidewater.sources.jdbc import read_db2, read_mysql, read_postgres
+
+    my = Endpoint.mysql("h:3306", "d")
+    with pytest.raises(EndpointError):
+        read_db2(spark, my, "t")
+    with pytest.raises(EndpointError):
+        read_postgres(spark, my, "t")
+    with pytest.raises(EndpointError):
+        read_mysql(spark, Endpoint("jdbc:db2://h/d", "com.mysql.jdbc.Driver"), "t")

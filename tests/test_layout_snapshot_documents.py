@@ -214,3 +214,11 @@ def test_failed_save_leaves_target_intact(spark, tmp_path):
         save_snapshot(bad, base, str(tmp_path / "v2"), "upsert", keys=["k"])
     assert read_snapshot(spark, str(tmp_path / "v2")) is None
     assert rows(spark.read.parquet(base)) == [(1, "a"), (2, "b")]
+
+
+def test_named_collections(spark, tmp_path):
+    from tidewater.sources.documents import NAMED_COLLECTIONS, read_named_collection
+
+    store = DocumentStore(root=str(tmp_path / "crawl"))
+    save_collection(spark.createDataFrame([(1, "10% off")], "_id long, title string"), store, NAMED_COLLECTIONS["coupon"])
+    assert [r.title for r in read_named_collection(spark, store, "coupon").collect()] == ["10% off"]
