@@ -191,3 +191,18 @@ def test_string_and_date_columns_equal_string_form(spark, ts, a, b):
     assert ids(filter_daily(sdf, day)) == ids(filter_daily_by_format(sdf, day))
     ddf = spark.createDataFrame([(i, None if t is None else t.date()) for i, t in enumerate(ts)], "id int, rec_upd_ts date")
     assert ids(filter_daily(ddf, day)) == ids(filter_daily_by_format(ddf, day))
+
+
+def test_ltz_range_is_pushed(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = str(tmp_path / "ltz")
+    ev.write.parquet(path)
+    df = spark.read.parquet(path)
+    out = filter_daily(df, "2024-01-15", column="ts")
+    plan = plan_text(out)
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+    assert ids_of(out) == ids_of(filter_daily_by_format(df, "2024-01-15", column="ts"))
+
+
+def ids_of(df):
+    return sorted(r.event_id for r in df.select("event_id").collect())
