@@ -67,18 +67,22 @@ def build_session(
     extra: dict[str, str] | None = None,
     input_bytes: int | None = None,
     total_cores: int | None = None,
+    time_zone: str | None = "UTC",
 ) -> SparkSession:
     """Create (or reuse) a session with the defaults above.
 
     Give ``input_bytes`` and ``total_cores`` to size shuffles and scan splits
     with ``sizing_conf``; ``shuffle_partitions`` overrides the shuffle count
-    (locally, use about twice the core count).
+    (locally, use about twice the core count). ``time_zone`` is the session
+    zone that wall-clock filters on ``timestamp`` columns use; ``None`` keeps
+    the cluster's setting.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_DEFAULTS)
-    conf["spark.sql.session.timeZone"] = "UTC"
+    if time_zone is not None:
+        conf["spark.sql.session.timeZone"] = time_zone
     if input_bytes is not None and total_cores is not None:
         conf.update(sizing_conf(input_bytes, total_cores))
     if shuffle_partitions is not None:
