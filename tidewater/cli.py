@@ -43,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--partition-by", default=None, help="comma-separated partition columns of the snapshot")
     s.add_argument("--materialize", default=None, choices=["checkpoint", "persist"])
     s.add_argument("--no-dedup", action="store_true", help="change-set keys are known to be unique")
+    s.add_argument("--time-zone", default=None, help="session time zone for wall-clock filters (default: keep)")
     return p
 
 
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     from tidewater.plans.jobs import sync_to_path
     from tidewater.session import build_session
 
-    spark = spark or build_session(app_name="tidewater-sync")
+    spark = spark or build_session(app_name="tidewater-sync", time_zone=args.time_zone)
     out = sync_to_path(
         spark.read.parquet(args.source),
         args.target,
