@@ -55,10 +55,22 @@ def test_convert_record(spark):
     assert (r.id, float(r.price), r.qty) == ("1", 2.5, 7)
 
 
-def test_convert_record_quoted_number_is_not_coerced(spark):
-    df = spark.createDataFrame([("7",)], "qty string")
-    out = df.select(convert_record(F.struct("qty"), "qty int").alias("r"))
-    assert out.collect()[0].r is None
+def test_convert_record_coerces_quoted_numbers(spark):
+    df = spark.createDataFrame([("7", "true", "1.25"), ("x", "true", "1.25")], "qty string, ok string, p string")
+    out = df.select(convert_record(F.struct("qty", "ok", "p"), "qty int, ok boolean, p decimal(5,2)").alias("r"))
+    got = [r.r for r in out.collect()]
+    assert (got[0].qty, got[0].ok, float(got[0].p)) == (7, True, 1.25)
+    assert got[1] is None
+    plain = df.select(convert_record(F.struct("qty"), "qty int", coerce=False).alias("r")).collect()
+    assert plain[0].r is None
+
+
+def test_strict_rejects_unconvertible_value(spark):
+    good = spark.createDataFrame([('{"a": "7", "b": "x"}',)], "js string")
+    bad = spark.createDataFrame([('{"a": "seven", "b": "x"}',)], "js string")
+    assert good.select(read_json("js", SCHEMA, strict=True).alias("p")).collect()[0].p.a == 7
+    with pytest.raises(Exception):
+        bad.select(read_json("js", SCHEMA, strict=True)).collect()
 
 
 from hypothesis import HealthCheck, given, settings

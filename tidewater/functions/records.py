@@ -15,9 +15,11 @@ Two behaviours on bad input:
   (nested objects are checked for malformed text and types, not for extra
   fields).
 
-Conversions follow Spark's JSON reader: numbers become strings or decimals,
-strings become dates/timestamps, but a quoted number (``"7"``) is not coerced
-into a numeric field (NULL when lenient, an error when strict).
+Conversions follow a JSON object mapper: numbers become strings or decimals,
+strings become dates/timestamps, and quoted numbers or booleans (``"7"``,
+``"true"``) fill numeric and boolean fields (numeric and boolean leaves are
+read as text, then cast). A value that does not convert invalidates the
+record. ``coerce=False`` keeps Spark's JSON reader rules instead.
 
 Everything stays in JVM-side expressions; no Python UDF. The lenient form
 parses each value once (the repeated ``from_json`` is one common
@@ -47,22 +49,67 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def read_json(col: str | Column, schema: str | T.StructType, strict: bool = False) -> Column:
+def _as_text(dt: T.DataType) -> T.DataType:
+    """The same shape with numeric and boolean leaves read as text."""
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType), True) for f in dt.fields])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(_as_text(dt.elementType), True)
+    if isinstance(dt, T.MapType):
+        return T.MapType(dt.keyType, _as_text(dt.valueType), True)
+    if isinstance(dt, (T.NumericType, T.BooleanType)):
+        return T.StringType()
+    return dt
+
+
+def read_json(
+    col: str | Column, schema: str | T.StructType, strict: bool = False, coerce: bool = True
+) -> Column:
+    """JSON text to a struct of ``schema``.
+
+    ``coerce=True`` converts like a JSON object mapper: numeric and boolean
+    fields accept quoted values (``"7"`` for an int). Values that do not
+    convert make the record invalid - a NULL struct when lenient, an error
+    when strict. ``coerce=False`` keeps Spark's JSON reader rules.
+    """
     st = _schema(schema)
     c = _col(col)
+    read_as = _as_text(st) if coerce else st
+    converted = [f for f, g in zip(st.fields, read_as.fields) if f.dataType != g.dataType]
     if strict:
-        parsed = F.from_json(c, st, {"mode": "FAILFAST"})
+        parsed = F.from_json(c, read_as, {"mode": "FAILFAST"})
         allowed = F.array(*[F.lit(f.name) for f in st.fields])
         unknown = F.array_except(F.json_object_keys(c), allowed)
+        typed = parsed
+        if converted:
+            fields = []
+            for f in st.fields:
+                v = parsed[f.name]
+                if f in converted:
+                    t = v.try_cast(f.dataType)
+                    v = F.when(v.isNotNull() & t.isNull(), F.raise_error(
+                        F.concat(F.lit(f"JSON field {f.name} does not convert to {f.dataType.simpleString()}: "), c)
+                    ).cast(f.dataType)).otherwise(t)
+                fields.append(v.alias(f.name))
+            typed = F.struct(*fields)
         return F.when(c.isNull(), F.lit(None).cast(st)).when(
             F.size(unknown) > 0,
             F.raise_error(F.concat(F.lit("unknown JSON fields "), F.to_json(unknown), F.lit(" in "), c)).cast(st),
-        ).otherwise(parsed)
-    with_corrupt = T.StructType(st.fields + [T.StructField(_CORRUPT, T.StringType())])
+        ).otherwise(typed)
+    with_corrupt = T.StructType(read_as.fields + [T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(c, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return F.when(parsed.isNull() | parsed[_CORRUPT].isNotNull(), F.lit(None).cast(st)).otherwise(
-        parsed.dropFields(_CORRUPT)
-    )
+    bad = parsed.isNull() | parsed[_CORRUPT].isNotNull()
+    if not converted:
+        return F.when(bad, F.lit(None).cast(st)).otherwise(parsed.dropFields(_CORRUPT))
+    fields = []
+    for f in st.fields:
+        v = parsed[f.name]
+        if f in converted:
+            t = v.try_cast(f.dataType)
+            bad = bad | (v.isNotNull() & t.isNull())
+            v = t
+        fields.append(v.alias(f.name))
+    return F.when(bad, F.lit(None).cast(st)).otherwise(F.struct(*fields))
 
 
 def decode_url(col: str | Column, strict: bool = False) -> Column:
@@ -71,10 +118,14 @@ def decode_url(col: str | Column, strict: bool = False) -> Column:
     return F.url_decode(c) if strict else F.try_url_decode(c)
 
 
-def read_encoded_json(col: str | Column, schema: str | T.StructType, strict: bool = False) -> Column:
-    return read_json(decode_url(col, strict=strict), schema, strict=strict)
+def read_encoded_json(
+    col: str | Column, schema: str | T.StructType, strict: bool = False, coerce: bool = True
+) -> Column:
+    return read_json(decode_url(col, strict=strict), schema, strict=strict, coerce=coerce)
 
 
-def convert_record(col: str | Column, schema: str | T.StructType, strict: bool = False) -> Column:
+def convert_record(
+    col: str | Column, schema: str | T.StructType, strict: bool = False, coerce: bool = True
+) -> Column:
     """Re-type a struct or map column by writing and re-reading it as JSON."""
-    return read_json(F.to_json(_col(col)), schema, strict=strict)
+    return read_json(F.to_json(_col(col)), schema, strict=strict, coerce=coerce)
