@@ -89,3 +89,13 @@ def test_json_round_trip_property(spark, recs):
     for frame, fn in ((js, read_json), (enc, read_encoded_json)):
         got = {r.id: (r.p.a, r.p.b) for r in frame.select("id", fn("js", SCHEMA).alias("p")).collect()}
         assert got == {i: rec for i, rec in enumerate(recs)}
+
+
+def test_coercion_in_nested_types(spark):
+    df = spark.createDataFrame(
+        [('{"ids": ["1", 2], "p": {"n": "3", "s": "x"}}',), ('{"ids": ["1", "two"], "p": {"n": 3, "s": "x"}}',)],
+        "js string",
+    )
+    out = [r.r for r in df.select(read_json("js", "ids array<int>, p struct<n:int, s:string>").alias("r")).collect()]
+    assert out[0].ids == [1, 2] and (out[0].p.n, out[0].p.s) == (3, "x")
+    assert out[1] is None

@@ -62,6 +62,25 @@ def _as_text(dt: T.DataType) -> T.DataType:
     return dt
 
 
+def _lost(src: Column, dst: Column, dt: T.DataType) -> Column:
+    """True where a non-NULL value of ``src`` became NULL in ``dst`` (the
+    converted copy), at any depth - a value that did not convert."""
+    here = src.isNotNull() & dst.isNull()
+    if isinstance(dt, T.StructType):
+        for f in dt.fields:
+            here = here | (src.isNotNull() & dst.isNotNull() & _lost(src[f.name], dst[f.name], f.dataType))
+        return here
+    if isinstance(dt, T.ArrayType):
+        inner = F.exists(F.zip_with(src, dst, lambda a, b: _lost(a, b, dt.elementType)), lambda x: x)
+        return here | (src.isNotNull() & dst.isNotNull() & inner)
+    if isinstance(dt, T.MapType):
+        inner = F.exists(
+            F.zip_with(F.map_values(src), F.map_values(dst), lambda a, b: _lost(a, b, dt.valueType)), lambda x: x
+        )
+        return here | (src.isNotNull() & dst.isNotNull() & inner)
+    return here
+
+
 def read_json(
     col: str | Column, schema: str | T.StructType, strict: bool = False, coerce: bool = True
 ) -> Column:
@@ -87,7 +106,7 @@ def read_json(
                 v = parsed[f.name]
                 if f in converted:
                     t = v.try_cast(f.dataType)
-                    v = F.when(v.isNotNull() & t.isNull(), F.raise_error(
+                    v = F.when(_lost(v, t, f.dataType), F.raise_error(
                         F.concat(F.lit(f"JSON field {f.name} does not convert to {f.dataType.simpleString()}: "), c)
                     ).cast(f.dataType)).otherwise(t)
                 fields.append(v.alias(f.name))
@@ -106,7 +125,7 @@ def read_json(
         v = parsed[f.name]
         if f in converted:
             t = v.try_cast(f.dataType)
-            bad = bad | (v.isNotNull() & t.isNull())
+            bad = bad | _lost(v, t, f.dataType)
             v = t
         fields.append(v.alias(f.name))
     return F.when(bad, F.lit(None).cast(st)).otherwise(F.struct(*fields))
