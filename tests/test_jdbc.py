@@ -269,3 +269,22 @@ def test_read_helpers_check_the_endpoint_kind_first(spark):
         read_postgres(spark, my, "t")
     with pytest.raises(EndpointError):
         read_mysql(spark, Endpoint("jdbc:db2://h/d", "com.mysql.jdbc.Driver"), "t")
+
+
+@pytest.mark.parametrize(
+    "endpoint, head",
+    [
+        (Endpoint.mysql("h:3306", "d"), "INSERT INTO events (`event_id`"),
+        (Endpoint("jdbc:db2://h:50000/d", "com.ibm.db2.jcc.DB2Driver"), "MERGE INTO events t USING ("),
+    ],
+)
+def test_sync_to_jdbc_other_dialects(monkeypatch, spark, endpoint, head):
+    from conftest import SF_SMALL
+    from tidewater.plans.jobs import sync_to_jdbc
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    rec = Recorder(ev.schema)
+    run = rec.install(monkeypatch)
+    monkeypatch.setattr(J, "jvm_run_sql", lambda spark, ep: run)
+    sync_to_jdbc(ev, endpoint, "events", "upsert", keys=["event_id"], day="2024-01-15", column="ts")
+    assert rec.sql[0].startswith(head)
