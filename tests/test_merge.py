@@ -142,6 +142,7 @@ def test_mode_names():
     assert SaveMode.coerce("ErrorIfExists") is SaveMode.ERROR_IF_EXISTS
     assert SaveMode.coerce("IgnoreRecord") is SaveMode.IGNORE_RECORD
     assert SaveMode.coerce("ignore-table") is SaveMode.IGNORE_TABLE
+    assert SaveMode.coerce("ignore") is SaveMode.IGNORE_TABLE
     with pytest.raises(ValueError):
         SaveMode.coerce("merge")
 

@@ -59,6 +59,7 @@ class SaveMode(str, Enum):
             "errorifexists": cls.ERROR_IF_EXISTS,
             "error": cls.ERROR_IF_EXISTS,
             "ignoretable": cls.IGNORE_TABLE,
+            "ignore": cls.IGNORE_TABLE,  # Spark's DataFrameWriter name for the same mode
             "ignorerecord": cls.IGNORE_RECORD,
         }
         if norm in aliases:
