@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import quoted
+from .common import checkpointed, quoted
 
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -15,6 +15,12 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ")
 
 
+def _tagged(df: DataFrame, *keys: str) -> DataFrame:
+    """A join key more, dropped after the join: what follows can't rely on the
+    join's partitioning then, and AQE may split a join on a large group."""
+    return df.withColumn("tag", F.xxhash64(*keys))
+
+
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", prefix: int = 64, digest: str | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id (doc_id of the row that stays),
     group_size, kept and full, the SHA-256 of the normalised text where it was
@@ -40,16 +46,19 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", prefi
         normalised(quoted(text)).alias("norm"),
         *[quoted(c).alias("full") for c in extra],
     )
-    rows = base.select("doc_id", F.octet_length("norm").alias("len"), F.xxhash64(F.substring("norm", 1, prefix)).alias("head"), *(["full"] if digest else []))
+    signed = lambda df, *more: df.select("doc_id", *more, F.octet_length("norm").alias("len"), F.xxhash64(F.substring("norm", 1, prefix)).alias("head"))
+    rows = checkpointed(signed(base, *(["full"] if digest else [])))
 
-    lengths = rows.groupBy("len").agg(F.count("*").alias("c")).where("c > 1").select("len")
-    by_length = rows.join(lengths, "len", "left_semi")
-    heads = by_length.groupBy("len", "head").agg(F.count("*").alias("c")).where("c > 1").select("len", "head")
+    # length, then prefix: counts of (len, head) are reduced before the shuffle
+    counts = rows.groupBy("len", "head").agg(F.count("*").alias("c"))
+    lengths = counts.groupBy("len").agg(F.sum("c").alias("c")).where("c > 1").select("len")
+    heads = _tagged(counts.where("c > 1").select("len", "head").join(lengths, "len", "left_semi"), "len", "head")
+    keys = ["tag", "len", "head"]
     if digest:
-        surviving = by_length.join(heads, ["len", "head"], "left_semi")
+        surviving = _tagged(rows, "len", "head").join(heads, keys, "left_semi").select("doc_id", "len", "head", "full")
     else:
-        again = base.select("doc_id", "norm", F.octet_length("norm").alias("len"), F.xxhash64(F.substring("norm", 1, prefix)).alias("head"))
-        surviving = again.join(heads, ["len", "head"], "left_semi").select("doc_id", "len", "head", F.sha2("norm", 256).alias("full"))
+        again = _tagged(signed(base, "norm"), "len", "head")
+        surviving = again.join(heads, keys, "left_semi").select("doc_id", "len", "head", F.sha2("norm", 256).alias("full"))
     # identical (doc_id, text) rows travel as one row and their number
     single = surviving.groupBy("doc_id", "len", "head", "full").agg(F.count("*").alias("m"))
     groups = (
@@ -57,7 +66,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", prefi
         .agg(F.min("doc_id").alias("keep_id"), F.sum("m").alias("group_size"))
         .where("group_size > 1")
     )
-    joined = single.join(groups, ["len", "head", "full"], "left").select(
+    joined = _tagged(single, "len", "head", "full").join(_tagged(groups, "len", "head", "full"), ["tag", "len", "head", "full"], "left").select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
@@ -66,7 +75,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", prefi
     )
     kept = (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept")
     compared = joined.select("doc_id", "keep_id", "group_size", kept, "full")
-    alone = rows.join(heads, ["len", "head"], "left_anti").select(
+    alone = _tagged(rows, "len", "head").join(heads, keys, "left_anti").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"),
         F.col("full") if digest else F.lit(None).cast("string").alias("full"),
     )
