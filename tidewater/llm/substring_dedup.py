@@ -10,8 +10,9 @@ and dealt out; a run that occurs in two documents is an anchor.
    documents marks all its places and sends one of them on, so a passage that
    very many documents share sends a row per map task and not per document.
 2. Extension: around its anchors, and only there, each document hashes its whole
-   windows (128 bits); per window the smallest doc_id is reduced before the
-   shuffle. Windows that start in a document with a smaller id are removed.
+   windows (96 bits). Windows that start in a document with a smaller id are
+   removed; they too are dealt out once, by hash, and a map task that itself sees
+   that document sends only its windows.
 3. The words that those windows cover are cut from the text.
 """
 
@@ -131,14 +132,29 @@ def _shared(anchors: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "doc_id long, pos int")
 
 
-def _window_rows(texts: DataFrame, window: int, length: int) -> DataFrame:
-    """doc_id, start and 128-bit hash of every window that holds an anchor."""
+def _window_rows(texts: DataFrame, window: int, length: int, flush: int) -> DataFrame:
+    """at, tag (together a 96-bit hash), doc_id, start of every window that holds an
+    anchor; sure: a smaller document of the same map task has it too."""
     reach = window - length
 
+    def combined(parts):
+        doc, start, at, tag = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        order = np.lexsort((doc, tag, at))
+        doc, start, at, tag = doc[order], start[order], at[order], tag[order]
+        first = np.ones(len(at), bool)
+        first[1:] = (at[1:] != at[:-1]) | (tag[1:] != tag[:-1])
+        sure = doc != doc[np.flatnonzero(first)][np.cumsum(first) - 1]
+        at[sure] = signed(mix64(doc[sure].view(U64) + mix64(start[sure].astype(U64))))
+        # back to the order of documents, in which ids repeat and pack well
+        order = np.lexsort((start, doc))
+        return pa.RecordBatch.from_arrays(
+            [at[order], tag[order], doc[order], start[order].astype(np.int32), pa.array(sure[order])], names=["at", "tag", "doc_id", "start", "sure"]
+        )
+
     def run(batches):
         hashes, one, two = WordHash(), Windows(BASES[1]), Windows(BASES[2])
+        parts, held = [], 0
         for batch in batches:
-            parts = []
             for doc, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 words = words_of(text.as_py())
                 m = len(words) - window + 1
@@ -150,12 +166,43 @@ def _window_rows(texts: DataFrame, window: int, length: int) -> DataFrame:
                 np.add.at(edge, np.clip(pos + 1, 0, m), -1)
                 start = np.flatnonzero(np.cumsum(edge)[:m])
                 h = hashes.array(words)
-                parts.append((np.full(len(start), doc, np.int64), start, signed(one.at(h, window))[start], signed(two.at(h, window))[start]))
-            if parts:
-                doc, start, w1, w2 = (np.concatenate([p[i] for p in parts]) for i in range(4))
-                yield pa.RecordBatch.from_arrays([doc, start.astype(np.int32), w1, w2], names=["doc_id", "start", "w1", "w2"])
+                tag = (two.at(h, window)[start] >> U64(32)).astype(np.uint32).view(np.int32)
+                parts.append((np.full(len(start), doc, np.int64), start, signed(one.at(h, window))[start], tag))
+                held += len(start)
+                if held >= flush:
+                    yield combined(parts)
+                    parts, held = [], 0
+        if parts:
+            yield combined(parts)
+
+    return texts.mapInArrow(run, "at long, tag int, doc_id long, start int, sure boolean")
+
+
+def _late(windows: DataFrame) -> DataFrame:
+    """(doc_id, start, tag) of windows that start in a smaller document. Rows are
+    sorted by hash and document and streamed: a window's first document is all
+    that is remembered."""
+
+    def run(batches):
+        at_, tag_, first_ = None, None, None
+        for batch in batches:
+            at, tag, doc, start, sure = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("at", "tag", "doc_id", "start", "sure"))
+            late = sure.copy()
+            plain = np.flatnonzero(~sure)
+            if len(plain):
+                a, t, d = at[plain], tag[plain], doc[plain]
+                head = np.ones(len(a), bool)
+                head[1:] = (a[1:] != a[:-1]) | (t[1:] != t[:-1])
+                lead = d[np.flatnonzero(head)]
+                if a[0] == at_ and t[0] == tag_:
+                    lead[0] = first_
+                lead = lead[np.cumsum(head) - 1]
+                late[plain] = d > lead
+                at_, tag_, first_ = a[-1], t[-1], lead[-1]
+            yield pa.RecordBatch.from_arrays([doc[late], start[late], tag[late]], names=["doc_id", "start", "tag"])
 
-    return texts.mapInArrow(run, "doc_id long, start int, w1 long, w2 long")
+    dealt = windows.repartition("at").sortWithinPartitions("at", "tag", "doc_id")
+    return dealt.mapInArrow(run, "doc_id long, start int, tag int")
 
 
 def _cut(texts: DataFrame, window: int) -> DataFrame:
@@ -163,7 +210,7 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
     that it really holds (``tag``), should several rows share a doc_id."""
 
     def run(batches):
-        hashes, one = WordHash(), Windows(BASES[1])
+        hashes, two = WordHash(), Windows(BASES[2])
         for batch in batches:
             sizes, removed, kept = [], [], []
             for text, cuts in zip(batch.column(1), batch.column(2)):
@@ -173,9 +220,9 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
                 if cuts.is_valid and len(words) >= window:
                     cuts = cuts.values
                     start, tag = cuts.field("start").to_numpy(), cuts.field("tag").to_numpy()
-                    own = one.at(hashes.array(words), window)
+                    own = (two.at(hashes.array(words), window) >> U64(32)).astype(np.uint32).view(np.int32)
                     start, tag = start[start < len(own)], tag[start < len(own)]
-                    start = start[signed(own)[start] == tag]
+                    start = start[own[start] == tag]
                     edge = np.zeros(len(words) + 1, np.int64)
                     np.add.at(edge, start, 1)
                     np.add.at(edge, start + window, -1)
@@ -216,11 +263,8 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     ordered = docs.where("doc_id IS NOT NULL")
     anchors = _anchor_rows(ordered, window, length, flush)
     places = _shared(anchors).groupBy("doc_id").agg(F.collect_list("pos").alias("places"))
-    windows = _window_rows(ordered.join(places, "doc_id"), window, length)
-    windows = windows.select("doc_id", "start", "w1", "w2")
-    first = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    late = windows.join(first, ["w1", "w2"]).where("first < doc_id")
-    cuts = late.groupBy("doc_id").agg(F.collect_list(F.struct("start", F.col("w1").alias("tag"))).alias("cuts"))
+    late = _late(_window_rows(ordered.join(places, "doc_id"), window, length, flush))
+    cuts = late.groupBy("doc_id").agg(F.collect_list(F.struct("start", "tag")).alias("cuts"))
     kept = _cut(ordered.join(cuts, "doc_id", "left").select("doc_id", "text", "cuts"), window)
     loose = _cut(docs.where("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts")), window)
     return kept.unionByName(loose).select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept_text"))
