@@ -7,9 +7,10 @@
    similarity of 0.8 share at least ``need`` of their retained values, so with
    the values put in order of rarity each class is listed under its first
    ``shared - need + 1`` values only; values held by one class are never listed.
-3. Every list links its members to its smallest member: no more pairs than list
-   entries. Each pair is tested by the union-sketch estimate and then exactly,
-   on the full word shingles of both whole texts.
+3. Every list links its members to its smallest member, and each class meets a few
+   random members of its first lists: no more pairs than list entries. Each pair is
+   tested by the union-sketch estimate and then exactly, on the full word shingles
+   of both whole texts.
 4. Lists whose members are not yet all in one component are compared in blocks
    of at most ``block`` members, each pair of blocks in some task; only pairs of
    different components that pass the estimate leave it, and they are verified
@@ -128,25 +129,31 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, k: int, num: int, den:
 
 def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Candidate pairs of different labels from blocked lists: value, i, j, rep,
-    label, own block, centre, n, sketch."""
+    label, own block, centre, n, sketch, prefix. A pair comes from the list of the
+    smallest value under which both are listed, and from no other."""
     need = needed_overlap(k, num, den)
 
+    def overlaps(sets):
+        """Number of common values, for all pairs of the sets."""
+        flat = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+        many = times[code] > 1
+        _, code = np.unique(code[many], return_inverse=True)
+        grid = np.zeros((len(sets), int(code.max(initial=-1)) + 1), np.float32)
+        grid[owner[many], code] = 1
+        return grid @ grid.T
+
     def run(batches):
         for g in runs(batches, ["value", "i", "j"]):
             if len(g["rep"]) < 2 or (g["label"] == g["label"][0]).all():
                 continue
             n, rep, label, block = g["n"], g["rep"], g["label"], g["block"]
             sketches = [np.frombuffer(s, U64) for s in g["sketch"]]
-            flat = np.concatenate(sketches)
-            owner = np.repeat(np.arange(len(rep)), [len(s) for s in sketches])
-            _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
-            many = times[code] > 1
-            _, code = np.unique(code[many], return_inverse=True)
-            grid = np.zeros((len(rep), int(code.max(initial=-1)) + 1), np.float32)
-            grid[owner[many], code] = 1
-            share = grid @ grid.T
+            share = overlaps(sketches)
+            earlier = overlaps([p[p < g["value"][0]] for p in g["prefix"]])
             least = np.where(n <= k, np.minimum(need, -(-num * n // den)), need)
-            good = share >= np.maximum(least[:, None], least[None, :])
+            good = (share >= np.maximum(least[:, None], least[None, :])) & (earlier == 0)
             good &= label[:, None] != label[None, :]
             good &= den * np.minimum(n[:, None], n[None, :]) >= num * np.maximum(n[:, None], n[None, :])
             good &= (block[:, None] != block[None, :]) | (g["i"][0] == g["j"][0])
@@ -172,6 +179,7 @@ def near_duplicates(
     den: int = 100,
     k: int = 48,
     block: int = 256,
+    meetings: int = 4,
 ) -> DataFrame:
     """Components of texts with ``den * |A & B| >= num * |A | B|`` over distinct
     ``n``-word shingles (A-Z lower-cased; fewer words: the whole sequence).
@@ -201,25 +209,32 @@ def near_duplicates(
         .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
         .withColumn("take", F.size("v") - least + 1)
         .where("take > 0")
-        .select("rep", "n", F.expr("transform(slice(v, 1, take), x -> x.value)").alias("prefix"))
+        .select("rep", "n", F.expr("array_sort(transform(slice(v, 1, take), x -> x.value))").alias("prefix"))
     )
-    entries = checkpointed(listed.select("rep", "n", F.explode("prefix").alias("value")))
-    wanted = entries.select("rep").distinct()
-    held = classes.drop("digest").join(wanted, "rep", "left_semi")
+    listed = checkpointed(listed)
+    entries = listed.select("rep", "n", F.explode("prefix").alias("value"))
+    held = classes.select("rep", "sketch").join(listed, "rep")
     texts = checkpointed(
         docs.where("doc_id IS NOT NULL").join(held, F.col("doc_id") == F.col("rep"))
-        .select("rep", "n", "sketch", F.col("text").cast("binary").alias("text"))
+        .select("rep", "n", "sketch", "prefix", F.col("text").cast("binary").alias("text"))
     )
 
     centres = entries.groupBy("value").agg(
         F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("members")
     ).where("members > 1").select("value", "members", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"))
     centres = checkpointed(centres)
-    stars = (
-        entries.join(centres, "value")
-        .where(f"rep != centre AND {den} * least(n, cn) >= {num} * greatest(n, cn)")
-        .select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    )
+    alike = f"rep != centre AND {den} * least(n, cn) >= {num} * greatest(n, cn)"
+    pair = (F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b"))
+    stars = entries.join(centres, "value").where(alike).select(*pair)
+    # each member also meets a random member of a part of its own few first lists,
+    # which merges families whose members are not all close to the smallest one
+    for turn in range(meetings):
+        own = listed.where(F.size("prefix") > turn).select("rep", "n", F.col("prefix")[turn].alias("value")).join(centres.select("value", "members"), "value")
+        own = own.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(turn)), F.ceil(F.col("members") / 16)))
+        heads = own.groupBy("value", "part").agg(F.min(F.struct(F.xxhash64("rep", F.lit(-1 - turn)), "rep", "n")).alias("c"))
+        heads = heads.select("value", "part", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"))
+        stars = stars.unionByName(own.join(heads, ["value", "part"]).where(alike).select(*pair))
+    stars = stars.distinct()
     links = checkpointed(_verified(stars, texts, n, k, num, den))
     labels = connected_components(links)
 
@@ -234,9 +249,9 @@ def near_duplicates(
         .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "n", "centre", "label", "block")
-        .join(texts.select("rep", "sketch"), "rep")
+        .join(texts.select("rep", "sketch", "prefix"), "rep")
     )
-    more = _verified(_blocks(members, k, num, den).distinct(), texts, n, k, num, den)
+    more = _verified(_blocks(members, k, num, den), texts, n, k, num, den)
     held_by = linked.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep").distinct()
     again = held_by.groupBy("doc_id").agg(F.min("rep").alias("a"), F.count("*").alias("times")).where("times > 1")
     same_id = held_by.join(again, "doc_id").select("a", F.col("rep").alias("b"))
