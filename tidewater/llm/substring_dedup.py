@@ -218,8 +218,8 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
                 words = words_of(text)
                 gone = 0
                 if cuts.is_valid and len(words) >= window:
-                    cuts = cuts.values
-                    start, tag = cuts.field("start").to_numpy(), cuts.field("tag").to_numpy()
+                    cuts = cuts.values.to_numpy()
+                    start, tag = cuts >> 32, cuts.astype(np.uint32).view(np.int32)
                     own = (two.at(hashes.array(words), window) >> U64(32)).astype(np.uint32).view(np.int32)
                     start, tag = start[start < len(own)], tag[start < len(own)]
                     start = start[own[start] == tag]
@@ -264,7 +264,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     anchors = _anchor_rows(ordered, window, length, flush)
     places = _shared(anchors).groupBy("doc_id").agg(F.collect_list("pos").alias("places"))
     late = _late(_window_rows(ordered.join(places, "doc_id"), window, length, flush))
-    cuts = late.groupBy("doc_id").agg(F.collect_list(F.struct("start", "tag")).alias("cuts"))
+    cuts = late.groupBy("doc_id").agg(F.collect_list(F.expr("shiftleft(cast(start AS bigint), 32) | (cast(tag AS bigint) & 4294967295)")).alias("cuts"))
     kept = _cut(ordered.join(cuts, "doc_id", "left").select("doc_id", "text", "cuts"), window)
     loose = _cut(docs.where("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts")), window)
     return kept.unionByName(loose).select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept_text"))
