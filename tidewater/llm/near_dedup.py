@@ -7,14 +7,16 @@
    similarity of 0.8 share at least ``need`` of their retained values, so with
    the values put in order of rarity each class is listed under its first
    ``shared - need + 1`` values only; values held by one class are never listed.
-3. Every list links its members to its smallest member, and each class meets a few
-   random members of its first lists: no more pairs than list entries. Each pair is
+3. Every list links its members to its most central one, whose retained values
+   occur most often (the original, in a family of edited copies), and each class
+   meets a few random members of its first lists: no more pairs than list entries. Each pair is
    tested by the union-sketch estimate and then exactly, on the full word shingles
    of both whole texts.
-4. Lists whose members are not yet all in one component are compared in blocks
-   of at most ``block`` members, each pair of blocks in some task; only pairs of
-   different components that pass the estimate leave it, and they are verified
-   exactly too. No list is capped.
+4. Classes in lists whose members are not yet all in one component are listed anew
+   with sketches of ``wide`` values, which tell far more pairs apart. What is still
+   open is compared in blocks of about ``block`` members, each pair of blocks in some
+   task; only pairs of different components that pass the estimate leave it, each
+   from one list, and they are verified exactly too. No list is capped.
 
 ``need`` for sketches that do not hold their whole set is the count below which
 a pair of similarity 0.8 falls with a probability of about 1e-9 (a binomial
@@ -129,7 +131,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, k: int, num: int, den:
 
 def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Candidate pairs of different labels from blocked lists: value, i, j, rep,
-    label, own block, centre, n, sketch, prefix. A pair comes from the list of the
+    label, own block, n, sketch, prefix. A pair comes from the list of the
     smallest value under which both are listed, and from no other."""
     need = needed_overlap(k, num, den)
 
@@ -157,7 +159,6 @@ def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
             good &= label[:, None] != label[None, :]
             good &= den * np.minimum(n[:, None], n[None, :]) >= num * np.maximum(n[:, None], n[None, :])
             good &= (block[:, None] != block[None, :]) | (g["i"][0] == g["j"][0])
-            good &= (rep != g["centre"])[:, None] & (rep != g["centre"])[None, :]
             out = [
                 (min(rep[x], rep[y]), max(rep[x], rep[y]))
                 for x, y in zip(*np.nonzero(np.triu(good, 1)))
@@ -170,6 +171,23 @@ def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return keyed.mapInArrow(run, "a long, b long")
 
 
+def _listing(classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """rep, n, w (how often its values occur), prefix: the values that a class is
+    listed under, in growing order. Classes that can have no partner are left out."""
+    need = needed_overlap(k, num, den)
+    values = _values(classes)
+    common = values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    least = F.when(F.col("n") <= k, F.least(F.lit(need), F.ceil(F.col("n") * num / den))).otherwise(F.lit(need)).cast("int")
+    return (
+        values.join(common, "value")
+        .groupBy("rep", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"), F.sum("df").alias("w"))
+        .withColumn("take", F.size("v") - least + 1)
+        .where("take > 0")
+        .select("rep", "n", "w", F.expr("array_sort(transform(slice(v, 1, take), x -> x.value))").alias("prefix"))
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -178,8 +196,9 @@ def near_duplicates(
     num: int = 80,
     den: int = 100,
     k: int = 48,
-    block: int = 256,
+    block: int = 512,
     meetings: int = 4,
+    wide: int = 256,
 ) -> DataFrame:
     """Components of texts with ``den * |A & B| >= num * |A | B|`` over distinct
     ``n``-word shingles (A-Z lower-cased; fewer words: the whole sequence).
@@ -199,29 +218,17 @@ def near_duplicates(
     classes = linked.groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
     )
-    values = _values(classes)
-    common = values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    need = needed_overlap(k, num, den)
-    least = F.when(F.col("n") <= k, F.least(F.lit(need), F.ceil(F.col("n") * num / den))).otherwise(F.lit(need)).cast("int")
-    listed = (
-        values.join(common, "value")
-        .groupBy("rep", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
-        .withColumn("take", F.size("v") - least + 1)
-        .where("take > 0")
-        .select("rep", "n", F.expr("array_sort(transform(slice(v, 1, take), x -> x.value))").alias("prefix"))
-    )
-    listed = checkpointed(listed)
-    entries = listed.select("rep", "n", F.explode("prefix").alias("value"))
-    held = classes.select("rep", "sketch").join(listed, "rep")
+    listed = checkpointed(_listing(classes, k, num, den))
+    entries = listed.select("rep", "n", "w", F.explode("prefix").alias("value"))
+    held = classes.select("rep", "sketch").join(listed.select("rep", "n"), "rep")
     texts = checkpointed(
         docs.where("doc_id IS NOT NULL").join(held, F.col("doc_id") == F.col("rep"))
-        .select("rep", "n", "sketch", "prefix", F.col("text").cast("binary").alias("text"))
+        .select("rep", "n", "sketch", F.col("text").cast("binary").alias("text"))
     )
 
     centres = entries.groupBy("value").agg(
-        F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("members")
-    ).where("members > 1").select("value", "members", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"))
+        F.max(F.struct("w", (-F.col("rep")).alias("r"), "n")).alias("c"), F.count("*").alias("members")
+    ).where("members > 1").select("value", "members", (-F.col("c.r")).alias("centre"), F.col("c.n").alias("cn"))
     centres = checkpointed(centres)
     alike = f"rep != centre AND {den} * least(n, cn) >= {num} * greatest(n, cn)"
     pair = (F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b"))
@@ -238,20 +245,26 @@ def near_duplicates(
     links = checkpointed(_verified(stars, texts, n, k, num, den))
     labels = connected_components(links)
 
-    split = entries.join(centres.where("members > 2"), "value").join(labels, F.col("rep") == F.col("node"), "left").select(
-        "value", "rep", "n", "centre", "members", F.coalesce("label", "rep").alias("label")
-    )
-    open_lists = split.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("value")
-    blocks = F.ceil(F.col("members") / block).cast("int")
+    # lists whose members are not all in one component: listed anew, by sketches
+    # of ``wide`` values, and only what is then still open is compared
+    def open_lists(entries):
+        own = entries.join(labels, F.col("rep") == F.col("node"), "left").select("value", "rep", F.coalesce("label", "rep").alias("label"))
+        sizes = own.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"))
+        return own.join(sizes.where("lo != hi").select("value", "members"), "value")
+
+    pending = open_lists(entries.join(centres.where("members > 2").select("value"), "value")).select("rep").distinct()
+    wider = checkpointed(sketch(texts.join(pending, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "text"), n, wide)
+                         .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"))
+    again = checkpointed(_listing(wider, wide, num, den))
     members = (
-        split.join(open_lists, "value", "left_semi")
-        .withColumn("blocks", blocks)
+        open_lists(again.select("rep", F.explode("prefix").alias("value")))
+        .withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "n", "centre", "label", "block")
-        .join(texts.select("rep", "sketch", "prefix"), "rep")
+        .select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "label", "block")
+        .join(wider.join(again.select("rep", "prefix"), "rep"), "rep")
     )
-    more = _verified(_blocks(members, k, num, den), texts, n, k, num, den)
+    more = _verified(_blocks(members, wide, num, den), texts, n, k, num, den)
     held_by = linked.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep").distinct()
     again = held_by.groupBy("doc_id").agg(F.min("rep").alias("a"), F.count("*").alias("times")).where("times > 1")
     same_id = held_by.join(again, "doc_id").select("a", F.col("rep").alias("b"))
