@@ -12,6 +12,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidewater.session import checkpoint_dir
 
@@ -35,6 +36,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def map_rows(df: DataFrame, run, *more: StructField) -> DataFrame:
+    """``mapInArrow`` that returns all columns of ``df``, and ``more`` after them.
+    Columns are numbered meanwhile, since it takes no names with dots in them."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, *more])).toDF(*df.columns, *[f.name for f in more])
+
+
 def words_of(text: bytes | None, lower: bool = False) -> list[bytes]:
     if not text:
         return []

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHash, checkpointed, mix64, quoted, shingle_hashes, two_columns, words_of
+from .common import WordHash, checkpointed, map_rows, mix64, quoted, shingle_hashes, two_columns, words_of
 
 
 def _shingles(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
@@ -166,5 +166,5 @@ def decontaminated(
                     clean.append(next(lookup.hits(words, values), None) is None)
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_rows(docs, run)
     return docs

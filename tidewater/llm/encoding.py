@@ -14,17 +14,18 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField
 
-from .common import U64, mix64, quoted
+from .common import U64, map_rows, mix64, quoted
 from .pieces import Lattices, Trie, vocabulary
 
 CHUNK = re.compile(rb" *[^ \n]+| +|\n")
 #: Bytes of text that are laid out at a time; bounds memory, not the result.
-SLAB = 2 << 20
+SLAB = 3 << 20
 
 
 class Sampler:
@@ -32,7 +33,6 @@ class Sampler:
         self.trie = Trie(vocab)
         self.logp = vocab["logp"] / temperature
         self.seed = seed
-        self.surface = [vocab["surface"].get(i, b"") for i in range(vocab["size"])]
 
     def encode(self, keys: list, texts: list[bytes]) -> list[np.ndarray]:
         """Piece ids of each text."""
@@ -49,8 +49,9 @@ class Sampler:
         share = np.exp(alpha[lat.src] + self.logp[lat.ids] - alpha[lat.dst])
         total = np.cumsum(share)
         before = np.concatenate([[0.0], total])[lat.first]
-        # edge lookup: node number + share of the paths into it, ever growing
-        bound = np.minimum(total - before[lat.dst], 1.0) + lat.dst
+        # share of a node's paths up to and with each edge into it; 1 at the last
+        bound = total - before[lat.dst]
+        bound[np.maximum(lat.first[1:] - 1, 0)[np.diff(lat.first) > 0]] = 2.0
         chunk = np.array(which, np.int64)
         at, start = lat.base[chunk + 1] - 1, lat.base[chunk]
         nth = np.arange(len(chunk)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -60,8 +61,11 @@ class Sampler:
         while len(live):
             u = (mix64(stream[live] + U64(len(steps) + 1)) >> U64(11)).astype(np.float64) * 2.0**-53
             node = at[live]
-            edge = np.searchsorted(bound, node + u, "right")
-            edge = np.clip(edge, lat.first[node], lat.first[node + 1] - 1)
+            edge = lat.first[node]
+            on = np.flatnonzero(bound[edge] <= u)
+            while len(on):
+                edge[on] += 1
+                on = on[bound[edge[on]] <= u[on]]
             steps.append((live, lat.ids[edge]))
             at[live] = lat.src[edge]
             taken[live] += 1
@@ -73,8 +77,38 @@ class Sampler:
         edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         return [ids[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.surface.__getitem__, ids.tolist()))
+
+class Speller:
+    """Pieces to bytes, many texts at once."""
+
+    def __init__(self, vocab: dict):
+        surface = [vocab["surface"].get(i, b"") for i in range(vocab["size"])] + [b""]
+        self.none = vocab["size"]
+        self.flat = np.frombuffer(b"".join(surface), np.uint8)
+        self.length = np.array([len(x) for x in surface], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        out = []
+        for a in range(0, len(ids), SLAB):
+            own = ids[a : a + SLAB].astype(np.int64)
+            own[(own < 0) | (own > self.none)] = self.none
+            length = self.length[own]
+            ends = np.cumsum(length)
+            out.append(self.flat[np.repeat(self.start[own] - ends + length, length) + np.arange(int(ends[-1]) if len(ends) else 0)])
+        return np.concatenate([np.empty(0, np.uint8), *out])
+
+    def sizes(self, ids: np.ndarray) -> np.ndarray:
+        return self.length[np.where((ids < 0) | (ids > self.none), self.none, ids)]
+
+    def texts(self, column) -> pa.Array:
+        """A list column of ids as a binary column; null stays null."""
+        offsets = column.offsets.to_numpy()
+        ids = column.values.to_numpy()[offsets[0] : offsets[-1]] if len(column) else np.empty(0, np.int32)
+        ends = np.concatenate([[0], np.cumsum(self.sizes(ids))])
+        cuts = ends[offsets - offsets[0]] if len(column) else np.zeros(1, np.int64)
+        plain = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(cuts.astype(np.int64).tobytes()), pa.py_buffer(self.spell(ids).tobytes())])
+        return pc.if_else(column.is_valid(), plain, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
 
 def sample_pieces(
@@ -89,7 +123,7 @@ def sample_pieces(
     key like another, and rows alike in doc_id and text get the same pieces. Other
     columns are ignored; an empty table gives no rows."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary(model))
-    docs = docs.select(quoted(key).cast("long").alias("doc_id"), quoted(text).cast("binary").alias("text"), *map(quoted, carry))
+    docs = docs.select(quoted(key).cast("long").alias("doc_id"), quoted(text).cast("binary").alias("text"), *[quoted(c).alias(f"carry{i}") for i, c in enumerate(carry)])
 
     def run(batches):
         sampler = Sampler(sent.value, temperature, seed)
@@ -110,10 +144,11 @@ def sample_pieces(
             values = np.concatenate([np.empty(0, np.int32), *out])
             pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array(missing))
             counts = pa.array(np.array(lengths, np.int64), mask=missing)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pieces, counts, *batch.columns[2:]], names=["doc_id", "pieces", "n_pieces", *carry])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pieces, counts, *batch.columns[2:]], names=["doc_id", "pieces", "n_pieces", *batch.schema.names[2:]])
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return docs.mapInArrow(run, "doc_id long, pieces array<int>, n_pieces long" + (", " + fields if carry else ""))
+    fields = [f"carry{i} {docs.schema[f'carry{i}'].dataType.simpleString()}" for i in range(len(carry))]
+    out = docs.mapInArrow(run, ", ".join(["doc_id long, pieces array<int>, n_pieces long", *fields]))
+    return out.toDF("doc_id", "pieces", "n_pieces", *carry)
 
 
 def decode_pieces(encoded: DataFrame, model: str, pieces: str = "pieces", into: str = "decoded") -> DataFrame:
@@ -124,12 +159,8 @@ def decode_pieces(encoded: DataFrame, model: str, pieces: str = "pieces", into:
     raw = f"{into}_bytes"
 
     def run(batches):
-        surface = {i: s for i, s in sent.value["surface"].items()}
-        spell = lambda ids: b"".join([surface.get(i, b"") for i in ids])
+        speller = Speller(sent.value)
         for batch in batches:
-            column = batch.column(place)
-            texts = [spell(x.values.to_pylist()) if x.is_valid else None for x in column]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, raw])
+            yield pa.RecordBatch.from_arrays([*batch.columns, speller.texts(batch.column(place))], names=[*batch.schema.names, raw])
 
-    schema = StructType([*encoded.schema.fields, StructField(raw, BinaryType())])
-    return encoded.mapInArrow(run, schema).withColumn(into, F.col(raw).cast("string")).drop(raw)
+    return map_rows(encoded, run, StructField(raw, BinaryType())).withColumn(into, F.col(raw).cast("string")).drop(raw)

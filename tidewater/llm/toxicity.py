@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, two_columns
+from .common import map_rows, quoted, two_columns
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœßšž"
 #: What a sign may stand for (fixed values).
@@ -304,4 +304,4 @@ def without_toxic(docs: DataFrame, model: tuple, text: str = "text", threshold:
         for batch in batches:
             yield batch.filter(pa.array([score(t.as_py()) < threshold for t in batch.column(place)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)
