@@ -142,9 +142,14 @@ def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
         _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
         many = times[code] > 1
         _, code = np.unique(code[many], return_inverse=True)
-        grid = np.zeros((len(sets), int(code.max(initial=-1)) + 1), np.float32)
-        grid[owner[many], code] = 1
-        return grid @ grid.T
+        owner = owner[many]
+        total = np.zeros((len(sets), len(sets)), np.float32)
+        for a in range(0, int(code.max(initial=-1)) + 1, 4096):  # a slice of the values at a time
+            part = (code >= a) & (code < a + 4096)
+            grid = np.zeros((len(sets), 4096), np.float32)
+            grid[owner[part], code[part] - a] = 1
+            total += grid @ grid.T
+        return total
 
     def run(batches):
         for g in runs(batches, ["value", "i", "j"]):
@@ -196,7 +201,7 @@ def near_duplicates(
     num: int = 80,
     den: int = 100,
     k: int = 48,
-    block: int = 512,
+    block: int = 2048,
     meetings: int = 4,
     wide: int = 256,
 ) -> DataFrame:
