@@ -339,7 +339,7 @@ def q_hash_layout(spark, sf_dir):
 def q_cap_partitions(spark, sf_dir):
     from .layout import cap_partitions
 
-    return cap_partitions(read_table(spark, sf_dir, "lineitem"), 3, shuffle=False)
+    return cap_partitions(read_table(spark, sf_dir, "lineitem"), 3)
 
 
 # --------------------------------------------------------------- snapshot tables
@@ -712,7 +712,7 @@ def q_stream_sync_upsert(spark, sf_dir):
         part = ev.filter((F.col("ts") >= fx.ntz(lo)) & (F.col("ts") < fx.ntz(hi)))
         part.write.parquet(f"{arrivals}/arrival={i}")
         stream = spark.readStream.schema(ev.schema).parquet(f"{arrivals}/arrival=*")
-        run_available(stream, writer, ckpt, timeout_s=600)
+        run_available(stream, writer, ckpt)
     return spark.read.parquet(latest_snapshot(spark, base))
 
 

@@ -173,10 +173,14 @@ def save_partitions_in_place(
         raise ValueError("in-place partition writes support upsert, ignore_record and append")
     spark = incoming.sparkSession
     pcols = list(partition_by)
+    target = read_snapshot(spark, table_path)
     if mode is SaveMode.APPEND:
+        if target is not None:
+            check_incoming_columns(target, incoming)
+            incoming = align_to(target.schema, incoming)
+            pcols = [resolve_column(target, p) for p in pcols]
         incoming.write.mode("append").partitionBy(*pcols).parquet(table_path)
         return pcols
-    target = read_snapshot(spark, table_path)
     if target is None:
         merge_state(None, incoming, mode, keys=keys, order_by=order_by, dedup=dedup).write.mode(
             "errorifexists"

@@ -44,7 +44,7 @@ class Endpoint:
     url: str
     driver: str
     user: str | None = None
-    password: str | None = None
+    password: str | None = field(default=None, repr=False)
     db: str | None = None
     host: str | None = None
     schema: str | None = None
