@@ -77,12 +77,12 @@ def _values(classes: DataFrame) -> DataFrame:
             sketches = [np.frombuffer(s, np.int64) for s in batch.column("sketch").to_pylist()]
             times = [len(s) for s in sketches]
             yield pa.RecordBatch.from_arrays(
-                [np.repeat(batch.column(c).to_numpy(), times) for c in ("rep", "n")]
+                [np.repeat(batch.column(c).to_numpy(), times) for c in ("rep", "n", "label")]
                 + [np.concatenate([np.empty(0, np.int64), *sketches])],
-                names=["rep", "n", "value"],
+                names=["rep", "n", "label", "value"],
             )
 
-    return classes.select("rep", "n", "sketch").mapInArrow(run, "rep long, n long, value long")
+    return classes.select("rep", "n", "label", "sketch").mapInArrow(run, "rep long, n long, label long, value long")
 
 
 def estimate_passes(x: np.ndarray, y: np.ndarray, nx: int, ny: int, k: int, num: int, den: int, need: int) -> bool:
@@ -135,20 +135,39 @@ def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
     smallest value under which both are listed, and from no other."""
     need = needed_overlap(k, num, den)
 
-    def overlaps(sets):
-        """Number of common values, for all pairs of the sets."""
+    def open_members(sketches, label, least):
+        """Members that still hold ``least`` values which other labels have too,
+        counting only such members: all others can have no partner here."""
+        owner = np.repeat(np.arange(len(sketches)), [len(s) for s in sketches])
+        _, code = np.unique(np.concatenate(sketches), return_inverse=True)
+        alive = np.ones(len(sketches), bool)
+        while True:
+            lo = np.full(code.max(initial=-1) + 1, np.iinfo(np.int64).max)
+            hi = np.full(len(lo), np.iinfo(np.int64).min)
+            np.minimum.at(lo, code, label[owner])
+            np.maximum.at(hi, code, label[owner])
+            useful = lo[code] != hi[code]
+            held = alive & (np.bincount(owner[useful], minlength=len(sketches)) >= least)
+            if (held == alive).all():
+                return np.flatnonzero(held)
+            alive = held
+            keep = useful & alive[owner]
+            owner, code = owner[keep], code[keep]
+
+    def overlaps(sets, rows):
+        """Number of common values of the sets in ``rows`` with all sets."""
         flat = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
         many = times[code] > 1
         _, code = np.unique(code[many], return_inverse=True)
         owner = owner[many]
-        total = np.zeros((len(sets), len(sets)), np.float32)
-        for a in range(0, int(code.max(initial=-1)) + 1, 4096):  # a slice of the values at a time
-            part = (code >= a) & (code < a + 4096)
-            grid = np.zeros((len(sets), 4096), np.float32)
+        total = np.zeros((len(rows), len(sets)), np.float32)
+        for a in range(0, int(code.max(initial=-1)) + 1, 1024):  # a slice of the values at a time
+            part = (code >= a) & (code < a + 1024)
+            grid = np.zeros((len(sets), int(code[part].max()) - a + 1), np.float32)
             grid[owner[part], code[part] - a] = 1
-            total += grid @ grid.T
+            total += grid[rows] @ grid.T
         return total
 
     def run(batches):
@@ -157,17 +176,30 @@ def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 continue
             n, rep, label, block = g["n"], g["rep"], g["label"], g["block"]
             sketches = [np.frombuffer(s, U64) for s in g["sketch"]]
-            share = overlaps(sketches)
-            earlier = overlaps([p[p < g["value"][0]] for p in g["prefix"]])
             least = np.where(n <= k, np.minimum(need, -(-num * n // den)), need)
-            good = (share >= np.maximum(least[:, None], least[None, :])) & (earlier == 0)
-            good &= label[:, None] != label[None, :]
-            good &= den * np.minimum(n[:, None], n[None, :]) >= num * np.maximum(n[:, None], n[None, :])
-            good &= (block[:, None] != block[None, :]) | (g["i"][0] == g["j"][0])
+            left = open_members(sketches, label, least)
+            if len(left) < 2:
+                continue
+            n, rep, label, block, least = (v[left] for v in (n, rep, label, block, least))
+            sketches = [sketches[x] for x in left]
+            # every pair of two labels has a member outside the largest label
+            names, size = np.unique(label, return_counts=True)
+            rows = np.flatnonzero(label != names[size.argmax()])
+            good = label[rows][:, None] != label[None, :]
+            good &= den * np.minimum(n[rows][:, None], n[None, :]) >= num * np.maximum(n[rows][:, None], n[None, :])
+            good &= (block[rows][:, None] != block[None, :]) | (g["i"][0] == g["j"][0])
+            share, sizes = overlaps(sketches, rows), n[rows][:, None] + n[None, :]
+            good &= share >= np.maximum(least[rows][:, None], least[None, :])
+            whole = (n[rows][:, None] <= k) & (n[None, :] <= k)
+            good &= ~whole | (den * share >= num * (sizes - share))
+            if not good.any():
+                continue
+            good &= overlaps([p[p < g["value"][0]] for p in g["prefix"][left]], rows) == 0
+            found = {(min(rep[x], rep[y]), max(rep[x], rep[y]), min(x, y), max(x, y)) for x, y in zip(rows[np.nonzero(good)[0]], np.nonzero(good)[1])}
             out = [
-                (min(rep[x], rep[y]), max(rep[x], rep[y]))
-                for x, y in zip(*np.nonzero(np.triu(good, 1)))
-                if rep[x] != rep[y] and estimate_passes(sketches[x], sketches[y], n[x], n[y], k, num, den, need)
+                (a, b)
+                for a, b, x, y in found
+                if a != b and estimate_passes(sketches[x], sketches[y], n[x], n[y], k, num, den, need)
             ]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([int(p[i]) for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
@@ -178,10 +210,15 @@ def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 def _listing(classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """rep, n, w (how often its values occur), prefix: the values that a class is
-    listed under, in growing order. Classes that can have no partner are left out."""
+    listed under, in growing order. Only values under two labels or more count, as
+    no others are common to a pair of different labels; classes that can have no
+    partner are left out."""
     need = needed_overlap(k, num, den)
     values = _values(classes)
-    common = values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    common = (
+        values.groupBy("value").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        .where("lo != hi").select("value", "df")
+    )
     least = F.when(F.col("n") <= k, F.least(F.lit(need), F.ceil(F.col("n") * num / den))).otherwise(F.lit(need)).cast("int")
     return (
         values.join(common, "value")
@@ -222,7 +259,7 @@ def near_duplicates(
     linked = base.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = linked.groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
-    )
+    ).withColumn("label", F.col("rep"))
     listed = checkpointed(_listing(classes, k, num, den))
     entries = listed.select("rep", "n", "w", F.explode("prefix").alias("value"))
     held = classes.select("rep", "sketch").join(listed.select("rep", "n"), "rep")
@@ -259,7 +296,9 @@ def near_duplicates(
 
     pending = open_lists(entries.join(centres.where("members > 2").select("value"), "value")).select("rep").distinct()
     wider = checkpointed(sketch(texts.join(pending, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "text"), n, wide)
-                         .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"))
+                         .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch")
+                         .join(labels, F.col("rep") == F.col("node"), "left")
+                         .select("rep", "n", "sketch", F.coalesce("label", "rep").alias("label")))
     again = checkpointed(_listing(wider, wide, num, den))
     members = (
         open_lists(again.select("rep", F.explode("prefix").alias("value")))
@@ -267,7 +306,7 @@ def near_duplicates(
         .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "label", "block")
-        .join(wider.join(again.select("rep", "prefix"), "rep"), "rep")
+        .join(wider.select("rep", "n", "sketch").join(again.select("rep", "prefix"), "rep"), "rep")
     )
     more = _verified(_blocks(members, wide, num, den), texts, n, k, num, den)
     held_by = linked.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep").distinct()
