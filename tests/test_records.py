@@ -99,3 +99,18 @@ def test_coercion_in_nested_types(spark):
     out = [r.r for r in df.select(read_json("js", "ids array<int>, p struct<n:int, s:string>").alias("r")).collect()]
     assert out[0].ids == [1, 2] and (out[0].p.n, out[0].p.s) == (3, "x")
     assert out[1] is None
+
+
+@pytest.mark.parametrize(
+    "js, want",
+    [("7.0", 7), ("1e3", 1000), ("7.9", 7), ("-7.9", -7), ('"7"', 7), ("9223372036854775807", 9223372036854775807), ("1e30", None)],
+)
+def test_integer_fields_take_any_number(spark, js, want):
+    df = spark.createDataFrame([(f'{{"k": {js}, "l": [{js}]}}',)], "js string")
+    r = df.select(read_json("js", "k bigint, l array<bigint>").alias("r")).collect()[0].r
+    assert (r and (r.k, r.l)) == (None if want is None else (want, [want]))
+
+
+def test_convert_record_double_to_int(spark):
+    df = spark.createDataFrame([(7.0,), (7.9,), (1e7,)], "v double")
+    assert [r.r.v for r in df.select(convert_record(F.struct("v"), "v int").alias("r")).collect()] == [7, 7, 10000000]

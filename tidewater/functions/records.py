@@ -62,6 +62,21 @@ def _as_text(dt: T.DataType) -> T.DataType:
     return dt
 
 
+def _typed(v: Column, dt: T.DataType) -> Column:
+    """Text leaves of ``v`` as ``dt``, at any depth. An integer field takes any
+    number, its fraction cut off (``7.9`` and ``7e0`` give 7); a number out of the
+    type's range does not convert."""
+    if isinstance(dt, T.StructType):
+        return F.when(v.isNotNull(), F.struct(*[_typed(v[f.name], f.dataType).alias(f.name) for f in dt.fields]))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(v, lambda x: _typed(x, dt.elementType))
+    if isinstance(dt, T.MapType):
+        return F.transform_values(v, lambda _, x: _typed(x, dt.valueType))
+    if isinstance(dt, T.IntegralType):
+        return F.coalesce(v.try_cast(dt), v.try_cast("decimal(38,18)").try_cast(dt))
+    return v.try_cast(dt)
+
+
 def _lost(src: Column, dst: Column, dt: T.DataType) -> Column:
     """True where a non-NULL value of ``src`` became NULL in ``dst`` (the
     converted copy), at any depth - a value that did not convert."""
@@ -105,7 +120,7 @@ def read_json(
             for f in st.fields:
                 v = parsed[f.name]
                 if f in converted:
-                    t = v.try_cast(f.dataType)
+                    t = _typed(v, f.dataType)
                     v = F.when(_lost(v, t, f.dataType), F.raise_error(
                         F.concat(F.lit(f"JSON field {f.name} does not convert to {f.dataType.simpleString()}: "), c)
                     ).cast(f.dataType)).otherwise(t)
@@ -124,7 +139,7 @@ def read_json(
     for f in st.fields:
         v = parsed[f.name]
         if f in converted:
-            t = v.try_cast(f.dataType)
+            t = _typed(v, f.dataType)
             bad = bad | _lost(v, t, f.dataType)
             v = t
         fields.append(v.alias(f.name))
