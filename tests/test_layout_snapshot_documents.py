@@ -222,3 +222,13 @@ def test_named_collections(spark, tmp_path):
     store = DocumentStore(root=str(tmp_path / "crawl"))
     save_collection(spark.createDataFrame([(1, "10% off")], "_id long, title string"), store, NAMED_COLLECTIONS["coupon"])
     assert [r.title for r in read_named_collection(spark, store, "coupon").collect()] == ["10% off"]
+
+
+def test_replace_keeps_other_documents_byte_identical(spark, tmp_path):
+    store = DocumentStore(root=str(tmp_path / "s"))
+    lines = ['{"_id":1, "price":12345678901234567.89,"tags":{"b":1.50,"a":[1,2.0]}}', '{"_id":2,"price":1.0}', '{"price":3.10}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(store.path("c"))
+    new = spark.createDataFrame([(2, "x"), (3, None)], "_id long, name string")
+    save_collection(new, store, "c", out_collection="c2")
+    got = sorted(r.value for r in spark.read.text(store.path("c2")).collect())
+    assert got == sorted([lines[0], lines[2], '{"_id":2,"name":"x"}', '{"_id":3}'])

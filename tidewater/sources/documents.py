@@ -19,6 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import dedup_incoming
@@ -130,7 +131,7 @@ def save_collection(
     if ID_FIELD not in df.columns:
         df.write.options(**JSON_FILE_OPTIONS).mode("append").json(store.path(collection))
         return collection
-    current = _read_existing(df.sparkSession, store.path(collection), df.schema)
+    current = _read_lines(df.sparkSession, store.path(collection))
     if current is None:
         dedup_incoming(df, [ID_FIELD], keep="last").write.options(**JSON_FILE_OPTIONS).mode("errorifexists").json(
             store.path(collection)
@@ -138,9 +139,7 @@ def save_collection(
         return collection
     if not out_collection or out_collection == collection:
         raise ValueError("replacing by _id needs a new out_collection folder")
-    replace_documents(current, df).write.options(**JSON_FILE_OPTIONS).mode("errorifexists").json(
-        store.path(out_collection)
-    )
+    _replace_lines(current, df).write.mode("errorifexists").text(store.path(out_collection))
     return out_collection
 
 
@@ -152,14 +151,27 @@ def replace_documents(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return kept.unionByName(inc, allowMissingColumns=True)
 
 
-def _read_existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def _replace_lines(lines: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The collection's JSON lines after replacement. Lines whose ``_id`` the new
+    documents do not have stay as they are, byte by byte: only their ``_id`` is
+    read, so no schema is inferred and no other value is converted. A line that is
+    no JSON object, or has no ``_id`` of the incoming type, stays too."""
+    inc = dedup_incoming(incoming, [ID_FIELD], keep="last")
+    id_type = T.StructType([T.StructField(ID_FIELD, incoming.schema[ID_FIELD].dataType)])
+    known = lines.withColumn(ID_FIELD, F.from_json("value", id_type, JSON_FILE_OPTIONS)[ID_FIELD])
+    gone = inc.filter(inc[ID_FIELD].isNotNull()).select(ID_FIELD)
+    fields = F.struct(*["`" + c.replace("`", "``") + "`" for c in inc.columns])
+    return known.join(gone, ID_FIELD, "left_anti").select("value").unionByName(
+        inc.select(F.to_json(fields, JSON_FILE_OPTIONS).alias("value"))
+    )
+
+
+def _read_lines(spark: SparkSession, path: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
 
     try:
-        df = spark.read.options(**JSON_FILE_OPTIONS).json(path)
-        df.schema  # noqa: B018
-        return df
+        return spark.read.text(path).select("value")
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+        if "PATH_NOT_FOUND" in str(exc):
             return None
         raise
