@@ -501,7 +501,7 @@ def q_sync_range_ignore_record(spark, sf_dir):
     "job_document_daily",
     "WITH d AS (SELECT event_id AS _id, ts AS updateAt, user_id, "
     "CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events), "
-    "t AS (SELECT * FROM d WHERE updateAt < TIMESTAMP '2024-01-15'), "
+    f"t AS (SELECT * FROM d WHERE updateAt < TIMESTAMP '{fx.EVENTS_TARGET_BEFORE}'), "
     f"i AS (SELECT * FROM d WHERE strftime(updateAt, '%Y-%m-%d') = '{fx.EVENTS_SYNC_DAY}') "
     "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i._id = t._id) UNION ALL SELECT * FROM i",
 )
@@ -517,7 +517,7 @@ def q_job_document_daily(spark, sf_dir):
     save_collection(docs, store, "events")
     coll = read_collection(spark, store, "events", schema="_id bigint, updateAt timestamp_ntz, user_id bigint, props string")
     typed = coll.select("_id", "updateAt", "user_id", read_json("props", "k bigint")["k"].alias("k"))
-    target = typed.filter(F.col("updateAt") < fx.ntz("2024-01-15"))
+    target = typed.filter(F.col("updateAt") < fx.ntz(fx.EVENTS_TARGET_BEFORE))
     today = filter_document_daily(typed, fx.EVENTS_SYNC_DAY)
     return merge_state(target, today, SaveMode.UPSERT, keys=["_id"])
 

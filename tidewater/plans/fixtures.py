@@ -21,7 +21,7 @@ ORDERS_CHANGED_SINCE = "1998-01-01"
 LINEITEM_TARGET_BEFORE = "1998-01-01"
 LINEITEM_CHANGED_SINCE = "1997-01-01"
 EVENTS_SYNC_DAY = "2024-01-15"
-EVENTS_TARGET_BEFORE = "2024-01-16"
+EVENTS_TARGET_BEFORE = "2024-01-15 06:00:00"
 
 
 def ntz(day: str):
@@ -59,6 +59,7 @@ def lineitem_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yesterday's copy of ``events``: rows up to the sync day, values stale (0)."""
+    """An older copy of ``events``, values stale (0). It ends within the sync day,
+    so a change window holds both keys it has and keys it lacks."""
     ev = read_table(spark, sf_dir, "events")
     return ev.filter(F.col("ts") < ntz(EVENTS_TARGET_BEFORE)).withColumn("value", F.lit(0.0))
