@@ -358,7 +358,7 @@ def _upsert_partial(
     side, so a small change set is broadcast and the target is not shuffled);
     a matched row takes the incoming values for the covered columns and keeps
     its own for the rest. Incoming rows with no target row are found with an
-    anti-join against the target's *keys only*.
+    anti-join against the target keys that the change set holds.
     """
     cols = target.columns
     knull = any_key_null(keys)
@@ -371,7 +371,7 @@ def _upsert_partial(
             for c in cols
         ]
     )
-    fresh = inc_nn.join(target.filter(~knull).select(*keys), keys, "left_anti")
+    fresh = inc_nn.join(_present(target, inc_k, keys), keys, "left_anti")
     return (
         target.filter(knull)
         .unionByName(updated)
@@ -380,7 +380,13 @@ def _upsert_partial(
     )
 
 
+def _present(target: DataFrame, inc_k: DataFrame, keys: list[str]) -> DataFrame:
+    """Target keys that the change set holds too. A small change set is the build
+    side here, so the target's keys are filtered where they are read; only the
+    hits move on."""
+    return target.filter(~any_key_null(keys)).select(*keys).join(inc_k.select(*keys), keys, "left_semi")
+
+
 def _ignore_record(target: DataFrame, inc_k: DataFrame, inc_n: DataFrame, keys: list[str]) -> DataFrame:
-    knull = any_key_null(keys)
-    fresh = inc_k.join(target.filter(~knull).select(*keys), keys, "left_anti")
+    fresh = inc_k.join(_present(target, inc_k, keys), keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns)).unionByName(inc_n)
