@@ -122,8 +122,10 @@ def sync_to_jdbc(
     dedup: bool = True,
     **window,
 ):
-    """Sync into a relational table through the staged six-mode writer."""
+    """Sync into a relational table through the staged six-mode writer. The change
+    set is written to the checkpoint folder first, as a live source may answer
+    differently each time it is read; ``materialize=None`` leaves that out."""
     from ..sinks.jdbc import save_jdbc
 
-    incoming = changed_rows(source, **window)
+    incoming = changed_rows(source, **{"materialize": "checkpoint", **window})
     return save_jdbc(incoming, endpoint, table, mode, keys=keys, order_by=order_by, dedup=dedup)

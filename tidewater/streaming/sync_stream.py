@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import SaveMode
+from ..session import checkpoint_dir
 from ..sinks.snapshot import save_snapshot
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -58,6 +59,13 @@ def latest_snapshot(spark: SparkSession, base: str) -> str | None:
     return version_path(base, versions[-1]) if versions else None
 
 
+def _once(batch: DataFrame) -> DataFrame:
+    """The batch, evaluated one time: the merge reads its change set more than once,
+    and a source that answers differently would lose or repeat rows."""
+    checkpoint_dir(batch.sparkSession)
+    return batch.checkpoint()
+
+
 def snapshot_batch_writer(
     base: str,
     mode: SaveMode | str = SaveMode.UPSERT,
@@ -86,7 +94,7 @@ def snapshot_batch_writer(
             fs.delete(p, True)  # an unfinished attempt of this same batch
         # ignore_table on an existing table writes nothing; the next batch
         # then starts from the same committed version.
-        save_snapshot(batch, current, out, mode, keys=keys, order_by=order_by, partition_by=partition_by)
+        save_snapshot(_once(batch), current, out, mode, keys=keys, order_by=order_by, partition_by=partition_by)
 
     return write
 
@@ -102,7 +110,7 @@ def jdbc_batch_writer(
     from ..sinks.jdbc import save_jdbc
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        save_jdbc(batch, endpoint, table, mode, keys=keys, order_by=order_by, **kw)
+        save_jdbc(_once(batch), endpoint, table, mode, keys=keys, order_by=order_by, **kw)
 
     return write
 
