@@ -7,6 +7,7 @@ import sys
 import pytest
 
 from conftest import SF_SMALL
+from tidewater.plans.catalog import QUERIES
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 audit = importlib.import_module("plan_audit")
@@ -18,7 +19,7 @@ WINDOWED = ["filter_daily", "filter_daily_upper", "filter_range", "document_dail
 
 @pytest.fixture(scope="module")
 def summaries(spark):
-    return {name: audit.summarise(audit.executed_plan(fn(spark, SF_SMALL))) for name, fn in E.queries().items()}
+    return {name: audit.summarise(audit.executed_plan(fn(spark, SF_SMALL))) for name, fn in QUERIES.items()}
 
 
 def test_no_python_and_no_window_anywhere(summaries):
