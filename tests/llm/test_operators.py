@@ -3,11 +3,13 @@ test table, and rows made of every awkward case."""
 
 import base64
 import gzip
+import io
 import os
 import sys
+import tarfile
 import zlib
 from collections import Counter, defaultdict
-from urllib.parse import quote
+from urllib.parse import quote, quote_plus
 
 import duckdb
 import numpy as np
@@ -218,6 +220,28 @@ def test_secrets_base_and_layers(spark):
     assert len(got) == 2 and secrets.secret_spans(awkward(spark, [])).count() == 0
 
 
+def secret_at(text, inner, **more):
+    """A decoded assignment lies within ``inner``."""
+    start = text.index(inner)
+    return any(k == "assign" and start <= a < b <= start + len(inner) for k, a, b in secrets.find_secrets(text, **more)[1])
+
+
+def test_secrets_in_binary_layers():
+    secret = b"password=hunter2secret"
+    tar = io.BytesIO()
+    with tarfile.open(fileobj=tar, mode="w:gz") as t:
+        info = tarfile.TarInfo("a")
+        info.size = len(secret)
+        t.addfile(info, io.BytesIO(secret))
+    zipped = gzip.compress(secret + b" and more" * 9)
+    for raw in (tar.getvalue(), "é password=hunter2secret ü".encode("latin-1"), bytes(range(256)) + secret + bytes(range(200, 256))):
+        inner = base64.b64encode(raw).decode()
+        assert secret_at(f"é {inner} end", inner), raw
+    hexed = "".join(f"\\x{c:02x}" for c in zipped)
+    for inner in (quote(zipped, safe=""), quote_plus(zipped), hexed, repr(zipped), quote(zlib.compress(secret))):
+        assert secret_at(f"é {inner} end", inner), inner
+
+
 def test_toxicity_held_out(spark):
     bad = ["loser", "moron", "scum"]
     rng = np.random.default_rng(1)

@@ -4,19 +4,19 @@ A text's layers are worked off from a list: the text itself, then whatever its
 URL escapes, Unicode escapes, base64 runs and compressed payloads unwrap to, and
 so on until no layer yields a new one. A layer's digest is remembered, so layers
 that decode into each other end. Each layer is scanned by the same patterns, and
-each of its characters knows the span of the original text that it came from.
+each of its bytes knows the span of the original text that it came from.
 "Remembered" means the digest together with that span: a payload that occurs
 twice is unwrapped at both places.
+
+Decoded layers are bytes, whatever their character set: the patterns are ASCII.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
 import re
 import zlib
-from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +31,23 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 NAMES = ("password", "passwd", "secret", "token", "api")
-
-URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-PLAIN = frozenset("0123456789abcdef")
+ASSIGN_BYTES, ACCESS_BYTES, HEX_BYTES = re.compile(ASSIGN.pattern.encode(), re.I), re.compile(ACCESS.pattern.encode()), re.compile(HEX.pattern.encode())
+
+URL = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
+ESCAPE = re.compile(rb"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+#: Escapes of a byte string literal. They are undone only where one holds a compressed payload.
+LITERAL = re.compile(rb"\\x([0-9A-Fa-f]{2})|\\([0-7]{1,3})|\\([abfnrtv\\'\"])")
+LITERAL_MAGIC = re.compile(rb"\\x1f\\x8b|\\037\\213|(?:x|\\x78|\\170)(?:\\x(?:01|5e|9c|da)|\\0?01|\\23[24]|\\332|\^)", re.I)
+CONTROL = dict(zip(b"abfnrtv\\'\"", b"\a\b\f\n\r\t\v\\'\""))
+#: Where a gzip or zlib payload may begin.
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+BASE64 = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Without any of these, a layer holds no secret and unwraps to nothing.
+CAUSE = re.compile(rb"(?i:password|passwd|secret|token|api)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-][A-Za-z0-9+/_\r\n-]{15}|" + MAGIC.pattern)
+PLAIN = frozenset(b"0123456789abcdef")
+STANDARD = bytes.maketrans(b"-_", b"+/")
+PLUS = re.compile(rb"\++")
+CHUNK = 1 << 16
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -52,152 +64,212 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _inflated(data: bytes, limit: int) -> tuple[bytes, bool]:
-    """(zlib or gzip payload inflated, whether it went beyond the limit)."""
-    d = zlib.decompressobj(47)
-    try:
-        out = d.decompress(data, limit)
-        over = bool(d.unconsumed_tail)
-        if not over:
-            out += d.flush()
-        return out, over
-    except zlib.error:
-        return b"", False
+def _scan_bytes(data) -> list[tuple[str, int, int]]:
+    """``scan`` of a decoded layer."""
+    found = [("assign", m.start(), m.end()) for m in ASSIGN_BYTES.finditer(data) if m.end(2) - m.start(2) >= 6]
+    found += [("access", m.start(), m.end()) for m in ACCESS_BYTES.finditer(data)]
+    return found + [("hex", m.start(), m.end()) for m in HEX_BYTES.finditer(data)]
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text.isprintable() or sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.9 * len(text) else None
+def _kinds(data) -> list[str]:
+    """The kinds of secrets in a layer."""
+    found = ["assign"] if any(m.end(2) - m.start(2) >= 6 for m in ASSIGN_BYTES.finditer(data)) else []
+    return found + [kind for kind, p in (("access", ACCESS_BYTES), ("hex", HEX_BYTES)) if p.search(data)]
+
+
+class Sink:
+    """Bytes of a layer."""
+
+    def __init__(self, limit: int):
+        self.parts, self.size, self.limit = [], 0, limit
+
+    def write(self, data: bytes) -> None:
+        self.parts.append(data)
+        self.size += len(data)
+
+    def copy(self, data, a: int, b: int) -> None:
+        self.write(data[a:b])
+
+    def data(self):
+        return b"".join(self.parts)
 
 
 class Layer:
-    """A text and, per character, the original span: arrays, or one span for all."""
+    """Bytes and, per byte, the original span: arrays, or one span for all. A payload
+    that reaches the layer's end ends at ``tail``."""
+
+    def __init__(self, data, starts: np.ndarray | None = None, ends: np.ndarray | None = None, whole: tuple[int, int] | None = None, tail: int = 0):
+        self.data, self.starts, self.ends, self.whole, self.tail = data, starts, ends, whole, tail
 
-    def __init__(self, text: str, starts: np.ndarray | None, ends: np.ndarray | None):
-        self.text, self.starts, self.ends = text, starts, ends
+    @classmethod
+    def of_text(cls, text: str) -> Layer:
+        data = text.encode("utf-8", "surrogatepass")
+        first = np.ones(len(data), bool) if len(data) == len(text) else (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
+        starts = np.cumsum(first) - 1
+        return cls(data, starts, starts + 1)
 
     def span(self, a: int, b: int) -> tuple[int, int]:
-        if self.starts is None:
-            return a, b
-        return int(self.starts[a:b].min()), int(self.ends[a:b].max())
-
-    def part(self, text: str, pieces: list[tuple[int, int, int, int]]) -> Layer:
-        """pieces: (from, to) of ``text`` that came from (from, to) of this layer;
-        equally long ones character by character."""
-        starts, ends = np.empty(len(text), np.int64), np.empty(len(text), np.int64)
-        for a, b, x, y in pieces:
-            if b - a == y - x:
-                starts[a:b] = np.arange(x, y) if self.starts is None else self.starts[x:y]
-                ends[a:b] = np.arange(x, y) + 1 if self.ends is None else self.ends[x:y]
-            else:
-                starts[a:b], ends[a:b] = self.span(x, y)
-        return Layer(text, starts, ends)
-
-
-def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
+        if self.whole or a == b:
+            return self.whole or (0, 0)
+        return int(self.starts[a:b].min()), max(int(self.ends[a:b].max()), self.tail if b == len(self.data) else 0)
+
+    def secrets(self) -> set[tuple[str, int, int]]:
+        if self.whole:
+            return {(kind, *self.whole) for kind in _kinds(self.data)}
+        return {(kind, int(self.starts[a:b].min()), int(self.ends[a:b].max())) for kind, a, b in _scan_bytes(self.data)}
+
+
+def _replaced(layer: Layer, pattern: re.Pattern, decode, limit: int) -> Layer | None:
     """The layer with each match decoded in place; None if nothing decodes."""
-    text, at, out, pieces, size, changed = layer.text, 0, [], [], 0, False
-    for m in pattern.finditer(text):
+    data, at, out, starts, ends, changed = layer.data, 0, Sink(limit), [], [], False
+    for m in pattern.finditer(data):
         new = decode(m)
         if new is None:
             continue
         changed = True
-        for s, x, y in ((text[at : m.start()], at, m.start()), *new):
-            if s:
-                out.append(s)
-                pieces.append((size, size + len(s), x, y))
-                size += len(s)
+        out.copy(data, at, m.start())
+        out.write(new)
+        if not layer.whole:
+            s, e, n = layer.starts[m.start() : m.end()], layer.ends[m.start() : m.end()], len(new)
+            each = decode is _url
+            starts += [layer.starts[at : m.start()], s[::3] if each else np.full(n, s[0])]
+            ends += [layer.ends[at : m.start()], e[2::3] if each else np.full(n, e[-1])]
         at = m.end()
     if not changed:
         return None
-    out.append(text[at:])
-    pieces.append((size, size + len(text) - at, at, len(text)))
-    return layer.part("".join(out), pieces)
+    out.copy(data, at, len(data))
+    if layer.whole:
+        return Layer(out.data(), whole=layer.whole)
+    return Layer(out.data(), np.concatenate([*starts, layer.starts[at:]]), np.concatenate([*ends, layer.ends[at:]]))
 
 
-def _url(m: re.Match):
-    raw = bytes.fromhex(m[0].replace("%", ""))
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        text = raw.decode("latin-1")
-    new, at = [], m.start()
-    for c in text:
-        width = 3 * (len(c.encode()) if len(text) != len(raw) else 1)
-        new.append((c, at, at + width))
-        at += width
-    return new
-
-
-def _escape(m: re.Match):
+def _url(m: re.Match) -> bytes:
+    return bytes.fromhex(m[0].replace(b"%", b"").decode())
+
+
+def _escape(m: re.Match) -> bytes | None:
     digits = next((int(g, 16) for g in m.groups()[:5] if g), None)
     code = int(m[6]) if digits is None else digits
     if code > 0x10FFFF or 0xD800 <= code < 0xE000:
         return None
-    return [(chr(code), m.start(), m.end())]
+    return bytes([code]) if code < 256 else chr(code).encode()
+
+
+def _literal(m: re.Match) -> bytes:
+    if m[3]:
+        return bytes([CONTROL[m[3][0]]])
+    return bytes([int(m[1], 16) if m[1] else int(m[2], 8) & 255])
+
+
+def _spaces(m: re.Match) -> bytes:
+    return b" " * len(m[0])
+
+
+def _decoded(layer: Layer, a: int, b: int, skip: int, limit: int, tail: int) -> Layer | None:
+    """Base64 between two places of a layer, without line breaks and the first ``skip`` characters."""
+    if layer.whole:
+        out, held, x = Sink(limit), b"", a
+        while x < b:
+            held += layer.data[x : min(x + CHUNK, b)].translate(STANDARD, b"\r\n")
+            x += CHUNK
+            held, skip = held[skip:], max(0, skip - len(held))
+            n = len(held) // 4 * 4
+            out.write(binascii.a2b_base64(held[:n]))
+            held = held[n:]
+        if len(held) > 1:
+            out.write(binascii.a2b_base64(held + b"=" * (4 - len(held))))
+        return Layer(out.data(), whole=layer.whole) if out.size else None
+    run = layer.data[a:b].translate(STANDARD, b"\r\n")[skip:]
+    run = run[:-1] if len(run) % 4 == 1 else run
+    raw = binascii.a2b_base64(run + b"=" * (-len(run) % 4))
+    if not raw:
+        return None
+    if not CAUSE.search(raw):
+        return Layer(raw, whole=(int(layer.starts[a]), int(layer.ends[b - 1])))
+    code = np.frombuffer(layer.data[a:b], np.uint8)
+    at = a + np.flatnonzero((code != 10) & (code != 13))[skip : skip + len(run)]
+    i = np.arange(len(raw))
+    return Layer(raw, layer.starts[at[4 * i // 3]], layer.ends[at[np.minimum(-(-4 * (i + 1) // 3), len(at)) - 1]], tail=tail)
 
 
 def _base64(layer: Layer, limit: int):
-    """A layer for each run that decodes to readable text, itself or inflated."""
-    for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    """A layer for each run that decodes."""
+    for m in BASE64.finditer(layer.data):
+        run = m[0].rstrip(b"=")
         if len(run) % 4 == 1 or PLAIN.issuperset(run):
             continue
-        try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
+        yield _decoded(layer, m.start(), m.start() + len(run), 0, limit, layer.span(*m.span())[1])
+
+
+def _inflated(data, at: int, limit: int) -> tuple[Sink, int, bool]:
+    """(zlib or gzip payload inflated, where it ends or 0, whether it went beyond the limit)."""
+    out, d = Sink(limit), zlib.decompressobj(47)
+    try:
+        out.write(d.decompress(data[at:], limit))
+        if d.unconsumed_tail:
+            return out, 0, True
+        out.write(d.flush())
+    except zlib.error:
+        return out, 0, False
+    return out, len(data) - len(d.unused_data) if d.eof else 0, False
+
+
+def _payloads(layer: Layer, limit: int):
+    """A layer for each compressed payload, wherever it starts."""
+    end = 0
+    for m in MAGIC.finditer(layer.data):
+        if m.start() < end:
             continue
-        over = False
-        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0):
-            inflated, over = _inflated(raw, limit)
-            text = _readable(inflated) if inflated else None
-            pieces = [(0, len(text), m.start(), m.end())] if text else []
-        else:
-            text, pieces = _readable(raw), []
-            if text:
-                at = 0
-                for i, c in enumerate(text):
-                    width = len(c.encode())
-                    x, y = m.start() + 4 * at // 3, m.start() + min(-(-4 * (at + width) // 3), len(run))
-                    pieces.append((i, i + 1, x, y))
-                    at += width
-        if text:
-            yield layer.part(text, [(a, b, x, y) for a, b, x, y in pieces]), over
-        elif over:
-            yield None, over
+        out, last, beyond = _inflated(layer.data, m.start(), limit)
+        end = last or end
+        if out.size:
+            yield Layer(out.data(), whole=layer.span(m.start(), last or len(layer.data))), beyond
 
 
 def find_secrets(text: str, limit: int = 32 << 20) -> tuple[list, list, int, int]:
     """(base spans, spans of decoded layers, layers, payloads cut at ``limit``)."""
+    over = 0
 
     def mark(layer):
-        digest = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        return (digest, *layer.span(0, len(layer.text)))
-
-    base, added, over = scan(text), set(), 0
-    work = deque([Layer(text, None, None)])
-    known = {mark(work[0])}
-    while work:
-        layer = work.popleft()
-        if layer.starts is not None:
-            added.update((kind, *layer.span(a, b)) for kind, a, b in scan(layer.text))
-        unwrapped = []
-        if "%" in layer.text:
-            unwrapped.append(_replaced(layer, URL, _url))
-        if "\\" in layer.text or "&#" in layer.text:
-            unwrapped.append(_replaced(layer, ESCAPE, _escape))
-        for inner, cut in _base64(layer, limit):
-            over += cut
-            unwrapped.append(inner)
-        for inner in unwrapped:
-            if inner is not None and mark(inner) not in known:
-                known.add(mark(inner))
-                work.append(inner)
-    order = lambda s: (s[1], KINDS.index(s[0]), s[2])
-    return sorted(base, key=order), sorted(added - set(base), key=order), len(known), over
+        return (hashlib.blake2b(layer.data, digest_size=16).digest(), *layer.span(0, len(layer.data)))
+
+    def unwrapped(layer, first=False):
+        nonlocal over
+        data = layer.data
+        if not first:
+            for inner, beyond in _payloads(layer, limit):
+                over += beyond
+                yield inner
+        if data.find(b"%") >= 0:
+            inner = _replaced(layer, URL, _url, limit)
+            yield inner
+            if inner is not None and MAGIC.search(inner.data):  # '+' may stand for a space
+                yield _replaced(inner, PLUS, _spaces, limit)
+        if data.find(b"\\") >= 0 or data.find(b"&#") >= 0:
+            yield _replaced(layer, ESCAPE, _escape, limit)
+            if LITERAL_MAGIC.search(data):
+                yield _replaced(layer, LITERAL, _literal, limit)
+        yield from _base64(layer, limit)
+
+    base, added = scan(text), set()
+    if not CAUSE.search(text.encode("utf-8", "surrogatepass")):
+        return sorted(base, key=_order), [], 1, 0
+    root = Layer.of_text(text)
+    known, work = {mark(root)}, [unwrapped(root, True)]
+    while work:  # one layer of each depth at a time is held
+        inner = next(work[-1], work)
+        if inner is work:
+            work.pop()
+        elif inner is not None and (key := mark(inner)) not in known:
+            known.add(key)
+            if CAUSE.search(inner.data):
+                added |= inner.secrets()
+                work.append(unwrapped(inner))
+    return sorted(base, key=_order), sorted(added - set(base), key=_order), len(known), over
+
+
+def _order(span: tuple[str, int, int]):
+    return span[1], KINDS.index(span[0]), span[2]
 
 
 def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = 32 << 20) -> DataFrame:
