@@ -242,6 +242,20 @@ def test_secrets_in_binary_layers():
         assert secret_at(f"é {inner} end", inner), inner
 
 
+def test_secrets_in_wrapped_and_prefixed_base64():
+    secret = b"password=hunter2secret"
+    lines = base64.encodebytes(b"some settings that are long enough for us passwo" + b"rd=hunter2secret and what follows").decode().strip()
+    assert secret_at(f"é\n{lines}\nend", lines)
+    zipped = base64.b64encode(gzip.compress(np.random.default_rng(1).bytes(300).hex().encode() + secret)).decode()
+    for width, end in ((64, "\n"), (76, "\r\n"), (70, "\n")):
+        lines = end.join(zipped[i : i + width] for i in range(0, len(zipped), width))
+        assert secret_at(f"é\n{lines}\nend", lines)
+    plain = base64.b64encode(secret).decode().rstrip("=")
+    for before in ("https://h/v1/", "key_", "k-", "abc", "-----BEGIN KEY-----\n", "word\n"):
+        for after in ("", "_suffix", "\nnext", "/x", "abcd"):
+            assert secret_at(f"é {before}{plain}{after} end", plain), (before, after)
+
+
 def test_toxicity_held_out(spark):
     bad = ["loser", "moron", "scum"]
     rng = np.random.default_rng(1)

@@ -41,10 +41,12 @@ LITERAL_MAGIC = re.compile(rb"\\x1f\\x8b|\\037\\213|(?:x|\\x78|\\170)(?:\\x(?:01
 CONTROL = dict(zip(b"abfnrtv\\'\"", b"\a\b\f\n\r\t\v\\'\""))
 #: Where a gzip or zlib payload may begin.
 MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
-BASE64 = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs of base64, also over line breaks, and their parts: whole lines, and what no sign divides.
+BASE64 = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-][A-Za-z0-9+/_\r\n-]{15,}={0,2}")
+PARTS = (re.compile(rb"[A-Za-z0-9+/_-]{16,}"), re.compile(rb"[A-Za-z0-9+]{16,}"))
+SIGNIFICANT = re.compile(rb"[^0-9a-f\r\n]")
 #: Without any of these, a layer holds no secret and unwraps to nothing.
 CAUSE = re.compile(rb"(?i:password|passwd|secret|token|api)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-][A-Za-z0-9+/_\r\n-]{15}|" + MAGIC.pattern)
-PLAIN = frozenset(b"0123456789abcdef")
 STANDARD = bytes.maketrans(b"-_", b"+/")
 PLUS = re.compile(rb"\++")
 CHUNK = 1 << 16
@@ -193,12 +195,26 @@ def _decoded(layer: Layer, a: int, b: int, skip: int, limit: int, tail: int) ->
 
 
 def _base64(layer: Layer, limit: int):
-    """A layer for each run that decodes."""
-    for m in BASE64.finditer(layer.data):
-        run = m[0].rstrip(b"=")
-        if len(run) % 4 == 1 or PLAIN.issuperset(run):
+    """Layers of each run, whose lines are joined, at its four alignments: a payload
+    that starts or ends anywhere in the run is whole in one of them. Only the last
+    characters of an unpadded one mix with what follows; so parts that end at a line
+    break, '/', '_' or '-' within a group of four are decoded for themselves too."""
+    data = layer.data
+    for m in BASE64.finditer(data):
+        a, b = m.span()
+        while data[b - 1] in b"=\r\n":
+            b -= 1
+        if b - a < 16 or not SIGNIFICANT.search(data, a, b):
             continue
-        yield _decoded(layer, m.start(), m.start() + len(run), 0, limit, layer.span(*m.span())[1])
+        tail = layer.span(*m.span())[1]
+        for skip in range(4):
+            yield _decoded(layer, a, b, skip, limit, tail)
+        for part in PARTS:
+            for p in part.finditer(data, a, b):
+                x, y = p.span()
+                for skip in range(4) if y < b else ():
+                    if (y - x - skip) % 4 > 1:
+                        yield _decoded(layer, x, y, skip, limit, layer.span(x, y)[1])
 
 
 def _inflated(data, at: int, limit: int) -> tuple[Sink, int, bool]:
@@ -265,6 +281,8 @@ def find_secrets(text: str, limit: int = 32 << 20) -> tuple[list, list, int, int
             if CAUSE.search(inner.data):
                 added |= inner.secrets()
                 work.append(unwrapped(inner))
+    # a part's span that ends within a group of its run's span is the same secret
+    added = {(k, a, b) for k, a, b in added if not any((k, a, b + i) in added for i in range(1, 5))}
     return sorted(base, key=_order), sorted(added - set(base), key=_order), len(known), over
 
 
