@@ -256,6 +256,20 @@ def test_secrets_in_wrapped_and_prefixed_base64():
             assert secret_at(f"é {before}{plain}{after} end", plain), (before, after)
 
 
+def test_secrets_in_large_payloads():
+    secret = b"password=hunter2secret"
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    far = b64(gzip.compress(b"0 " * 200_000 + secret + b" 1" * 1000))
+    assert secret_at(far, far, limit=1000) and secrets.find_secrets(far, 1000)[3] == 1
+    cut = b64(gzip.compress(secret + "é".encode() * 2000))
+    assert secret_at(cut, cut, limit=1001)
+    members = b64(gzip.compress(b"nothing") + gzip.compress(b"passwo") + gzip.compress(b"rd=hunter2secret"))
+    assert secret_at(members, members)
+    inner = base64.encodebytes(gzip.compress(np.random.default_rng(2).bytes(20_000) + secret))
+    nested = b64(gzip.compress(b"0 " * 20_000 + inner))
+    assert secret_at(nested, nested, limit=1000)
+
+
 def test_toxicity_held_out(spark):
     bad = ["loser", "moron", "scum"]
     rng = np.random.default_rng(1)

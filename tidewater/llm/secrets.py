@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import binascii
 import hashlib
+import mmap
 import re
+import tempfile
 import zlib
 
 import numpy as np
@@ -49,6 +51,7 @@ SIGNIFICANT = re.compile(rb"[^0-9a-f\r\n]")
 CAUSE = re.compile(rb"(?i:password|passwd|secret|token|api)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-][A-Za-z0-9+/_\r\n-]{15}|" + MAGIC.pattern)
 STANDARD = bytes.maketrans(b"-_", b"+/")
 PLUS = re.compile(rb"\++")
+GZIP = b"\x1f\x8b\x08"
 CHUNK = 1 << 16
 
 
@@ -80,20 +83,27 @@ def _kinds(data) -> list[str]:
 
 
 class Sink:
-    """Bytes of a layer."""
+    """Bytes of a layer: beyond ``limit`` in a file without a name in the task's temp
+    folder, which is then mapped and not read."""
 
     def __init__(self, limit: int):
-        self.parts, self.size, self.limit = [], 0, limit
+        self.file, self.size, self.limit = tempfile.SpooledTemporaryFile(max(limit, 1)), 0, max(limit, 1)
 
     def write(self, data: bytes) -> None:
-        self.parts.append(data)
+        self.file.write(data)
         self.size += len(data)
 
     def copy(self, data, a: int, b: int) -> None:
-        self.write(data[a:b])
+        for x in range(a, b, CHUNK):
+            self.write(data[x : min(x + CHUNK, b)])
 
     def data(self):
-        return b"".join(self.parts)
+        with self.file as f:
+            if self.size > self.limit:
+                f.flush()
+                return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+            f.seek(0)
+            return f.read()
 
 
 class Layer:
@@ -217,33 +227,44 @@ def _base64(layer: Layer, limit: int):
                         yield _decoded(layer, x, y, skip, limit, layer.span(x, y)[1])
 
 
-def _inflated(data, at: int, limit: int) -> tuple[Sink, int, bool]:
-    """(zlib or gzip payload inflated, where it ends or 0, whether it went beyond the limit)."""
-    out, d = Sink(limit), zlib.decompressobj(47)
+def _inflated(data, at: int, limit: int) -> tuple[Sink, int]:
+    """(zlib or gzip payload inflated over all its members, where the last whole one
+    ends or 0). Of a damaged or incomplete payload, what could be inflated."""
+    out, d, end = Sink(limit), zlib.decompressobj(47), 0
     try:
-        out.write(d.decompress(data[at:], limit))
-        if d.unconsumed_tail:
-            return out, 0, True
+        while at < len(data):
+            piece = data[at : at + CHUNK]
+            at += len(piece)
+            while piece:
+                out.write(d.decompress(piece, 16 * CHUNK))
+                piece = d.unconsumed_tail
+                if d.eof:
+                    at = end = at - len(d.unused_data)
+                    if data[end : end + 3] != GZIP:
+                        return out, end
+                    piece, d = b"", zlib.decompressobj(31)
         out.write(d.flush())
+        end = at if d.eof else end
     except zlib.error:
-        return out, 0, False
-    return out, len(data) - len(d.unused_data) if d.eof else 0, False
+        pass
+    return out, end
 
 
 def _payloads(layer: Layer, limit: int):
-    """A layer for each compressed payload, wherever it starts."""
+    """A layer for each compressed payload, wherever it starts, and whether it goes
+    beyond the limit."""
     end = 0
     for m in MAGIC.finditer(layer.data):
         if m.start() < end:
             continue
-        out, last, beyond = _inflated(layer.data, m.start(), limit)
+        out, last = _inflated(layer.data, m.start(), limit)
         end = last or end
         if out.size:
-            yield Layer(out.data(), whole=layer.span(m.start(), last or len(layer.data))), beyond
+            yield Layer(out.data(), whole=layer.span(m.start(), last or len(layer.data))), out.size > limit
 
 
 def find_secrets(text: str, limit: int = 32 << 20) -> tuple[list, list, int, int]:
-    """(base spans, spans of decoded layers, layers, payloads cut at ``limit``)."""
+    """(base spans, spans of decoded layers, layers, payloads larger than ``limit``)."""
     over = 0
 
     def mark(layer):
@@ -300,9 +321,10 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", limit
 
     Null text counts as empty: no spans. Null and repeated doc_ids are returned
     row for row. Other columns are ignored; an empty table gives no rows. Rows
-    are scanned one at a time and nothing is shuffled. A compressed payload is
-    inflated up to ``limit`` bytes, so that a decompression bomb cannot take a
-    task's memory; ``oversized`` counts the payloads that go on beyond it."""
+    are scanned one at a time and nothing is shuffled. Compressed
+    payloads are inflated and scanned to their end, over all members. One of more
+    than ``limit`` bytes is kept in a file of the task's temp folder, so memory is
+    bounded and that folder needs the room; ``oversized`` counts such payloads."""
     docs = two_columns(docs, key, text)
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
