@@ -522,6 +522,114 @@ def q_job_document_daily(spark, sf_dir):
     return merge_state(target, today, SaveMode.UPSERT, keys=["_id"])
 
 
+# --------------------------------------------------------------- whole tables
+
+# The syncs and saves above that cut their table, once more without a row left out.
+_IS_NEW = "({0} >= TIMESTAMP '" + fx.EVENTS_TARGET_BEFORE + "' AND {0} < TIMESTAMP '" + fx.EVENTS_TARGET_AGAIN + "') IS TRUE"
+_EVENTS_T_WHOLE = (
+    "SELECT event_id, ts, user_id, event_type, CAST(0.0 AS DOUBLE) AS value, props FROM events "
+    f"WHERE NOT {_IS_NEW.format('ts')}"
+)
+_SYNC_WHOLE_SQL = (
+    f"WITH t AS ({_EVENTS_T_WHOLE}), "
+    f"i AS (SELECT * FROM events WHERE strftime(ts, '%Y-%m-%d') = '{fx.EVENTS_SYNC_DAY}') "
+    "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.event_id = t.event_id) "
+    "UNION ALL SELECT * FROM i"
+)
+
+
+@register("sync_daily_upsert_whole", _SYNC_WHOLE_SQL)
+def q_sync_daily_upsert_whole(spark, sf_dir):
+    return sync(
+        read_table(spark, sf_dir, "events"),
+        fx.events_target_whole(spark, sf_dir),
+        SaveMode.UPSERT,
+        keys=["event_id"],
+        day=fx.EVENTS_SYNC_DAY,
+        column="ts",
+    )
+
+
+@register("sync_daily_snapshot_whole", _SYNC_WHOLE_SQL)
+def q_sync_daily_snapshot_whole(spark, sf_dir):
+    from ..session import scratch_path
+    from .jobs import sync_to_path
+
+    out = sync_to_path(
+        read_table(spark, sf_dir, "events"),
+        _snapshot(spark, "events_tw", fx.events_target_whole(spark, sf_dir)),
+        scratch_path(spark, "events_sync_whole"),
+        SaveMode.UPSERT,
+        keys=["event_id"],
+        day=fx.EVENTS_SYNC_DAY,
+        column="ts",
+    )
+    return spark.read.parquet(out)
+
+
+@register(
+    "sync_range_ignore_record_whole",
+    f"WITH t AS ({_EVENTS_T_WHOLE}), "
+    "i AS (SELECT * FROM events WHERE strftime(ts, '%Y-%m-%d%H:%M:%S') "
+    f"BETWEEN '{SYNC_RANGE_START}' AND '{SYNC_RANGE_END}') "
+    "SELECT * FROM t UNION ALL SELECT * FROM i WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.event_id = i.event_id)",
+)
+def q_sync_range_ignore_record_whole(spark, sf_dir):
+    return sync(
+        read_table(spark, sf_dir, "events"),
+        fx.events_target_whole(spark, sf_dir),
+        SaveMode.IGNORE_RECORD,
+        keys=["event_id"],
+        start=SYNC_RANGE_START,
+        end=SYNC_RANGE_END,
+        column="ts",
+    )
+
+
+@register(
+    "job_document_daily_whole",
+    "WITH d AS (SELECT event_id AS _id, ts AS updateAt, user_id, "
+    "CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events), "
+    f"t AS (SELECT _id, updateAt, user_id, CAST(0 AS BIGINT) AS k FROM d WHERE NOT {_IS_NEW.format('updateAt')}), "
+    f"i AS (SELECT * FROM d WHERE strftime(updateAt, '%Y-%m-%d') = '{fx.EVENTS_SYNC_DAY}') "
+    "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i._id = t._id) UNION ALL SELECT * FROM i",
+)
+def q_job_document_daily_whole(spark, sf_dir):
+    from ..functions.records import read_json
+    from ..session import scratch_path
+    from ..sources.documents import DocumentStore, read_collection, save_collection
+
+    store = DocumentStore(root=scratch_path(spark, "eventdocs_whole"))
+    ev = read_table(spark, sf_dir, "events")
+    save_collection(ev.select(F.col("event_id").alias("_id"), F.col("ts").alias("updateAt"), "user_id", "props"), store, "events")
+    coll = read_collection(spark, store, "events", schema="_id bigint, updateAt timestamp_ntz, user_id bigint, props string")
+    typed = coll.select("_id", "updateAt", "user_id", read_json("props", "k bigint")["k"].alias("k"))
+    target = typed.filter(~fx.is_new_event("updateAt")).withColumn("k", F.lit(0).cast("long"))
+    return merge_state(target, filter_document_daily(typed, fx.EVENTS_SYNC_DAY), SaveMode.UPSERT, keys=["_id"])
+
+
+@register("save_error_if_exists_whole", "SELECT * FROM orders")
+def q_save_error_if_exists_whole(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sinks.snapshot import save_snapshot
+
+    missing = scratch_path(spark, "orders_missing")
+    orders = read_table(spark, sf_dir, "orders")
+    return spark.read.parquet(save_snapshot(orders, missing, scratch_path(spark, "orders_ew"), SaveMode.ERROR_IF_EXISTS))
+
+
+@register(
+    "save_upsert_labels_whole",
+    "WITH i AS (SELECT doc_id, CAST(CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS INTEGER) AS quality FROM documents) "
+    "SELECT * FROM labels l WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.doc_id = l.doc_id) "
+    "UNION ALL SELECT i.doc_id, i.quality, l.toxic FROM i LEFT JOIN labels l ON i.doc_id = l.doc_id",
+)
+def q_save_upsert_labels_whole(spark, sf_dir):
+    quality = F.when(F.col("n_chars") > 1000, 1).otherwise(0).cast("int").alias("quality")
+    inc = read_table(spark, sf_dir, "documents").select("doc_id", quality)
+    return merge_state(read_table(spark, sf_dir, "labels"), inc, SaveMode.UPSERT, keys=["doc_id"])
+
+
 # --------------------------------------------------------------- bucketed tables
 
 

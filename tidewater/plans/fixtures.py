@@ -22,6 +22,8 @@ LINEITEM_TARGET_BEFORE = "1998-01-01"
 LINEITEM_CHANGED_SINCE = "1997-01-01"
 EVENTS_SYNC_DAY = "2024-01-15"
 EVENTS_TARGET_BEFORE = "2024-01-15 06:00:00"
+# Of the sync day, the part that the whole-table targets lack: from EVENTS_TARGET_BEFORE up to here.
+EVENTS_TARGET_AGAIN = "2024-01-15 12:00:00"
 
 
 def ntz(day: str):
@@ -63,3 +65,15 @@ def events_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     so a change window holds both keys it has and keys it lacks."""
     ev = read_table(spark, sf_dir, "events")
     return ev.filter(F.col("ts") < ntz(EVENTS_TARGET_BEFORE)).withColumn("value", F.lit(0.0))
+
+
+def is_new_event(column: str):
+    """Rows that the whole-table targets lack; a null time isn't one of them."""
+    c = F.col(column)
+    return F.coalesce((c >= ntz(EVENTS_TARGET_BEFORE)) & (c < ntz(EVENTS_TARGET_AGAIN)), F.lit(False))
+
+
+def events_target_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``events`` with stale values (0), but for the part of the sync day that
+    the change windows bring: no row is in neither of the two."""
+    return read_table(spark, sf_dir, "events").filter(~is_new_event("ts")).withColumn("value", F.lit(0.0))
