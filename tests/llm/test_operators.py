@@ -295,6 +295,20 @@ def test_toxicity_held_out(spark):
     assert all(r["score"] < 0.01 for r in toxicity.toxicity_scores(df, none).collect())
 
 
+def test_toxicity_disguises(spark):
+    bad, plain = ["loser", "moron", "idiot", "stupid"], ["garden", "looser", "simple", "middle", "paper", "river", "mood", "later", "1.5", "a.m."]
+    rng = np.random.default_rng(2)
+    data = [(i, " ".join([*rng.choice(plain, 30), *([bad[i // 4 % 4]] if i % 4 == 0 else [])])) for i in range(300)]
+    forms = ["iddiot", "stuppid", "mooron", "lo.ser", "st-upid", "i/d/i/o/t", "l  o  s  e  r", "m\to\tr\to\tn", "i\nd\ni\no\nt", "s + u p i d", "m * r * n", "st.uppid"]
+    hidden = [(1000 + i, f"simple paper {w} river garden") for i, w in enumerate(forms)]
+    clean = [(2000, "simple looser paper"), (2001, "| garden | paper | 1 | 2 |"), (2002, "middle a.m. 1.5 mood")]
+    df = awkward(spark, data + hidden + clean)
+    model = toxicity.fit_toxicity(df, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in data], "doc_id long, toxic int"))
+    out = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity_scores(df, model).collect()}
+    assert [t for i, t in hidden if not out[i]] == []
+    assert [t for i, t in clean if out[i]] == []
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()

@@ -5,6 +5,9 @@
    character lattice: a digit or sign may stand for a letter, a separator between
    single letters may be noise, a repeated letter may stand for one or two. The
    Viterbi path under channel costs and the character model restores the word.
+   Once words are learned, the same arcs, with any sign as an optional separator,
+   are also walked through those words, for every token as written that isn't a
+   word of clean texts.
 3. Words and word beginnings, as written and as restored, are the features of a
    logistic regression. It is fitted on ``sample`` labelled rows at most.
 """
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +34,12 @@ LEET = {
 SUBSTITUTED, KEPT_SIGN, KEPT_SPACE, SQUEEZED, HALVED = -1.5, -8.0, -3.0, -0.7, -6.0
 SIDES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "@$")
 LEFT = SIDES.replace("!", "").replace("|", "")
-SPACED = re.compile(r"(?<!\S)[\w@$!](?: [\w@$!]){2,}(?!\S)")
+SIGN = r"[\w" + re.escape("".join(c for c in LEET if not c.isalnum())) + "]"
+SPACED = re.compile(rf"(?<!\S){SIGN}(?:\s+{SIGN}){{2,}}(?!\S)")
 DOTTED = re.compile(r"\S(?:[.\-_*~]\S){2,}")
+DOUBLE = re.compile(r"(.)\1")
 TRIPLE = re.compile(r"(.)\1\1")
+RUN = re.compile(r"(.)\1*", re.S)
 BEGINNINGS = (4, 5, 6)
 
 
@@ -158,13 +165,58 @@ class Decoder:
     def joined(self, low: str):
         """Words restored from single characters that stand apart."""
         for m in SPACED.finditer(low):
-            yield from self.words(m[0])
+            if any(c.isalnum() for c in m[0]):
+                yield from self.words(" ".join(m[0].split()))
 
     def restored(self, text: str) -> set[str]:
         low = text.lower()
         return {w for token in set(low.split()) for w in self.words(token)}.union(self.joined(low))
 
 
+class Disguises:
+    """Learned words behind a written form: the lattice's arcs, any sign as an optional
+    separator, walked through the words' beginnings."""
+
+    def __init__(self, words):
+        self.words = {w for w in words if len(w) > 1}
+        self.beginnings = {w[:k] for w in self.words for k in range(len(w) + 1)}
+
+    @staticmethod
+    def _outs(c: str, r: int) -> tuple[str, ...]:
+        letters = (c,) if c in LETTERS else tuple(LEET.get(c, ""))
+        outs = letters + tuple(x + x for x in letters if r > 1)
+        return outs if c.isalnum() else (*outs, "")
+
+    def _walk(self, runs: list[tuple[str, ...]]):
+        """The beginnings reached after each run."""
+        at = {""}
+        for outs in runs:
+            at = {s + x for s in at for x in outs if s + x in self.beginnings}
+            if not at:
+                return
+            yield at
+
+    def of(self, token: str) -> set[str]:
+        """The learned words that the whole token may stand for; none for one of them."""
+        if token in self.words or not any(c in LETTERS for c in token):
+            return set()
+        runs = [self._outs(m[1], len(m[0])) for m in RUN.finditer(token)]
+        ends = list(self._walk(runs))
+        return {w for w in ends[-1] if w in self.words} if runs and len(ends) == len(runs) else set()
+
+    def within(self, low: str):
+        """Learned words of four letters or more among characters that stand apart."""
+        for m in SPACED.finditer(low):
+            runs = [self._outs(r[1], len(r[0])) for r in RUN.finditer("".join(m[0].split()))]
+            for i in range(len(runs)):
+                for at in self._walk(runs[i:]):
+                    yield from (w for w in at if len(w) > 3 and w in self.words)
+
+
+def learned(places) -> list[str]:
+    return [f[1:] for f in places if f[0] == "="]
+
+
 def features_of(word: str) -> list[str]:
     return ["=" + word, *[word[:k] for k in BEGINNINGS if len(word) >= k]]
 
@@ -195,8 +247,9 @@ def _fit(rows: list, size: int, ridge: float = 0.003, steps: int = 600) -> np.nd
 class Scorer(dict):
     """Scores texts; remembers each token's features, up to ``limit`` tokens."""
 
-    def __init__(self, characters, places, weights, limit: int = 1 << 19):
+    def __init__(self, characters, places, weights, clean=frozenset(), limit: int = 1 << 19):
         super().__init__()
+        self.disguises, self.clean = Disguises(learned(places)), clean
         self.decoder, self.places, self.weights, self.limit = Decoder(characters), places, weights.tolist(), limit
 
     def of_words(self, words) -> tuple[int, ...]:
@@ -207,13 +260,17 @@ class Scorer(dict):
         if len(self) >= self.limit:
             self.clear()
         plain = token.isalpha() and not TRIPLE.search(token)
-        hit = self[token] = self.of_words((token,) if plain else self.decoder.words(token))
+        words = (token,) if plain else self.decoder.words(token)
+        if (not plain or DOUBLE.search(token)) and token not in self.clean:
+            words = {*words, *self.disguises.of(token)}
+        hit = self[token] = self.of_words(words)
         return hit
 
     def score(self, text: str | None) -> float:
         low = (text or "").lower()
         active = {i for hit in map(self.__getitem__, set(low.split())) if hit for i in hit}
         active.update(self.of_words(self.decoder.joined(low)))
+        active.update(self.of_words(self.disguises.within(low)))
         z = self.weights[-1] + sum(self.weights[i] for i in active)
         return 1 / (1 + math.exp(-min(max(z, -40.0), 40.0)))
 
@@ -221,8 +278,9 @@ class Scorer(dict):
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = 20_000, width: int = 4_000
 ) -> tuple:
-    """(character model, feature -> place, weights): bounded by the alphabet and by
-    ``width`` features, and so fit to be sent to every task. Fit on labelled rows that are not held out: the ``sample`` of them with the
+    """(character model, feature -> place, weights, clean): bounded by the alphabet, by
+    ``width`` features and by the sample, and so fit to be sent to every task. clean has
+    the tokens that look like a disguised feature but are words of untoxic texts. Fit on labelled rows that are not held out: the ``sample`` of them with the
     smallest hash of doc_id. The character model takes all texts. A doc_id with
     several labels counts as toxic if one says so; null labels are left out."""
     plain = two_columns(docs, key, text)
@@ -250,7 +308,7 @@ def fit_toxicity(
     bad, good = sums.get(1, 0), sums.get(0, 0)
     if not bad or not good:
         share = bad / (bad + good) if bad + good else 0.0
-        return (characters, {}, np.array([float(np.log(np.clip(share, 1e-6, 1 - 1e-6) / (1 - np.clip(share, 1e-6, 1 - 1e-6))))]))
+        return (characters, {}, np.array([float(np.log(np.clip(share, 1e-6, 1 - 1e-6) / (1 - np.clip(share, 1e-6, 1 - 1e-6))))]), frozenset())
     odds = F.log((F.col("n1") + 0.5) / (bad + 1)) - F.log((F.col("n0") + 0.5) / (good + 1))
     best = (
         rows.mapInArrow(every, "toxic int, mark string")
@@ -262,15 +320,21 @@ def fit_toxicity(
 
     def present(batches):
         decoder, known_marks = Decoder(sent.value), chosen.value
+        disguises = Disguises(learned(known_marks))
         for batch in batches:
             out = [
                 sorted({known_marks[f] for w in decoder.restored(t.as_py() or "") for f in features_of(w) if f in known_marks})
                 for t in batch.column(1)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["toxic", "marks"])
-
-    fitted = [(r["toxic"], r["marks"]) for r in rows.mapInArrow(present, "toxic int, marks array<int>").collect()]
-    return characters, places, _fit(fitted, len(places))
+            alike = [sorted(w for w in set((t.as_py() or "").lower().split()) if disguises.of(w)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(out, pa.list_(pa.int32())), pa.array(alike, pa.list_(pa.string()))], names=["toxic", "marks", "alike"]
+            )
+
+    fitted = rows.mapInArrow(present, "toxic int, marks array<int>, alike array<string>").collect()
+    seen = [Counter(w for r in fitted if r["toxic"] == y for w in r["alike"]) for y in (0, 1)]
+    clean = frozenset(w for w, n in seen[0].items() if n > 1 and n > seen[1][w])
+    return characters, places, _fit([(r["toxic"], r["marks"]) for r in fitted], len(places)), clean
 
 
 def toxicity_scores(docs: DataFrame, model: tuple, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
