@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -182,6 +183,7 @@ class Disguises:
         self.beginnings = {w[:k] for w in self.words for k in range(len(w) + 1)}
 
     @staticmethod
+    @lru_cache(1 << 12)
     def _outs(c: str, r: int) -> tuple[str, ...]:
         letters = (c,) if c in LETTERS else tuple(LEET.get(c, ""))
         outs = letters + tuple(x + x for x in letters if r > 1)
@@ -200,9 +202,12 @@ class Disguises:
         """The learned words that the whole token may stand for; none for one of them."""
         if token in self.words or not any(c in LETTERS for c in token):
             return set()
-        runs = [self._outs(m[1], len(m[0])) for m in RUN.finditer(token)]
-        ends = list(self._walk(runs))
-        return {w for w in ends[-1] if w in self.words} if runs and len(ends) == len(runs) else set()
+        at, known = {""}, self.beginnings
+        for m in RUN.finditer(token):
+            at = {s + x for s in at for x in self._outs(m[1], min(len(m[0]), 2)) if s + x in known}
+            if not at:
+                break
+        return at & self.words
 
     def within(self, low: str):
         """Learned words of four letters or more among characters that stand apart."""
