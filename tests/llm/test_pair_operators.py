@@ -1,0 +1,237 @@
+"""Alignment, whitening and the parity-sketch join against brute force."""
+
+import hashlib
+import os
+import sys
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import brute  # noqa: E402
+from conftest import SF_SMALL  # noqa: E402,F401
+from test_operators import AWKWARD, awkward, same, small, table  # noqa: E402
+
+from tidewater.llm import alignment, jaccard_join, queries, whitening  # noqa: E402
+
+TEXTS = [
+    (20, "plain words, and some more words"), (21, " leading space"), (22, "trailing space "), (23, "two  spaces   three\n\nlines\t\ttabs"),
+    (24, "<|endoftext|> is text, </s> too"), (25, "literal ▁ mark"), (26, "café naïve 你好世界 \U0001f600\U0001f468‍\U0001f469"),
+    (27, "nbsp here  em \x1c\x1d fs"), (28, "it's we're I'll 'tis ' s"), (29, "aaaa" * 400), (30, " " * 100 + "x"), (31, "1234567 89 3.14"),
+    (32, "plain words, and some more words"), (33, "a"), (34, "nul\x00 byte \x7f"), (35, "mixed ABC abc ABCabc " * 30), (None, "a key is missing"),
+]
+
+
+def aligned(rows):
+    """The contract, token by token on whole texts."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(queries.BPE)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=queries.MODEL)
+    to_byte = alignment.byte_level()
+    bytes_a = lambda i: bytes(to_byte[c] for c in a.id_to_token(i))
+    bytes_b = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
+    held, count = [], Counter()
+    for key, text in rows:
+        ids_a = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        whole = (" " + (text or "")).encode()
+        if b"".join(map(bytes_a, ids_a)) != whole or b"".join(map(bytes_b, ids_b)) != whole:
+            ids_a, ids_b = [], []
+        ends_a, ends_b = (np.cumsum([len(f(i)) for i in ids]).tolist() for f, ids in ((bytes_a, ids_a), (bytes_b, ids_b)))
+        groups, x, y = [], 0, 0
+        for end in sorted(set(ends_a) & set(ends_b)):
+            x2, y2 = ends_a.index(end) + 1, ends_b.index(end) + 1
+            groups.append((ids_a[x:x2], ids_b[y:y2]))
+            x, y = x2, y2
+        links = Counter((i, j) for g, h in groups for i in g for j in h)
+        count.update(links.keys())
+        held.append((key, ids_a, ids_b, groups, links))
+    most = defaultdict(int)
+    for (i, _), c in count.items():
+        most[i] = max(most[i], c)
+    out = []
+    for key, ids_a, ids_b, groups, links in held:
+        text = ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)
+        out.append((
+            key, len(ids_a), len(ids_b), len(groups), sum(links.values()), sum(m for p, m in links.items() if count[p] == most[p[0]]),
+            sum(m * count[p] for p, m in links.items()), hashlib.sha256(text.encode()).hexdigest() if groups else "",
+        ))
+    total = Counter()
+    for *_, links in held:
+        total.update(links)
+    return out, sorted((i, j, c, total[i, j], c == most[i]) for (i, j), c in count.items())
+
+
+COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@pytest.mark.parametrize("limits", [{}, {"SLAB": 64, "PARTS": 20, "BLOCK_DOCS": 5, "BLOCK_PAIRS": 200}])
+def test_alignment(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(alignment, name, value)
+    data = TEXTS + AWKWARD + (small(spark)[1] if not limits else [(90, "of the " * 50 + "end")])
+    docs, pairs = alignment.aligned_tokens(awkward(spark, data), queries.BPE, queries.MODEL)
+    want, counts = aligned(data)
+    same(table(docs, *COLUMNS), want)
+    assert sorted(map(tuple, pairs.select("a", "b", "docs", "links", "best").collect())) == counts
+
+
+def test_alignment_empty(spark):
+    docs, pairs = alignment.aligned_tokens(awkward(spark, []), queries.BPE, queries.MODEL)
+    assert docs.count() == pairs.count() == 0 and docs.columns == list(COLUMNS)
+    docs, _ = alignment.aligned_tokens(awkward(spark, [(1, None), (2, "")]), queries.BPE, queries.MODEL)
+    assert table(docs, *COLUMNS) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_bitmaps_keep_documents():
+    """Lists and plain bits both give back the documents put in."""
+    block = alignment.Block()
+    block.docs = 200
+    many = np.arange(0, 200, 2)
+    block.add(np.concatenate([many, [3, 199]]), np.concatenate([np.full(100, 7), [9, 9]]), np.concatenate([np.full(100, 1), [5, 1]]))
+    got = {}
+    for pair, plane, held, bitmap in block.bitmaps():
+        row, slot = alignment.slots_of(bitmap)
+        assert np.bincount(row, minlength=len(pair)).tolist() == held.tolist()
+        got.update({(int(p), plane): sorted(slot[row == i].tolist()) for i, p in enumerate(pair)})
+    assert got == {(7, -1): many.tolist(), (9, -1): [3, 199], (9, 2): [3]}
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, "x", 1, 2.0) for i, v in rows], "vec_id long, embedding array<float>, x string, component int, `a.b` double")
+
+
+def whitened(rows, k, weighted=True):
+    """numpy on all rows at once."""
+    ok = [(i, v) for i, v in rows if v and all(c is not None and np.isfinite(c) for c in v)]
+    x = np.array([[int(np.floor(64 * float(np.float32(c)))) + 1_000_000 for c in v] for _, v in ok], object)
+    fit = x if weighted else np.array(sorted(set(map(tuple, x))), object)
+    n, s = len(fit), fit.sum(axis=0)
+    centred = (fit.astype(float) - (s / n).astype(float))
+    value, vector = np.linalg.eigh(centred.T @ centred / n)
+    value, vector = value[::-1], vector[:, ::-1]
+    w = (x.astype(float) - (s / n).astype(float)) @ vector[:, :k] / np.sqrt(value[:k])
+    return [i for i, _ in ok], n, [int(((n * r - s) ** 2).sum()) for r in x], w, value[:k] / value.sum()
+
+
+@pytest.mark.parametrize("weighted", [True, False])
+def test_whitening(spark, weighted):
+    rng = np.random.default_rng(5)
+    mix = rng.normal(size=(6, 6))
+    rows = [(i, (rng.normal(size=6) @ mix).tolist()) for i in range(300)]
+    rows += [(1000 + i, rows[0][1]) for i in range(200)] + [(1000, rows[0][1]), (None, rows[1][1]), (5, rows[2][1])]
+    rows += [(2000, None), (2001, [1.0, None, 2.0, 3.0, 4.0, 5.0]), (2002, [float("nan")] * 6), (2003, [float("inf")] * 6), (2004, [])]
+    out = whitening.whiten(vectors(spark, rows), components=4, weighted=weighted).collect()
+    ids, n, deviation, w, explained = whitened(rows, 4, weighted)
+    assert len(out) == 4 * len(ids) and {r["n"] for r in out} == {n} and {r["component"] for r in out} == {1, 2, 3, 4}
+    assert len({r["identity_error"] for r in out}) == 1 and out[0]["identity_error"] < 1e-9
+    got = defaultdict(list)
+    for r in sorted(out, key=lambda r: r["component"]):
+        got[r["vec_id"], r["deviation"]].append(r["whitened"])
+        assert abs(r["explained"] / explained[r["component"] - 1] - 1) < 1e-9
+    sign = None
+    for i, d, row in zip(ids, deviation, w):
+        own = np.array(got[i, d]).reshape(-1)[: 4 * 1000]
+        # repeated rows of one key and vector are listed component by component
+        own = own.reshape(4, -1)
+        sign = np.sign(own[:, 0] * row) if sign is None else sign
+        assert np.allclose(own, (sign * row)[:, None], atol=1e-8)
+
+
+def test_whitening_edges(spark):
+    assert whitening.whiten(vectors(spark, [])).count() == 0
+    assert whitening.whiten(vectors(spark, [(1, None), (2, [])])).count() == 0
+    assert whitening.whiten(vectors(spark, [(1, [0.5, 1.0])])).count() == 0  # no variance, no component
+    flat = [(i, [float(i), 7.0]) for i in range(10)]
+    assert {r["component"] for r in whitening.whiten(vectors(spark, flat)).collect()} == {1}
+    wide = [(i, [float(i) * 2.0**40, float(i % 3)]) for i in range(9)]
+    assert {r["deviation"] for r in whitening.whiten(vectors(spark, wide)).collect()} >= {None}
+    with pytest.raises(ValueError):
+        whitening.whiten(vectors(spark, [(1, [1.0]), (2, [1.0, 2.0])]))
+    signed = [(i, [-(2.0**k), 2.0**k - 1 / 64]) for i, k in enumerate((1, 9, 25))]
+    packed = whitening.whole_vectors(vectors(spark, signed), "vec_id", "embedding", 64.0).orderBy("vec_id").collect()
+    assert [len(r["x"]) for r in packed] == [2, 4, 16]  # 2**25 - 1/64 is 2**25 as a float
+
+
+@pytest.mark.parametrize("source", ["awkward", "small", "empty"])
+def test_jaccard_join(spark, source):
+    df, data = small(spark) if source == "small" else (awkward(spark, AWKWARD if source == "awkward" else []), AWKWARD if source == "awkward" else [])
+    n = 1 if source == "awkward" else 5
+    same(table(jaccard_join.jaccard_components(df, n=n), "doc_id", "n_shingles", "component_id"), [r[:3] for r in brute.near(data, n)])
+
+
+def families():
+    """A chain of edits, an original with edited copies, texts that share a passage,
+    copies, and sets of every small size."""
+    rng = np.random.default_rng(11)
+    base, data = [f"b{i}" for i in range(90)], []
+    for k in range(60):
+        words = list(base)
+        for i in rng.choice(90, 1 + k % 2, replace=False):
+            words[i] = f"e{k}_{i}"
+        data.append(" ".join(words))
+    shared = " ".join(f"p{i}" for i in range(60))
+    data += [shared + " " + " ".join(f"u{k}_{i}" for i in range(rng.integers(5, 60))) for k in range(60)]
+    words = [f"c{i}" for i in range(80)]
+    for k in range(30):
+        words = words[3:] + [f"c{80 + 3 * k + i}" for i in range(3)]
+        data.append(" ".join(words))
+    data += [" ".join(f"s{i}" for i in range(k)) for k in range(1, 40)]
+    data += [base[0] + " " + shared] * 25
+    order = rng.permutation(len(data))
+    return [(int(i), data[j]) for i, j in enumerate(order)]
+
+
+@pytest.mark.parametrize("limits, options", [({}, {"n": 5}), ({"BLOCK_BYTES": 256, "SHARE": 3}, {"n": 2, "num": 60, "meetings": 0})])
+def test_jaccard_families(spark, monkeypatch, limits, options):
+    for name, value in limits.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    data = families()
+    data += [(3, "another text under a known id " + data[0][1]), (7, data[8][1]), (12, data[12][1]), (12, data[12][1])]
+    got = jaccard_join.jaccard_components(awkward(spark, data), **options)
+    want = brute.near(data, options["n"], options.get("num", 80))
+    same(table(got, "doc_id", "n_shingles", "component_id"), [r[:3] for r in want])
+
+
+def test_linked_sets_share_a_key():
+    """Random pairs at and over the limit, of all sizes, meet in a list, and the
+    sketches never overstate the difference."""
+    rng = np.random.default_rng(2)
+    for num in (50, 80, 95):
+        bands = jaccard_join.Bands(num, 100)
+        for size in [*range(1, 30), 50, 100, 333, 1000, 5000]:
+            for _ in range(6):
+                a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+                drop = int(rng.integers(0, size // 2 + 1))
+                b = np.concatenate([a[drop:], rng.integers(0, 1 << 63, int(rng.integers(0, size // 2 + 1)), dtype=np.uint64)])
+                a, b = np.unique(a), np.unique(b)
+                both = len(np.intersect1d(a, b))
+                differ = len(a) + len(b) - 2 * both
+                assert jaccard_join.distance(jaccard_join.bit_sketch(a), jaccard_join.bit_sketch(b)) <= differ
+                if both and 100 * both >= num * (len(a) + len(b) - both):
+                    assert len(np.intersect1d(jaccard_join.segment_keys(a, bands), jaccard_join.segment_keys(b, bands)))
+
+
+def test_queries_of_whole_tables(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+    data = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    same(sorted(con.execute(queries.ORACLE_SQL["op13_jaccard_join"]).fetchall(), key=repr), [r[:3] for r in brute.near(data, 5)])
+    same(table(queries.op11_alignment(spark, SF_SMALL), *COLUMNS), aligned(data)[0])
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()]
+    ids, n, deviation, w, _ = whitened(rows, 32)
+    out = sorted(queries.op12_whitening(spark, SF_SMALL).collect(), key=lambda r: (r["vec_id"], r["component"]))
+    k = out[-1]["component"]
+    assert len(out) == k * len(ids) and out[0]["identity_error"] < 1e-8
+    order = np.argsort(ids)
+    got = np.array([r["whitened"] for r in out]).reshape(len(ids), k)
+    assert np.allclose(np.abs(got), np.abs(w[order][:, :k]), atol=1e-6)
+    assert [r["deviation"] for r in out[::k]] == [deviation[i] for i in order]

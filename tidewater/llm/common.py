@@ -122,6 +122,19 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def join_counted(rows: DataFrame, table: DataFrame, key: str, total: int, share: int = 1024) -> DataFrame:
+    """``rows`` joined with ``table`` on ``key``, where ``table`` has one row a key and
+    the key's ``count`` in ``rows``, of ``total`` rows. Keys with more than
+    1 / share of all rows are fewer than ``share``: those are broadcast and their rows
+    stay where they are; the others are joined as usual."""
+    hot = F.col("count") > total / share
+    few, many = table.where(hot).drop("count"), table.where(~hot).drop("count")
+    if few.isEmpty():
+        return rows.join(many, key)
+    cold = rows.join(F.broadcast(few.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(few), key).unionByName(cold.join(many, key))
+
+
 def runs(batches: Iterator, keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
     """Groups of equal, adjacent ``keys`` from sorted Arrow batches, as columns;
     a group that spans batches is joined. Only for groups of bounded size."""

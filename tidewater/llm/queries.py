@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tidewater.session import read_table
 
+from .alignment import aligned_tokens
 from .containment import contained_items
 from .encoding import decode_pieces, sample_pieces
 from .exact_dedup import exact_groups, normalised
+from .jaccard_join import jaccard_components
 from .lm_scoring import lattice_scores
 from .near_dedup import near_duplicates
 from .secrets import secret_spans
@@ -20,9 +22,12 @@ from .sharding import kd_shards, with_slots
 from .substring_dedup import substring_dedup
 from .toxicity import fit_toxicity, toxicity_scores
 from .warc import archive_pages
+from .whitening import whiten
 
 #: The vocabulary file; the environment may name another place.
 MODEL = os.environ.get("TIDEWATER_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+#: The byte-level vocabulary, likewise.
+BPE = os.environ.get("TIDEWATER_BPE", "/opt/tokenizers/byte_bpe_50k.json")
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,11 +97,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers, and their pairs' document counts."""
+    return aligned_tokens(read_table(spark, sf_dir, "documents"), BPE, MODEL)[0]
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"), n=5)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_substring_dedup, op3_exact_dedup, op4_warc, op5_lm_scoring, op6_near_dedup,
         op7_toxicity, op8_sentencepiece, op9_secret_scan, op10_decontamination,
+        op11_alignment, op12_whitening, op13_jaccard_join,
     )
 }
 
@@ -139,6 +158,15 @@ ORACLE_SQL = {
              reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
         SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, coalesce(m, doc_id) >= doc_id AS kept
         FROM s LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)""",
+    "op13_jaccard_join": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format(LOWER.format('text'))} AS w FROM documents),
+             s AS (SELECT doc_id, list_distinct(list_transform(range(0, greatest(len(w) - 4, least(len(w), 1))), lambda k: array_to_string(w[k + 1 : k + 5], ' '))) AS s FROM d),
+             flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+             links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b USING (x) WHERE a.doc_id <> b.doc_id
+                       GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+             reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+        FROM s LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)""",
     "op10_decontamination": rf"""
         WITH d AS (SELECT doc_id, {WORDS.format(LOWER.format('text'))} AS w FROM documents),
              i AS (SELECT item_id, text, {WORDS.format(LOWER.format('text'))} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
