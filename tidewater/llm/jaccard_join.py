@@ -125,16 +125,17 @@ def distance(x: bytes, y: bytes) -> int:
 
 
 def _digests(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, digest (of the lower-cased words) and n_shingles of every row."""
+    """doc_id and digest (of the lower-cased words; null without words) of every row.
+    ``n_shingles`` is set where no class gives it: no words, or no doc_id."""
 
     def run(batches):
         hashes = WordHash()
         for batch in batches:
             digests, sizes = [], []
-            for text in batch.column(1).to_pylist():
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of(text, lower=True)
-                digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                sizes.append(len(np.unique(shingle_hashes(hashes.array(words), n))))
+                digests.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
+                sizes.append(0 if not words else None if key is not None else len(np.unique(shingle_hashes(hashes.array(words), n))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())], names=["doc_id", "digest", "n_shingles"])
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, digest binary, n_shingles long")
@@ -142,12 +143,12 @@ def _digests(docs: DataFrame, n: int) -> DataFrame:
 
 def _texts(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     """rep, n, dense sketch and text of each class, once."""
-    rows = docs.join(classes.select(F.col("rep").alias("doc_id"), "digest", "n", "times"), "doc_id")
-    rows = rows.select("doc_id", "digest", "n", F.col("text").cast("binary").alias("text"), "times")
+    rows = docs.join(classes.select(F.col("rep").alias("doc_id"), "digest", "times"), "doc_id")
+    rows = rows.select("doc_id", "digest", F.col("text").cast("binary").alias("text"), "times")
     out = _sketched(rows.where("times = 1"), n)
     if not classes.where("times > 1").isEmpty():  # a doc_id that has this text in several rows
         out = out.unionByName(_sketched(rows.where("times > 1"), n).dropDuplicates(["rep", "digest"]))
-    return out.drop("digest")
+    return out
 
 
 def _sketched(rows: DataFrame, n: int) -> DataFrame:
@@ -158,10 +159,11 @@ def _sketched(rows: DataFrame, n: int) -> DataFrame:
         hashes = WordHash()
         for batch in batches:
             out = [[], [], [], [], []]
-            for rep, digest, size, text in zip(*(c.to_pylist() for c in batch.columns[:4])):
+            for rep, digest, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = words_of(text, lower=True)
                 if xxhash.xxh3_128_digest(b" ".join(words)) == digest:
-                    for column, v in zip(out, (rep, digest, size, bit_sketch(np.unique(shingle_hashes(hashes.array(words), n))), text)):
+                    values = np.unique(shingle_hashes(hashes.array(words), n))
+                    for column, v in zip(out, (rep, digest, len(values), bit_sketch(values), text)):
                         column.append(v)
             types = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["rep", "digest", "n", "sketch", "text"])
@@ -341,17 +343,17 @@ def jaccard_components(
     Texts are taken whole at any length; a task holds one text's set at a time."""
     docs = two_columns(docs, key, text)
     base = written(_digests(docs, n), "jaccard-rows")
-    linked = base.where("doc_id IS NOT NULL AND n_shingles > 0")
-    nodes = written(linked.groupBy("digest", "doc_id").agg(F.first("n_shingles").alias("n"), F.count("*").alias("times")), "jaccard-nodes")
-    classes = nodes.groupBy("digest").agg(F.min(F.struct("doc_id", "times")).alias("r"), F.first("n").alias("n"), F.count("*").alias("count"))
-    classes = written(classes.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.times").alias("times"), "n", "count"), "jaccard-classes")
+    nodes = written(base.where("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest", "doc_id").agg(F.count("*").alias("times")), "jaccard-nodes")
+    classes = nodes.groupBy("digest").agg(F.min(F.struct("doc_id", "times")).alias("r"), F.count("*").alias("count"))
+    classes = written(classes.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.times").alias("times"), "count"), "jaccard-classes")
     texts = written(_texts(docs.where("doc_id IS NOT NULL"), classes, n), "jaccard-texts")
     lists = written(_shared(_keys(texts, n, num, den)), "jaccard-lists")
     links = _verified(_meetings(lists, meetings), texts, n, num, den)
     labels = connected_components(links)
     more = _verified(_open_pairs(lists, texts, labels, num, den), texts, n, num, den)
 
-    held_by = join_counted(nodes.select("doc_id", "digest"), classes.select("digest", "rep", "count"), "digest", nodes.count()).select("doc_id", "rep")
+    sized = classes.select("digest", "rep", "count").join(texts.select("digest", "n"), "digest")
+    held_by = written(join_counted(nodes.select("doc_id", "digest"), sized, "digest", nodes.count()).select("doc_id", "digest", "rep", "n"), "jaccard-held")
     several = held_by.groupBy("doc_id").agg(F.min("rep").alias("a"), F.count("*").alias("times")).where("times > 1")
     same_id = held_by.join(several, "doc_id").select("a", F.col("rep").alias("b"))
     labels = connected_components(links.unionByName(more).unionByName(same_id))
@@ -359,4 +361,5 @@ def jaccard_components(
         held_by.join(labels, F.col("rep") == F.col("node"), "left")
         .groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("component"))
     )
-    return base.select("doc_id", "n_shingles").join(ids, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    out = base.join(held_by.select("doc_id", "digest", "n"), ["doc_id", "digest"], "left").join(ids, "doc_id", "left")
+    return out.select("doc_id", F.coalesce("n_shingles", "n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
