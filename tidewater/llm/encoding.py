@@ -10,7 +10,9 @@ retry or cluster. Decoding joins the pieces' bytes and gives back the text.
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +20,35 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from .common import U64, map_rows, mix64, quoted
 from .pieces import Lattices, Trie, vocabulary
 
 CHUNK = re.compile(rb" *[^ \n]+| +|\n")
-#: Bytes of text that are laid out at a time; bounds memory, not the result.
-SLAB = 3 << 20
+#: Bytes of text that are taken at a time, and bytes of distinct chunks that are laid
+#: out at a time; they bound memory, not the result.
+SLAB, LAID = 1 << 20, 1 << 19
+#: Bytes of a chunk above which its lattice is walked and not laid out.
+LONG = 1 << 16
+#: Pieces that are spelled at a time.
+SPELLED = 1 << 20
+
+
+def mixed(x: int) -> int:
+    """``mix64`` of one whole number."""
+    return int(mix64(np.array([x & 0xFFFFFFFFFFFFFFFF], U64))[0])
+
+
+def _parts(sizes: list[int]) -> np.ndarray:
+    """Part of each distinct chunk: about ``LAID`` bytes, a long chunk on its own."""
+    out, part, held = np.empty(len(sizes), np.int64), 0, 0
+    for i, size in enumerate(sizes):
+        if held and (size > LONG or held + size > LAID):
+            part, held = part + 1, 0
+        out[i] = part
+        held = LAID if size > LONG else held + size
+    return out
 
 
 class Sampler:
@@ -33,6 +56,14 @@ class Sampler:
         self.trie = Trie(vocab)
         self.logp = vocab["logp"] / temperature
         self.seed = seed
+        weight = self.logp.tolist()
+        self.by_surface = {s: (weight[i], i) for i, s in vocab["surface"].items() if i not in vocab["byte"]}
+        self.by_byte = [(weight[i], i) for i in self.trie.byte.tolist()]
+        # lengths of the pieces that end in each byte
+        sizes = [set() for _ in range(256)]
+        for surface in self.by_surface:
+            sizes[surface[-1]].add(len(surface))
+        self.sizes = [sorted(x) for x in sizes]
 
     def encode(self, keys: list, texts: list[bytes]) -> list[np.ndarray]:
         """Piece ids of each text."""
@@ -44,20 +75,53 @@ class Sampler:
             counts.append(len(chunks))
             seeds.append(xxhash.xxh3_64_intdigest(repr(key).encode(), self.seed))
         counts = np.array(counts, np.int64)
-        lat = Lattices(self.trie, list(number))
+        chunk = np.array(which, np.int64)
+        nth = np.arange(len(chunk)) - np.repeat(np.cumsum(counts) - counts, counts)
+        stream = mix64(np.repeat(np.array(seeds, U64), counts) + nth.astype(U64) * U64(0x9E3779B97F4A7C15))
+        # distinct chunks by their number, so many bytes of them at a time
+        distinct = list(number)
+        part = _parts([len(c) for c in distinct])
+        order = np.argsort(part[chunk], kind="stable") if len(chunk) else chunk
+        cuts = np.searchsorted(part[chunk[order]], np.unique(part), side="left").tolist() if len(chunk) else []
+        taken, steps, walked = np.zeros(len(chunk), np.int64), [], {}
+        for a, b in zip(cuts, [*cuts[1:], len(chunk)]):
+            own = order[a:b]
+            low = int(np.searchsorted(part, part[chunk[own[0]]]))
+            high = int(np.searchsorted(part, part[chunk[own[0]]], side="right"))
+            if len(distinct[low]) > LONG:
+                for who, drawn in self._walk(distinct[low], own, stream):
+                    walked[who] = drawn
+                    taken[who] = len(drawn)
+                continue
+            found = self._draw(distinct[low:high], chunk[own] - low, stream[own])
+            for step, (who, piece) in enumerate(found):
+                steps.append((own[who], piece, step))
+                taken[own[who]] += 1
+        ends = np.cumsum(taken)
+        ids = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
+        for who, piece, step in steps:
+            ids[ends[who] - 1 - step] = piece
+        for who, drawn in walked.items():
+            ids[ends[who] - len(drawn) : ends[who]] = drawn
+        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:])]
+
+    def _draw(self, chunks: list[bytes], chunk: np.ndarray, stream: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Last pieces of the chunks asked for, then the ones before them, and so on:
+        (who, piece) of each step. ``chunk`` is an index into ``chunks``."""
+        lat = Lattices(self.trie, chunks)
         alpha = lat.forward(self.logp)
         share = np.exp(alpha[lat.src] + self.logp[lat.ids] - alpha[lat.dst])
-        total = np.cumsum(share)
-        before = np.concatenate([[0.0], total])[lat.first]
-        # share of a node's paths up to and with each edge into it; 1 at the last
-        bound = total - before[lat.dst]
+        # share of a node's paths up to and with each edge into it; 1 at the last. Each
+        # node's shares are added apart, so a chunk's bounds do not depend on the others
+        rank = np.arange(len(share)) - lat.first[lat.dst]
+        bound = share.copy()
+        for r in range(1, int(rank.max(initial=0)) + 1):
+            at_rank = np.flatnonzero(rank == r)
+            bound[at_rank] += bound[at_rank - 1]
         bound[np.maximum(lat.first[1:] - 1, 0)[np.diff(lat.first) > 0]] = 2.0
-        chunk = np.array(which, np.int64)
         at, start = lat.base[chunk + 1] - 1, lat.base[chunk]
-        nth = np.arange(len(chunk)) - np.repeat(np.cumsum(counts) - counts, counts)
-        stream = mix64(np.repeat(np.array(seeds, U64), counts) + nth.astype(U64) * U64(0x9E3779B97F4A7C15))
-        live = np.arange(len(chunk))
-        steps, taken = [], np.zeros(len(chunk), np.int64)
+        live, steps = np.arange(len(chunk)), []
         while len(live):
             u = (mix64(stream[live] + U64(len(steps) + 1)) >> U64(11)).astype(np.float64) * 2.0**-53
             node = at[live]
@@ -66,16 +130,43 @@ class Sampler:
             while len(on):
                 edge[on] += 1
                 on = on[bound[edge[on]] <= u[on]]
-            steps.append((live, lat.ids[edge]))
+            steps.append((live.astype(np.int32), lat.ids[edge].astype(np.int32)))
             at[live] = lat.src[edge]
-            taken[live] += 1
             live = live[at[live] > start[live]]
-        ends = np.cumsum(taken)
-        ids = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
-        for s, (who, piece) in enumerate(steps):
-            ids[ends[who] - 1 - s] = piece
-        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        return steps
+
+    def _walk(self, text: bytes, own: np.ndarray, stream: np.ndarray):
+        """(who, pieces) of the occurrences ``own`` of one long chunk, node by node, with
+        one double a byte: pieces are looked up again on the way back."""
+        alpha = array("d", [0.0])
+        for end in range(1, len(text) + 1):
+            terms = [alpha[start] + w for start, w, _ in self._into(text, end)]
+            top = max(terms)
+            alpha.append(top + math.log(sum([math.exp(t - top) for t in terms])))
+        for who in own.tolist():
+            drawn, end, base = array("i"), len(text), int(stream[who])
+            while end:
+                u = (mixed(base + len(drawn) + 1) >> 11) * 2.0**-53
+                edges = self._into(text, end)
+                total, taken = 0.0, edges[-1]
+                for edge in edges[:-1]:
+                    total += math.exp(alpha[edge[0]] + edge[1] - alpha[end])
+                    if total > u:
+                        taken = edge
+                        break
+                drawn.append(taken[2])
+                end = taken[0]
+            yield who, np.frombuffer(drawn, np.int32)[::-1]
+
+    def _into(self, text: bytes, end: int) -> list[tuple[int, float, int]]:
+        """Pieces that end at ``end``: (start, log weight, id), a byte's own one first,
+        then shorter ones before longer ones, as in the laid-out lattice."""
+        out = [(end - 1, *self.by_byte[text[end - 1]])]
+        for size in self.sizes[text[end - 1]]:
+            found = self.by_surface.get(text[end - size : end]) if size <= end else None
+            if found:
+                out.append((end - size, *found))
+        return out
 
 
 class Speller:
@@ -90,8 +181,8 @@ class Speller:
 
     def spell(self, ids: np.ndarray) -> np.ndarray:
         out = []
-        for a in range(0, len(ids), SLAB):
-            own = ids[a : a + SLAB].astype(np.int64)
+        for a in range(0, len(ids), SPELLED):
+            own = ids[a : a + SPELLED].astype(np.int64)
             own[(own < 0) | (own > self.none)] = self.none
             length = self.length[own]
             ends = np.cumsum(length)
@@ -112,43 +203,57 @@ class Speller:
 
 
 def sample_pieces(
-    docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", temperature: float = 1.0, seed: int = 0, carry: tuple[str, ...] = ()
+    docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", temperature: float = 1.0, seed: int = 0,
+    carry: tuple[str, ...] = (), into: str | None = None,
 ) -> DataFrame:
-    """doc_id, pieces (ids of a sampled segmentation of the whole text), n_pieces,
-    and the columns named in ``carry``; one row per input row.
+    """doc_id, pieces (ids of a sampled segmentation of the whole text), n_pieces, the
+    columns named in ``carry`` and, if ``into`` names one, the text that the pieces
+    spell, from the same pass; one row per input row.
 
     ``model`` is the vocabulary's file, read by the driver and sent to the tasks
-    (it is bounded by the vocabulary). Null text gives null pieces and n_pieces,
-    empty text an empty array. The draw is seeded by doc_id; a null doc_id is a
-    key like another, and rows alike in doc_id and text get the same pieces. Other
-    columns are ignored; an empty table gives no rows."""
+    (it is bounded by the vocabulary). Null text gives null pieces, n_pieces and
+    spelling, empty text an empty array. The draw is seeded by doc_id; a null doc_id is
+    a key like another, and rows alike in doc_id and text get the same pieces. Other
+    columns are ignored; an empty table gives no rows. Rows are encoded, and handed on,
+    about ``SLAB`` bytes of text at a time; a run of characters without a space that is
+    over ``LONG`` bytes is walked with one number a byte and takes linear time."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary(model))
     docs = docs.select(quoted(key).cast("long").alias("doc_id"), quoted(text).cast("binary").alias("text"), *[quoted(c).alias(f"carry{i}") for i, c in enumerate(carry)])
 
     def run(batches):
         sampler = Sampler(sent.value, temperature, seed)
-        for batch in batches:
-            keys, out = batch.column(0).to_pylist(), []
-            held, size = [], 0
-            column = batch.column(1)
-            for i in range(len(keys) + 1):
-                if held and (i == len(keys) or size >= SLAB):
-                    out += sampler.encode(keys[len(out) : i], held)
-                    held, size = [], 0
-                if i < len(keys):
-                    held.append(column[i].as_py() or b"")
-                    size += len(held[-1])
+        speller = Speller(sent.value)
+
+        def done(part, texts):
+            out = sampler.encode(part.column(0).to_pylist(), texts)
             lengths = [len(x) for x in out]
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            missing = column.is_null().to_numpy(zero_copy_only=False)
-            values = np.concatenate([np.empty(0, np.int32), *out])
-            pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array(missing))
-            counts = pa.array(np.array(lengths, np.int64), mask=missing)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pieces, counts, *batch.columns[2:]], names=["doc_id", "pieces", "n_pieces", *batch.schema.names[2:]])
-
-    fields = [f"carry{i} {docs.schema[f'carry{i}'].dataType.simpleString()}" for i in range(len(carry))]
-    out = docs.mapInArrow(run, ", ".join(["doc_id long, pieces array<int>, n_pieces long", *fields]))
-    return out.toDF("doc_id", "pieces", "n_pieces", *carry)
+            missing = pa.array(part.column(1).is_null().to_numpy(zero_copy_only=False))
+            pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *out])), mask=missing)
+            counts = pa.array(np.array(lengths, np.int64), mask=missing.to_numpy(zero_copy_only=False))
+            more = [speller.texts(pieces)] if into else []
+            names = ["doc_id", "pieces", "n_pieces", *part.schema.names[2:], *["spelled"] * len(more)]
+            return pa.RecordBatch.from_arrays([part.column(0), pieces, counts, *part.columns[2:], *more], names=names)
+
+        for batch in batches:
+            start, held, size, column = 0, [], 0, batch.column(1)
+            for i in range(batch.num_rows):
+                held.append(column[i].as_py() or b"")
+                size += len(held[-1])
+                if size >= SLAB:
+                    yield done(batch.slice(start, i + 1 - start), held)
+                    start, held, size = i + 1, [], 0
+            if held:
+                yield done(batch.slice(start), held)
+
+    schema = StructType([
+        StructField("doc_id", LongType()), StructField("pieces", ArrayType(IntegerType())), StructField("n_pieces", LongType()),
+        *docs.schema.fields[2:], *[StructField("spelled", BinaryType())] * bool(into),
+    ])
+    out = docs.mapInArrow(run, schema)
+    if into:
+        out = out.withColumn("spelled", F.col("spelled").cast("string"))
+    return out.toDF("doc_id", "pieces", "n_pieces", *carry, *[into] * bool(into))
 
 
 def decode_pieces(encoded: DataFrame, model: str, pieces: str = "pieces", into: str = "decoded") -> DataFrame:

@@ -12,7 +12,7 @@ from tidewater.session import read_table
 
 from .alignment import aligned_tokens
 from .containment import contained_items
-from .encoding import decode_pieces, sample_pieces
+from .encoding import sample_pieces
 from .exact_dedup import exact_groups, normalised
 from .jaccard_join import jaccard_components
 from .lm_scoring import lattice_scores
@@ -70,7 +70,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled pieces of every text, decoded again."""
     docs = read_table(spark, sf_dir, "documents").withColumn("text_sha256", F.sha2(F.col("text"), 256))
-    decoded = decode_pieces(sample_pieces(docs, MODEL, carry=("text_sha256",)), MODEL)
+    decoded = sample_pieces(docs, MODEL, carry=("text_sha256",), into="decoded")
     return decoded.select(
         "doc_id", "pieces", "n_pieces", "text_sha256", F.sha2("decoded", 256).eqNullSafe(F.col("text_sha256")).alias("lossless")
     )
