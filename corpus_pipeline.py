@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.containment import decontaminated
-from tidewater.llm.encoding import decode_pieces, sample_pieces
+from tidewater.llm.encoding import sample_pieces
 from tidewater.llm.exact_dedup import keep_first
 from tidewater.llm.near_dedup import keep_one
 from tidewater.llm.queries import MODEL
@@ -41,12 +41,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled pieces of each text, and whether they decode to it again."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    tagged = docs.withColumn("text_sha256", F.sha2(F.col("text"), 256))
-    decoded = decode_pieces(sample_pieces(tagged, MODEL, carry=(*rest, "text_sha256")), MODEL)
-    lossless = F.sha2("decoded", 256).eqNullSafe(F.col("text_sha256")).alias("lossless")
-    return decoded.select("doc_id", *rest, "pieces", "n_pieces", lossless)
+    """All columns but the text, and the sampled pieces of each text, their number and
+    whether they decode to it again. Where ``docs`` has a column of one of those names
+    itself, that one keeps its name and value and the new one ends in ``_new``."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    plain = docs.toDF(*[c if c in ("doc_id", "text") else f"r{i}" for i, c in enumerate(docs.columns)])
+    names = [c for c in plain.columns if c not in ("doc_id", "text")]
+    tagged = plain.withColumn("digest", F.sha2(F.col("text"), 256))
+    decoded = sample_pieces(tagged, MODEL, carry=(*names, "digest"), into="decoded")
+    lossless = F.sha2("decoded", 256).eqNullSafe(F.col("digest")).alias("lossless")
+    new = [c + "_new" if c in rest else c for c in ("pieces", "n_pieces", "lossless")]
+    return decoded.select("doc_id", *names, "pieces", "n_pieces", lossless).toDF("doc_id", *rest, *new)
 
 
 STAGES = [
