@@ -30,6 +30,7 @@ from ..operators.merge import (
     resolve_column,
     resolve_keys,
 )
+from ..operators.staged import merge_once, merge_staged, staged_changes
 
 
 def read_snapshot(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -102,7 +103,8 @@ def save_snapshot(
     ``append`` with ``out_path == target_path`` adds the new rows to the table
     itself instead of copying it.
     With ``partition_by`` columns that are part of the key, keyed modes merge
-    only the touched partitions (``merge_partition_local``).
+    only the touched partitions (``merge_partition_local``). Keyed modes evaluate
+    ``incoming`` once (``operators.staged``).
     """
     mode = SaveMode.coerce(mode)
     spark = incoming.sparkSession
@@ -126,6 +128,11 @@ def save_snapshot(
         return target_path  # type: ignore[return-value]
     if target is not None and mode is SaveMode.ERROR_IF_EXISTS:
         raise TableExistsError(f"table at {target_path} already exists")
+
+    def write(state: DataFrame) -> None:
+        writer = state.write.mode("errorifexists")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(out_path)
+
     local = (
         target is not None
         and mode.keyed
@@ -133,15 +140,15 @@ def save_snapshot(
         and {p.lower() for p in partition_by} <= {k.lower() for k in resolve_keys(target, keys)}
     )
     if local:
-        state = merge_partition_local(
-            target, incoming, mode, resolve_keys(target, keys), partition_by, order_by, dedup=dedup
-        )
+        named = resolve_keys(target, keys)
+        own = [resolve_column(incoming, k) for k in named]
+        keep = ("last" if mode is SaveMode.UPSERT else "first") if dedup else None
+        with staged_changes(incoming, own, order_by, keep) as changes:
+            write(merge_partition_local(target, changes, mode, named, partition_by, dedup=False))
+    elif mode.keyed:
+        merge_once(target, incoming, mode, write, keys=keys, order_by=order_by, dedup=dedup)
     else:
-        state = merge_state(target, incoming, mode, keys=keys, order_by=order_by, dedup=dedup)
-    writer = state.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(out_path)
+        write(merge_state(target, incoming, mode, keys=keys, order_by=order_by, dedup=dedup))
     return out_path
 
 
@@ -190,17 +197,20 @@ def save_partitions_in_place(
     pcols = [resolve_column(target, p) for p in pcols]
     if not set(pcols) <= set(keys):
         raise ValueError(f"partition columns {pcols} must be part of the key {keys}")
-    touched = incoming.select(*[resolve_column(incoming, p) for p in pcols]).toDF(*[f"_p_{p}" for p in pcols]).distinct()
-    # Null-safe: a touched NULL partition must bring its existing rows along,
-    # or the overwrite would drop them.
-    cond = [target[p].eqNullSafe(touched[f"_p_{p}"]) for p in pcols]
-    inside = target.join(touched, cond, "left_semi").select(*target.columns)
-    merged = merge_state(inside, incoming, mode, keys=keys, order_by=order_by, dedup=dedup)
-    (
-        merged.hint("rebalance", *pcols)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*pcols)
-        .parquet(table_path)
-    )
+    own = [resolve_column(incoming, k) for k in keys]
+    keep = ("last" if mode is SaveMode.UPSERT else "first") if dedup else None
+    with staged_changes(incoming, own, order_by, keep) as changes:
+        touched = changes.select(*[resolve_column(changes, p) for p in pcols]).toDF(*[f"_p_{p}" for p in pcols]).distinct()
+        # Null-safe: a touched NULL partition must bring its existing rows along,
+        # or the overwrite would drop them.
+        cond = [target[p].eqNullSafe(touched[f"_p_{p}"]) for p in pcols]
+        inside = target.join(touched, cond, "left_semi").select(*target.columns)
+        merged = merge_staged(inside, changes, mode, keys=keys)
+        (
+            merged.hint("rebalance", *pcols)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*pcols)
+            .parquet(table_path)
+        )
     return pcols
