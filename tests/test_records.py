@@ -114,3 +114,21 @@ def test_integer_fields_take_any_number(spark, js, want):
 def test_convert_record_double_to_int(spark):
     df = spark.createDataFrame([(7.0,), (7.9,), (1e7,)], "v double")
     assert [r.r.v for r in df.select(convert_record(F.struct("v"), "v int").alias("r")).collect()] == [7, 7, 10000000]
+
+
+def test_strict_finds_unknown_fields_at_any_depth(spark):
+    schema = "id int, o struct<a int, deep struct<b string>>, items array<struct<n int>>, m map<string, struct<v int>>, free map<string, string>"
+    good = '{"id": 1, "o": {"a": 2, "deep": {"b": "x"}}, "items": [{"n": 1}, {}, null], "m": {"any": {"v": 1}}, "free": {"z": "1"}}'
+    bad = {
+        '{"o": {"a": 2, "x": 1}}': "o.x", '{"o": {"deep": {"b": "x", "c": 1}}}': "o.deep.c", '{"items": [{"n": 1}, {"n": 2, "q": 3}]}': "items.q",
+        '{"m": {"k": {"v": 1, "w": 2}}}': "m.*.w", '{"id": 1, "y": 2}': '"y"',
+    }
+    one = lambda text: spark.createDataFrame([(text,)], "j string").select(read_json("j", schema, strict=True).alias("r"))
+    kept = one(good).first()["r"]
+    assert kept["o"]["deep"]["b"] == "x" and kept["m"]["any"]["v"] == 1 and kept["free"] == {"z": "1"}
+    assert one(None).first()["r"] is None
+    for text, path in bad.items():
+        with pytest.raises(Exception, match="unknown JSON fields") as error:
+            one(text).collect()
+        assert path in str(error.value)
+        assert spark.createDataFrame([(text,)], "j string").select(read_json("j", schema).alias("r")).first()["r"] is not None  # lenient: left out

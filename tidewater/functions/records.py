@@ -96,6 +96,33 @@ def _lost(src: Column, dst: Column, dt: T.DataType) -> Column:
     return here
 
 
+def _holds_struct(dt: T.DataType) -> bool:
+    if isinstance(dt, T.ArrayType):
+        return _holds_struct(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return _holds_struct(dt.valueType)
+    return isinstance(dt, T.StructType)
+
+
+def _unknown_fields(text: Column, dt: T.DataType, path: str = "") -> Column:
+    """Paths of the JSON text's fields that ``dt`` lacks, at any depth. Inner values
+    are read as JSON text again; a value of another kind than ``dt`` says has none
+    (it does not convert, which is found elsewhere)."""
+    none = F.array().cast("array<string>")
+    if isinstance(dt, T.ArrayType):
+        items = F.coalesce(F.from_json(text, "array<string>"), none)
+        return F.flatten(F.transform(items, lambda x: _unknown_fields(x, dt.elementType, path)))
+    members = F.from_json(text, "map<string,string>")
+    if isinstance(dt, T.MapType):
+        values = F.coalesce(F.map_values(members), none)
+        return F.flatten(F.transform(values, lambda x: _unknown_fields(x, dt.valueType, f"{path}*.")))
+    allowed = F.array(*[F.lit(f.name) for f in dt.fields]).cast("array<string>")
+    own = F.array_except(F.coalesce(F.json_object_keys(text), none), allowed)
+    parts = [F.transform(own, lambda x: F.concat(F.lit(path), x)) if path else own]
+    parts += [_unknown_fields(members[f.name], f.dataType, f"{path}{f.name}.") for f in dt.fields if _holds_struct(f.dataType)]
+    return F.concat(*parts) if len(parts) > 1 else own if not path else parts[0]
+
+
 def read_json(
     col: str | Column, schema: str | T.StructType, strict: bool = False, coerce: bool = True
 ) -> Column:
@@ -104,7 +131,8 @@ def read_json(
     ``coerce=True`` converts like a JSON object mapper: numeric and boolean
     fields accept quoted values (``"7"`` for an int). Values that do not
     convert make the record invalid - a NULL struct when lenient, an error
-    when strict. ``coerce=False`` keeps Spark's JSON reader rules.
+    when strict. ``strict`` also raises on a field that the schema lacks, within
+    structs, arrays and maps too. ``coerce=False`` keeps Spark's JSON reader rules.
     """
     st = _schema(schema)
     c = _col(col)
@@ -112,8 +140,7 @@ def read_json(
     converted = [f for f, g in zip(st.fields, read_as.fields) if f.dataType != g.dataType]
     if strict:
         parsed = F.from_json(c, read_as, {"mode": "FAILFAST"})
-        allowed = F.array(*[F.lit(f.name) for f in st.fields])
-        unknown = F.array_except(F.json_object_keys(c), allowed)
+        unknown = _unknown_fields(c, st)
         typed = parsed
         if converted:
             fields = []
