@@ -190,25 +190,6 @@ def q_dedup_latest(spark, sf_dir):
 # --------------------------------------------------------------- jobs
 
 
-@register(
-    "sync_daily_upsert",
-    f"WITH t AS (SELECT event_id, ts, user_id, event_type, CAST(0.0 AS DOUBLE) AS value, props FROM events "
-    f"WHERE ts < TIMESTAMP '{fx.EVENTS_TARGET_BEFORE}'), "
-    f"i AS (SELECT * FROM events WHERE strftime(ts, '%Y-%m-%d') = '{fx.EVENTS_SYNC_DAY}') "
-    "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.event_id = t.event_id) "
-    "UNION ALL SELECT * FROM i",
-)
-def q_sync_daily_upsert(spark, sf_dir):
-    return sync(
-        read_table(spark, sf_dir, "events"),
-        fx.events_target(spark, sf_dir),
-        SaveMode.UPSERT,
-        keys=["event_id"],
-        day=fx.EVENTS_SYNC_DAY,
-        column="ts",
-    )
-
-
 # --------------------------------------------------------------- key scans
 
 KEY_PATTERN = "cust:1?[57]*"
@@ -329,9 +310,10 @@ def q_entity_ids_deterministic(spark, sf_dir):
 @register("hash_layout", "SELECT * FROM orders")
 def q_hash_layout(spark, sf_dir):
     from ..session import scratch_path
-    from .layout import SHARD_COL, write_hash_layout
+    from .layout import SHARD_COL, shards_for, write_hash_layout
 
-    path = write_hash_layout(read_table(spark, sf_dir, "orders"), scratch_path(spark, "orders_hash"), "o_orderkey", 8)
+    orders = read_table(spark, sf_dir, "orders")
+    path = write_hash_layout(orders, scratch_path(spark, "orders_hash"), "o_orderkey", shards_for(orders, 1 << 20))
     return spark.read.parquet(path).drop(SHARD_COL)
 
 
@@ -363,18 +345,6 @@ def q_save_overwrite(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@register("save_error_if_exists", _ORDERS_I)
-def q_save_error_if_exists(spark, sf_dir):
-    from ..session import scratch_path
-    from ..sinks.snapshot import save_snapshot
-
-    missing = scratch_path(spark, "orders_missing")
-    out = save_snapshot(
-        fx.orders_changed(spark, sf_dir), missing, scratch_path(spark, "orders_e"), SaveMode.ERROR_IF_EXISTS
-    )
-    return spark.read.parquet(out)
-
-
 @register("save_ignore_table", _ORDERS_T)
 def q_save_ignore_table(spark, sf_dir):
     from ..session import scratch_path
@@ -397,19 +367,6 @@ def q_save_upsert_snapshot(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@register(
-    "save_upsert_labels",
-    "WITH i AS (SELECT doc_id, CAST(CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS INTEGER) AS quality "
-    "FROM documents WHERE lang = 'en') "
-    "SELECT * FROM labels l WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.doc_id = l.doc_id) "
-    "UNION ALL SELECT i.doc_id, i.quality, l.toxic FROM i LEFT JOIN labels l ON i.doc_id = l.doc_id",
-)
-def q_save_upsert_labels(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
-    inc = docs.select("doc_id", F.when(F.col("n_chars") > 1000, 1).otherwise(0).cast("int").alias("quality"))
-    return merge_state(read_table(spark, sf_dir, "labels"), inc, SaveMode.UPSERT, keys=["doc_id"])
-
-
 # --------------------------------------------------------------- documents
 
 _DOC_SCHEMA = "_id bigint, text string, lang string, source string, n_chars bigint"
@@ -451,98 +408,33 @@ def q_document_replace(spark, sf_dir):
 
 # --------------------------------------------------------------- composed jobs
 
-_SYNC_SQL = ORACLE_SQL["sync_daily_upsert"]
-
-
-@register("sync_daily_snapshot", _SYNC_SQL)
-def q_sync_daily_snapshot(spark, sf_dir):
-    """JOB-1 on files: yesterday's snapshot + today's changes -> new snapshot."""
-    from ..session import scratch_path
-    from .jobs import sync_to_path
-
-    target = _snapshot(spark, "events_t", fx.events_target(spark, sf_dir))
-    out = sync_to_path(
-        read_table(spark, sf_dir, "events"),
-        target,
-        scratch_path(spark, "events_sync"),
-        SaveMode.UPSERT,
-        keys=["event_id"],
-        day=fx.EVENTS_SYNC_DAY,
-        column="ts",
-    )
-    return spark.read.parquet(out)
 
 
 SYNC_RANGE_START = "2024-01-1412:00:00"
 SYNC_RANGE_END = "2024-01-1511:59:59"
 
 
-@register(
-    "sync_range_ignore_record",
-    f"WITH t AS (SELECT event_id, ts, user_id, event_type, CAST(0.0 AS DOUBLE) AS value, props FROM events "
-    f"WHERE ts < TIMESTAMP '{fx.EVENTS_TARGET_BEFORE}'), "
-    "i AS (SELECT * FROM events WHERE strftime(ts, '%Y-%m-%d%H:%M:%S') "
-    f"BETWEEN '{SYNC_RANGE_START}' AND '{SYNC_RANGE_END}') "
-    "SELECT * FROM t UNION ALL SELECT * FROM i WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.event_id = i.event_id)",
-)
-def q_sync_range_ignore_record(spark, sf_dir):
-    return sync(
-        read_table(spark, sf_dir, "events"),
-        fx.events_target(spark, sf_dir),
-        SaveMode.IGNORE_RECORD,
-        keys=["event_id"],
-        start=SYNC_RANGE_START,
-        end=SYNC_RANGE_END,
-        column="ts",
-    )
-
-
-@register(
-    "job_document_daily",
-    "WITH d AS (SELECT event_id AS _id, ts AS updateAt, user_id, "
-    "CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events), "
-    f"t AS (SELECT * FROM d WHERE updateAt < TIMESTAMP '{fx.EVENTS_TARGET_BEFORE}'), "
-    f"i AS (SELECT * FROM d WHERE strftime(updateAt, '%Y-%m-%d') = '{fx.EVENTS_SYNC_DAY}') "
-    "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i._id = t._id) UNION ALL SELECT * FROM i",
-)
-def q_job_document_daily(spark, sf_dir):
-    """JOB-4: documents -> daily filter on updateAt -> typed records -> upsert."""
-    from ..functions.records import read_json
-    from ..session import scratch_path
-    from ..sources.documents import DocumentStore, read_collection, save_collection
-
-    store = DocumentStore(root=scratch_path(spark, "eventdocs"))
-    ev = read_table(spark, sf_dir, "events")
-    docs = ev.select(F.col("event_id").alias("_id"), F.col("ts").alias("updateAt"), "user_id", "props")
-    save_collection(docs, store, "events")
-    coll = read_collection(spark, store, "events", schema="_id bigint, updateAt timestamp_ntz, user_id bigint, props string")
-    typed = coll.select("_id", "updateAt", "user_id", read_json("props", "k bigint")["k"].alias("k"))
-    target = typed.filter(F.col("updateAt") < fx.ntz(fx.EVENTS_TARGET_BEFORE))
-    today = filter_document_daily(typed, fx.EVENTS_SYNC_DAY)
-    return merge_state(target, today, SaveMode.UPSERT, keys=["_id"])
-
-
 # --------------------------------------------------------------- whole tables
 
-# The syncs and saves above that cut their table, once more without a row left out.
+# Syncs and saves over every row of their table: no row is in neither target nor change set.
 _IS_NEW = "({0} >= TIMESTAMP '" + fx.EVENTS_TARGET_BEFORE + "' AND {0} < TIMESTAMP '" + fx.EVENTS_TARGET_AGAIN + "') IS TRUE"
-_EVENTS_T_WHOLE = (
+_EVENTS_T = (
     "SELECT event_id, ts, user_id, event_type, CAST(0.0 AS DOUBLE) AS value, props FROM events "
     f"WHERE NOT {_IS_NEW.format('ts')}"
 )
-_SYNC_WHOLE_SQL = (
-    f"WITH t AS ({_EVENTS_T_WHOLE}), "
+_SYNC_SQL = (
+    f"WITH t AS ({_EVENTS_T}), "
     f"i AS (SELECT * FROM events WHERE strftime(ts, '%Y-%m-%d') = '{fx.EVENTS_SYNC_DAY}') "
     "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.event_id = t.event_id) "
     "UNION ALL SELECT * FROM i"
 )
 
 
-@register("sync_daily_upsert_whole", _SYNC_WHOLE_SQL)
-def q_sync_daily_upsert_whole(spark, sf_dir):
+@register("sync_daily_upsert", _SYNC_SQL)
+def q_sync_daily_upsert(spark, sf_dir):
     return sync(
         read_table(spark, sf_dir, "events"),
-        fx.events_target_whole(spark, sf_dir),
+        fx.events_target_stale(spark, sf_dir),
         SaveMode.UPSERT,
         keys=["event_id"],
         day=fx.EVENTS_SYNC_DAY,
@@ -550,15 +442,15 @@ def q_sync_daily_upsert_whole(spark, sf_dir):
     )
 
 
-@register("sync_daily_snapshot_whole", _SYNC_WHOLE_SQL)
-def q_sync_daily_snapshot_whole(spark, sf_dir):
+@register("sync_daily_snapshot", _SYNC_SQL)
+def q_sync_daily_snapshot(spark, sf_dir):
     from ..session import scratch_path
     from .jobs import sync_to_path
 
     out = sync_to_path(
         read_table(spark, sf_dir, "events"),
-        _snapshot(spark, "events_tw", fx.events_target_whole(spark, sf_dir)),
-        scratch_path(spark, "events_sync_whole"),
+        _snapshot(spark, "events_tw", fx.events_target_stale(spark, sf_dir)),
+        scratch_path(spark, "events_sync"),
         SaveMode.UPSERT,
         keys=["event_id"],
         day=fx.EVENTS_SYNC_DAY,
@@ -568,16 +460,16 @@ def q_sync_daily_snapshot_whole(spark, sf_dir):
 
 
 @register(
-    "sync_range_ignore_record_whole",
-    f"WITH t AS ({_EVENTS_T_WHOLE}), "
+    "sync_range_ignore_record",
+    f"WITH t AS ({_EVENTS_T}), "
     "i AS (SELECT * FROM events WHERE strftime(ts, '%Y-%m-%d%H:%M:%S') "
     f"BETWEEN '{SYNC_RANGE_START}' AND '{SYNC_RANGE_END}') "
     "SELECT * FROM t UNION ALL SELECT * FROM i WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.event_id = i.event_id)",
 )
-def q_sync_range_ignore_record_whole(spark, sf_dir):
+def q_sync_range_ignore_record(spark, sf_dir):
     return sync(
         read_table(spark, sf_dir, "events"),
-        fx.events_target_whole(spark, sf_dir),
+        fx.events_target_stale(spark, sf_dir),
         SaveMode.IGNORE_RECORD,
         keys=["event_id"],
         start=SYNC_RANGE_START,
@@ -587,19 +479,19 @@ def q_sync_range_ignore_record_whole(spark, sf_dir):
 
 
 @register(
-    "job_document_daily_whole",
+    "job_document_daily",
     "WITH d AS (SELECT event_id AS _id, ts AS updateAt, user_id, "
     "CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events), "
     f"t AS (SELECT _id, updateAt, user_id, CAST(0 AS BIGINT) AS k FROM d WHERE NOT {_IS_NEW.format('updateAt')}), "
     f"i AS (SELECT * FROM d WHERE strftime(updateAt, '%Y-%m-%d') = '{fx.EVENTS_SYNC_DAY}') "
     "SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM i WHERE i._id = t._id) UNION ALL SELECT * FROM i",
 )
-def q_job_document_daily_whole(spark, sf_dir):
+def q_job_document_daily(spark, sf_dir):
     from ..functions.records import read_json
     from ..session import scratch_path
     from ..sources.documents import DocumentStore, read_collection, save_collection
 
-    store = DocumentStore(root=scratch_path(spark, "eventdocs_whole"))
+    store = DocumentStore(root=scratch_path(spark, "eventdocs"))
     ev = read_table(spark, sf_dir, "events")
     save_collection(ev.select(F.col("event_id").alias("_id"), F.col("ts").alias("updateAt"), "user_id", "props"), store, "events")
     coll = read_collection(spark, store, "events", schema="_id bigint, updateAt timestamp_ntz, user_id bigint, props string")
@@ -608,8 +500,8 @@ def q_job_document_daily_whole(spark, sf_dir):
     return merge_state(target, filter_document_daily(typed, fx.EVENTS_SYNC_DAY), SaveMode.UPSERT, keys=["_id"])
 
 
-@register("save_error_if_exists_whole", "SELECT * FROM orders")
-def q_save_error_if_exists_whole(spark, sf_dir):
+@register("save_error_if_exists", "SELECT * FROM orders")
+def q_save_error_if_exists(spark, sf_dir):
     from ..session import scratch_path
     from ..sinks.snapshot import save_snapshot
 
@@ -619,12 +511,12 @@ def q_save_error_if_exists_whole(spark, sf_dir):
 
 
 @register(
-    "save_upsert_labels_whole",
+    "save_upsert_labels",
     "WITH i AS (SELECT doc_id, CAST(CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS INTEGER) AS quality FROM documents) "
     "SELECT * FROM labels l WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.doc_id = l.doc_id) "
     "UNION ALL SELECT i.doc_id, i.quality, l.toxic FROM i LEFT JOIN labels l ON i.doc_id = l.doc_id",
 )
-def q_save_upsert_labels_whole(spark, sf_dir):
+def q_save_upsert_labels(spark, sf_dir):
     quality = F.when(F.col("n_chars") > 1000, 1).otherwise(0).cast("int").alias("quality")
     inc = read_table(spark, sf_dir, "documents").select("doc_id", quality)
     return merge_state(read_table(spark, sf_dir, "labels"), inc, SaveMode.UPSERT, keys=["doc_id"])

@@ -73,7 +73,7 @@ def is_new_event(column: str):
     return F.coalesce((c >= ntz(EVENTS_TARGET_BEFORE)) & (c < ntz(EVENTS_TARGET_AGAIN)), F.lit(False))
 
 
-def events_target_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_target_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``events`` with stale values (0), but for the part of the sync day that
     the change windows bring: no row is in neither of the two."""
     return read_table(spark, sf_dir, "events").filter(~is_new_event("ts")).withColumn("value", F.lit(0.0))
