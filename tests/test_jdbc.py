@@ -104,7 +104,7 @@ class Recorder:
 
 @pytest.fixture()
 def my_user(spark):
-    return spark.createDataFrame([(1, "ls", "lsppp"), (2, "pp", "pppuu"), (2, "pp", "newer")],
+    return spark.createDataFrame([(1, "north", "spare"), (2, "south", "first"), (2, "south", "newer")],
                                  "id int, account string, passwd string")
 
 
