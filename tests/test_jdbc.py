@@ -124,7 +124,7 @@ def test_save_upsert_missing_table_creates_unique_key(monkeypatch, my_user):
     rec = Recorder(None)
     run = rec.install(monkeypatch)
     J.save_jdbc(my_user, PG, "my_user", "upsert", keys=["id"], run_sql=run)
-    assert rec.writes[0] == ("my_user", "errorifexists", 0)
+    assert rec.writes[0][0].startswith("my_user__stg_") and rec.writes[1] == ("my_user", "errorifexists", 0)
     assert rec.sql[0].startswith("CREATE UNIQUE INDEX") and '("id")' in rec.sql[0]
 
 
@@ -151,7 +151,10 @@ def test_table_modes(monkeypatch, my_user):
     assert J.save_jdbc(my_user, PG, "my_user", SaveMode.APPEND, run_sql=run) == "appended"
     assert J.save_jdbc(my_user, PG, "my_user", SaveMode.OVERWRITE, run_sql=run) == "overwritten"
     new_table = rec.writes[-1][0]
-    assert rec.sql == ["DROP TABLE my_user", f"ALTER TABLE {new_table} RENAME TO my_user"]
+    old = rec.sql[0].split()[-1]
+    assert old.startswith("my_user__old_") and rec.sql == [
+        f"ALTER TABLE my_user RENAME TO {old}", f"ALTER TABLE {new_table} RENAME TO my_user", f"DROP TABLE {old}"
+    ]
     assert not rec.writes[0:1] or rec.writes[0][1] == "append"
 
 
@@ -288,3 +291,75 @@ def test_sync_to_jdbc_other_dialects(monkeypatch, spark, endpoint, head):
     monkeypatch.setattr(J, "jvm_run_sql", lambda spark, ep: run)
     sync_to_jdbc(ev, endpoint, "events", "upsert", keys=["event_id"], day="2024-01-15", column="ts")
     assert rec.sql[0].startswith(head)
+
+
+class Database:
+    """Tables by name; fails at the ``fail``-th step, before or after it took effect."""
+
+    def __init__(self, tables, fail, late):
+        self.tables, self.fail, self.late, self.steps = dict(tables), fail, late, 0
+
+    def _step(self, effect):
+        self.steps += 1
+        if self.steps == self.fail and not self.late:
+            raise ConnectionError(f"step {self.fail}")
+        effect()
+        if self.steps == self.fail:
+            raise ConnectionError(f"step {self.fail}")
+
+    def write(self, df, ep, table, mode, *a, **k):
+        self._step(lambda: self.tables.__setitem__(table, "new" if df.count() else "empty"))
+
+    def run(self, sql):
+        words = sql.split()
+
+        def effect():
+            if sql.startswith("DROP TABLE"):
+                del self.tables[words[2]]
+            elif "RENAME TO" in sql:
+                self.tables[words[-1]] = self.tables.pop(words[2])
+            elif sql.startswith("INSERT INTO"):
+                self.tables[words[2]] = "merged"
+
+        self._step(effect)
+
+
+@pytest.mark.parametrize("late", [False, True])
+@pytest.mark.parametrize("mode, existing, done, last", [
+    ("overwrite", True, "new", 4), ("upsert", True, "merged", 3), ("ignore_record", True, "merged", 3), ("upsert", False, "merged", 5),
+])
+def test_a_failure_at_any_step_keeps_the_old_table(monkeypatch, my_user, mode, existing, done, last, late):
+    before = {"my_user": "old"} if existing else {}
+    for fail in range(1, last + 2):
+        db = Database(before, fail, late)
+        monkeypatch.setattr(J, "target_schema", lambda spark, ep, table: my_user.schema if existing else None)
+        monkeypatch.setattr(J, "write_table", db.write)
+        save = lambda: J.save_jdbc(my_user, PG, "my_user", mode, keys=["id"], run_sql=db.run)
+        if fail > last:
+            save()
+            assert db.tables == {"my_user": done} and db.steps == last
+            continue
+        with pytest.raises(ConnectionError, match=f"step {fail}"):
+            save()
+        if fail < last - 1 or (fail == last - 1 and not late):
+            assert db.tables == before, (fail, db.tables)  # undone, nothing left behind
+        else:
+            # the last statement that changes the table took effect, or only the clean-up failed
+            assert set(db.tables) >= {"my_user"} or not existing
+
+
+def test_writer_options_pass_through_jobs(monkeypatch, spark):
+    from conftest import SF_SMALL
+    from tidewater.plans.jobs import sync_to_jdbc
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    seen = []
+    monkeypatch.setattr(J, "target_schema", lambda *a: ev.schema)
+    monkeypatch.setattr(J, "write_table", lambda df, ep, table, mode, parts, batch, **k: seen.append((table, parts, batch, k["isolation_level"])))
+    sync_to_jdbc(ev, PG, "events", "append", day="2024-01-15", column="ts", num_partitions=3, batchsize=50, isolation_level="NONE")
+    assert seen == [("events", 3, 50, "NONE")]
+    sql = []
+    sync_to_jdbc(ev, PG, "events", "upsert", keys=["event_id"], day="2024-01-15", column="ts", staging_table="stage", run_sql=sql.append)
+    assert seen[-1][0] == "stage" and sql[-1] == "DROP TABLE stage"
+    with pytest.raises(TypeError):
+        sync_to_jdbc(ev, PG, "events", "append", batch_size=3)

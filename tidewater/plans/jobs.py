@@ -17,6 +17,9 @@ from pyspark.sql import Column, DataFrame
 from ..operators.filters import filter_daily, filter_range
 from ..operators.merge import SaveMode, merge_state
 
+#: Options of ``sync_to_jdbc`` that belong to the writer.
+WRITER_OPTIONS = ("num_partitions", "batchsize", "staging_table", "run_sql", "isolation_level", "create_column_types")
+
 
 def changed_rows(
     source: DataFrame,
@@ -120,12 +123,17 @@ def sync_to_jdbc(
     keys: str | Sequence[str] | None = None,
     order_by: str | Column | Sequence[str | Column] | None = None,
     dedup: bool = True,
-    **window,
+    **options,
 ):
     """Sync into a relational table through the staged six-mode writer. The change
     set is written to the checkpoint folder first, as a live source may answer
-    differently each time it is read; ``materialize=None`` leaves that out."""
+    differently each time it is read; ``materialize=None`` leaves that out.
+
+    ``options`` are those of ``changed_rows`` (the window) and of ``save_jdbc`` (the
+    writer: ``num_partitions``, ``batchsize``, ``staging_table``, ``run_sql``,
+    ``isolation_level``, ``create_column_types``); any other name is an error."""
     from ..sinks.jdbc import save_jdbc
 
-    incoming = changed_rows(source, **{"materialize": "checkpoint", **window})
-    return save_jdbc(incoming, endpoint, table, mode, keys=keys, order_by=order_by, dedup=dedup)
+    writer = {k: options.pop(k) for k in WRITER_OPTIONS if k in options}
+    incoming = changed_rows(source, **{"materialize": "checkpoint", **options})
+    return save_jdbc(incoming, endpoint, table, mode, keys=keys, order_by=order_by, dedup=dedup, **writer)

@@ -249,11 +249,19 @@ def save_jdbc(
     batchsize: int = DEFAULT_BATCH_SIZE,
     staging_table: str | None = None,
     dedup: bool = True,
+    isolation_level: str | None = None,
+    create_column_types: str | None = None,
 ) -> str:
     """Save ``df`` into ``table`` under one of the six modes; returns what was done.
 
     ``dedup=False`` is for frames whose keys are already unique; duplicate
-    keys in one merge statement are an error in most databases.
+    keys in one merge statement are an error in most databases. ``isolation_level``
+    and ``create_column_types`` go to every table that Spark writes.
+
+    Steps run in an order that keeps the old table until the new rows are complete,
+    and a step that fails undoes those before it, last one first: staging tables are
+    dropped, a table created by this save is dropped, a table renamed away is renamed
+    back. Then the failure is raised.
     """
     mode = SaveMode.coerce(mode)
     spark = df.sparkSession
@@ -266,51 +274,82 @@ def save_jdbc(
         if unknown and mode not in (SaveMode.OVERWRITE, SaveMode.IGNORE_TABLE, SaveMode.ERROR_IF_EXISTS):
             raise SchemaMismatchError(f"columns {unknown} do not exist in {table}")
 
+    def write(rows: DataFrame, name: str, spark_mode: str, partitions: int | None = num_partitions) -> None:
+        write_table(
+            rows, endpoint, name, spark_mode, partitions, batchsize,
+            create_column_types=create_column_types, isolation_level=isolation_level,
+        )
+
     if mode is SaveMode.ERROR_IF_EXISTS:
         if existing is not None:
             raise TableExistsError(f"table {table} already exists")
-        write_table(df, endpoint, table, "errorifexists", num_partitions, batchsize)
+        write(df, table, "errorifexists")
         return "created"
     if mode is SaveMode.IGNORE_TABLE:
         if existing is not None:
             return "ignored"
-        write_table(df, endpoint, table, "errorifexists", num_partitions, batchsize)
+        write(df, table, "errorifexists")
         return "created"
     if mode is SaveMode.APPEND:
-        write_table(df, endpoint, table, "append", num_partitions, batchsize)
+        write(df, table, "append")
         return "appended"
     run = run_sql or jvm_run_sql(spark, endpoint)
+    steps = Steps()
     if mode is SaveMode.OVERWRITE:
         if existing is None:
-            write_table(df, endpoint, table, "errorifexists", num_partitions, batchsize)
+            write(df, table, "errorifexists")
             return "created"
-        # The new table is complete before the old one is dropped.
-        fresh = staging_table or f"{table}__new_{uuid.uuid4().hex[:12]}"
-        write_table(df, endpoint, fresh, "errorifexists", num_partitions, batchsize)
-        run(f"DROP TABLE {table}")
-        run(rename_statement(kind, fresh, table))
+        # The new table is complete before the old one is touched, and the old one
+        # is dropped only when the new one has its name.
+        tag = uuid.uuid4().hex[:12]
+        fresh, old = staging_table or f"{table}__new_{tag}", f"{table}__old_{tag}"
+        steps.do(lambda: write(df, fresh, "errorifexists"), lambda: run(f"DROP TABLE {fresh}"))
+        steps.do(lambda: run(rename_statement(kind, table, old)), lambda: run(rename_statement(kind, old, table)))
+        steps.do(lambda: run(rename_statement(kind, fresh, table)))
+        run(f"DROP TABLE {old}")
         return "overwritten"
 
     key_cols = resolve_keys(df, keys)
     keep = "last" if mode is SaveMode.UPSERT else "first"
     incoming = dedup_incoming(df, key_cols, order_by, keep) if dedup else df
-    if existing is None:
-        write_table(df.limit(0), endpoint, table, "errorifexists")
-        run(unique_index_statement(kind, table, key_cols))
     staging = staging_table or f"{table}__stg_{uuid.uuid4().hex[:12]}"
-    write_table(incoming, endpoint, staging, "errorifexists", num_partitions, batchsize)
+    target_cols = list(df.columns)
     if existing is not None:
         spelled = {f.name.lower(): f.name for f in existing.fields}
         target_cols = [spelled[c.lower()] for c in df.columns]
-    else:
-        target_cols = list(df.columns)
-    try:
-        run(merge_statement(kind, table, staging, df.columns, key_cols, mode, target_columns=target_cols))
-    finally:
-        run(f"DROP TABLE {staging}")
+    steps.do(lambda: write(incoming, staging, "errorifexists"), lambda: run(f"DROP TABLE {staging}"))
+    if existing is None:
+        # the rows are staged by now, so the empty target stands for moments only
+        steps.do(lambda: write(df.limit(0), table, "errorifexists", None), lambda: run(f"DROP TABLE {table}"))
+        steps.do(lambda: run(unique_index_statement(kind, table, key_cols)))
+    steps.do(lambda: run(merge_statement(kind, table, staging, df.columns, key_cols, mode, target_columns=target_cols)))
+    run(f"DROP TABLE {staging}")
     return "merged"
 
 
+class Steps:
+    """Steps of which each may say how it is undone."""
+
+    def __init__(self):
+        self.undo: list[Callable[[], None]] = []
+
+    def do(self, step: Callable[[], None], undo: Callable[[], None] | None = None) -> None:
+        """Run ``step``. If it fails, undo it (it may be half done) and all steps
+        before it, last one first, and raise its failure. An undo that fails too
+        is noted on that failure and does not keep the others from running."""
+        if undo is not None:
+            self.undo.append(undo)
+        try:
+            step()
+        except BaseException as failure:
+            for back in reversed(self.undo):
+                try:
+                    back()
+                except Exception as second:  # noqa: BLE001 - the first failure is the one to raise
+                    failure.add_note(f"undo failed: {second}")
+            raise
+
+
 # ---------------------------------------------------------------- named targets
 
 
