@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Defaults applied only when the key is not already configured.
@@ -36,7 +37,7 @@ def sizing_conf(
     input_bytes: int,
     total_cores: int,
     partition_bytes: int = 256 * MB,
-    max_partitions: int = 200_000,
+    max_partitions: int | None = None,
 ) -> dict[str, str]:
     """Shuffle and scan sizes for a job reading ``input_bytes``.
 
@@ -44,13 +45,15 @@ def sizing_conf(
     (except for skewed join sides), so the starting count must be high enough
     that each partition fits comfortably in an executor's memory: one partition
     per ``partition_bytes`` of input, at least two waves of the cluster's cores.
-    For 100 TB on 8,000 cores that is ~400k, capped at ``max_partitions``
-    (~500 MB each); AQE then coalesces stages that shrink after filtering.
+    For 100 TB on 8,000 cores that is ~400k; AQE then coalesces stages that shrink
+    after filtering. ``max_partitions`` caps the count where a scheduler needs it.
     """
     if input_bytes < 0 or total_cores < 1:
         raise ValueError("input_bytes >= 0 and total_cores >= 1 required")
     wanted = -(-input_bytes // partition_bytes)
-    n = int(min(max(wanted, 2 * total_cores), max_partitions))
+    n = int(max(wanted, 2 * total_cores))
+    if max_partitions is not None:
+        n = min(n, max_partitions)
     split = max(16 * MB, min(partition_bytes, input_bytes // max(1, 3 * total_cores)))
     return {
         "spark.sql.shuffle.partitions": str(n),
@@ -69,7 +72,9 @@ def build_session(
     total_cores: int | None = None,
     time_zone: str | None = "UTC",
 ) -> SparkSession:
-    """Create (or reuse) a session with the defaults above.
+    """Create (or reuse) a session with the defaults above, where the cluster's own
+    configuration (``spark-defaults``, ``spark-submit --conf``) does not name the key.
+    What the caller asks for here is set in any case.
 
     Give ``input_bytes`` and ``total_cores`` to size shuffles and scan splits
     with ``sizing_conf``; ``shuffle_partitions`` overrides the shuffle count
@@ -80,7 +85,8 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(SCALE_DEFAULTS)
+    configured = SparkConf()
+    conf = {k: v for k, v in SCALE_DEFAULTS.items() if not configured.contains(k)}
     if time_zone is not None:
         conf["spark.sql.session.timeZone"] = time_zone
     if input_bytes is not None and total_cores is not None:
