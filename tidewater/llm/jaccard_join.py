@@ -141,47 +141,49 @@ def _digests(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, digest binary, n_shingles long")
 
 
-def _texts(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """rep, n, dense sketch and text of each class, once."""
+def _texts(docs: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """rep, n, dense sketch, list keys and text of each class, once: one pass cuts a
+    text's words and hashes its shingles for all of them."""
     rows = docs.join(classes.select(F.col("rep").alias("doc_id"), "digest", "times"), "doc_id")
     rows = rows.select("doc_id", "digest", F.col("text").cast("binary").alias("text"), "times")
-    out = _sketched(rows.where("times = 1"), n)
+    out = _sketched(rows.where("times = 1"), n, num, den)
     if not classes.where("times > 1").isEmpty():  # a doc_id that has this text in several rows
-        out = out.unionByName(_sketched(rows.where("times > 1"), n).dropDuplicates(["rep", "digest"]))
+        out = out.unionByName(_sketched(rows.where("times > 1"), n, num, den).dropDuplicates(["rep", "digest"]))
     return out
 
 
-def _sketched(rows: DataFrame, n: int) -> DataFrame:
-    """Dense sketches of rows whose text has the class's digest; a doc_id may have
-    other texts too."""
+def _sketched(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Dense sketches and list keys of rows whose text has the class's digest; a
+    doc_id may have other texts too. Rows are handed on for each ``BLOCK_BYTES`` of
+    text and keys, so a task holds little more than its longest text."""
+    names = ["rep", "digest", "n", "sketch", "text"]
+    types = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
 
-    def run(batches):
-        hashes = WordHash()
-        for batch in batches:
-            out = [[], [], [], [], []]
-            for rep, digest, text in zip(*(c.to_pylist() for c in batch.columns)):
-                words = words_of(text, lower=True)
-                if xxhash.xxh3_128_digest(b" ".join(words)) == digest:
-                    values = np.unique(shingle_hashes(hashes.array(words), n))
-                    for column, v in zip(out, (rep, digest, len(values), bit_sketch(values), text)):
-                        column.append(v)
-            types = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["rep", "digest", "n", "sketch", "text"])
+    def batch_of(out, keys):
+        ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+        values = pa.array(signed(np.concatenate([np.empty(0, U64), *keys])))
+        return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(out, types)), pa.ListArray.from_arrays(pa.array(ends), values)], names=[*names, "keys"])
 
-    return rows.drop("times").mapInArrow(run, "rep long, digest binary, n long, sketch binary, text binary")
-
-
-def _keys(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
     def run(batches):
         hashes, bands = WordHash(), Bands(num, den)
         for batch in batches:
-            found = [segment_keys(np.unique(shingle_hashes(hashes.array(words_of(t, lower=True)), n)), bands) for t in batch.column(1).to_pylist()]
-            reps = np.repeat(batch.column(0).to_numpy(), [len(k) for k in found])
-            keys = signed(np.concatenate([np.empty(0, U64), *found]))
-            for a in range(0, len(keys), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + (1 << 16)]), pa.array(reps[a : a + (1 << 16)])], names=["key", "rep"])
-
-    return texts.select("rep", "text").mapInArrow(run, "key long, rep long")
+            out, keys, held = [[] for _ in names], [], 0
+            for rep, digest, text in zip(*(c.to_pylist() for c in batch.columns)):
+                words = words_of(text, lower=True)
+                if xxhash.xxh3_128_digest(b" ".join(words)) != digest:
+                    continue
+                values = np.unique(shingle_hashes(hashes.array(words), n))
+                for column, v in zip(out, (rep, digest, len(values), bit_sketch(values), text)):
+                    column.append(v)
+                keys.append(segment_keys(values, bands))
+                held += len(text) + keys[-1].nbytes
+                if held > BLOCK_BYTES:
+                    yield batch_of(out, keys)
+                    out, keys, held = [[] for _ in names], [], 0
+            if keys:
+                yield batch_of(out, keys)
+
+    return rows.drop("times").mapInArrow(run, "rep long, digest binary, n long, sketch binary, text binary, keys array<long>")
 
 
 def _shared(keys: DataFrame) -> DataFrame:
@@ -346,8 +348,8 @@ def jaccard_components(
     nodes = written(base.where("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest", "doc_id").agg(F.count("*").alias("times")), "jaccard-nodes")
     classes = nodes.groupBy("digest").agg(F.min(F.struct("doc_id", "times")).alias("r"), F.count("*").alias("count"))
     classes = written(classes.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.times").alias("times"), "count"), "jaccard-classes")
-    texts = written(_texts(docs.where("doc_id IS NOT NULL"), classes, n), "jaccard-texts")
-    lists = written(_shared(_keys(texts, n, num, den)), "jaccard-lists")
+    texts = written(_texts(docs.where("doc_id IS NOT NULL"), classes, n, num, den), "jaccard-texts")
+    lists = written(_shared(texts.select(F.explode("keys").alias("key"), "rep")), "jaccard-lists")
     links = _verified(_meetings(lists, meetings), texts, n, num, den)
     labels = connected_components(links)
     more = _verified(_open_pairs(lists, texts, labels, num, den), texts, n, num, den)
