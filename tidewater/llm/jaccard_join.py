@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.staged import bitmap_bits, key_bitmap, split_by_bitmap
 from tidewater.session import scratch_path
 
 from .common import U64, WordHash, join_counted, mix64, quoted, runs, shingle_hashes, signed, two_columns, words_of
@@ -43,7 +44,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: a lost executor costs a
     re-read."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -141,20 +142,37 @@ def _digests(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, digest binary, n_shingles long")
 
 
-def _texts(docs: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _may_have(rows: DataFrame, key: str, ids: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """``(rows whose key may be in ids, rows whose key is not)`` by a broadcast bitmap
+    of the ids, 32 MB at most: where ids outgrow it, more rows are in the first part."""
+    bits = bitmap_bits(most)
+    return split_by_bitmap(rows, [key], key_bitmap(ids, [key], bits), bits)
+
+
+def _texts(docs: DataFrame, nodes: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """rep, n, dense sketch, list keys and text of each class, once: one pass cuts a
-    text's words and hashes its shingles for all of them."""
-    rows = docs.join(classes.select(F.col("rep").alias("doc_id"), "digest", "times"), "doc_id")
-    rows = rows.select("doc_id", "digest", F.col("text").cast("binary").alias("text"), "times")
-    out = _sketched(rows.where("times = 1"), n, num, den)
+    text's words and hashes its shingles for all of them.
+
+    A row whose doc_id has no other row, and whose text is in no smaller one, stands
+    for its class and stays where it is; the rest are joined with the classes."""
+    heads = classes.select(F.col("rep").alias("doc_id"), "digest", "times")
+    others = nodes.join(heads, ["doc_id", "digest"], "left_anti").select("doc_id")
+    several = nodes.groupBy("doc_id").agg(F.sum("times").alias("rows")).where("rows > 1").select("doc_id")
+    others = written(others.unionByName(several), "jaccard-others")
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    rest, alone = _may_have(rows, "doc_id", others, others.count())
+    out = _sketched(alone.select("doc_id", F.lit(None).cast("binary").alias("digest"), "text"), n, num, den)
+    rest = rest.join(heads, "doc_id").select("doc_id", "digest", "text", "times")
+    out = out.unionByName(_sketched(rest.where("times = 1").drop("times"), n, num, den))
     if not classes.where("times > 1").isEmpty():  # a doc_id that has this text in several rows
-        out = out.unionByName(_sketched(rows.where("times > 1"), n, num, den).dropDuplicates(["rep", "digest"]))
+        out = out.unionByName(_sketched(rest.where("times > 1").drop("times"), n, num, den).dropDuplicates(["rep", "digest"]))
     return out
 
 
 def _sketched(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Dense sketches and list keys of rows whose text has the class's digest; a
-    doc_id may have other texts too. Rows are handed on for each ``BLOCK_BYTES`` of
+    doc_id may have other texts too. A null digest stands for any text with words.
+    Rows are handed on for each ``BLOCK_BYTES`` of
     text and keys, so a task holds little more than its longest text."""
     names = ["rep", "digest", "n", "sketch", "text"]
     types = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
@@ -170,10 +188,11 @@ def _sketched(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
             out, keys, held = [[] for _ in names], [], 0
             for rep, digest, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = words_of(text, lower=True)
-                if xxhash.xxh3_128_digest(b" ".join(words)) != digest:
+                own = xxhash.xxh3_128_digest(b" ".join(words))
+                if not words or digest not in (None, own):
                     continue
                 values = np.unique(shingle_hashes(hashes.array(words), n))
-                for column, v in zip(out, (rep, digest, len(values), bit_sketch(values), text)):
+                for column, v in zip(out, (rep, own, len(values), bit_sketch(values), text)):
                     column.append(v)
                 keys.append(segment_keys(values, bands))
                 held += len(text) + keys[-1].nbytes
@@ -183,7 +202,7 @@ def _sketched(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
             if keys:
                 yield batch_of(out, keys)
 
-    return rows.drop("times").mapInArrow(run, "rep long, digest binary, n long, sketch binary, text binary, keys array<long>")
+    return rows.mapInArrow(run, "rep long, digest binary, n long, sketch binary, text binary, keys array<long>")
 
 
 def _shared(keys: DataFrame) -> DataFrame:
@@ -213,7 +232,10 @@ def _shared(keys: DataFrame) -> DataFrame:
 def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     """(a, b) with the named columns of both sides, as a_<name> and b_<name>. A class
     in very many pairs gets a copy of its row for each ``SHARE`` of them, dealt by
-    the other side, so no task holds all pairs of a class."""
+    the other side, so no task holds all pairs of a class. Rows of classes in no pair
+    are left out before the shuffle."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+    table, _ = _may_have(table.select("rep", *columns), "rep", ids, 2 * pairs.count())
     sides = [("a", "b"), ("b", "a")]
     dealt, copies = pairs, {}
     for c, other in sides:
@@ -348,7 +370,7 @@ def jaccard_components(
     nodes = written(base.where("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest", "doc_id").agg(F.count("*").alias("times")), "jaccard-nodes")
     classes = nodes.groupBy("digest").agg(F.min(F.struct("doc_id", "times")).alias("r"), F.count("*").alias("count"))
     classes = written(classes.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.times").alias("times"), "count"), "jaccard-classes")
-    texts = written(_texts(docs.where("doc_id IS NOT NULL"), classes, n, num, den), "jaccard-texts")
+    texts = written(_texts(docs.where("doc_id IS NOT NULL"), nodes, classes, n, num, den), "jaccard-texts")
     lists = written(_shared(texts.select(F.explode("keys").alias("key"), "rep")), "jaccard-lists")
     links = _verified(_meetings(lists, meetings), texts, n, num, den)
     labels = connected_components(links)
