@@ -406,6 +406,28 @@ def q_document_replace(spark, sf_dir):
     return read_collection(spark, store, out, schema=_DOC_SCHEMA)
 
 
+@register(
+    "document_replace_bucketed",
+    "SELECT doc_id AS _id, text, lang, source, n_chars FROM documents WHERE lang IS DISTINCT FROM 'en' "
+    "UNION ALL SELECT doc_id AS _id, text, lang, source || '-v2' AS source, CAST(NULL AS BIGINT) AS n_chars "
+    "FROM documents WHERE lang = 'en'",
+)
+def q_document_replace_bucketed(spark, sf_dir):
+    """The same replacement in a bucketed collection's own folder, with about 1,000
+    documents a bucket."""
+    from ..sources.documents import bucket_collection, read_collection, save_collection
+    from .layout import shards_for
+
+    store = _documents_store(spark, sf_dir)
+    docs = read_table(spark, sf_dir, "documents")
+    name = bucket_collection(spark, store, "documents", "documents_bucketed", shards_for(docs, 1000))
+    new = docs.filter(F.col("lang") == "en").select(
+        F.col("doc_id").alias("_id"), "text", "lang", F.concat("source", F.lit("-v2")).alias("source")
+    )
+    save_collection(new, store, name)
+    return read_collection(spark, store, name, schema=_DOC_SCHEMA)
+
+
 # --------------------------------------------------------------- composed jobs
 
 

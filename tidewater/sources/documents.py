@@ -10,8 +10,15 @@ Two backings, one API:
   partitioner and 1024 MB partitions, as the original jobs did.
 
 ``save_collection`` appends documents. A frame with an ``_id`` column replaces
-whole documents with the same ``_id`` (connector semantics); for the file
-backing this is an upsert on ``_id`` written as a new snapshot folder.
+whole documents with the same ``_id`` (connector semantics). For the file backing
+this is an upsert on ``_id``:
+
+* a plain collection is written anew, as another folder;
+* a bucketed one, with a directory for each hash of ``_id``, has only the buckets
+  rewritten that the new documents fall in, so the bytes written follow the change
+  set. ``bucket_collection`` makes one of a plain collection.
+
+The new documents are evaluated once, in both.
 """
 
 from __future__ import annotations
@@ -23,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import dedup_incoming
+from ..operators.staged import staged_changes
 
 # Named collections of the original crawl configuration.
 NAMED_COLLECTIONS: dict[str, str] = {
@@ -31,6 +39,8 @@ NAMED_COLLECTIONS: dict[str, str] = {
 }
 DEFAULT_SPLIT_MB = 1024
 ID_FIELD = "_id"
+# Directories of a bucketed collection: ``_buckets=<how many>/_bucket=<which>``.
+BUCKETS, BUCKET = "_buckets", "_bucket"
 # JSON files keep full microsecond timestamps (Spark's default format keeps
 # milliseconds only, which would silently truncate on a round trip).
 JSON_FILE_OPTIONS: dict[str, str] = {
@@ -82,7 +92,7 @@ def read_collection(
             reader = reader.schema(schema)
         elif sampling_ratio is not None:
             reader = reader.option("samplingRatio", str(sampling_ratio))
-        return reader.json(store.path(collection))
+        return reader.json(store.path(collection)).drop(BUCKETS, BUCKET)
     reader = (
         spark.read.format("mongodb")
         .option("connection.uri", store.uri)
@@ -109,12 +119,15 @@ def save_collection(
     store: DocumentStore,
     collection: str,
     out_collection: str | None = None,
+    buckets: int | None = None,
 ) -> str:
     """Append documents; with ``_id``, replace documents that share it.
 
-    For the file backing, replacement writes ``out_collection`` (a new folder,
-    required when ``_id`` is present and the collection exists) and returns its
-    name; plain appends add files to the collection folder.
+    For the file backing, replacement in a plain collection writes
+    ``out_collection`` (a new folder, required when ``_id`` is present and the
+    collection exists) and returns its name; plain appends add files to the
+    collection folder. ``buckets`` makes a new collection a bucketed one; a
+    bucketed collection is changed in its own folder, bucket by bucket.
     """
     if store.uri is not None:
         writer = (
@@ -128,21 +141,94 @@ def save_collection(
             writer = writer.option(k, v)
         writer.save()
         return collection
+    path, spark = store.path(collection), df.sparkSession
+    if buckets is not None and buckets < 1:
+        raise ValueError("buckets must be >= 1")
+    current = _read_lines(spark, path)
+    if current is not None and BUCKET in current.columns:
+        n = current.select(BUCKETS).first()[0]
+        if buckets not in (None, n):
+            raise ValueError(f"{collection} has {n} buckets")
+        _save_in_buckets(df, path, current, n)
+        return collection
+    if buckets is not None:
+        if current is not None and not current.isEmpty():
+            raise ValueError("not a bucketed collection: bucket_collection makes one of it")
+        _save_in_buckets(df, path, None, buckets)
+        return collection
     if ID_FIELD not in df.columns:
-        df.write.options(**JSON_FILE_OPTIONS).mode("append").json(store.path(collection))
+        df.write.options(**JSON_FILE_OPTIONS).mode("append").json(path)
         return collection
-    current = _read_lines(df.sparkSession, store.path(collection))
     if current is None:
-        dedup_incoming(df, [ID_FIELD], keep="last").write.options(**JSON_FILE_OPTIONS).mode("errorifexists").json(
-            store.path(collection)
-        )
+        dedup_incoming(df, [ID_FIELD], keep="last").write.options(**JSON_FILE_OPTIONS).mode("errorifexists").json(path)
         return collection
     if not out_collection or out_collection == collection:
         raise ValueError("replacing by _id needs a new out_collection folder")
-    _replace_lines(current, df).write.mode("errorifexists").text(store.path(out_collection))
+    with staged_changes(df, [ID_FIELD], keep="last") as changes:
+        _replace_lines(current, changes).write.mode("errorifexists").text(store.path(out_collection))
     return out_collection
 
 
+def bucket_collection(spark: SparkSession, store: DocumentStore, collection: str, out_collection: str, buckets: int) -> str:
+    """A plain collection's lines, byte by byte, as a new bucketed collection."""
+    lines = _read_lines(spark, store.path(collection))
+    if lines is None or BUCKET in lines.columns or buckets < 1:
+        raise ValueError("bucket_collection needs a plain collection and one bucket or more")
+    placed = _placed(lines.select("value", _line_id().alias(ID_FIELD)), buckets)
+    _write_buckets(placed, store.path(out_collection), "errorifexists")
+    return out_collection
+
+
+def _line_id():
+    """A line's ``_id`` as text, whether a JSON string or number; null where it has none."""
+    return F.from_json("value", f"`{ID_FIELD}` string", JSON_FILE_OPTIONS)[ID_FIELD]
+
+
+def _json_line(df: DataFrame):
+    return F.to_json(F.struct(*["`" + c.replace("`", "``") + "`" for c in df.columns]), JSON_FILE_OPTIONS)
+
+
+def _placed(lines: DataFrame, n: int) -> DataFrame:
+    """``(value, _id)`` with the bucket: by ``_id``, or by the whole line without one."""
+    place = F.pmod(F.xxhash64(F.coalesce(ID_FIELD, "value")), F.lit(n)).cast("int")
+    return lines.select("value", ID_FIELD, F.lit(n).alias(BUCKETS), place.alias(BUCKET))
+
+
+def _write_buckets(placed: DataFrame, path: str, mode: str) -> None:
+    """One directory a bucket. ``rebalance`` packs small buckets into one task and
+    splits a large one. ``overwrite`` swaps the buckets of ``placed`` alone."""
+    rows = placed.select("value", BUCKETS, BUCKET).hint("rebalance", BUCKET)
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(BUCKETS, BUCKET).text(path)
+
+
+def _save_in_buckets(df: DataFrame, path: str, current: DataFrame | None, n: int) -> None:
+    """Documents into a bucketed collection. Without ``_id`` they are added to their
+    buckets; with it, each touched bucket is written anew: its lines whose ``_id`` no
+    new document has, byte by byte, and the new documents. Other buckets are neither
+    read nor written.
+
+    Buckets are written to a staging folder and swapped when the job commits: a lost
+    task changes nothing, and a run repeated after a failure gives the same
+    collection, but readers meanwhile may see some buckets new and others old, and a
+    driver lost amid the commit can leave a bucket missing."""
+    if ID_FIELD not in df.columns:
+        lines = df.select(_json_line(df).alias("value"), F.lit(None).cast("string").alias(ID_FIELD))
+        _write_buckets(_placed(lines, n), path, "append")
+        return
+    if not isinstance(df.schema[ID_FIELD].dataType, (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise ValueError("a bucketed collection needs a string or integer _id")
+    with staged_changes(df, [ID_FIELD], keep="last") as changes:
+        new = _placed(changes.select(_json_line(changes).alias("value"), F.col(ID_FIELD).cast("string").alias(ID_FIELD)), n)
+        if current is None:
+            _write_buckets(new, path, "append")
+            return
+        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # a number for each bucket, n at most
+        held = current.where(F.col(BUCKET).isin(touched)).select("value", _line_id().alias(ID_FIELD), BUCKETS, BUCKET)
+        gone = new.where(F.col(ID_FIELD).isNotNull()).select(ID_FIELD)
+        kept = held.where(F.col(ID_FIELD).isNotNull()).join(gone, ID_FIELD, "left_anti").select(*new.columns)
+        _write_buckets(kept.unionByName(held.where(F.col(ID_FIELD).isNull())).unionByName(new), path, "overwrite")
+
+
 def replace_documents(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """Whole-document replacement on ``_id``: fields missing from the new
     document are gone, new fields are added; the last duplicate wins."""
@@ -151,18 +237,17 @@ def replace_documents(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return kept.unionByName(inc, allowMissingColumns=True)
 
 
-def _replace_lines(lines: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The collection's JSON lines after replacement. Lines whose ``_id`` the new
-    documents do not have stay as they are, byte by byte: only their ``_id`` is
-    read, so no schema is inferred and no other value is converted. A line that is
-    no JSON object, or has no ``_id`` of the incoming type, stays too."""
-    inc = dedup_incoming(incoming, [ID_FIELD], keep="last")
-    id_type = T.StructType([T.StructField(ID_FIELD, incoming.schema[ID_FIELD].dataType)])
+def _replace_lines(lines: DataFrame, changes: DataFrame) -> DataFrame:
+    """The collection's JSON lines after replacement by documents of distinct ``_id``.
+    Lines whose ``_id`` the new documents do not have stay as they are, byte by byte:
+    only their ``_id`` is read, so no schema is inferred and no other value is
+    converted. A line that is no JSON object, or has no ``_id`` of the new documents'
+    type, stays too."""
+    id_type = T.StructType([T.StructField(ID_FIELD, changes.schema[ID_FIELD].dataType)])
     known = lines.withColumn(ID_FIELD, F.from_json("value", id_type, JSON_FILE_OPTIONS)[ID_FIELD])
-    gone = inc.filter(inc[ID_FIELD].isNotNull()).select(ID_FIELD)
-    fields = F.struct(*["`" + c.replace("`", "``") + "`" for c in inc.columns])
+    gone = changes.filter(changes[ID_FIELD].isNotNull()).select(ID_FIELD)
     return known.join(gone, ID_FIELD, "left_anti").select("value").unionByName(
-        inc.select(F.to_json(fields, JSON_FILE_OPTIONS).alias("value"))
+        changes.select(_json_line(changes).alias("value"))
     )
 
 
@@ -170,7 +255,7 @@ def _read_lines(spark: SparkSession, path: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.text(path).select("value")
+        return spark.read.text(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
             return None
