@@ -224,6 +224,25 @@ def q_key_scan_negated(spark, sf_dir):
     return key_scan(_customer_keys(spark, sf_dir), KEY_PATTERN_NEGATED, keys_only=True)
 
 
+@register(
+    "key_scan_ranges",
+    "SELECT 'order:' || CAST(o_orderkey AS VARCHAR) AS key, * FROM orders "
+    "WHERE ('order:' || CAST(o_orderkey AS VARCHAR)) GLOB 'order:1[0-4]*'",
+)
+def q_key_scan_ranges(spark, sf_dir):
+    """A key table stored in key order, about 131,072 rows a range; the scan's prefix
+    skips the other row groups, and its matches come in four ranges."""
+    from ..session import scratch_path
+    from ..sources.keys import key_scan, keyed_view, write_key_layout
+    from .layout import shards_for
+
+    orders = read_table(spark, sf_dir, "orders")
+    path = write_key_layout(
+        keyed_view(orders, "order:", ["o_orderkey"]), scratch_path(spark, "order_keys"), shards_for(orders, 1 << 17)
+    )
+    return key_scan(spark.read.parquet(path), "order:1[0-4]*", partitions=4)
+
+
 # --------------------------------------------------------------- JSON records
 
 _PROPS_K = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"

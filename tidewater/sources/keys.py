@@ -11,6 +11,10 @@ with the usual key-store rules:
 The pattern becomes one anchored Java regex (``rlike``, JVM-side), and its
 literal prefix becomes a ``startswith`` predicate, which Parquet receives as a
 pushed ``StringStartsWith`` filter when the key is a stored column.
+
+``write_key_layout`` stores a key table in key order, cut into ranges, so that this
+filter skips all row groups but those that can hold the prefix. ``partitions=n``
+returns the matches in n ranges of the key, about equally many rows each.
 """
 
 from __future__ import annotations
@@ -115,10 +119,31 @@ def key_matches(key: str | Column, pattern: str) -> Column:
     return cond
 
 
-def key_scan(df: DataFrame, pattern: str, key: str = "key", keys_only: bool = False) -> DataFrame:
-    """Rows of a key/value frame whose ``key`` matches ``pattern``."""
+def _by_key(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``df`` in ``n`` ranges of the key. Spark samples the boundaries, which steer
+    the layout alone; a hash of the row after the key lets a key that holds a large
+    share of the rows fill several ranges. Maps have no hash and are left out of it."""
+    if n < 1:
+        raise ValueError("the number of key ranges must be >= 1")
+    hashed = ["`" + f.name.replace("`", "``") + "`" for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return df.repartitionByRange(n, F.col(key), F.xxhash64(*hashed))
+
+
+def write_key_layout(df: DataFrame, path: str, n: int, key: str = "key", mode: str = "errorifexists") -> str:
+    """Write a key table as ``n`` ranges in key order. A scan for a prefix then reads
+    the row groups whose smallest and largest key enclose it, and no others."""
+    _by_key(df, key, n).sortWithinPartitions(key).write.mode(mode).parquet(path)
+    return path
+
+
+def key_scan(
+    df: DataFrame, pattern: str, key: str = "key", keys_only: bool = False, partitions: int | None = None
+) -> DataFrame:
+    """Rows of a key/value frame whose ``key`` matches ``pattern``; with
+    ``partitions``, in so many ranges of the key (one shuffle of the matches)."""
     out = df.filter(key_matches(key, pattern))
-    return out.select(key) if keys_only else out
+    out = out.select(key) if keys_only else out
+    return out if partitions is None else _by_key(out, key, partitions)
 
 
 def keyed_view(df: DataFrame, prefix: str, key_cols: Sequence[str], key: str = "key", sep: str = ":") -> DataFrame:
