@@ -82,11 +82,13 @@ def near(rows, n, num=80, den=100):
 
 
 def contained(docs, items, n=5, num=80, den=100):
+    """An item of fewer than n words is one shingle of its own length."""
     out = []
     for d, t in docs:
-        own = shingles(t, n)
         for i, x in items:
             s = shingles(x, n)
+            m = min(n, len(words(x)))
+            own = shingles(t, m) if len(words(t)) >= m else set()
             both = len(s & own)
             if s and den * both >= num * len(s):
                 out.append((d, i, len(s), both))

@@ -72,17 +72,47 @@ def test_against_brute_force(spark, source):
     same(table(exact_dedup.exact_groups(df), "doc_id", "keep_id", "group_size", "kept"), [r[:4] for r in brute.exact(data)])
     for n in (4, 5):
         same(table(near_dedup.near_duplicates(df, n=n), "doc_id", "n_shingles", "component_id", "kept"), brute.near(data, n))
-    items = [(1, PASSAGE), (2, "same text here"), (3, None), (4, ""), (5, "w1 w2 w3 w4 w5 w6 zz")]
+    items = [(1, PASSAGE), (2, "same text here"), (3, None), (4, ""), (5, "w1 w2 w3 w4 w5 w6 zz"),
+             (6, "W3 w4\tw5"), (7, "other"), (8, "w68 w70"), (9, "text here"), (9, "text here"), (9, "Text  here"), (None, "w9 w10 w11 w12")]
     table_ = spark.createDataFrame(items, "item_id long, text string")
-    for size in (16 << 20, 64):
-        got = table(containment.contained_items(df, table_, block_bytes=size), "doc_id", "item_id", "n_item", "n_shared")
-        same(got, brute.contained(data, items))
+    got = table(containment.contained_items(df, table_), "doc_id", "item_id", "n_item", "n_shared")
+    same(got, brute.contained(data, list(dict.fromkeys(items))))
     kept = containment.decontaminated(df, table_)
     assert kept.columns == df.columns
     bad = [d for d, t in data if brute.contained([(d, t)], items)]
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(d for d, _ in data) - Counter(bad)
 
 
+def test_containment_without_room(spark, monkeypatch):
+    """A filter far too small and values dealt to several tasks: the same pairs. Items
+    of one to four words in long texts, and items that many documents hold."""
+    rng = np.random.default_rng(11)
+    data = [(i, " ".join(f"k{x}" for x in rng.integers(0, 60, rng.integers(1, 300)))) for i in range(60)]
+    items = [(i, " ".join(f"k{x}" for x in rng.integers(0, 60, 1 + i % 4))) for i in range(40)]
+    items += [(100 + i, " ".join(data[i][1].split()[:40]).upper()) for i in range(20)]
+    df, table_ = spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute.contained(data, items)
+    assert len({i for _, i, *_ in want if i < 100}) > 15
+    for bits, share in ((1 << 29, 1 << 16), (1 << 15, 3)):
+        monkeypatch.setattr(containment, "BITS_PER_VALUE", 1 if share == 3 else 32)
+        monkeypatch.setattr(containment, "MAX_BITS", bits)
+        monkeypatch.setattr(containment, "SHARE", share)
+        same(table(containment.contained_items(df, table_), "doc_id", "item_id", "n_item", "n_shared"), want)
+    leaked = {d for d, *_ in want}
+    assert {r["doc_id"] for r in containment.decontaminated(df, table_).collect()} == {d for d, _ in data} - leaked
+
+
+def test_containment_filter():
+    keys = containment.keyed(np.arange(1000, dtype=np.uint64), 3)
+    bits = np.zeros(1 << 12, np.uint8)
+    for i in range(containment.PROBES):
+        at = containment.probe(keys, i, 8 * len(bits)).astype(np.int64)
+        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    assert (containment.in_filter(keys, bits) == keys).all()
+    others = containment.keyed(np.arange(1000, 101_000, dtype=np.uint64), 3)
+    assert len(containment.in_filter(others, bits)) < 20
+
+
 def test_keepers_keep_columns(spark):
     df = awkward(spark)
     first = exact_dedup.keep_first(df)

@@ -170,7 +170,8 @@ ORACLE_SQL = {
     "op10_decontamination": rf"""
         WITH d AS (SELECT doc_id, {WORDS.format(LOWER.format('text'))} AS w FROM documents),
              i AS (SELECT item_id, text, {WORDS.format(LOWER.format('text'))} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
-             ds AS (SELECT doc_id, list_distinct(list_transform(range(0, greatest(len(w) - 4, least(len(w), 1))), lambda k: array_to_string(w[k + 1 : k + 5], ' '))) AS s FROM d),
+             m AS (SELECT DISTINCT least(len(w), 5) AS m FROM i WHERE len(w) > 0),
+             ds AS (SELECT doc_id, list_distinct(list_transform(range(0, greatest(len(w) - m + 1, 0)), lambda k: array_to_string(w[k + 1 : k + m], ' '))) AS s FROM d, m),
              ix AS (SELECT item_id, list_distinct(list_transform(range(0, greatest(len(w) - 4, least(len(w), 1))), lambda k: array_to_string(w[k + 1 : k + 5], ' '))) AS s FROM i),
              flat AS (SELECT item_id, len(s) AS n_item, unnest(s) AS x FROM ix),
              hits AS (SELECT doc_id, item_id, n_item, count(*) AS n_shared
