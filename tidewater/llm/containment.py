@@ -134,12 +134,11 @@ def _candidates(docs: DataFrame, sketches: DataFrame, num: int, den: int) -> Dat
                 h, found, last = hashes.array(words), [], None
                 for m, part, cut in parts:
                     if m != last:
-                        values, last = np.unique(shingle_values(h, m)), m
+                        values, last = shingle_values(h, m), m
                     least = 1 << (part & 255) - 1  # shingles of the partition's smallest item
                     if den * len(values) >= num * least:
-                        low = values[: np.searchsorted(values, U64(cut), "right")]
-                        found.append(in_filter(keyed(low, part), bits))
-                keys = np.concatenate(found) if found else h[:0]
+                        found.append(in_filter(keyed(values[values <= U64(cut)], part), bits))
+                keys = np.unique(np.concatenate(found)) if found else h[:0]
                 if len(keys):
                     for column, v in zip(out, (doc, text, signed(keys))):
                         column.append(v)
