@@ -1,7 +1,9 @@
 import datetime as dt
 import decimal
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.operators.merge import SaveMode, SchemaMismatchError, TableExistsError
@@ -363,3 +365,59 @@ def test_writer_options_pass_through_jobs(monkeypatch, spark):
     assert seen[-1][0] == "stage" and sql[-1] == "DROP TABLE stage"
     with pytest.raises(TypeError):
         sync_to_jdbc(ev, PG, "events", "append", batch_size=3)
+
+
+def test_append_once_stages_fixed_row_ids(monkeypatch, spark, my_user):
+    """A task retried after its commit stages the same ids again; one statement takes
+    each id once."""
+    staged = []
+    rec = Recorder(my_user.schema)
+    run = rec.install(monkeypatch)
+    monkeypatch.setattr(J, "write_table", lambda df, ep, table, mode, *a, **k: staged.append((table, mode, df.collect(), df.collect())))
+    rows = my_user.union(my_user).withColumn("account", F.concat("account", F.expr("cast(uuid() as string)")))
+    J.append_to_postgres(rows, PG, "my_user", once=True, run_sql=run)
+    (stg, mode, first, again), = staged
+    assert stg.startswith("my_user__stg_") and mode == "errorifexists"
+    assert first == again and len({r[J.ROW_ID] for r in first}) == 6
+    insert, drop = rec.sql
+    assert insert == (
+        f'INSERT INTO my_user ("id", "account", "passwd") SELECT "id", "account", "passwd" FROM (SELECT "id", "account", "passwd", '
+        f'ROW_NUMBER() OVER (PARTITION BY "{J.ROW_ID}" ORDER BY "{J.ROW_ID}") AS tw_repeat FROM {stg}) s WHERE s.tw_repeat = 1'
+    )
+    assert drop == f"DROP TABLE {stg}"
+    # the statement's rows, staged twice over as after such a retry, here in Spark
+    spark.createDataFrame(first + again[:4]).createOrReplaceTempView("stage_twice")
+    select = J.insert_once_statement("mysql", "t", "stage_twice", my_user.columns).split(") ", 1)[1]
+    assert Counter(map(tuple, spark.sql(select).collect())) == Counter(tuple(r)[:3] for r in first)
+
+
+@pytest.mark.parametrize("failing", ["INSERT", "write target", None])
+def test_append_once_to_a_new_table_undoes_its_steps(monkeypatch, my_user, failing):
+    rec = Recorder(None)
+    rec.install(monkeypatch)
+
+    def write(df, ep, table, mode, *a, **k):
+        if failing == "write target" and table == "my_user":
+            raise RuntimeError("db said no")
+        rec.writes.append((table, mode, df.count()))
+
+    def run(sql):
+        rec.sql.append(sql)
+        if failing and sql.startswith(failing):
+            raise RuntimeError("db said no")
+
+    monkeypatch.setattr(J, "write_table", write)
+    save = lambda: J.save_jdbc(my_user, PG, "my_user", "append", run_sql=run, once=True, staging_table="stage")
+    if failing is None:
+        assert save() == "appended"
+        assert rec.writes == [("stage", "errorifexists", 3), ("my_user", "errorifexists", 0)] and rec.sql[-1] == "DROP TABLE stage"
+        return
+    with pytest.raises(RuntimeError):
+        save()
+    assert rec.sql[-2:] == ["DROP TABLE my_user", "DROP TABLE stage"]
+
+
+def test_append_once_keeps_its_own_column_name(monkeypatch, my_user):
+    Recorder(None).install(monkeypatch)
+    with pytest.raises(SchemaMismatchError):
+        J.save_jdbc(my_user.withColumn(J.ROW_ID, F.lit(1)), PG, "t", "append", run_sql=print, once=True)

@@ -153,11 +153,34 @@ def test_partition_local_merge_equals_full_merge(spark, tmp_path):
     assert "dynamicpruning" in plan_text(merge_partition_local(target, inc, "upsert", keys, ["day"])).lower()
 
 
-def test_document_sampled_inference(spark, tmp_path):
-    store = DocumentStore(root=str(tmp_path / "s"))
-    save_collection(spark.createDataFrame([(i, f"n{i}") for i in range(50)], "_id long, name string"), store, "c")
-    df = read_collection(spark, store, "c", sampling_ratio=0.5)
-    assert set(df.columns) == {"_id", "name"} and df.count() == 50
+def test_collection_in_byte_sized_ranges(spark, tmp_path):
+    """Parts follow the collection's bytes; ranges are sorted and share no key but a
+    hot one, which takes several; no row is lost, NULL and equal keys included."""
+    from tidewater.sources.documents import split_count
+
+    store = DocumentStore(root=str(tmp_path / "r"))
+    data = [(i if i % 3 else 7, f"{i:04d}" + "x" * 200, f"a.{i}") for i in range(6000)] + [(None, "none", "z")] * 50
+    df = spark.createDataFrame(data, "k long, body string, `a.b` string")
+    save_collection(df, store, "c")
+    schema = "k long, body string, `a.b` string"
+    size = sum(f.stat().st_size for f in (tmp_path / "r" / "c").glob("part-*"))
+    n = -(-size // (128 << 10))
+    assert split_count(spark, store.path("c"), 0.125) == n > 8
+    got = read_collection(spark, store, "c", schema=schema, split_mb=0.125, split_by="k")
+    assert got.columns == df.columns and sorted(rows(got), key=repr) == sorted(rows(df), key=repr)
+    parts = {}
+    for r in got.select("k", F.spark_partition_id().alias("p"), F.length("body").alias("b")).collect():
+        parts.setdefault(r.p, []).append((-1 if r.k is None else r.k, r.b))
+    assert len(parts) == n
+    keys = [[k for k, _ in parts[p]] for p in sorted(parts)]
+    assert all(k == sorted(k) for k in keys) and all(a[-1] <= b[0] for a, b in zip(keys, keys[1:]))
+    assert sum(7 in k for k in keys) >= n // 4
+    sizes = [sum(b for _, b in v) for v in parts.values()]
+    assert max(sizes) < 2 * sum(sizes) / n
+    one = read_collection(spark, store, "c", schema=schema, split_mb=1024, split_by="k")
+    assert one.rdd.getNumPartitions() == 1
+    with pytest.raises(ValueError):
+        read_collection(spark, store, "c", schema=schema, split_mb=0, split_by="k")
 
 
 def test_partitions_in_place_equals_full_merge(spark, tmp_path):

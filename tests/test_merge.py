@@ -219,34 +219,31 @@ def test_dedup_keeps_identical_null_key_rows(spark):
     inc = spark.createDataFrame(
         [(None, "a", 1.0), (None, "a", 1.0), (None, "a", 1.0), (1, "x", 1.0), (1, "y", 2.0)], KV
     )
-    for single in (False, True):
-        out = dedup_incoming(inc, ["k"], order_by=["extra"], single_scan=single)
-        assert sorted(rows(out), key=repr) == sorted([(None, "a", 1.0)] * 3 + [(1, "y", 2.0)], key=repr)
+    out = dedup_incoming(inc, ["k"], order_by=["extra"])
+    assert sorted(rows(out), key=repr) == sorted([(None, "a", 1.0)] * 3 + [(1, "y", 2.0)], key=repr)
 
 
 def test_dedup_composite_partly_null(spark):
     df = spark.createDataFrame(
         [(1, None, 1.0), (2, None, 1.0), (1, None, 1.0), (1, "a", 1.0), (1, "a", 5.0)], "k1 int, k2 string, v double"
     )
-    for single in (False, True):
-        out = dedup_incoming(df, ["k1", "k2"], order_by=["v"], single_scan=single)
-        assert out.count() == 4
-        assert [r.v for r in out.filter("k2 = 'a'").collect()] == [5.0]
-        assert out.filter("k2 is null").count() == 3
+    out = dedup_incoming(df, ["k1", "k2"], order_by=["v"])
+    assert out.count() == 4
+    assert [r.v for r in out.filter("k2 = 'a'").collect()] == [5.0]
+    assert out.filter("k2 is null").count() == 3
 
 
 def test_dedup_keys_only_frame(spark):
     df = spark.createDataFrame([(1,), (1,), (None,), (None,)], "k int")
-    for single in (False, True):
-        got = rows(dedup_incoming(df, ["k"], single_scan=single))
-        assert sorted(got, key=repr) == sorted([(1,), (None,), (None,)], key=repr)
+    got = rows(dedup_incoming(df, ["k"]))
+    assert sorted(got, key=repr) == sorted([(1,), (None,), (None,)], key=repr)
 
 
 @cfg
-@given(data=keyed_rows, single=st.booleans())
-def test_dedup_matches_brute_force(spark, data, single):
+@given(data=keyed_rows)
+def test_dedup_matches_brute_force(spark, data):
     df = spark.createDataFrame(data, PROP)
-    got = rows(dedup_incoming(df, ["k"], order_by=["n"], single_scan=single))
+    got = rows(dedup_incoming(df, ["k"], order_by=["n"]))
     best = {}
     nulls = []
     for r in data:

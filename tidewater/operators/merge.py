@@ -144,7 +144,6 @@ def dedup_incoming(
     keys: str | Sequence[str] | None = None,
     order_by: str | Column | Sequence[str | Column] | None = None,
     keep: str = "last",
-    single_scan: bool = False,
 ) -> DataFrame:
     """One row per non-NULL key; rows with a NULL key part pass through.
 
@@ -152,20 +151,14 @@ def dedup_incoming(
     columns...)``, ``keep="first"`` the least. Struct ordering puts NULLs
     first, so a NULL ordering value loses under ``last``.
 
-    By default NULL-key rows are split off with a filter (on Parquet a second,
+    NULL-key rows are split off with a filter (on Parquet a second,
     statistics-pruned scan) and the rest is grouped by the keys alone, so the
     result stays hash-partitioned on the keys and a following join on them
-    needs no new shuffle. ``single_scan=True`` reads ``df`` once instead
-    (for inputs that are expensive to read twice and are not joined on the
-    keys afterwards); its output is partitioned by keys plus a NULL-row marker.
+    needs no new shuffle.
     """
     if keep not in ("last", "first"):
         raise ValueError("keep must be 'last' or 'first'")
     keys = resolve_keys(df, keys)
-    cols = df.columns
-    payload = [c for c in cols if c not in keys]
-    if single_scan and all(_orderable(df.schema[c].dataType) for c in cols):
-        return _dedup_one_pass(df, keys, payload, _as_columns(order_by), keep)
     deduped, null_keyed = _dedup_parts(df, keys, order_by, keep)
     return deduped.unionByName(null_keyed)
 
@@ -216,27 +209,6 @@ def _dedup_parts(
     return deduped.select(*cols), null_keyed.select(*cols)
 
 
-def _dedup_one_pass(
-    df: DataFrame, keys: list[str], payload: list[str], order_cols: list[Column], keep: str
-) -> DataFrame:
-    """Single read of ``df``: rows with a NULL key part are grouped by their
-    whole row (so they never merge with other rows) and re-expanded by count,
-    which keeps identical NULL-key rows as separate inserts."""
-    cols = df.columns
-    nk = any_key_null(keys)
-    null_group = F.when(nk, F.struct(*[F.col(c) for c in payload]) if payload else F.lit(True)).alias("_nullrow")
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    if payload:
-        names = [f"_o{i}" for i in range(len(order_cols))]
-        ordering = F.struct(*[o.alias(n) for o, n in zip(order_cols, names)], *[F.col(c) for c in payload])
-        aggs.append((F.max if keep == "last" else F.min)(ordering).alias("_w"))
-    grouped = df.groupBy(*keys, null_group).agg(*aggs)
-    copies = F.when(F.col("_nullrow").isNull(), F.lit(1)).otherwise(F.col("_n")).cast("int")
-    fields = [F.col(f"_w.{c}").alias(c) for c in payload]
-    out = grouped.select(*keys, *fields, F.explode(F.sequence(F.lit(1), copies)).alias("_rep"))
-    return out.select(*cols)
-
-
 # ---------------------------------------------------------------- alignment
 
 

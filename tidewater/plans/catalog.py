@@ -409,6 +409,15 @@ def q_document_scan(spark, sf_dir):
     return read_collection(spark, store, "documents", schema=_DOC_SCHEMA)
 
 
+@register("document_range_splits", "SELECT doc_id AS _id, text, lang, source, n_chars FROM documents")
+def q_document_range_splits(spark, sf_dir):
+    """The whole collection in sorted ``_id`` ranges of about 64 MB."""
+    from ..sources.documents import read_collection
+
+    store = _documents_store(spark, sf_dir)
+    return read_collection(spark, store, "documents", schema=_DOC_SCHEMA, split_mb=64)
+
+
 @register(
     "document_replace",
     "SELECT doc_id AS _id, text, lang, source, n_chars FROM documents WHERE lang IS DISTINCT FROM 'en' "

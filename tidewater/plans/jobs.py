@@ -18,7 +18,7 @@ from ..operators.filters import filter_daily, filter_range
 from ..operators.merge import SaveMode, merge_state
 
 #: Options of ``sync_to_jdbc`` that belong to the writer.
-WRITER_OPTIONS = ("num_partitions", "batchsize", "staging_table", "run_sql", "isolation_level", "create_column_types")
+WRITER_OPTIONS = ("num_partitions", "batchsize", "staging_table", "run_sql", "isolation_level", "create_column_types", "once")
 
 
 def changed_rows(
@@ -131,7 +131,7 @@ def sync_to_jdbc(
 
     ``options`` are those of ``changed_rows`` (the window) and of ``save_jdbc`` (the
     writer: ``num_partitions``, ``batchsize``, ``staging_table``, ``run_sql``,
-    ``isolation_level``, ``create_column_types``); any other name is an error."""
+    ``isolation_level``, ``create_column_types``, ``once``); any other name is an error."""
     from ..sinks.jdbc import save_jdbc
 
     writer = {k: options.pop(k) for k in WRITER_OPTIONS if k in options}

@@ -26,12 +26,16 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import SaveMode, TableExistsError, SchemaMismatchError, dedup_incoming, resolve_keys
+from ..session import checkpoint_dir
 from ..sources.endpoint import DEFAULT_BATCH_SIZE, Endpoint
 
 RunSql = Callable[[str], None]
+#: The staging table's own column in an exactly-once append.
+ROW_ID = "tw_row_id"
 
 
 class UnwritableTypeError(TypeError):
@@ -145,6 +149,18 @@ def merge_statement(
     return stmt + insert
 
 
+def insert_once_statement(
+    kind: str, table: str, staging: str, columns: Sequence[str], row_id: str = ROW_ID, target_columns: Sequence[str] | None = None
+) -> str:
+    """Insert each staged row once, however often its ``row_id`` was staged. A row
+    number and not DISTINCT, so large-object columns are allowed."""
+    q = [quote(c, kind) for c in columns]
+    t = ", ".join(quote(c, kind) for c in target_columns or columns)
+    rid = quote(row_id, kind)
+    numbered = f"SELECT {', '.join(q)}, ROW_NUMBER() OVER (PARTITION BY {rid} ORDER BY {rid}) AS tw_repeat FROM {staging}"
+    return f"INSERT INTO {table} ({t}) SELECT {', '.join(q)} FROM ({numbered}) s WHERE s.tw_repeat = 1"
+
+
 def unique_index_statement(kind: str, table: str, keys: Sequence[str]) -> str:
     """A unique (not primary) key: NULL keys stay legal, as in the merge."""
     base = table.split(".")[-1].strip('"`')
@@ -231,8 +247,19 @@ def append_jdbc(
     num_partitions: int | None = None,
     batchsize: int = DEFAULT_BATCH_SIZE,
     isolation_level: str | None = None,
+    once: bool = False,
+    run_sql: RunSql | None = None,
+    staging_table: str | None = None,
 ) -> None:
-    """Plain append; creates the table when missing."""
+    """Plain append; creates the table when missing. A task that is retried after its
+    commit adds its rows twice; ``once=True`` goes through a staging table instead
+    (see ``save_jdbc``)."""
+    if once:
+        save_jdbc(
+            df, endpoint, table, SaveMode.APPEND, run_sql=run_sql, num_partitions=num_partitions, batchsize=batchsize,
+            staging_table=staging_table, isolation_level=isolation_level, once=True,
+        )
+        return
     check_writable(df.schema, endpoint.kind)
     write_table(df, endpoint, table, "append", num_partitions, batchsize, isolation_level=isolation_level)
 
@@ -251,6 +278,7 @@ def save_jdbc(
     dedup: bool = True,
     isolation_level: str | None = None,
     create_column_types: str | None = None,
+    once: bool = False,
 ) -> str:
     """Save ``df`` into ``table`` under one of the six modes; returns what was done.
 
@@ -258,6 +286,11 @@ def save_jdbc(
     keys in one merge statement are an error in most databases. ``isolation_level``
     and ``create_column_types`` go to every table that Spark writes.
 
+    ``once=True`` makes append exactly-once: rows get an id that is fixed in the shared
+    checkpoint folder before the first write, so a task retried after its commit stages
+    the same ids again, and one statement inserts each id once. Readers see all new
+    rows or none. Equal rows have ids of their own and all stay.
+
     Steps run in an order that keeps the old table until the new rows are complete,
     and a step that fails undoes those before it, last one first: staging tables are
     dropped, a table created by this save is dropped, a table renamed away is renamed
@@ -290,11 +323,27 @@ def save_jdbc(
             return "ignored"
         write(df, table, "errorifexists")
         return "created"
-    if mode is SaveMode.APPEND:
+    if mode is SaveMode.APPEND and not once:
         write(df, table, "append")
         return "appended"
     run = run_sql or jvm_run_sql(spark, endpoint)
     steps = Steps()
+    target_cols = list(df.columns)
+    if existing is not None and mode is not SaveMode.OVERWRITE:
+        spelled = {f.name.lower(): f.name for f in existing.fields}
+        target_cols = [spelled[c.lower()] for c in df.columns]
+    if mode is SaveMode.APPEND:
+        if any(c.lower() == ROW_ID for c in df.columns):
+            raise SchemaMismatchError(f"{ROW_ID} is the staging table's own column")
+        checkpoint_dir(spark)
+        rows = df.withColumn(ROW_ID, F.monotonically_increasing_id()).checkpoint()
+        staging = staging_table or f"{table}__stg_{uuid.uuid4().hex[:12]}"
+        steps.do(lambda: write(rows, staging, "errorifexists"), lambda: run(f"DROP TABLE {staging}"))
+        if existing is None:
+            steps.do(lambda: write(df.limit(0), table, "errorifexists", None), lambda: run(f"DROP TABLE {table}"))
+        steps.do(lambda: run(insert_once_statement(kind, table, staging, df.columns, target_columns=target_cols)))
+        run(f"DROP TABLE {staging}")
+        return "appended"
     if mode is SaveMode.OVERWRITE:
         if existing is None:
             write(df, table, "errorifexists")
@@ -313,10 +362,6 @@ def save_jdbc(
     keep = "last" if mode is SaveMode.UPSERT else "first"
     incoming = dedup_incoming(df, key_cols, order_by, keep) if dedup else df
     staging = staging_table or f"{table}__stg_{uuid.uuid4().hex[:12]}"
-    target_cols = list(df.columns)
-    if existing is not None:
-        spelled = {f.name.lower(): f.name for f in existing.fields}
-        target_cols = [spelled[c.lower()] for c in df.columns]
     steps.do(lambda: write(incoming, staging, "errorifexists"), lambda: run(f"DROP TABLE {staging}"))
     if existing is None:
         # the rows are staged by now, so the empty target stands for moments only

@@ -23,6 +23,7 @@ The new documents are evaluated once, in both.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,24 +76,27 @@ def read_collection(
     store: DocumentStore,
     collection: str,
     schema: T.StructType | str | None = None,
-    split_mb: int = DEFAULT_SPLIT_MB,
-    sampling_ratio: float | None = None,
+    split_mb: float | None = None,
+    split_by: str = ID_FIELD,
     database: str | None = None,
 ) -> DataFrame:
     """A collection as a DataFrame; the schema is inferred unless given.
 
     Give the schema for large collections: inference is an extra pass over
-    the data. ``sampling_ratio`` (e.g. ``0.01``) infers from a sample instead,
-    as the connector does; fields seen only outside the sample are then absent.
-    ``database`` overrides the store's database for this read (connector only).
+    the data. ``database`` overrides the store's database for this read (connector
+    only).
+
+    ``split_mb`` asks for parts of about that many megabytes. The connector splits by
+    ``_id`` (1024 MB if not given). For files, where the scan's own splits follow
+    ``spark.sql.files.maxPartitionBytes``, it makes one shuffle into sorted ranges of
+    ``split_by``, as many as the collection's bytes need; see ``range_splits``.
     """
     if store.root is not None:
         reader = spark.read.options(**JSON_FILE_OPTIONS)
         if schema is not None:
             reader = reader.schema(schema)
-        elif sampling_ratio is not None:
-            reader = reader.option("samplingRatio", str(sampling_ratio))
-        return reader.json(store.path(collection)).drop(BUCKETS, BUCKET)
+        docs = reader.json(store.path(collection)).drop(BUCKETS, BUCKET)
+        return docs if split_mb is None else range_splits(docs, split_by, split_count(spark, store.path(collection), split_mb))
     reader = (
         spark.read.format("mongodb")
         .option("connection.uri", store.uri)
@@ -100,7 +104,7 @@ def read_collection(
         .option("collection", collection)
         .option("readPreference.name", "primary")
         .option("partitioner", "com.mongodb.spark.sql.connector.read.partitioner.SamplePartitioner")
-        .option("partitioner.options.partition.size", str(split_mb))
+        .option("partitioner.options.partition.size", str(split_mb or DEFAULT_SPLIT_MB))
     )
     for k, v in store.options.items():
         reader = reader.option(k, v)
@@ -109,6 +113,27 @@ def read_collection(
     return reader.load()
 
 
+def split_count(spark: SparkSession, path: str, split_mb: float) -> int:
+    """Parts of about ``split_mb`` megabytes in the files under ``path``. Only their
+    lengths are read: the scan's ``content`` column is pruned away."""
+    if split_mb <= 0:
+        raise ValueError("split_mb must be > 0")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!_.]*")
+    size = files.load(path).agg(F.sum("length")).first()[0] or 0
+    return max(1, math.ceil(size / (split_mb * 1024 * 1024)))
+
+
+def range_splits(df: DataFrame, by: str, parts: int) -> DataFrame:
+    """``df`` in ``parts`` ranges of ``by``, near equal in rows, each sorted by it; NULLs
+    are in the first. Spark samples the boundaries in the data; the sample steers the
+    layout only, every row is in one range. A row number breaks ties, so a key that
+    holds a large share of the rows, or NULL, takes several neighbouring ranges."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    key = F.col(names[df.columns.index(by)])
+    rows = df.toDF(*names).withColumn("tie", F.monotonically_increasing_id())
+    return rows.repartitionByRange(parts, key, "tie").sortWithinPartitions(key, "tie").drop("tie").toDF(*df.columns)
+
+
 def read_named_collection(spark: SparkSession, store: DocumentStore, name: str, **kw) -> DataFrame:
     """``coupon`` / ``shop`` shortcuts to the configured collection names."""
     return read_collection(spark, store, NAMED_COLLECTIONS[name], **kw)
