@@ -102,6 +102,33 @@ def test_containment_without_room(spark, monkeypatch):
     assert {r["doc_id"] for r in containment.decontaminated(df, table_).collect()} == {d for d, _ in data} - leaked
 
 
+def test_containment_looks_up_many_documents_as_one_by_one():
+    """Documents laid end to end have the keys that each has alone: no run of words goes
+    over the end of one, and each is held to its own size."""
+    rng = np.random.default_rng(5)
+    h = [containment.mix64(rng.integers(0, 400, n).astype(np.uint64)) for n in (30, 0, 3, 1, 200, 5, 4, 60)]
+    h.append(np.concatenate([h[0][-3:], h[4][:3]]))
+    parts = [(m, containment.partition_of(m, 1 << k), (1 << 64) - 1 >> k % 2) for m in (2, 5) for k in range(6)]
+    keys = [containment.keyed(containment.shingle_values(x, m), p) for x in h for m in (2, 5) for p in (m, *[p for k, p, _ in parts if k == m])]
+    bits = np.zeros(1 << 17, np.uint8)
+    for x in keys[::2]:
+        for i in range(containment.PROBES):
+            at = containment.probe(x, i, 8 * len(bits)).astype(np.int64)
+            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    owner, got = containment.looked_up(np.concatenate(h), np.array([len(x) for x in h]), parts, 80, 100, bits)
+    alone = []
+    for i, x in enumerate(h):
+        own = set()
+        for m, part, cut in parts:
+            values = containment.shingle_values(x, m)
+            if 100 * len(values) >= 80 * (1 << (part & 255) - 1):
+                values = values[values <= np.uint64(cut)]
+                values = values[np.isin(containment.keyed(values, m), containment.in_filter(containment.keyed(values, m), bits))]
+                own |= set(containment.in_filter(containment.keyed(values, part), bits).tolist())
+        alone += [(i, k) for k in sorted(own)]
+    assert alone and list(zip(owner.tolist(), got.tolist())) == alone
+
+
 def test_containment_filter():
     keys = containment.keyed(np.arange(1000, dtype=np.uint64), 3)
     bits = np.zeros(1 << 12, np.uint8)

@@ -9,9 +9,11 @@ length follows the item's size and that misses nothing.
    keeps the largest value that its sketches retain, beyond which a document's
    values are not looked up, and the fewest shingles that a document needs.
 2. All retained values go into one Bloom filter, 64 MB at most, that travels to the
-   tasks. One scan of the documents keeps those with a value in it: the rest is
-   neither shuffled nor written. More values than the filter has room for let more
-   documents through; the results are the same.
+   tasks: as keys of their partition, and as keys of their shingle length alone, which
+   drop nearly all of a document's values at one look. One scan of the documents, many
+   of them at a time, keeps those with a value in it: the rest is neither shuffled nor
+   written. More values than the filter has room for let more documents through; the
+   results are the same.
 3. The kept documents' values are joined with the items' values. Values that very
    many documents have are dealt to several tasks.
 4. Each candidate is checked on the exact shingles, strings and not hashes.
@@ -38,6 +40,8 @@ BITS_PER_VALUE, MAX_BITS = 32, 1 << 29
 PROBES = 8
 #: Documents with one value that a task joins with that value's items.
 SHARE = 1 << 16
+#: Words of documents that are looked up at a time.
+LOOKED_UP = 1 << 16
 
 
 def shingle_values(h: np.ndarray, m: int) -> np.ndarray:
@@ -60,13 +64,14 @@ def probe(keys: np.ndarray, i: int, bits: int) -> np.ndarray:
 
 
 def _sketches(items: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """item_id, text, m, part, cut (largest retained value) and keys of each item
-    with words."""
+    """item_id, text, m, part, cut (largest retained value), keys and any_size (the
+    same values as keys of all partitions of one shingle length) of each item with
+    words."""
 
     def run(batches):
         hashes = WordHash()
         for batch in batches:
-            out = [[] for _ in range(6)]
+            out = [[] for _ in range(7)]
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of(text, lower=True)
                 if not words:
@@ -75,18 +80,18 @@ def _sketches(items: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 values = np.unique(shingle_values(hashes.array(words), m))
                 q = len(values)
                 kept, part = values[: q - -(-q * num // den) + 1], partition_of(m, q)
-                for column, v in zip(out, (item, text, m, part, int(signed(kept[-1:])[0]), signed(keyed(kept, part)))):
+                for column, v in zip(out, (item, text, m, part, int(signed(kept[-1:])[0]), signed(keyed(kept, part)), signed(keyed(kept, m)))):
                     column.append(v)
-            types = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["item_id", "text", "m", "part", "cut", "keys"])
+            types = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), *[pa.list_(pa.int64())] * 2)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["item_id", "text", "m", "part", "cut", "keys", "any_size"])
 
-    return items.mapInArrow(run, "item_id long, text binary, m int, part int, cut long, keys array<long>")
+    return items.mapInArrow(run, "item_id long, text binary, m int, part int, cut long, keys array<long>, any_size array<long>")
 
 
 def _filter(sketches: DataFrame) -> np.ndarray:
     """The Bloom filter over all keys, as bytes. Tasks set its bits; the driver lays
     the finished rows of it side by side."""
-    count = sketches.agg(F.sum(F.size("keys"))).first()[0] or 0
+    count = sketches.agg(F.sum(F.size("keys") + F.size("any_size"))).first()[0] or 0
     bits = min(MAX_BITS, max(ROW_BITS, 1 << max(0, BITS_PER_VALUE * count - 1).bit_length()))
 
     def places(batches):
@@ -96,21 +101,54 @@ def _filter(sketches: DataFrame) -> np.ndarray:
                 at = signed(probe(keys, i, bits))
                 yield pa.RecordBatch.from_arrays([pa.array(at // ROW_BITS), pa.array(at % ROW_BITS)], names=["part", "bit"])
 
-    rows = sketches.select(F.explode("keys").alias("key")).mapInArrow(places, "part long, bit long")
+    rows = sketches.select(F.explode(F.concat("keys", "any_size")).alias("key")).mapInArrow(places, "part long, bit long")
     out = np.zeros(bits // 8, np.uint8)
     for r in rows.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
         out[r["part"] * (ROW_BITS // 8) :][: ROW_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 
-def in_filter(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """The keys whose probes are all set."""
+def filter_places(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Places of the keys whose probes are all set."""
+    at = np.arange(len(keys))
     for i in range(PROBES):
-        if not len(keys):
+        if not len(at):
             break
-        at = probe(keys, i, 8 * len(bits)).astype(np.int64)
-        keys = keys[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-    return keys
+        place = probe(keys[at] if i else keys, i, 8 * len(bits)).astype(np.int64)
+        at = at[(bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+    return at
+
+
+def in_filter(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The keys whose probes are all set."""
+    return keys[filter_places(keys, bits)]
+
+
+def looked_up(h: np.ndarray, counts: np.ndarray, parts: list, num: int, den: int, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, key) of the values in the filter, each once, by document. ``h`` has the
+    word hashes of several documents end to end, ``counts`` how many each has."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    owners, found, last = [owner[:0]], [h[:0]], None
+    for m, part, cut in parts:
+        if m != last:
+            values, last = shingle_values(h, m), m
+            most = max(c for k, _, c in parts if k == m)
+            inside = np.flatnonzero((owner[: len(values)] == owner[m - 1 :]) & (values <= U64(most)))  # runs of one document's words
+            values, whose = values[inside], owner[inside]
+            known = filter_places(keyed(values, m), bits)  # of any size; few are left
+            values, whose = values[known], whose[known]
+        least = 1 << (part & 255) - 1  # shingles of the partition's smallest item
+        at = np.flatnonzero((values <= U64(cut)) & (den * np.maximum(counts - m + 1, 0) >= num * least)[whose])
+        keys = keyed(values[at], part)
+        kept = filter_places(keys, bits)
+        owners.append(whose[at][kept])
+        found.append(keys[kept])
+    owner, keys = np.concatenate(owners), np.concatenate(found)
+    order = np.lexsort((keys, owner))
+    owner, keys = owner[order], keys[order]
+    once = np.ones(len(keys), bool)
+    once[1:] = (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])
+    return owner[once], keys[once]
 
 
 def _candidates(docs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
@@ -119,30 +157,36 @@ def _candidates(docs: DataFrame, sketches: DataFrame, num: int, den: int) -> Dat
     parts = [(r["m"], r["part"], r["cut"] % (1 << 64)) for r in sketches.groupBy("m", "part").agg(unsigned).collect()]
     sent = docs.sparkSession.sparkContext.broadcast((sorted(parts), _filter(sketches)))
     names = ["doc_id", "text", "keys"]
-    types = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
+    types = (pa.int64(), pa.binary())
 
     def run(batches):
         parts, bits = sent.value
         hashes = WordHash()
+
+        def looked(docs, texts, held):
+            counts = np.array([len(h) for h in held], np.int64)
+            owner, keys = looked_up(np.concatenate(held), counts, parts, num, den, bits)
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
+            own = owner[first].tolist()
+            ends = np.append(first, len(keys)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(keys)))
+            return pa.RecordBatch.from_arrays([pa.array([docs[i] for i in own], types[0]), pa.array([texts[i] for i in own], types[1]), lists], names=names)
+
         for batch in batches:
-            out = [[] for _ in names]
+            docs, texts, held, size = [], [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
                 words = words_of(text, lower=True)
                 if not words:
                     continue
-                h, found, last = hashes.array(words), [], None
-                for m, part, cut in parts:
-                    if m != last:
-                        values, last = shingle_values(h, m), m
-                    least = 1 << (part & 255) - 1  # shingles of the partition's smallest item
-                    if den * len(values) >= num * least:
-                        found.append(in_filter(keyed(values[values <= U64(cut)], part), bits))
-                keys = np.unique(np.concatenate(found)) if found else h[:0]
-                if len(keys):
-                    for column, v in zip(out, (doc, text, signed(keys))):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
+                for column, v in zip((docs, texts, held), (doc, text, hashes.array(words))):
+                    column.append(v)
+                size += len(words)
+                if size >= LOOKED_UP:
+                    yield looked(docs, texts, held)
+                    docs, texts, held, size = [], [], [], 0
+            if held:
+                yield looked(docs, texts, held)
 
     found = docs.mapInArrow(run, "doc_id long, text binary, keys array<long>")
     return written(found.withColumn("row", F.monotonically_increasing_id()), "containment-documents")
