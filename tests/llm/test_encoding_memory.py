@@ -58,3 +58,24 @@ def test_clashing_names_in_the_last_stage(spark):
     got = out.collect()
     assert len(got) == len(AWKWARD) and all(r[c] == f"own {c}" for r in got for c in names)
     assert all(r["lossless_new"] for r in got) and {"pieces_new", "n_pieces_new"} <= set(out.columns)
+
+
+def test_memory_of_a_task():
+    """The trie's table has rows for nodes with a next one alone, and the lattices of a
+    slab of distinct words are laid out a part at a time."""
+    import tracemalloc
+
+    vocab = vocabulary(queries.MODEL)
+    sampler = encoding.Sampler(vocab, 1.0, 0)
+    trie = sampler.trie
+    assert trie.step.nbytes < 24e6 and trie.step.any(axis=1).all()
+    rng = np.random.default_rng(6)
+    text = " ".join("".join(map(chr, rng.integers(97, 123, 9))) for _ in range(40_000)).encode()
+    tracemalloc.start()
+    try:
+        ids = sampler.encode([1], [text])[0]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert encoding.Speller(vocab).spell(ids).tobytes() == text
+    assert peak < 64e6

@@ -28,7 +28,7 @@ from .pieces import Lattices, Trie, vocabulary
 CHUNK = re.compile(rb" *[^ \n]+| +|\n")
 #: Bytes of text that are taken at a time, and bytes of distinct chunks that are laid
 #: out at a time; they bound memory, not the result.
-SLAB, LAID = 1 << 20, 1 << 19
+SLAB, LAID = 1 << 20, 1 << 16
 #: Bytes of a chunk above which its lattice is walked and not laid out.
 LONG = 1 << 16
 #: Pieces that are spelled at a time.

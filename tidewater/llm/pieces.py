@@ -50,7 +50,8 @@ def vocabulary(path: str) -> dict:
 
 
 class Trie:
-    """Byte trie of the pieces; ``step`` is a dense table node x byte -> node."""
+    """Byte trie of the pieces. ``step`` is a table node x byte -> node of the nodes that
+    have a next one: those come first, so a node beyond the table ends there."""
 
     def __init__(self, vocab: dict):
         children: list[dict[int, int]] = [{}]
@@ -65,11 +66,15 @@ class Trie:
                     children.append({})
                     piece.append(-1)
             piece[node] = i
-        self.step = np.zeros((len(children), 256), np.int32)
+        inner = np.array([bool(c) for c in children])
+        order = np.argsort(~inner, kind="stable")  # the root stays first
+        number = np.empty(len(children), np.int64)
+        number[order] = np.arange(len(children))
+        self.step = np.zeros((max(1, int(inner.sum())), 256), np.uint16 if len(children) <= 1 << 16 else np.int32)
         for n, c in enumerate(children):
             for b, m in c.items():
-                self.step[n, b] = m
-        self.piece = np.array(piece, np.int32)
+                self.step[number[n], b] = number[m]
+        self.piece = np.array(piece, np.int32)[order]
         self.byte = np.zeros(256, np.int32)
         for i, b in vocab["byte"].items():
             self.byte[b] = i
@@ -102,6 +107,8 @@ class Lattices:
             src.append(at[hit])
             dst.append(at[hit] + length)
             ids.append(trie.piece[node[hit]])
+            inner = node < len(trie.step)
+            at, node = at[inner], node[inner]
         src, dst, ids = np.concatenate(src), np.concatenate(dst), np.concatenate(ids)
         order = np.argsort(dst, kind="stable")
         self.src, self.dst, self.ids = src[order], dst[order], ids[order]
