@@ -218,6 +218,29 @@ def test_linked_sets_share_a_key():
                     assert len(np.intersect1d(jaccard_join.segment_keys(a, bands), jaccard_join.segment_keys(b, bands)))
 
 
+def test_jaccard_short_sketches():
+    """A short sketch has a quarter of the bits and never tells sets that link apart;
+    it tells sets with half of their tokens in common apart."""
+    rng = np.random.default_rng(8)
+    bands = jaccard_join.Bands(80, 100)
+    for n in (9, 20, 60, 350, 2000):
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            drop = int(rng.integers(0, n // 9 + 1))
+            b = np.concatenate([a[drop:], rng.integers(0, 1 << 63, drop).astype(np.uint64)])
+            long, short = ([f(x) for x in (a, b)] for f in (jaccard_join.bit_sketch, lambda x: jaccard_join.short_sketch(jaccard_join.bit_sketch(x))))
+            assert len(short[0]) == min(len(long[0]), max(16, len(long[0]) // 4))
+            differ = len(np.setxor1d(a, b))
+            assert jaccard_join.distance(*short) <= jaccard_join.distance(*long) <= differ
+            if 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
+                assert jaccard_join.distance(*short) <= bands.difference(len(a), len(b))
+            assert (jaccard_join.segment_keys(a, bands) < np.uint64(1 << jaccard_join.KEY_BITS)).all()
+            half = np.concatenate([a[n // 2 :], rng.integers(0, 1 << 63, n // 2).astype(np.uint64)])
+            if n >= 350:
+                assert jaccard_join.distance(short[0], jaccard_join.short_sketch(jaccard_join.bit_sketch(half))) > bands.difference(n, n)
+
+
+
 def test_queries_of_whole_tables(spark):
     import duckdb
 

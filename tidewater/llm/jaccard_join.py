@@ -13,11 +13,12 @@ of a and b tokens, and a at num/den of b or more.
    class lists that many (its own D, for its largest partner). A set that fills too
    few, a small one mostly, also lists each of its tokens, and so meets its like.
 2. Classes of one list meet its most central member and a few random ones. Pairs are
-   tested by size and by the Hamming distance of dense bit sketches, 4 to 8 bits for
-   each token, then exactly on the words of both whole texts.
+   tested by size and by the Hamming distance of short bit sketches, 1 to 2 bits for
+   each token, then of dense ones, 4 to 8 bits, then exactly on the words of both whole
+   texts.
 3. Lists whose members are not all in one component are compared within tasks, in
-   pairs of blocks of bounded bytes, by their dense sketches; pairs of different
-   components that pass are verified exactly too. No list is capped.
+   pairs of blocks of bounded bytes, by their short sketches; pairs of different
+   components that pass are tested and verified as the others are. No list is capped.
 """
 
 from __future__ import annotations
@@ -34,8 +35,12 @@ from tidewater.session import scratch_path
 from .common import U64, WordHash, join_counted, mix64, quoted, runs, shingle_hashes, signed, two_columns, words_of
 from .components import connected_components
 
-#: Bytes of dense sketches in one block of a list.
+#: Bytes of short sketches in one block of a list.
 BLOCK_BYTES = 1 << 20
+#: Bytes of a short sketch at least, if the sketch has as many.
+SHORT_BYTES = 16
+#: Bits of a list's key.
+KEY_BITS = 48
 #: Rows of a hot pair side that share a copy of its text.
 SHARE = 256
 
@@ -86,7 +91,8 @@ class Bands:
 
 
 def segment_keys(values: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the lists that a set of distinct 64-bit tokens is in."""
+    """Keys of the lists that a set of distinct 64-bit tokens is in, ``KEY_BITS`` of a hash
+    each: lists that fall together only mean more pairs to test."""
     out = []
     prints = mix64(values ^ U64(0xA24BAED4963EE407))
     if not len(values):
@@ -101,7 +107,7 @@ def segment_keys(values: np.ndarray, bands: Bands) -> np.ndarray:
         out.append(mix64(mixed ^ mix64(segment[first] + U64(band << 40)))[:wanted])
         if len(first) < wanted:
             out.append(mix64(prints ^ mix64(np.full(1, (band << 40) | (1 << 39), U64))))
-    return np.unique(np.concatenate(out))
+    return np.unique(np.concatenate(out) >> U64(64 - KEY_BITS))
 
 
 def bit_sketch(values: np.ndarray) -> bytes:
@@ -120,6 +126,12 @@ def folded(sketch: bytes, size: int) -> np.ndarray:
     return x
 
 
+def short_sketch(sketch: bytes) -> bytes:
+    """A quarter of the sketch, 1 to 2 bits a token: tells most sets apart that do not
+    link, and never two that do."""
+    return folded(sketch, max(SHORT_BYTES, len(sketch) // 4)).tobytes()
+
+
 def distance(x: bytes, y: bytes) -> int:
     size = min(len(x), len(y))
     return int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
@@ -150,7 +162,7 @@ def _may_have(rows: DataFrame, key: str, ids: DataFrame, most: int) -> tuple[Dat
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """rep, n, dense sketch, list keys and text of each class, once: one pass cuts a
+    """rep, n, dense and short sketch, list keys and text of each class, once: one pass cuts a
     text's words and hashes its shingles for all of them.
 
     A row whose doc_id has no other row, and whose text is in no smaller one, stands
@@ -174,8 +186,8 @@ def _sketched(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
     doc_id may have other texts too. A null digest stands for any text with words.
     Rows are handed on for each ``BLOCK_BYTES`` of
     text and keys, so a task holds little more than its longest text."""
-    names = ["rep", "digest", "n", "sketch", "text"]
-    types = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+    names = ["rep", "digest", "n", "sketch", "short", "text"]
+    types = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
 
     def batch_of(out, keys):
         ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
@@ -192,7 +204,8 @@ def _sketched(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 if not words or digest not in (None, own):
                     continue
                 values = np.unique(shingle_hashes(hashes.array(words), n))
-                for column, v in zip(out, (rep, own, len(values), bit_sketch(values), text)):
+                sketch = bit_sketch(values)
+                for column, v in zip(out, (rep, own, len(values), sketch, short_sketch(sketch), text)):
                     column.append(v)
                 keys.append(segment_keys(values, bands))
                 held += len(text) + keys[-1].nbytes
@@ -202,7 +215,7 @@ def _sketched(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
             if keys:
                 yield batch_of(out, keys)
 
-    return rows.mapInArrow(run, "rep long, digest binary, n long, sketch binary, text binary, keys array<long>")
+    return rows.mapInArrow(run, "rep long, digest binary, n long, sketch binary, short binary, text binary, keys array<long>")
 
 
 def _shared(keys: DataFrame) -> DataFrame:
@@ -249,15 +262,15 @@ def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     return dealt
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Of the pairs (a, b), those whose sketches and then whole sets link."""
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int, sketches: tuple[str, ...] = ("short", "sketch")) -> DataFrame:
+    """Of the pairs (a, b), those whose ``sketches``, in turn, and then whole sets link."""
     bands = Bands(num, den)
 
     def near(batches):
         for batch in batches:
             keep = [
                 den * min(na, nb) >= num * max(na, nb) and distance(sa, sb) <= bands.difference(na, nb)
-                for na, nb, sa, sb in zip(*(batch.column(c).to_pylist() for c in ("a_n", "b_n", "a_sketch", "b_sketch")))
+                for na, nb, sa, sb in zip(*(batch.column(c).to_pylist() for c in ("a_n", "b_n", "a_bits", "b_bits")))
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -279,8 +292,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) ->
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     pairs = written(pairs, "jaccard-pairs")
-    likely = written(_sides(pairs, texts, "n", "sketch").mapInArrow(near, "a long, b long").distinct(), "jaccard-likely")
-    rows = _sides(likely, texts, "text").sortWithinPartitions("a")
+    for sketch in sketches:
+        bits = texts.select("rep", "n", F.col(sketch).alias("bits"))
+        pairs = written(_sides(pairs, bits, "n", "bits").mapInArrow(near, "a long, b long").distinct(), "jaccard-likely")
+    rows = _sides(pairs, texts, "text").sortWithinPartitions("a")
     return written(rows.mapInArrow(link, "a long, b long").distinct(), "jaccard-links")
 
 
@@ -292,13 +307,13 @@ def _pairs_of(entries: DataFrame, heads: DataFrame, on: list[str]) -> DataFrame:
 def _meetings(lists: DataFrame, turns: int) -> DataFrame:
     """Pairs (a, b): each class with the centre of its lists, the member in most
     lists, and with a random member of a part of each of its first ``turns`` ones."""
-    often = lists.groupBy("rep").agg(F.count("*").alias("w"), F.expr(f"slice(array_sort(collect_list(struct(xxhash64(key) AS h, key))), 1, {max(1, turns)})").alias("own"))
+    often = lists.groupBy("rep").agg(F.count("*").alias("w"), F.expr(f"slice(array_sort(collect_list(key)), 1, {max(1, turns)})").alias("own"))
     often = written(often, "jaccard-often")
     centres = lists.join(often.select("rep", "w"), "rep").groupBy("key").agg(F.max(F.struct("w", (-F.col("rep")).alias("r"))).alias("c"), F.count("*").alias("members"))
     centres = written(centres.select("key", "members", (-F.col("c.r")).alias("head")), "jaccard-centres")
     pairs = _pairs_of(lists, centres.select("key", "head"), ["key"])
     for turn in range(turns):
-        own = often.where(F.size("own") > turn).select("rep", F.col("own")[turn]["key"].alias("key")).join(centres.where("members > 2").select("key", "members"), "key")
+        own = often.where(F.size("own") > turn).select("rep", F.col("own")[turn].alias("key")).join(centres.where("members > 2").select("key", "members"), "key")
         own = own.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(turn)), F.ceil(F.col("members") / 16)))
         heads = own.groupBy("key", "part").agg(F.min(F.struct(F.xxhash64("rep", F.lit(-1 - turn)).alias("h"), "rep")).alias("c")).select("key", "part", F.col("c.rep").alias("head"))
         pairs = pairs.unionByName(_pairs_of(own.select("rep", "key", "part"), heads, ["key", "part"]))
@@ -306,10 +321,10 @@ def _meetings(lists: DataFrame, turns: int) -> DataFrame:
 
 
 def _open_pairs(lists: DataFrame, texts: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of different labels in one list that pass the dense sketches."""
+    """Pairs of different labels in one list that pass the short sketches."""
     own = lists.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
-    sketches = texts.select("rep", "n", "sketch")
-    sizes = own.join(sketches.select("rep", F.length("sketch").alias("bytes")), "rep").groupBy("key").agg(
+    sketches = texts.select("rep", "n", "short")
+    sizes = own.join(sketches.select("rep", F.length("short").alias("bytes")), "rep").groupBy("key").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"), F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks")
     )
     still = written(own.join(sizes.where("lo != hi AND members > 2").select("key", "blocks"), "key"), "jaccard-open")
@@ -322,8 +337,8 @@ def _open_pairs(lists: DataFrame, texts: DataFrame, labels: DataFrame, num: int,
             label, n, rep, block = g["label"], g["n"], g["rep"], g["block"]
             if len(rep) < 2 or (label == label[0]).all():
                 continue
-            size = min(map(len, g["sketch"]))
-            bits = np.stack([folded(s, size) for s in g["sketch"]])
+            size = min(map(len, g["short"]))
+            bits = np.stack([folded(s, size) for s in g["short"]])
             # every pair of two labels has a member outside the largest label
             names, held = np.unique(label, return_counts=True)
             outside = label != names[held.argmax()]
@@ -374,7 +389,7 @@ def jaccard_components(
     lists = written(_shared(texts.select(F.explode("keys").alias("key"), "rep")), "jaccard-lists")
     links = _verified(_meetings(lists, meetings), texts, n, num, den)
     labels = connected_components(links)
-    more = _verified(_open_pairs(lists, texts, labels, num, den), texts, n, num, den)
+    more = _verified(_open_pairs(lists, texts, labels, num, den), texts, n, num, den, ("sketch",))
 
     sized = classes.select("digest", "rep", "count").join(texts.select("digest", "n"), "digest")
     held_by = written(join_counted(nodes.select("doc_id", "digest"), sized, "digest", nodes.count()).select("doc_id", "digest", "rep", "n"), "jaccard-held")
