@@ -16,6 +16,19 @@ def test_cap_partitions(spark):
     assert cap_partitions(df, None) is df
 
 
+def test_cap_partitions_query_shuffles_no_table(spark, tmp_path):
+    """Three tasks read the table where it lies, every row of it once."""
+    from tidewater.plans.catalog import QUERIES
+
+    rows = spark.range(0, 4000, 1, 8).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("v"))
+    rows.unionByName(rows.where("id < 10")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = QUERIES["cap_partitions"](spark, str(tmp_path))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= out.rdd.getNumPartitions() <= 3
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, rows.collect() + rows.where("id < 10").collect()), key=repr)
+
+
+
 def test_hash_layout_one_shard_per_key(spark, tmp_path):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     laid = hash_layout(o, "o_orderkey", 8, spread=3)
