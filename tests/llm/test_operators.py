@@ -150,6 +150,38 @@ def test_keepers_keep_columns(spark):
     assert Counter(r["doc_id"] for r in one.collect()) == Counter(d for d, _, _, k in brute.near(AWKWARD, 5) if k)
 
 
+def test_memory_of_a_batch(spark):
+    """Wide rows reach Python a few megabytes at a time, unless the session has its own
+    setting, and near-dedup of them gives the same rows; remembered words are few."""
+    import pyarrow as pa
+
+    from tidewater.llm.common import WordHash, map_rows, two_columns
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key, None)
+    data = [(i, f"{i % 7} " + " ".join(f"w{i % 7}_{k}" for k in range(20_000))) for i in range(70)]
+    try:
+        for make in (lambda df: two_columns(df, "doc_id", "text"), lambda df: map_rows(df, lambda batches: batches)):
+            spark.conf.unset(key)
+            df = make(awkward(spark, data).coalesce(1)).select("doc_id", "text")
+            sizes = [r["n"] for r in df.mapInArrow(run, "n long").collect()]
+            assert sum(sizes) > 8e6 and max(sizes) < 5e6
+        spark.conf.set(key, "1m")
+        two_columns(awkward(spark, data), "doc_id", "text")
+        assert spark.conf.get(key) == "1m"
+        got = near_dedup.near_duplicates(awkward(spark, data).coalesce(1))
+        same(table(got, "doc_id", "component_id"), [(i, i % 7) for i in range(70)])
+    finally:
+        spark.conf.unset(key) if held is None else spark.conf.set(key, held)
+    hashes = WordHash()
+    words = [b"w%d" % i for i in range(100_000)]
+    assert (hashes.array(words) == hashes.array(words)).all() and len(hashes) <= 1 << 16
+
+
 def test_near_families_and_open_lists(spark):
     """A chain of edits, an original with edited copies, and a passage that many
     texts share, with blocks and sketches small enough to take every path."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidewater.session import checkpoint_dir
+from tidewater.session import bounded_batches, checkpoint_dir
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 U64 = np.uint64
@@ -25,7 +25,9 @@ def quoted(name: str) -> Column:
 
 
 def two_columns(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc_id`` and ``text`` alone, whatever else the table has."""
+    """``doc_id`` and ``text`` alone, whatever else the table has. Texts go to Python in
+    Arrow batches of bounded bytes."""
+    bounded_batches(df.sparkSession)
     return df.select(quoted(key).cast("long").alias("doc_id"), quoted(text).alias("text"))
 
 
@@ -38,7 +40,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def map_rows(df: DataFrame, run, *more: StructField) -> DataFrame:
     """``mapInArrow`` that returns all columns of ``df``, and ``more`` after them.
-    Columns are numbered meanwhile, since it takes no names with dots in them."""
+    Columns are numbered meanwhile, since it takes no names with dots in them. Rows go
+    in Arrow batches of bounded bytes."""
+    bounded_batches(df.sparkSession)
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     return plain.mapInArrow(run, StructType([*plain.schema.fields, *more])).toDF(*df.columns, *[f.name for f in more])
 
@@ -52,7 +56,7 @@ def words_of(text: bytes | None, lower: bool = False) -> list[bytes]:
 class WordHash(dict):
     """word -> 64-bit hash, remembered up to ``limit`` words."""
 
-    def __init__(self, limit: int = 1 << 19):
+    def __init__(self, limit: int = 1 << 16):
         super().__init__()
         self.limit = limit
 

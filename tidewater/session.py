@@ -135,6 +135,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidewater-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession, size: int = 4 * MB) -> None:
+    """Rows go to Python workers in Arrow batches of about ``size`` bytes, where the
+    session does not set that itself. Spark's own 64 MB (or 10,000 rows of any width)
+    are held several times over by each running task: in the JVM's and Arrow's buffers
+    and as Python objects. It stays set, since results are computed later."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(size))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
