@@ -103,6 +103,43 @@ def test_bitmaps_keep_documents():
     assert got == {(7, -1): many.tolist(), (9, -1): [3, 199], (9, 2): [3]}
 
 
+def test_parts_are_read_together():
+    """Tokenizer A reads many parts as one text; each part's tokens, links and digest are
+    those of the part on its own."""
+    with open(queries.BPE, encoding="utf-8") as f, open(queries.MODEL, "rb") as g:
+        pair = alignment.Pair(f.read(), g.read())
+    whole, read = pair.a, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            read.append(len(texts))
+            return whole.encode_batch_fast(texts, **more)
+
+    pair.a = Counted()
+    words = [p for _, t in TEXTS for w in alignment._windows(t) for p in w]
+    words = list(dict.fromkeys(words + [f"word{i}'s né{i}▁"[: 6 + i % 9] for i in range(1000)]))
+    together = alignment.Parts(pair)
+    together.numbers(words)
+    odd = [p for p in words if p != p.strip()]
+    assert odd and sum(read) <= -(-len(words) // alignment.JOINED) + len(odd) * alignment.JOINED
+
+    def rows(parts):
+        ends = np.cumsum(parts.columns["n_pairs"]).tolist()
+        links = [list(zip(parts.pairs[a:b].tolist(), parts.times[a:b].tolist())) for a, b in zip([0, *ends], ends)]
+        return list(zip(parts.spelled, links, *[parts.columns[f].tolist() for f in parts.FIELDS]))
+
+    got = rows(together)
+    for i in range(0, len(words), 7):
+        alone = alignment.Parts(pair)
+        alone.numbers([words[i]])
+        assert rows(alone) == got[i : i + 1]
+    assert 0 < together.columns["ok"].sum() < len(words)
+    # tokens of other bytes than their part's: parts are read one by one
+    pair.a_len[whole.encode(" and", add_special_tokens=False).ids] += 1
+    ids, sizes, *_ = pair.encode(["some", "and", "more"], np.array([5, 4, 5]))
+    assert read[-1] == 3 and len(ids) == sizes.sum() == 3
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, "x", 1, 2.0) for i, v in rows], "vec_id long, embedding array<float>, x string, component int, `a.b` double")
 

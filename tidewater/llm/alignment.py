@@ -21,8 +21,10 @@ the parts are tokenized apart, each distinct part once.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ from .common import two_columns
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Characters of text that are cut and numbered at a time.
 SLAB = 1 << 20
+#: Parts that tokenizer A reads as one text.
+JOINED = 64
 #: Distinct parts remembered by a task, if they have 16 characters each.
 PARTS = 200_000
 #: Documents and linked pairs after which a block ends; two bytes number a document.
@@ -80,18 +84,47 @@ class Pair:
         self.width = len(self.b_bytes)
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_text = [b"%d" % i for i in range(len(self.a_bytes))]
-        self.b_text = [b"%d" % i for i in range(len(self.b_bytes))]
-
-    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of each part as if a space stood before it. ``b`` adds it itself."""
-        spaced = [" " + p for p in parts]
-        return [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)], self.b.encode(parts, num_threads=1)
+        self.a_spelled, self.b_spelled = Strings(self.a_bytes), Strings(self.b_bytes)
+        # ids of A, then of B, in digits and the mark that follows them inside a group
+        self.digits = Strings([b"%d," % i for n in (len(self.a_bytes), self.width) for i in range(n)])
+
+    def encode(self, parts: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all parts as if a space stood before each, and their number by part, of A
+        and of B, which adds the space itself. ``sizes``: bytes of each part and its space."""
+        b, size_b = _flat(self.b.encode(parts, num_threads=1))
+        texts = []
+        for i in range(0, len(parts), JOINED):
+            some = parts[i : i + JOINED]
+            joined = all([p.strip() == p for p in some])  # cut at single spaces again
+            texts += [" " + " ".join(some)] if joined else [" " + p for p in some]
+        a, _ = self._ids_of_a(texts)
+        at, ends = np.cumsum(self.a_len[a]), np.cumsum(sizes)
+        upto = np.searchsorted(at, ends, side="right")
+        if np.array_equal(np.concatenate([[0], at])[upto], ends) and upto[-1:].sum() == len(a):
+            size_a = np.diff(upto, prepend=0)
+        else:  # a part's tokens have other bytes than the part
+            a, size_a = self._ids_of_a([" " + p for p in parts])
+        return a, size_a, b, size_b
+
+    def _ids_of_a(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
+
+
+class Strings:
+    """Byte strings laid end to end, read many at once by their numbers."""
+
+    def __init__(self, strings: list[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.length = np.array([len(x) for x in strings], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        return self.flat[_spread(self.start[numbers], self.length[numbers])]
 
 
 def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for ids in lists for i in ids), np.int64, int(sizes.sum())), sizes
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -111,7 +144,7 @@ class Parts:
         self.clear()
 
     def clear(self):
-        self.number: dict[str, int] = {}
+        self.number: dict[str, int] = defaultdict(itertools.count().__next__)
         self.columns = {f: np.empty(0, np.int64) for f in self.FIELDS}
         self.pairs = self.times = np.empty(0, np.int64)
         self.spelled: list[bytes] = []
@@ -119,24 +152,19 @@ class Parts:
 
     def numbers(self, parts: list[str]) -> np.ndarray:
         start = len(self.number)
-        number = self.number
-        out = np.fromiter((number.setdefault(p, len(number)) for p in parts), np.int64, len(parts))
-        if len(number) > start:
-            fresh = list(number)[start:] if start else list(number)
-            self._add(fresh)
+        out = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        if len(self.number) > start:
+            self._add(list(itertools.islice(self.number, start, None)))
         return out
 
     def _add(self, parts: list[str]):
         t = self.tokens
         self.chars += sum(map(len, parts))
-        ids_a, ids_b = t.encode(parts)
-        a, size_a = _flat(ids_a)
-        b, size_b = _flat(ids_b)
-        ok = np.ones(len(parts), bool)
-        for i, (x, y, part) in enumerate(zip(ids_a, ids_b, parts)):
-            whole = b" " + part.encode()
-            ok[i] = b"".join(map(t.a_bytes.__getitem__, x)) == whole and b"".join(map(t.b_bytes.__getitem__, y)) == whole
+        whole = [b" " + p.encode() for p in parts]
+        size = np.fromiter(map(len, whole), np.int64, len(whole))
+        a, size_a, b, size_b = t.encode(parts, size)
         owner_a, owner_b = np.repeat(np.arange(len(parts)), size_a), np.repeat(np.arange(len(parts)), size_b)
+        ok = self._same(whole, size, a, owner_a, t.a_spelled) & self._same(whole, size, b, owner_b, t.b_spelled)
         a, owner_a = a[ok[owner_a]], owner_a[ok[owner_a]]
         b, owner_b = b[ok[owner_b]], owner_b[ok[owner_b]]
         end_a, end_b = np.cumsum(t.a_len[a]), np.cumsum(t.b_len[b])
@@ -163,18 +191,31 @@ class Parts:
         for f in self.FIELDS:
             self.columns[f] = np.concatenate([self.columns[f], fresh[f]])
         self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times])
-        self.spelled += self._spell(ok, a, b, group_a, group_b, in_a, in_b, owner)
-
-    def _spell(self, ok, a, b, group_a, group_b, in_a, in_b, owner) -> list[bytes]:
+        self.spelled += self._spell(len(parts), a, b, group_a, group_b, in_a, in_b, owner)
+
+    @staticmethod
+    def _same(whole: list[bytes], size: np.ndarray, ids: np.ndarray, owner: np.ndarray, spelled: Strings) -> np.ndarray:
+        """Parts whose tokens' joined bytes are the part's own."""
+        ok = np.bincount(owner, spelled.length[ids], len(size)) == size
+        own = spelled.joined(ids[ok[owner]])
+        other = np.flatnonzero(own != np.frombuffer(b"".join(itertools.compress(whole, ok.tolist())), np.uint8))
+        ok[np.flatnonzero(ok)[np.searchsorted(np.cumsum(size[ok]), other, side="right")]] = False
+        return ok
+
+    def _spell(self, n, a, b, group_a, group_b, in_a, in_b, owner) -> list[bytes]:
+        """``a1,a2|b1;`` of all groups of each of ``n`` parts."""
         t = self.tokens
         last_a, last_b = np.cumsum(in_a), np.cumsum(in_b)
-        words_a, words_b = [t.a_text[i] for i in a.tolist()], [t.b_text[i] for i in b.tolist()]
-        out = [[] for _ in range(len(ok))]
-        x = y = 0
-        for who, x2, y2 in zip(owner.tolist(), last_a.tolist(), last_b.tolist()):
-            out[who].append(b",".join(words_a[x:x2]) + b"|" + b",".join(words_b[y:y2]) + b";")
-            x, y = x2, y2
-        return [b"".join(g) for g in out]
+        numbers = np.empty(len(a) + len(b), np.int64)
+        numbers[np.arange(len(a)) + (last_b - in_b)[group_a]] = a
+        numbers[np.arange(len(b)) + last_a[group_b]] = b + len(t.a_bytes)
+        flat, ends = t.digits.joined(numbers), np.cumsum(t.digits.length[numbers])
+        group_ends = last_a + last_b - 1
+        flat[ends[group_ends - in_b] - 1] = ord("|")
+        flat[ends[group_ends] - 1] = ord(";")
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, np.diff(ends[group_ends], prepend=0), n))]).astype(np.int64).tolist()
+        flat = flat.tobytes()
+        return [flat[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 def _windows(text: str):
