@@ -79,3 +79,26 @@ def test_memory_of_a_task():
         tracemalloc.stop()
     assert encoding.Speller(vocab).spell(ids).tobytes() == text
     assert peak < 64e6
+
+
+def test_lattices_are_laid_out_without_wide_sorts(monkeypatch):
+    """Edges stand by the node they end in, a byte's own first, then shorter ones; they
+    are put there by counting, and levels and parts are sorted by two-byte keys alone."""
+    vocab = vocabulary(queries.MODEL)
+    sampler = encoding.Sampler(vocab, 1.0, 0)
+    texts = [t.encode() for _, t in AWKWARD if t] + [b"of the other things " * 40]
+    chunks = [c for t in texts for c in encoding.CHUNK.findall(t)]
+    number = {s: i for i, s in vocab["surface"].items() if i not in vocab["byte"]}
+    want, base = [], 0
+    for c in chunks:
+        for end in range(1, len(c) + 1):
+            want.append((base + end - 1, base + end, int(sampler.trie.byte[c[end - 1]])))
+            want += [(base + at, base + end, number[c[at:end]]) for at in range(end - 1, -1, -1) if c[at:end] in number]
+        base += len(c) + 1
+    sorts, plain = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, *more, **named: sorts.append(a.dtype.itemsize) or plain(a, *more, **named))
+    lat = encoding.Lattices(sampler.trie, chunks)
+    assert list(zip(lat.src.tolist(), lat.dst.tolist(), lat.ids.tolist())) == want
+    assert lat.first.tolist() == np.searchsorted(lat.dst, np.arange(base + 1)).tolist()
+    sampler.encode(list(range(len(texts))), texts)
+    assert sorts and max(sorts) <= 2

@@ -10,9 +10,11 @@ retry or cluster. Decoding joins the pieces' bytes and gives back the text.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from array import array
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +42,13 @@ def mixed(x: int) -> int:
     return int(mix64(np.array([x & 0xFFFFFFFFFFFFFFFF], U64))[0])
 
 
-def _parts(sizes: list[int]) -> np.ndarray:
-    """Part of each distinct chunk: about ``LAID`` bytes, a long chunk on its own."""
-    out, part, held = np.empty(len(sizes), np.int64), 0, 0
-    for i, size in enumerate(sizes):
-        if held and (size > LONG or held + size > LAID):
-            part, held = part + 1, 0
-        out[i] = part
-        held = LAID if size > LONG else held + size
+def _parts(sizes: np.ndarray) -> list[int]:
+    """First distinct chunk of each part: about ``LAID`` bytes, a long chunk on its own."""
+    ends = np.cumsum(np.where(sizes > LONG, np.maximum(sizes, LAID + 1), sizes))
+    out, at = [], 0
+    while at < len(sizes):
+        out.append(at)
+        at = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LAID, side="right")))
     return out
 
 
@@ -67,40 +68,41 @@ class Sampler:
 
     def encode(self, keys: list, texts: list[bytes]) -> list[np.ndarray]:
         """Piece ids of each text."""
-        number: dict[bytes, int] = {}
-        which, counts, seeds = [], [], []
+        number: dict[bytes, int] = defaultdict(itertools.count().__next__)
+        which, counts, seeds = [np.empty(0, np.int64)], [], []
         for key, text in zip(keys, texts):
             chunks = CHUNK.findall(text)
-            which += [number.setdefault(c, len(number)) for c in chunks]
+            which.append(np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks)))
             counts.append(len(chunks))
             seeds.append(xxhash.xxh3_64_intdigest(repr(key).encode(), self.seed))
         counts = np.array(counts, np.int64)
-        chunk = np.array(which, np.int64)
+        chunk = np.concatenate(which)
         nth = np.arange(len(chunk)) - np.repeat(np.cumsum(counts) - counts, counts)
         stream = mix64(np.repeat(np.array(seeds, U64), counts) + nth.astype(U64) * U64(0x9E3779B97F4A7C15))
         # distinct chunks by their number, so many bytes of them at a time
         distinct = list(number)
-        part = _parts([len(c) for c in distinct])
-        order = np.argsort(part[chunk], kind="stable") if len(chunk) else chunk
-        cuts = np.searchsorted(part[chunk[order]], np.unique(part), side="left").tolist() if len(chunk) else []
+        lows = _parts(np.fromiter(map(len, distinct), np.int64, len(distinct)))
+        sizes = np.diff([*lows, len(distinct)])
+        part = np.repeat(np.arange(len(lows), dtype=np.uint16 if len(lows) < 1 << 16 else np.int64), sizes)[chunk]
+        order = np.argsort(part, kind="stable")
+        cuts = np.cumsum(np.bincount(part, minlength=len(lows))).tolist() if len(part) else []
         taken, steps, walked = np.zeros(len(chunk), np.int64), [], {}
-        for a, b in zip(cuts, [*cuts[1:], len(chunk)]):
+        for low, high, a, b in zip(lows, [*lows[1:], len(distinct)], [0, *cuts], cuts):
             own = order[a:b]
-            low = int(np.searchsorted(part, part[chunk[own[0]]]))
-            high = int(np.searchsorted(part, part[chunk[own[0]]], side="right"))
             if len(distinct[low]) > LONG:
                 for who, drawn in self._walk(distinct[low], own, stream):
                     walked[who] = drawn
                     taken[who] = len(drawn)
                 continue
             found = self._draw(distinct[low:high], chunk[own] - low, stream[own])
-            for step, (who, piece) in enumerate(found):
-                steps.append((own[who], piece, step))
-                taken[own[who]] += 1
+            taken[own] = np.bincount(np.concatenate([who for who, _ in found]), minlength=len(own))
+            steps.append((own, found))
         ends = np.cumsum(taken)
         ids = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
-        for who, piece, step in steps:
-            ids[ends[who] - 1 - step] = piece
+        for own, found in steps:
+            last = ends[own] - 1
+            for step, (who, piece) in enumerate(found):
+                ids[last[who] - step] = piece
         for who, drawn in walked.items():
             ids[ends[who] - len(drawn) : ends[who]] = drawn
         edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
@@ -111,28 +113,30 @@ class Sampler:
         (who, piece) of each step. ``chunk`` is an index into ``chunks``."""
         lat = Lattices(self.trie, chunks)
         alpha = lat.forward(self.logp)
-        share = np.exp(alpha[lat.src] + self.logp[lat.ids] - alpha[lat.dst])
+        into = np.diff(lat.first)
         # share of a node's paths up to and with each edge into it; 1 at the last. Each
         # node's shares are added apart, so a chunk's bounds do not depend on the others
-        rank = np.arange(len(share)) - lat.first[lat.dst]
-        bound = share.copy()
-        for r in range(1, int(rank.max(initial=0)) + 1):
-            at_rank = np.flatnonzero(rank == r)
-            bound[at_rank] += bound[at_rank - 1]
-        bound[np.maximum(lat.first[1:] - 1, 0)[np.diff(lat.first) > 0]] = 2.0
-        at, start = lat.base[chunk + 1] - 1, lat.base[chunk]
-        live, steps = np.arange(len(chunk)), []
+        bound = np.exp(alpha[lat.src] + self.logp[lat.ids] - np.repeat(alpha, into))
+        rank, nodes = 1, np.flatnonzero(into > 1)
+        while len(nodes):
+            edge = lat.first[nodes] + rank
+            bound[edge] += bound[edge - 1]
+            rank += 1
+            nodes = nodes[into[nodes] > rank]
+        bound[lat.first[1:][into > 0] - 1] = 2.0
+        node, start = lat.base[chunk + 1] - 1, lat.base[chunk]
+        live, steps = np.arange(len(chunk), dtype=np.int32), []
         while len(live):
-            u = (mix64(stream[live] + U64(len(steps) + 1)) >> U64(11)).astype(np.float64) * 2.0**-53
-            node = at[live]
+            u = (mix64(stream + U64(len(steps) + 1)) >> U64(11)).astype(np.float64) * 2.0**-53
             edge = lat.first[node]
             on = np.flatnonzero(bound[edge] <= u)
             while len(on):
                 edge[on] += 1
                 on = on[bound[edge[on]] <= u[on]]
-            steps.append((live.astype(np.int32), lat.ids[edge].astype(np.int32)))
-            at[live] = lat.src[edge]
-            live = live[at[live] > start[live]]
+            steps.append((live, lat.ids[edge]))
+            node = lat.src[edge]
+            on = np.flatnonzero(node > start)
+            live, node, start, stream = live[on], node[on], start[on], stream[on]
         return steps
 
     def _walk(self, text: bytes, own: np.ndarray, stream: np.ndarray):

@@ -96,42 +96,51 @@ class Lattices:
         inside[self.base[1:] - 1] = False
         place = np.flatnonzero(inside)
         src, dst, ids = [place], [place + 1], [trie.byte[flat[place]]]
-        at, node = place, np.zeros(len(place), np.int32)
+        at, node, table = place, np.zeros(len(place), np.int64), trie.step.ravel()
         length = 0
         while len(at):
-            node = trie.step[node, flat[at + length]]
-            alive = node > 0
+            node = table[node << 8 | flat[at + length]].astype(np.int64)
+            alive = np.flatnonzero(node)
             at, node = at[alive], node[alive]
             length += 1
-            hit = trie.piece[node] >= 0
+            piece = trie.piece[node]
+            hit = np.flatnonzero(piece >= 0)
             src.append(at[hit])
-            dst.append(at[hit] + length)
-            ids.append(trie.piece[node[hit]])
-            inner = node < len(trie.step)
+            dst.append(src[-1] + length)
+            ids.append(piece[hit])
+            inner = np.flatnonzero(node < len(trie.step))
             at, node = at[inner], node[inner]
-        src, dst, ids = np.concatenate(src), np.concatenate(dst), np.concatenate(ids)
-        order = np.argsort(dst, kind="stable")
-        self.src, self.dst, self.ids = src[order], dst[order], ids[order]
-        self.first = np.searchsorted(self.dst, np.arange(nodes + 1))  # edges into node v: first[v] : first[v+1]
+        into = np.bincount(np.concatenate(dst), minlength=nodes)
+        self.first = np.concatenate([[0], np.cumsum(into)])  # edges into node v: first[v] : first[v+1]
+        self.dst = np.repeat(np.arange(nodes), into)
+        # edges of one length end in nodes of their own, shorter ones stand first
+        self.src, self.ids = np.empty(len(self.dst), np.int64), np.empty(len(self.dst), np.int32)
+        free = self.first[:-1].copy()
+        for s, d, i in zip(src, dst, ids):
+            place = free[d]
+            free[d] = place + 1
+            self.src[place], self.ids[place] = s, i
         self.nodes = nodes
         depth = np.arange(nodes) - np.repeat(self.base[:-1], self.lengths + 1)
         # edges level by level: all that end at in-chunk position 1, then 2, ...
-        level = depth[self.dst] if len(self.dst) else self.dst
+        longest = int(self.lengths.max(initial=0))
+        level = np.repeat(depth.astype(np.uint16 if longest < 1 << 16 else np.int64), into)
         self.by_level = np.argsort(level, kind="stable")
-        self.level_ends = np.searchsorted(level[self.by_level], np.arange(1, int(self.lengths.max(initial=0)) + 2))
+        self.level_ends = np.cumsum(np.bincount(level, minlength=longest + 1)) if len(level) else np.zeros(longest + 1, np.int64)
 
     def forward(self, logp: np.ndarray) -> np.ndarray:
         """log of the summed weight of all paths from its chunk's start, by node."""
         alpha = np.full(self.nodes, -np.inf)
         alpha[self.base[:-1]] = 0.0
-        weight = logp[self.ids]
-        for a, b in zip(self.level_ends[:-1], self.level_ends[1:]):
-            e = self.by_level[a:b]
-            if not len(e):
-                continue
-            d = self.dst[e]
-            cut = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-            alpha[d[cut]] = np.logaddexp.reduceat(alpha[self.src[e]] + weight[e], cut)
+        src, dst, weight = self.src[self.by_level], self.dst[self.by_level], logp[self.ids[self.by_level]]
+        # where each node's edges begin; a level's nodes are lows[k] : lows[k+1] of these
+        cut = np.flatnonzero(np.concatenate([np.ones(min(1, len(dst)), bool), dst[1:] != dst[:-1]]))
+        lows = np.searchsorted(cut, self.level_ends).tolist()
+        ends = self.level_ends.tolist()
+        for a, b, low, high in zip(ends[:-1], ends[1:], lows[:-1], lows[1:]):
+            if a < b:
+                own = cut[low:high]
+                alpha[dst[own]] = np.logaddexp.reduceat(alpha[src[a:b]] + weight[a:b], own - a)
         return alpha
 
     def totals(self, alpha: np.ndarray) -> np.ndarray:
