@@ -95,7 +95,7 @@ class Pair:
         texts = []
         for i in range(0, len(parts), JOINED):
             some = parts[i : i + JOINED]
-            joined = all([p.strip() == p for p in some])  # cut at single spaces again
+            joined = all([p.strip() == p != "" for p in some])  # cut at single spaces again
             texts += [" " + " ".join(some)] if joined else [" " + p for p in some]
         a, _ = self._ids_of_a(texts)
         at, ends = np.cumsum(self.a_len[a]), np.cumsum(sizes)
