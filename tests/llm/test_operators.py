@@ -209,6 +209,51 @@ def test_near_families_and_open_lists(spark):
         same(table(got, "doc_id", "n_shingles", "component_id", "kept"), brute.near(data, 4))
 
 
+def test_near_dedup_compares_a_block_in_parts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Members:  # stands for the sorted members; gives the function that tasks run
+        def repartition(self, *keys):
+            return self
+
+        sortWithinPartitions = repartition
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    size, k, rng = 2200, 64, np.random.default_rng(3)
+    family = rng.permutation(1 << 20)[: 8 * (size + 8)].reshape(-1, 8)
+    sets = [np.sort(family[i : i + 8].ravel()).astype(np.int64) + 10 for i in range(size)]  # 8 of 8 rows, one new for each next member
+    columns = {
+        "value": np.ones(size, np.int64), "i": np.zeros(size, np.int32), "j": np.zeros(size, np.int32),
+        "rep": np.arange(size) + 100, "label": np.arange(size) + 100, "block": np.zeros(size, np.int32), "n": np.full(size, k),
+    }
+    batch = pa.RecordBatch.from_arrays(
+        [*map(pa.array, columns.values()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([[1]] * size, pa.list_(pa.int64()))],
+        names=[*columns, "sketch", "prefix"],
+    )
+    run = near_dedup._blocks(Members(), k, 70, 100)
+    tracemalloc.start()
+    pairs = {p for b in run(iter([batch])) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs == {(100 + i, 101 + i) for i in range(size - 1)}  # 56 of 72 values; two steps on: 48 of 80
+    assert peak < 60e6, peak  # 137 MB with all pairs of members at a time
+
+
+def test_near_dedup_meets_random_members_in_one_pass(spark, monkeypatch):
+    words = [f"m{i}" for i in range(60)]
+    df = spark.createDataFrame([(i, " ".join([*words[:50], f"x{i}"])) for i in range(30)], "doc_id long, text string")
+    seen = []
+    verified = near_dedup._verified
+    monkeypatch.setattr(near_dedup, "_verified", lambda pairs, *a: (seen.append(pairs), verified(pairs, *a))[1])
+    near_dedup.near_duplicates(df)
+    shuffles = [p._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for p in seen[:1]]
+    assert shuffles[0] <= 5, shuffles  # entries, two kinds of centres, listed members, and distinct pairs
+
+
 def test_shards(spark):
     data = [(i, "x" * (i % 37) + "\n" * (i % 3)) for i in range(400)] + [(900 + i, "copy") for i in range(300)] + [(None, None)]
     for k in (1, 3, 8):

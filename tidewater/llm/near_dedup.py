@@ -30,12 +30,15 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, WordHash, checkpointed, quoted, runs, shingle_hashes, two_columns, words_of
 from .components import connected_components
 
+#: Members of a block that are compared with all others at a time; bounds memory, not the result.
+AT_ONCE = 256
+
 
 def needed_overlap(k: int, num: int, den: int, miss: float = 1e-9) -> int:
     """Largest overlap of two bottom-k sketches that a similarity of num/den
@@ -154,21 +157,26 @@ def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
             keep = useful & alive[owner]
             owner, code = owner[keep], code[keep]
 
-    def overlaps(sets, rows):
-        """Number of common values of the sets in ``rows`` with all sets."""
+    def overlaps(sets):
+        """A function: number of common values of the sets in some rows with all sets."""
         flat = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
         many = times[code] > 1
         _, code = np.unique(code[many], return_inverse=True)
-        owner = owner[many]
-        total = np.zeros((len(rows), len(sets)), np.float32)
-        for a in range(0, int(code.max(initial=-1)) + 1, 1024):  # a slice of the values at a time
-            part = (code >= a) & (code < a + 1024)
-            grid = np.zeros((len(sets), int(code[part].max()) - a + 1), np.float32)
-            grid[owner[part], code[part] - a] = 1
-            total += grid[rows] @ grid.T
-        return total
+        order = np.argsort(code, kind="stable")
+        owner, code = owner[many][order], code[order]
+
+        def shared(rows):
+            total = np.zeros((len(rows), len(sets)), np.float32)
+            for a in range(0, int(code.max(initial=-1)) + 1, 1024):  # a slice of the values at a time
+                low, high = np.searchsorted(code, (a, a + 1024))
+                grid = np.zeros((len(sets), int(code[high - 1]) - a + 1), np.float32)
+                grid[owner[low:high], code[low:high] - a] = 1
+                total += grid[rows] @ grid.T
+            return total
+
+        return shared
 
     def run(batches):
         for g in runs(batches, ["value", "i", "j"]):
@@ -185,17 +193,22 @@ def _blocks(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
             # every pair of two labels has a member outside the largest label
             names, size = np.unique(label, return_counts=True)
             rows = np.flatnonzero(label != names[size.argmax()])
-            good = label[rows][:, None] != label[None, :]
-            good &= den * np.minimum(n[rows][:, None], n[None, :]) >= num * np.maximum(n[rows][:, None], n[None, :])
-            good &= (block[rows][:, None] != block[None, :]) | (g["i"][0] == g["j"][0])
-            share, sizes = overlaps(sketches, rows), n[rows][:, None] + n[None, :]
-            good &= share >= np.maximum(least[rows][:, None], least[None, :])
-            whole = (n[rows][:, None] <= k) & (n[None, :] <= k)
-            good &= ~whole | (den * share >= num * (sizes - share))
-            if not good.any():
-                continue
-            good &= overlaps([p[p < g["value"][0]] for p in g["prefix"][left]], rows) == 0
-            found = {(min(rep[x], rep[y]), max(rep[x], rep[y]), min(x, y), max(x, y)) for x, y in zip(rows[np.nonzero(good)[0]], np.nonzero(good)[1])}
+            shared, earlier, found = overlaps(sketches), None, set()
+            for at in range(0, len(rows), AT_ONCE):
+                own = rows[at : at + AT_ONCE]
+                good = label[own][:, None] != label[None, :]
+                good &= den * np.minimum(n[own][:, None], n[None, :]) >= num * np.maximum(n[own][:, None], n[None, :])
+                good &= (block[own][:, None] != block[None, :]) | (g["i"][0] == g["j"][0])
+                share, sizes = shared(own), n[own][:, None] + n[None, :]
+                good &= share >= np.maximum(least[own][:, None], least[None, :])
+                whole = (n[own][:, None] <= k) & (n[None, :] <= k)
+                good &= ~whole | (den * share >= num * (sizes - share))
+                if not good.any():
+                    continue
+                earlier = earlier or overlaps([p[p < g["value"][0]] for p in g["prefix"][left]])
+                good &= earlier(own) == 0
+                for x, y in zip(own[np.nonzero(good)[0]], np.nonzero(good)[1]):
+                    found.add((min(rep[x], rep[y]), max(rep[x], rep[y]), min(x, y), max(x, y)))
             out = [
                 (a, b)
                 for a, b, x, y in found
@@ -277,12 +290,11 @@ def near_duplicates(
     stars = entries.join(centres, "value").where(alike).select(*pair)
     # each member also meets a random member of a part of its own few first lists,
     # which merges families whose members are not all close to the smallest one
-    for turn in range(meetings):
-        own = listed.where(F.size("prefix") > turn).select("rep", "n", F.col("prefix")[turn].alias("value")).join(centres.select("value", "members"), "value")
-        own = own.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(turn)), F.ceil(F.col("members") / 16)))
-        heads = own.groupBy("value", "part").agg(F.min(F.struct(F.xxhash64("rep", F.lit(-1 - turn)), "rep", "n")).alias("c"))
-        heads = heads.select("value", "part", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"))
-        stars = stars.unionByName(own.join(heads, ["value", "part"]).where(alike).select(*pair))
+    own = listed.select("rep", "n", F.posexplode(F.slice("prefix", 1, meetings)).alias("turn", "value")).join(centres.select("value", "members"), "value")
+    own = own.withColumn("part", F.pmod(F.xxhash64("rep", "turn"), F.ceil(F.col("members") / 16)))
+    head = F.min(F.struct(F.xxhash64("rep", F.lit(-1) - F.col("turn")), "rep", "n")).over(Window.partitionBy("value", "turn", "part"))
+    own = own.withColumn("c", head).select("rep", "n", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"))
+    stars = stars.unionByName(own.where(alike).select(*pair))
     stars = stars.distinct()
     links = checkpointed(_verified(stars, texts, n, k, num, den))
     labels = connected_components(links)
